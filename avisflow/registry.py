@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from avisflow.plans import star
+from avisflow.plans import quality, star
 from avisflow.plans.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,9 +32,29 @@ QUERIES: dict[str, Query] = {
     "customer_insights": lambda s, d: _wh(s, d).customer_insights(),
     "sentiment_trends": lambda s, d: _wh(s, d).sentiment_trends(),
     "topic_analysis": lambda s, d: _wh(s, d).topic_analysis(),
+    # data quality
+    "dq_unique": lambda s, d: _dims(quality.dq_unique, s, d),
+    "dq_not_null": lambda s, d: _dims(quality.dq_not_null, s, d),
+    "dq_relationships": lambda s, d: _dims(quality.dq_relationships, s, d),
+    "dedup_rate": lambda s, d: quality.dedup_rate(_wh(s, d).staging_reviews, _wh(s, d).stg_reviews),
+    "text_quality_stats": lambda s, d: quality.text_quality_stats(_wh(s, d).stg_reviews),
+    "sentiment_stats": lambda s, d: quality.sentiment_stats(_wh(s, d).reviews_enriched),
+    "consistency_share": lambda s, d: quality.consistency_share(_wh(s, d).reviews_enriched),
+    "language_share": lambda s, d: quality.language_share(_wh(s, d).stg_reviews),
+    "topic_stats": lambda s, d: quality.topic_stats(_wh(s, d).reviews_enriched),
+    "topic_by_sentiment": lambda s, d: quality.topic_by_sentiment(_wh(s, d).reviews_enriched),
+    "bank_stats": lambda s, d: quality.bank_stats(_wh(s, d).reviews_enriched),
+    "quality_metrics": lambda s, d: quality.quality_metrics(_wh(s, d).reviews_enriched),
+    "quality_alerts": lambda s, d: quality.quality_alerts(_wh(s, d).reviews_enriched),
+    "topic_category_distribution": lambda s, d: quality.topic_category_distribution(_wh(s, d).topic_assignments),
 }
 
 
+def _dims(fn, spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return fn(w.dim_bank, w.dim_branch, w.dim_sentiment)
+
+
 def register(name: str):
     def deco(fn: Query) -> Query:
         QUERIES[name] = fn
