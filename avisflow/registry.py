@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from avisflow.plans import quality, star
+from avisflow.plans import collect, quality, star
 from avisflow.plans.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,10 +46,24 @@ QUERIES: dict[str, Query] = {
     "bank_stats": lambda s, d: quality.bank_stats(_wh(s, d).reviews_enriched),
     "quality_metrics": lambda s, d: quality.quality_metrics(_wh(s, d).reviews_enriched),
     "quality_alerts": lambda s, d: quality.quality_alerts(_wh(s, d).reviews_enriched),
+    # collection shaping over fetched pages / texts
+    "bank_from_query": lambda s, d: collect.bank_from_query(_src(s, d).pages),
+    "agency_urls": lambda s, d: collect.agency_urls(_src(s, d).pages),
+    "page_field_extract": lambda s, d: collect.page_field_extract(_src(s, d).pages),
+    "review_keep": lambda s, d: collect.review_keep(_src(s, d).pages),
+    "address_guess": lambda s, d: collect.address_guess(_src(s, d).documents),
+    "address_clean": lambda s, d: collect.address_clean(_src(s, d).documents),
+    "rating_parse": lambda s, d: collect.rating_parse(_src(s, d).documents),
+    "reviews_per_agency": lambda s, d: collect.reviews_per_agency(_wh(s, d).staging_reviews),
+    "agency_details": lambda s, d: collect.agency_details(_src(s, d).pages),
     "topic_category_distribution": lambda s, d: quality.topic_category_distribution(_wh(s, d).topic_assignments),
 }
 
 
+def _src(spark, sf_dir):
+    return _wh(spark, sf_dir).src
+
+
 def _dims(fn, spark, sf_dir):
     w = _wh(spark, sf_dir)
     return fn(w.dim_bank, w.dim_branch, w.dim_sentiment)
