@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from avisflow.plans import collect, quality, star
+from avisflow.plans import collect, quality, sentiment, star
 from avisflow.plans.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,14 @@ QUERIES: dict[str, Query] = {
     "rating_parse": lambda s, d: collect.rating_parse(_src(s, d).documents),
     "reviews_per_agency": lambda s, d: collect.reviews_per_agency(_wh(s, d).staging_reviews),
     "agency_details": lambda s, d: collect.agency_details(_src(s, d).pages),
+    # sentiment and language
+    "sentiment_lexicon_score": lambda s, d: sentiment.sentiment_analysis(_wh(s, d).stg_reviews),
+    "polarity_score": lambda s, d: sentiment.sentiment_analysis(_wh(s, d).stg_reviews).select(
+        "review_id", "textblob_polarity"),
+    "sentiment_label": lambda s, d: sentiment.sentiment_analysis(_wh(s, d).stg_reviews).select(
+        "review_id", "sentiment", "confidence"),
+    "language_keyword_fallback": lambda s, d: sentiment.language_keyword_fallback(_src(s, d).documents),
+    "language_ngram": lambda s, d: sentiment.language_ngram(_src(s, d).documents),
     "topic_category_distribution": lambda s, d: quality.topic_category_distribution(_wh(s, d).topic_assignments),
 }
 
