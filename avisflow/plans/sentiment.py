@@ -43,23 +43,24 @@ def _lexicon_map() -> Column:
 def with_scores(df: DataFrame, text_col: str) -> DataFrame:
     """Adds vader_compound, textblob_polarity, lexicon_hits.
 
-    Each step is its own projection over a materialised column: an expression referenced
-    inside a lambda would otherwise be re-evaluated for every array element."""
+    The negation flip pairs each token with its predecessor (``zip_with`` against the token
+    array shifted by one); no lambda refers to a whole array, which could otherwise be inlined
+    and re-evaluated for every element."""
     lex = _lexicon_map()
     neg = F.array(*[F.lit(w) for w in NEGATORS])
-    toks = F.col("__toks")
-    weights = F.transform(toks, lambda t, i: F.coalesce(F.try_element_at(lex, t), F.lit(0.0))
-                          * F.when(F.array_contains(neg, F.get(toks, i - 1)), F.lit(-1.0)).otherwise(F.lit(1.0)))
+    toks = tokens(F.col(text_col))
+    prev = F.concat(F.array(F.lit(None).cast("string")), F.slice(toks, 1, F.greatest(F.size(toks) - 1, F.lit(0))))
+    weights = F.zip_with(toks, prev, lambda t, p: F.coalesce(F.try_element_at(lex, t), F.lit(0.0))
+                         * F.when(F.array_contains(neg, p), F.lit(-1.0)).otherwise(F.lit(1.0)))
     hits = F.filter(F.col("__w"), lambda x: x != 0.0)
     s, n = F.col("__s"), F.col("__n")
     compound = pg_round(s / F.sqrt(s * s + F.lit(ALPHA)), 4)
     polarity = pg_round(F.when(n > 0, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), s / n / F.lit(MAX_WEIGHT))))
                          .otherwise(F.lit(0.0)), 4)
-    return (df.withColumn("__toks", tokens(F.col(text_col)))
-              .withColumn("__w", weights)
+    return (df.withColumn("__w", weights)
               .withColumns({"__s": F.aggregate("__w", F.lit(0.0), lambda acc, x: acc + x), "__n": F.size(hits)})
               .withColumns({"vader_compound": compound, "textblob_polarity": polarity, "lexicon_hits": n})
-              .drop("__toks", "__w", "__s", "__n"))
+              .drop("__w", "__s", "__n"))
 
 
 def sentiment_analysis(stg: DataFrame, text_col: str = "clean_text") -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from avisflow.plans import collect, quality, sentiment, star
+from avisflow.plans import collect, quality, sentiment, star, topics
 from avisflow.plans.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,10 +64,24 @@ QUERIES: dict[str, Query] = {
         "review_id", "sentiment", "confidence"),
     "language_keyword_fallback": lambda s, d: sentiment.language_keyword_fallback(_src(s, d).documents),
     "language_ngram": lambda s, d: sentiment.language_ngram(_src(s, d).documents),
+    # topics
+    "topic_preprocess": lambda s, d: topics.topic_documents(_wh(s, d).stg_reviews).select(
+        "review_id", "language", "lda_text"),
+    "language_gate": lambda s, d: topics.language_gate(_wh(s, d).stg_reviews),
+    "tfidf_terms": lambda s, d: topics.tfidf_vocabulary(topics.topic_documents(_wh(s, d).stg_reviews)),
+    "topic_category_match": lambda s, d: topics.topic_category_match(
+        topics.tfidf_vocabulary(topics.topic_documents(_wh(s, d).stg_reviews))),
+    "lda_topics": lambda s, d: _lda(s, d)[0],
+    "topic_assignment": lambda s, d: topics.topic_assignment(*_lda(s, d)),
     "topic_category_distribution": lambda s, d: quality.topic_category_distribution(_wh(s, d).topic_assignments),
 }
 
 
+def _lda(spark, sf_dir):
+    docs = topics.topic_documents(_wh(spark, sf_dir).stg_reviews)
+    return topics.lda_fit(docs, topics.tfidf_vocabulary(docs))
+
+
 def _src(spark, sf_dir):
     return _wh(spark, sf_dir).src
 
