@@ -103,7 +103,10 @@ def language_ngram(documents: DataFrame) -> DataFrame:
     train = d.where((F.col("doc_id") % HOLDOUT_MOD != 0) & F.col("lang").isNotNull())
     test = d.where(F.col("doc_id") % HOLDOUT_MOD == 0)
 
-    profile = (with_trigrams(train, "text").select("lang", F.explode("tris").alias("tri"))
+    # explode_outer + null filter: an inner explode makes Catalyst infer size(tris) > 0, which
+    # would run the trigram regex over every text twice
+    profile = (with_trigrams(train, "text").select("lang", F.explode_outer("tris").alias("tri"))
+                    .where(F.col("tri").isNotNull())
                     .groupBy("lang", "tri").agg(F.count(F.lit(1)).alias("c")))
     vocab = profile.agg(F.countDistinct("tri").alias("v"))
     # one row: every language with its cost of an unseen trigram (languages are labels: few)
@@ -112,7 +115,8 @@ def language_ngram(documents: DataFrame) -> DataFrame:
                         .agg(F.collect_list(F.struct(F.col("lang"),
                                                      (-F.log(F.col("n_lang") + F.col("v"))).alias("unseen")))
                               .alias("langs")))
-    doc_tris = (with_trigrams(test, "text").select("doc_id", F.explode("tris").alias("tri"))
+    doc_tris = (with_trigrams(test, "text").select("doc_id", F.explode_outer("tris").alias("tri"))
+                    .where(F.col("tri").isNotNull())
                     .groupBy("doc_id", "tri").agg(F.count(F.lit(1)).alias("n")))
     totals = doc_tris.groupBy("doc_id").agg(F.sum("n").alias("n_total"))
     seen = (doc_tris.join(profile, "tri")

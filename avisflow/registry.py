@@ -68,15 +68,43 @@ QUERIES: dict[str, Query] = {
     "topic_preprocess": lambda s, d: topics.topic_documents(_wh(s, d).stg_reviews).select(
         "review_id", "language", "lda_text"),
     "language_gate": lambda s, d: topics.language_gate(_wh(s, d).stg_reviews),
-    "tfidf_terms": lambda s, d: topics.tfidf_vocabulary(topics.topic_documents(_wh(s, d).stg_reviews)),
-    "topic_category_match": lambda s, d: topics.topic_category_match(
-        topics.tfidf_vocabulary(topics.topic_documents(_wh(s, d).stg_reviews))),
+    "tfidf_terms": lambda s, d: topics.tfidf_terms(_wh(s, d).stg_reviews),
+    "topic_category_match": lambda s, d: topics.topic_category_match(topics.tfidf_terms(_wh(s, d).stg_reviews)),
     "lda_topics": lambda s, d: _lda(s, d)[0],
     "topic_assignment": lambda s, d: topics.topic_assignment(*_lda(s, d)),
+    # sources and sinks
+    "csv_roundtrip": lambda s, d: _csv_roundtrip(s, d),
+    "stream_ingest": lambda s, d: _stream_ingest(s, d),
     "topic_category_distribution": lambda s, d: quality.topic_category_distribution(_wh(s, d).topic_assignments),
 }
 
 
+def _scratch(spark, kind):
+    import uuid
+
+    from avisflow.session import shared_path
+    return shared_path(spark, "avisflow", kind, uuid.uuid4().hex)
+
+
+def _csv_roundtrip(spark, sf_dir):
+    """SNK-3 then SRC-1: the staged fixture written as raw CSV and read back."""
+    from avisflow.sources.reviews_csv import read_reviews_csv
+    from avisflow.sources.sinks import write_reviews_csv
+    path = _scratch(spark, "csv")
+    write_reviews_csv(_wh(spark, sf_dir).staging_reviews, path)
+    return read_reviews_csv(spark, path)
+
+
+def _stream_ingest(spark, sf_dir):
+    """SNK-1 as a stream: CSV drops -> AvailableNow file-source stream -> partitioned raw table."""
+    from avisflow.sources.sinks import write_reviews_csv
+    from avisflow.streaming.ingest import ingest_available
+    root = _scratch(spark, "stream")
+    write_reviews_csv(_wh(spark, sf_dir).staging_reviews, f"{root}/incoming")
+    ingest_available(spark, f"{root}/incoming", f"{root}/staging_reviews", f"{root}/_checkpoint")
+    return spark.read.parquet(f"{root}/staging_reviews").drop("ingest_date")
+
+
 def _lda(spark, sf_dir):
     docs = topics.topic_documents(_wh(spark, sf_dir).stg_reviews)
     return topics.lda_fit(docs, topics.tfidf_vocabulary(docs))
