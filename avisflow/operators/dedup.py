@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
-                   hash_prefix: bool = True) -> DataFrame:
+                   hash_prefix: bool = False) -> DataFrame:
     """Rows with row_number() = 1 over ``partitionBy(keys).orderBy(order)``.
 
     ``order`` must state null order and end in a unique tie-breaker, otherwise the

@@ -15,36 +15,57 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from avisflow.operators.joins import one_row
 
 DEFAULT_BUCKETS = 64
 
 
-def global_rank(df: DataFrame, key: Column, name: str, descending: bool = True,
-                nulls_first: bool = True, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Add column ``name`` = RANK() OVER (ORDER BY key [DESC] NULLS FIRST|LAST)."""
-    k, k2 = f"__{name}_key", f"__{name}_key_r"
-    keyed = df.withColumn(k, key)
-    counts = keyed.groupBy(k).agg(F.count(F.lit(1)).alias("__n"))
-    bounds = counts.agg(F.min(k).cast("double").alias("__lo"), F.max(k).cast("double").alias("__hi"))
-    x = F.col(k).cast("double")
+KEY_TYPE = "decimal(38,6)"
+
+
+def global_ranks(df: DataFrame, keys: dict[str, Column], descending: bool = True, nulls_first: bool = True,
+                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Add one RANK() column per entry of ``keys`` (name -> key expression), all computed in
+    one pass: the keys are stacked as (rank name, key) rows and every step below is grouped or
+    partitioned by the rank name as well."""
+    names = list(keys)
+    kcols = {n: f"__rk_{n}" for n in names}
+    keyed = df.withColumns({kcols[n]: keys[n] for n in names})
+    types = {keyed.schema[kcols[n]].dataType.simpleString() for n in names}
+    if len(types) > 1:  # stacked keys need one type; decimal(38,6) holds counts and 6-place averages
+        keyed = keyed.withColumns({kcols[n]: F.col(kcols[n]).cast(KEY_TYPE) for n in names})
+    stacked = keyed.select(F.explode(F.array(*[F.struct(F.lit(n).alias("rk"), F.col(kcols[n]).alias("v"))
+                                               for n in names])).alias("s")).select("s.rk", "s.v")
+    counts = stacked.groupBy("rk", "v").agg(F.count(F.lit(1)).alias("__n"))
+    bounds = counts.groupBy("rk").agg(F.min("v").cast("double").alias("__lo"), F.max("v").cast("double").alias("__hi"))
+    x = F.col("v").cast("double")
     span = F.col("__hi") - F.col("__lo")
     pos = F.when(span > 0, F.floor((x - F.col("__lo")) / span * buckets)).otherwise(F.lit(0))
     pos = F.least(pos, F.lit(buckets - 1)).cast("int")
     if descending:
         pos = F.lit(buckets - 1) - pos
     null_bucket = -1 if nulls_first else buckets
-    bucketed = (counts.crossJoin(one_row(bounds))
-                .withColumn("__b", F.when(F.col(k).isNull(), F.lit(null_bucket)).otherwise(pos)))
-    totals = bucketed.groupBy("__b").agg(F.sum("__n").alias("__bn"))
+    # one row per rank name: bounded by the number of ranks requested
+    bucketed = (counts.join(F.broadcast(bounds), "rk")
+                .withColumn("__b", F.when(F.col("v").isNull(), F.lit(null_bucket)).otherwise(pos)))
+    totals = bucketed.groupBy("rk", "__b").agg(F.sum("__n").alias("__bn"))
     before_bucket = F.sum("__bn").over(
-        Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select("__b", F.coalesce(before_bucket, F.lit(0)).alias("__off"))
-    order = F.col(k).desc() if descending else F.col(k).asc()
+        Window.partitionBy("rk").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))
+    # at most (buckets + 2) rows per rank name
+    offsets = F.broadcast(totals.select("rk", "__b", F.coalesce(before_bucket, F.lit(0)).alias("__off")))
+    order = F.col("v").desc() if descending else F.col("v").asc()
     before_key = F.sum("__n").over(
-        Window.partitionBy("__b").orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+        Window.partitionBy("rk", "__b").orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
     ranks = (bucketed.withColumn("__before", F.coalesce(before_key, F.lit(0)))
-             .join(one_row(offsets), "__b")  # at most buckets + 2 rows
-             .select(F.col(k).alias(k2), (F.col("__off") + F.col("__before") + 1).cast("int").alias(name)))
-    return (keyed.join(ranks, keyed[k].eqNullSafe(ranks[k2]), "inner")
-                 .drop(k, k2))
+             .join(offsets, ["rk", "__b"])
+             .select("rk", "v", (F.col("__off") + F.col("__before") + 1).cast("int").alias("__rank")))
+    out = keyed
+    for n in names:
+        r = ranks.where(F.col("rk") == n).select(F.col("v").alias(f"__v_{n}"), F.col("__rank").alias(n))
+        out = out.join(r, out[kcols[n]].eqNullSafe(r[f"__v_{n}"]), "inner").drop(f"__v_{n}")
+    return out.drop(*kcols.values())
+
+
+def global_rank(df: DataFrame, key: Column, name: str, descending: bool = True,
+                nulls_first: bool = True, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Add column ``name`` = RANK() OVER (ORDER BY key [DESC] NULLS FIRST|LAST)."""
+    return global_ranks(df, {name: key}, descending, nulls_first, buckets)

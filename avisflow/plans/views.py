@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from avisflow.functions.dates import DEFAULT_AS_OF, is_iso_date, iso_to_date, month_bucket, months_back, quarter_bucket
 from avisflow.functions.numeric import percent, pg_round, rank_key
-from avisflow.operators.ranking import global_rank
+from avisflow.operators.ranking import global_ranks
 from avisflow.operators.shares import share_within
 from avisflow.session import checkpointed
 
@@ -81,11 +81,10 @@ def branch_performance(fact: DataFrame, dim_bank: DataFrame, dim_branch: DataFra
         "negative_percentage": percent(F.col("negative_reviews"), F.col("total_reviews"), 2),
         "neutral_percentage": percent(F.col("neutral_reviews"), F.col("total_reviews"), 2),
     })
-    # branch-grain aggregate, read by three rank computations: compute it once
+    # branch-grain aggregate, read by the rank pass and the join back: compute it once
     agg = checkpointed(agg)
-    agg = global_rank(agg, F.col("__avg_rating_key"), "rating_rank")
-    agg = global_rank(agg, F.col("__avg_vader_key"), "sentiment_rank")
-    agg = global_rank(agg, F.col("total_reviews"), "volume_rank")
+    agg = global_ranks(agg, {"rating_rank": F.col("__avg_rating_key"), "sentiment_rank": F.col("__avg_vader_key"),
+                             "volume_rank": F.col("total_reviews")})
     cols = ["bank_name", "branch_name", "location_name", "total_reviews", "avg_rating", "avg_vader_sentiment",
             "avg_textblob_sentiment", "avg_confidence", "positive_reviews", "negative_reviews", "neutral_reviews",
             "positive_percentage", "negative_percentage", "neutral_percentage", "avg_quality_score",

@@ -14,15 +14,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from avisflow.functions.dates import DEFAULT_AS_OF
 from avisflow.plans import enrich, fixtures, staging, star, views
+from avisflow.session import checkpointed
 from avisflow.sources.tables import Catalog
 
+TEXT_COLUMNS = ("review_text", "clean_text")
+
 
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: dt.date = DEFAULT_AS_OF,
-                 tables: dict[str, DataFrame] | None = None):
+                 tables: dict[str, DataFrame] | None = None, materialize: bool = False):
+        """``materialize``: for plans that read the staged reviews through several branches
+        (every view joins the fact with dimensions that all derive from them). Each branch
+        prunes different columns, so their shuffles are not identical and cannot be reused;
+        instead the text-free staged core is computed once and checkpointed to the shared
+        folder, and every model reads it."""
         self.spark = spark
         self.sf_dir = sf_dir
         self.as_of = as_of
+        self.materialize = materialize
         self.src = Catalog(spark, sf_dir)
         self._override = dict(tables or {})
 
@@ -40,43 +49,58 @@ class Warehouse:
     def stg_reviews(self) -> DataFrame:
         return self._get("stg_reviews", lambda: staging.stg_reviews(self.staging_reviews))
 
+    @cached_property
+    def stg_core(self) -> DataFrame:
+        """Staged reviews without the text columns; checkpointed when ``materialize``."""
+        core = self.stg_reviews.drop(*TEXT_COLUMNS)
+        return checkpointed(core) if self.materialize else core
+
     @cached_property
     def sentiment_analysis(self) -> DataFrame:
-        return self._get("sentiment_analysis", lambda: fixtures.sentiment_fixture(self.stg_reviews))
+        return self._get("sentiment_analysis", lambda: fixtures.sentiment_fixture(self.stg_core))
 
     @cached_property
     def topic_assignments(self) -> DataFrame:
-        return self._get("topic_analysis", lambda: fixtures.topic_fixture(self.stg_reviews))
+        return self._get("topic_analysis", lambda: fixtures.topic_fixture(self.stg_core))
 
     @cached_property
     def annotations(self) -> DataFrame:
-        return self._get("annotations", lambda: fixtures.annotations_fixture(self.stg_reviews, self.src.labels))
+        return self._get("annotations", lambda: fixtures.annotations_fixture(self.stg_core, self.src.labels))
 
     # -- marts --------------------------------------------------------------
     @cached_property
     def reviews_enriched(self) -> DataFrame:
+        """Full enriched rows (with texts), as the model's table."""
         return self._get("reviews_enriched", lambda: enrich.reviews_enriched(
             self.stg_reviews, self.sentiment_analysis, self.topic_assignments, self.annotations))
 
+    @cached_property
+    def enriched_core(self) -> DataFrame:
+        """Enriched rows without texts: the input of the fact and the dimensions."""
+        if "reviews_enriched" in self._override:
+            return self._override["reviews_enriched"].drop(*TEXT_COLUMNS)
+        return enrich.reviews_enriched(self.stg_core, self.sentiment_analysis, self.topic_assignments,
+                                       self.annotations)
+
     @cached_property
     def fact_reviews(self) -> DataFrame:
-        return self._get("fact_reviews", lambda: star.fact_reviews(self.reviews_enriched))
+        return self._get("fact_reviews", lambda: star.fact_reviews(self.enriched_core))
 
     @cached_property
     def dim_bank(self) -> DataFrame:
-        return self._get("dim_bank", lambda: star.dim_bank(self.reviews_enriched))
+        return self._get("dim_bank", lambda: star.dim_bank(self.enriched_core))
 
     @cached_property
     def dim_branch(self) -> DataFrame:
-        return self._get("dim_branch", lambda: star.dim_branch(self.stg_reviews))
+        return self._get("dim_branch", lambda: star.dim_branch(self.stg_core))
 
     @cached_property
     def dim_location(self) -> DataFrame:
-        return self._get("dim_location", lambda: star.dim_location(self.stg_reviews))
+        return self._get("dim_location", lambda: star.dim_location(self.stg_core))
 
     @cached_property
     def dim_sentiment(self) -> DataFrame:
-        return self._get("dim_sentiment", lambda: star.dim_sentiment(self.reviews_enriched))
+        return self._get("dim_sentiment", lambda: star.dim_sentiment(self.enriched_core))
 
     # -- views --------------------------------------------------------------
     def branch_performance(self) -> DataFrame:

@@ -15,7 +15,9 @@ STG_COLUMNS = ["review_id", "doc_id", "bank", "agency", "url", "location", "auth
 
 
 def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return Warehouse(spark, sf_dir)
+    """The text-free staged core is checkpointed once when a query first needs it (every model
+    after staging reads it through several branches)."""
+    return Warehouse(spark, sf_dir, materialize=True)
 
 
 QUERIES: dict[str, Query] = {
