@@ -23,6 +23,9 @@ _WORD_EDGE_L = "(^|[^a-z0-9_])"
 _WORD_EDGE_R = "([^a-z0-9_]|$)"
 
 FRENCH_PATTERN = "[" + FRENCH_ACCENTS + "]|" + "|".join(FRENCH_MARKERS)
+# Every Arabic marker is written in the Arabic block: a one-class scan rules out most texts
+# before the seven-way alternation runs (same result, much less work on long texts).
+ARABIC_BLOCK = "[" + chr(0x0600) + "-" + chr(0x06FF) + "]"
 ARABIC_PATTERN = "|".join(ARABIC_MARKERS)
 ENGLISH_PATTERN = _WORD_EDGE_L + "(" + "|".join(ENGLISH_MARKERS) + ")" + _WORD_EDGE_R
 
@@ -43,7 +46,7 @@ def detected_language(c="review_text") -> Column:
     """CAS-1: ordered regex rules -> fr / ar / en / unknown."""
     t = _as_col(c)
     return (F.when(t.rlike(SPARK_FLAGS + FRENCH_PATTERN), "fr")
-             .when(t.rlike(ARABIC_PATTERN), "ar")
+             .when(t.rlike(ARABIC_BLOCK) & t.rlike(ARABIC_PATTERN), "ar")
              .when(t.rlike(SPARK_FLAGS + ENGLISH_PATTERN), "en")
              .otherwise("unknown"))
 
