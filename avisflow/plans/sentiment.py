@@ -3,8 +3,8 @@
 * Lexicon scoring runs per row inside the JVM: tokens -> lexicon lookup (a literal map) ->
   negation flip from the previous token -> sum. No explode, no shuffle, no Python.
 * Keyword language fallback: ordered substring lists.
-* Character-trigram language model (naive Bayes): trained on labelled texts, applied to held-out
-  texts; explode + partial aggregation + join with the language profile (AQE broadcasts the
+* Character-trigram language model (naive Bayes): trained on labelled texts, applied to every
+  text; explode + partial aggregation + join with the language profile (AQE broadcasts the
   profile when measured small; hot trigrams are spread by AQE skew handling otherwise).
 """
 
@@ -26,8 +26,6 @@ FALLBACK_KEYWORDS = [
     ("fr", ["très", "bon", "mauvais", "service"]),
     ("en", ["good", "bad", "service", "staff"]),
 ]
-# Held-out split of the trigram model: texts with doc_id % HOLDOUT_MOD == 0 are scored.
-HOLDOUT_MOD = 5
 TRIGRAM_PATTERN = r"(?=(.{3}))"
 # ---------------------------------------------------------------------------
 
@@ -94,14 +92,15 @@ def with_trigrams(df: DataFrame, text_col: str, out: str = "tris") -> DataFrame:
 
 
 def language_ngram(documents: DataFrame) -> DataFrame:
-    """NLP-6: multinomial naive Bayes over character trigrams (Cavnar & Trenkle-style profiles).
+    """NLP-6: multinomial naive Bayes over character trigrams (Cavnar & Trenkle-style profiles),
+    trained on all labelled texts and applied to the whole table.
 
     score(doc, lang) = sum_t n(doc,t) * ln((c(lang,t) + 1) / (N_lang + V)), split into
     a base term (all trigrams as unseen) plus a correction for trigrams the language has seen.
     """
     d = documents.select("doc_id", "lang", "text")
-    train = d.where((F.col("doc_id") % HOLDOUT_MOD != 0) & F.col("lang").isNotNull())
-    test = d.where(F.col("doc_id") % HOLDOUT_MOD == 0)
+    train = d.where(F.col("lang").isNotNull())  # profiles from every labelled text
+    test = d                                     # every text of the table is labelled
 
     # explode_outer + null filter: an inner explode makes Catalyst infer size(tris) > 0, which
     # would run the trigram regex over every text twice

@@ -15,6 +15,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from avisflow.functions.numeric import pg_round
@@ -205,14 +207,12 @@ def lda_fit(docs: DataFrame, vocab: DataFrame):
                  .agg(F.sort_array(F.collect_list(F.struct("term_rank", "term", "idf"))).alias("v"))
                  .collect())
     corpus = with_terms(checkpointed(docs.select("review_id", "language", "lda_text")))
-    topic_frames, doc_frames = [], []
-    for r in sorted(rows, key=lambda x: x["language"]):
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def fit_one(r):
         language = r["language"]
         terms = [x["term"] for x in r["v"]]
         idf = [float(x["idf"]) for x in r["v"]]
-        if not terms:
-            continue
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         lang_docs = (corpus.where(F.col("language") == language)
                            .repartition(parts, "review_id").sortWithinPartitions("review_id"))
         model, feats = _fit_language(lang_docs, terms, idf, language)
@@ -221,12 +221,20 @@ def lda_fit(docs: DataFrame, vocab: DataFrame):
             F.lit(language).alias("language"), F.col("topic").alias("topic_id"),
             F.transform("termIndices", lambda i: F.element_at(term_arr, i + 1)).alias("keywords"),
             pg_round(F.aggregate("termWeights", F.lit(0.0), lambda a, x: a + x), 6).alias("weight_sum"))
-        topic_frames.append(described)
         dist = vector_to_array(F.col("topic_distribution"))
-        doc_frames.append(model.transform(feats).select(
+        assigned = model.transform(feats).select(
             "review_id", F.lit(language).alias("language"),
             (F.array_position(dist, F.array_max(dist)) - 1).cast("int").alias("dominant_topic"),
-            F.array_max(dist).alias("topic_confidence")))
+            F.array_max(dist).alias("topic_confidence"))
+        return described, assigned
+
+    # one fit per language (at most three); each fit is a distributed iterative job, and running
+    # them from parallel driver threads overlaps their many small per-iteration jobs
+    todo = [r for r in sorted(rows, key=lambda x: x["language"]) if r["v"]]
+    with ThreadPoolExecutor(max_workers=max(1, len(todo))) as pool:
+        fitted = list(pool.map(fit_one, todo))
+    topic_frames = [t for t, _ in fitted]
+    doc_frames = [d for _, d in fitted]
     if not topic_frames:
         empty_t = spark.createDataFrame([], "language string, topic_id int, keywords array<string>, weight_sum double")
         empty_d = spark.createDataFrame([], "review_id string, language string, dominant_topic int, topic_confidence double")

@@ -43,7 +43,10 @@ def shared_dir(spark: SparkSession) -> str:
     a fresh scratch folder. On a cluster a missing setting is an error: a machine-local
     folder would not survive the loss of that machine.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server's configuration decides
+        return (spark.conf.get("spark.checkpoint.dir", None) or "").rstrip("/")
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
