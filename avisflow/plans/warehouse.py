@@ -22,12 +22,13 @@ TEXT_COLUMNS = ("review_text", "clean_text")
 
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: dt.date = DEFAULT_AS_OF,
-                 tables: dict[str, DataFrame] | None = None, materialize: bool = False):
+                 tables: dict[str, DataFrame] | None = None, materialize: bool | str = False):
         """``materialize``: for plans that read the staged reviews through several branches
         (every view joins the fact with dimensions that all derive from them). Each branch
         prunes different columns, so their shuffles are not identical and cannot be reused;
         instead the text-free staged core is computed once and checkpointed to the shared
-        folder, and every model reads it."""
+        folder, and every model reads it. ``materialize="text"`` keeps the texts in that
+        checkpoint (for outputs that carry them, e.g. the enriched table)."""
         self.spark = spark
         self.sf_dir = sf_dir
         self.as_of = as_of
@@ -49,9 +50,16 @@ class Warehouse:
     def stg_reviews(self) -> DataFrame:
         return self._get("stg_reviews", lambda: staging.stg_reviews(self.staging_reviews))
 
+    @cached_property
+    def stg_text(self) -> DataFrame:
+        """Staged reviews with texts (checkpointed once when ``materialize == "text"``)."""
+        return checkpointed(self.stg_reviews) if self.materialize == "text" else self.stg_reviews
+
     @cached_property
     def stg_core(self) -> DataFrame:
         """Staged reviews without the text columns; checkpointed when ``materialize``."""
+        if self.materialize == "text":
+            return self.stg_text.drop(*TEXT_COLUMNS)
         core = self.stg_reviews.drop(*TEXT_COLUMNS)
         return checkpointed(core) if self.materialize else core
 
@@ -72,7 +80,7 @@ class Warehouse:
     def reviews_enriched(self) -> DataFrame:
         """Full enriched rows (with texts), as the model's table."""
         return self._get("reviews_enriched", lambda: enrich.reviews_enriched(
-            self.stg_reviews, self.sentiment_analysis, self.topic_assignments, self.annotations))
+            self.stg_text, self.sentiment_analysis, self.topic_assignments, self.annotations))
 
     @cached_property
     def enriched_core(self) -> DataFrame:

@@ -15,39 +15,49 @@ STG_COLUMNS = ["review_id", "doc_id", "bank", "agency", "url", "location", "auth
 
 
 def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The text-free staged core is checkpointed once when a query first needs it (every model
-    after staging reads it through several branches)."""
+    """Plans that read the staged reviews once: nothing to share, nothing materialised."""
+    return Warehouse(spark, sf_dir)
+
+
+def _whm(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Plans that read the staged reviews through several branches (annotations, fact and
+    dimensions): the text-free staged core is computed once and checkpointed."""
     return Warehouse(spark, sf_dir, materialize=True)
 
 
+def _wht(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """As ``_whm`` for outputs that carry the texts: the staged table is checkpointed with them."""
+    return Warehouse(spark, sf_dir, materialize="text")
+
+
 QUERIES: dict[str, Query] = {
     "fixture_staging_reviews": lambda s, d: _wh(s, d).staging_reviews,
     "stg_reviews": lambda s, d: _wh(s, d).stg_reviews.select(*STG_COLUMNS),
-    "reviews_enriched": lambda s, d: _wh(s, d).reviews_enriched,
-    "fact_reviews": lambda s, d: _wh(s, d).fact_reviews,
-    "dim_bank": lambda s, d: _wh(s, d).dim_bank,
-    "dim_bank_window_form": lambda s, d: star.dim_bank_window_form(_wh(s, d).reviews_enriched),
+    "reviews_enriched": lambda s, d: _wht(s, d).reviews_enriched,
+    "fact_reviews": lambda s, d: _whm(s, d).fact_reviews,
+    "dim_bank": lambda s, d: _whm(s, d).dim_bank,
+    "dim_bank_window_form": lambda s, d: star.dim_bank_window_form(_whm(s, d).enriched_core),
     "dim_branch": lambda s, d: _wh(s, d).dim_branch,
     "dim_location": lambda s, d: _wh(s, d).dim_location,
-    "dim_sentiment": lambda s, d: _wh(s, d).dim_sentiment,
-    "branch_performance": lambda s, d: _wh(s, d).branch_performance(),
-    "customer_insights": lambda s, d: _wh(s, d).customer_insights(),
-    "sentiment_trends": lambda s, d: _wh(s, d).sentiment_trends(),
-    "topic_analysis": lambda s, d: _wh(s, d).topic_analysis(),
+    "dim_sentiment": lambda s, d: _whm(s, d).dim_sentiment,
+    "branch_performance": lambda s, d: _whm(s, d).branch_performance(),
+    "customer_insights": lambda s, d: _whm(s, d).customer_insights(),
+    "sentiment_trends": lambda s, d: _whm(s, d).sentiment_trends(),
+    "topic_analysis": lambda s, d: _whm(s, d).topic_analysis(),
     # data quality
     "dq_unique": lambda s, d: _dims(quality.dq_unique, s, d),
     "dq_not_null": lambda s, d: _dims(quality.dq_not_null, s, d),
     "dq_relationships": lambda s, d: _dims(quality.dq_relationships, s, d),
     "dedup_rate": lambda s, d: quality.dedup_rate(_wh(s, d).staging_reviews, _wh(s, d).stg_reviews),
     "text_quality_stats": lambda s, d: quality.text_quality_stats(_wh(s, d).stg_reviews),
-    "sentiment_stats": lambda s, d: quality.sentiment_stats(_wh(s, d).reviews_enriched),
-    "consistency_share": lambda s, d: quality.consistency_share(_wh(s, d).reviews_enriched),
+    "sentiment_stats": lambda s, d: quality.sentiment_stats(_whm(s, d).enriched_core),
+    "consistency_share": lambda s, d: quality.consistency_share(_whm(s, d).enriched_core),
     "language_share": lambda s, d: quality.language_share(_wh(s, d).stg_reviews),
-    "topic_stats": lambda s, d: quality.topic_stats(_wh(s, d).reviews_enriched),
-    "topic_by_sentiment": lambda s, d: quality.topic_by_sentiment(_wh(s, d).reviews_enriched),
-    "bank_stats": lambda s, d: quality.bank_stats(_wh(s, d).reviews_enriched),
-    "quality_metrics": lambda s, d: quality.quality_metrics(_wh(s, d).reviews_enriched),
-    "quality_alerts": lambda s, d: quality.quality_alerts(_wh(s, d).reviews_enriched),
+    "topic_stats": lambda s, d: quality.topic_stats(_whm(s, d).enriched_core),
+    "topic_by_sentiment": lambda s, d: quality.topic_by_sentiment(_whm(s, d).enriched_core),
+    "bank_stats": lambda s, d: quality.bank_stats(_whm(s, d).enriched_core),
+    "quality_metrics": lambda s, d: quality.quality_metrics(_whm(s, d).enriched_core),
+    "quality_alerts": lambda s, d: quality.quality_alerts(_whm(s, d).enriched_core),
     # collection shaping over fetched pages / texts
     "bank_from_query": lambda s, d: collect.bank_from_query(_src(s, d).pages),
     "agency_urls": lambda s, d: collect.agency_urls(_src(s, d).pages),
@@ -117,7 +127,7 @@ def _src(spark, sf_dir):
 
 
 def _dims(fn, spark, sf_dir):
-    w = _wh(spark, sf_dir)
+    w = _whm(spark, sf_dir)
     return fn(w.dim_bank, w.dim_branch, w.dim_sentiment)
 
 

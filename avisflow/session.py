@@ -19,6 +19,21 @@ DEFAULT_CONF = {
 }
 
 
+# Suggested settings for a large cluster (100 TB inputs, ~1000 executors); pass as ``extra``.
+# AQE coalesces the many shuffle partitions down to ~advisory size and splits skewed join
+# partitions; scans split parquet into 256 MB tasks.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.task.maxFailures": "8",
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "avisflow", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings every plan assumes."""
