@@ -99,14 +99,15 @@ def language_ngram(documents: DataFrame) -> DataFrame:
     a base term (all trigrams as unseen) plus a correction for trigrams the language has seen.
     """
     d = documents.select("doc_id", "lang", "text")
-    train = d.where(F.col("lang").isNotNull())  # profiles from every labelled text
-    test = d                                     # every text of the table is labelled
-
-    # explode_outer + null filter: an inner explode makes Catalyst infer size(tris) > 0, which
-    # would run the trigram regex over every text twice
-    profile = (with_trigrams(train, "text").select("lang", F.explode_outer("tris").alias("tri"))
-                    .where(F.col("tri").isNotNull())
-                    .groupBy("lang", "tri").agg(F.count(F.lit(1)).alias("c")))
+    # trigram counts per text, computed once: the profiles (every labelled text) and the scores
+    # (every text) both read this one aggregation, so the texts are exploded a single time
+    # (explode_outer + null filter: an inner explode makes Catalyst infer size(tris) > 0, which
+    # would run the trigram regex over every text twice)
+    doc_tris = (with_trigrams(d, "text").select("doc_id", "lang", F.explode_outer("tris").alias("tri"))
+                  .where(F.col("tri").isNotNull())
+                  .groupBy("doc_id", "lang", "tri").agg(F.count(F.lit(1)).alias("n")))
+    profile = (doc_tris.where(F.col("lang").isNotNull())
+                       .groupBy("lang", "tri").agg(F.sum("n").alias("c")))
     vocab = profile.agg(F.countDistinct("tri").alias("v"))
     # one row: every language with its cost of an unseen trigram (languages are labels: few)
     languages = (profile.groupBy("lang").agg(F.sum("c").alias("n_lang"))
@@ -114,17 +115,15 @@ def language_ngram(documents: DataFrame) -> DataFrame:
                         .agg(F.collect_list(F.struct(F.col("lang"),
                                                      (-F.log(F.col("n_lang") + F.col("v"))).alias("unseen")))
                               .alias("langs")))
-    doc_tris = (with_trigrams(test, "text").select("doc_id", F.explode_outer("tris").alias("tri"))
-                    .where(F.col("tri").isNotNull())
-                    .groupBy("doc_id", "tri").agg(F.count(F.lit(1)).alias("n")))
-    totals = doc_tris.groupBy("doc_id").agg(F.sum("n").alias("n_total"))
-    seen = (doc_tris.join(profile, "tri")
-                    .groupBy("doc_id", "lang").agg(F.sum(F.col("n") * F.log(F.lit(1.0) + F.col("c"))).alias("seen"))
-                    .groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("lang", "seen"))).alias("seen")))
+    counts = doc_tris.select("doc_id", "tri", "n")
+    totals = counts.groupBy("doc_id").agg(F.sum("n").alias("n_total"))
+    seen = (counts.join(profile, "tri")
+                  .groupBy("doc_id", "lang").agg(F.sum(F.col("n") * F.log(F.lit(1.0) + F.col("c"))).alias("seen"))
+                  .groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("lang", "seen"))).alias("seen")))
     scored = totals.join(seen, "doc_id", "left").crossJoin(one_row(languages))
     score = F.transform("langs", lambda l: F.struct(
         (F.col("n_total") * l["unseen"] + F.coalesce(F.try_element_at(F.col("seen"), l["lang"]), F.lit(0.0))).alias("score"),
         l["lang"].alias("lang")))
     best = scored.select("doc_id", F.array_max(score).alias("b"))
-    return (test.select("doc_id", "lang").join(best, "doc_id", "left")
+    return (d.select("doc_id", "lang").join(best, "doc_id", "left")
                 .select("doc_id", "lang", F.col("b.lang").alias("predicted_lang")))
