@@ -23,10 +23,13 @@ KEY_TYPE = "decimal(38,6)"
 
 
 def global_ranks(df: DataFrame, keys: dict[str, Column], descending: bool = True, nulls_first: bool = True,
-                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                 buckets: int | None = None) -> DataFrame:
     """Add one RANK() column per entry of ``keys`` (name -> key expression), all computed in
     one pass: the keys are stacked as (rank name, key) rows and every step below is grouped or
-    partitioned by the rank name as well."""
+    partitioned by the rank name as well. ``buckets`` defaults to the session's shuffle
+    partitions (at least 64), so the per-bucket sorts spread over the cluster."""
+    if buckets is None:
+        buckets = max(DEFAULT_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     names = list(keys)
     kcols = {n: f"__rk_{n}" for n in names}
     keyed = df.withColumns({kcols[n]: keys[n] for n in names})
@@ -66,6 +69,6 @@ def global_ranks(df: DataFrame, keys: dict[str, Column], descending: bool = True
 
 
 def global_rank(df: DataFrame, key: Column, name: str, descending: bool = True,
-                nulls_first: bool = True, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                nulls_first: bool = True, buckets: int | None = None) -> DataFrame:
     """Add column ``name`` = RANK() OVER (ORDER BY key [DESC] NULLS FIRST|LAST)."""
     return global_ranks(df, {name: key}, descending, nulls_first, buckets)
