@@ -44,6 +44,7 @@ QUERIES: dict[str, Query] = {
     "customer_insights": lambda s, d: _whm(s, d).customer_insights(),
     "sentiment_trends": lambda s, d: _whm(s, d).sentiment_trends(),
     "topic_analysis": lambda s, d: _whm(s, d).topic_analysis(),
+    "stg_reviews_row_id": lambda s, d: _row_ids(s, d),
     # data quality
     "dq_unique": lambda s, d: _dims(quality.dq_unique, s, d),
     "dq_not_null": lambda s, d: _dims(quality.dq_not_null, s, d),
@@ -91,6 +92,17 @@ QUERIES: dict[str, Query] = {
 }
 
 
+def _row_ids(spark, sf_dir):
+    """WIN-1: the staging model's global ROW_NUMBER (bank, agency, author, review_date), made a
+    total order by the content-hash id, as a dense id next to the hash id."""
+    from pyspark.sql import functions as F
+
+    from avisflow.operators.rownum import dense_row_number
+    stg = _wh(spark, sf_dir).stg_core.select("review_id", "bank", "agency", "author", "review_date")
+    order = [F.col(c).asc_nulls_last() for c in ("bank", "agency", "author", "review_date", "review_id")]
+    return dense_row_number(stg, order, "row_id")
+
+
 def _scratch(spark, kind):
     import uuid
 

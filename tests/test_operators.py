@@ -101,3 +101,13 @@ def test_surrogate_key_equality_follows_tuple_equality_on_distinct_text(spark, d
         if len(tuples) > 1:
             assert all("-" in (x or "") + (y or "") or "_dbt_utils_surrogate_key_null_" in (y or "") or x is None or y is None
                        for x, y in tuples)
+
+
+def test_dense_row_number_matches_global_window_with_a_hot_key(spark):
+    from avisflow.operators.rownum import dense_row_number
+    data = [("hot" if i % 3 else f"k{i % 7}", i) for i in range(300)]
+    df = spark.createDataFrame(data, "k string, u int")
+    order = [F.col("k").asc_nulls_last(), F.col("u").asc_nulls_last()]
+    got = dense_row_number(df, order, "rid", partitions=5)
+    want = df.withColumn("rid", F.row_number().over(Window.orderBy(*order)))
+    assert rows(got, "u", "rid") == rows(want, "u", "rid")
