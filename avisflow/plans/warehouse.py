@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from avisflow.functions.dates import DEFAULT_AS_OF
 from avisflow.plans import enrich, fixtures, staging, star, views
-from avisflow.session import checkpointed
+from avisflow.session import materialized_table
 from avisflow.sources.tables import Catalog
 
 TEXT_COLUMNS = ("review_text", "clean_text")
@@ -26,8 +26,8 @@ class Warehouse:
         """``materialize``: for plans that read the staged reviews through several branches
         (every view joins the fact with dimensions that all derive from them). Each branch
         prunes different columns, so their shuffles are not identical and cannot be reused;
-        instead the text-free staged core is computed once and checkpointed to the shared
-        folder, and every model reads it. ``materialize="text"`` keeps the texts in that
+        instead the text-free staged core is computed once and written as a parquet table in
+        the shared folder, and every model reads only the columns it needs from it. ``materialize="text"`` keeps the texts in that
         checkpoint (for outputs that carry them, e.g. the enriched table)."""
         self.spark = spark
         self.sf_dir = sf_dir
@@ -52,16 +52,16 @@ class Warehouse:
 
     @cached_property
     def stg_text(self) -> DataFrame:
-        """Staged reviews with texts (checkpointed once when ``materialize == "text"``)."""
-        return checkpointed(self.stg_reviews) if self.materialize == "text" else self.stg_reviews
+        """Staged reviews with texts (written once when ``materialize == "text"``)."""
+        return materialized_table(self.stg_reviews, "stg_reviews") if self.materialize == "text" else self.stg_reviews
 
     @cached_property
     def stg_core(self) -> DataFrame:
-        """Staged reviews without the text columns; checkpointed when ``materialize``."""
+        """Staged reviews without the text columns; written once when ``materialize``."""
         if self.materialize == "text":
             return self.stg_text.drop(*TEXT_COLUMNS)
         core = self.stg_reviews.drop(*TEXT_COLUMNS)
-        return checkpointed(core) if self.materialize else core
+        return materialized_table(core, "stg_core") if self.materialize else core
 
     @cached_property
     def sentiment_analysis(self) -> DataFrame:

@@ -86,3 +86,16 @@ def checkpointed(df):
     once) and to make long lineages survive executor loss without recomputation."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialized_table(df, name: str):
+    """Write ``df`` as a parquet table under the shared folder and read it back.
+
+    Unlike a checkpoint (read back as an RDD scan), the re-read table is columnar: each later
+    consumer reads only the columns it uses and gets scan-level filters."""
+    import uuid
+
+    spark = df.sparkSession
+    path = shared_path(spark, "avisflow", "tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
