@@ -1,8 +1,8 @@
 """Build order (§3.4) as lazily-built DataFrames over one data directory.
 
 ``Warehouse(spark, sf_dir)`` wires the models together; attributes are plans, not data —
-nothing runs until an action. The same object feeds the driver queries and the pipeline
-(which materialises the table models as parquet, see ``plans/pipeline.py``).
+nothing runs until an action. The same object feeds the driver queries and the daily build
+(which materialises the table models as parquet, see ``plans/build.py``).
 """
 
 from __future__ import annotations

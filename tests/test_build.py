@@ -2,13 +2,13 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from avisflow.plans import pipeline
+from avisflow.plans import build
 from conftest import SF_SMALL
 
 
 def test_full_build_writes_every_table(spark, tmp_path):
     out = str(tmp_path / "warehouse")
-    paths = pipeline.run(spark, SF_SMALL, out_dir=out, ingest_date=dt.date(2024, 12, 31))
+    paths = build.run(spark, SF_SMALL, out_dir=out, ingest_date=dt.date(2024, 12, 31))
     for name in ["stg_reviews", "sentiment_analysis", "topics", "topic_analysis", "reviews_enriched", "fact_reviews",
                  "dim_bank", "dim_branch", "dim_location", "dim_sentiment", "branch_performance",
                  "customer_insights", "sentiment_trends", "topic_analysis_view", "dq_tests", "quality_alerts"]:
