@@ -123,24 +123,29 @@ def tfidf_vocabulary(docs: DataFrame) -> DataFrame:
 def tfidf_terms(stg: DataFrame) -> DataFrame:
     """NLP-8 from staged reviews in one pass over the texts.
 
-    Each document emits flagged rows from a single explode: every term occurrence (tf), every
-    distinct term once (df) and one document marker (the empty term, which no token can be).
-    One aggregation by (language, term) then yields tf, df and the per-language document count;
-    it collapses map-side, so no (document, term) pairs are shuffled."""
-    docs = with_terms(with_lda_text(_candidates(stg), "clean_text").where(F.col("lda_text") != ""))
-    rows = F.concat(F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(0).alias("kind"))),
-                    F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("kind"))),
-                    F.array(F.struct(F.lit("").alias("term"), F.lit(2).alias("kind"))))
-    counted = (docs.select("language", F.inline(rows))
+    Each candidate document emits flagged rows from a single explode: every term occurrence
+    (kind 0, tf), every distinct term once (kind 1, df), a marker for a non-empty document
+    (kind 2) and a marker for every candidate row (kind 3); markers use the empty term, which no
+    token can be. One aggregation by (language, term) then yields tf, df and both counts of the
+    language gate; it collapses map-side, so no (document, term) pairs are shuffled, and the
+    staged reviews are read once."""
+    docs = with_lda_text(_candidates(stg), "clean_text")
+    nonempty = F.col("lda_text") != ""
+    terms = F.when(nonempty, F.col("terms")).otherwise(F.array().cast("array<string>"))
+    rows = F.concat(F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(0).alias("kind"))),
+                    F.transform(F.array_distinct(terms), lambda t: F.struct(t.alias("term"), F.lit(1).alias("kind"))),
+                    F.when(nonempty, F.array(F.struct(F.lit("").alias("term"), F.lit(2).alias("kind"))))
+                     .otherwise(F.array().cast("array<struct<term:string,kind:int>>")),
+                    F.array(F.struct(F.lit("").alias("term"), F.lit(3).alias("kind"))))
+    counted = (with_terms(docs).select("language", F.inline(rows))
                    .groupBy("language", "term")
                    .agg(F.count_if(F.col("kind") == 0).alias("tf"), F.count_if(F.col("kind") == 1).alias("df"),
-                        F.count_if(F.col("kind") == 2).alias("n_documents")))
-    n_docs = counted.where(F.col("term") == "").select("language", "n_documents")
-    n_rows = _candidates(stg).groupBy("language").agg(F.count(F.lit(1)).alias("n_rows"))
-    gate = (n_docs.join(n_rows, "language")
-                  .where((F.col("n_rows") >= MIN_DOCUMENTS) & (F.col("n_documents") >= MIN_DOCUMENTS))
-                  .select("language", "n_documents"))
-    stats = (counted.where(F.col("term") != "").drop("n_documents")
+                        F.count_if(F.col("kind") == 2).alias("n_documents"),
+                        F.count_if(F.col("kind") == 3).alias("n_rows")))
+    gate = (counted.where((F.col("term") == "") & (F.col("n_rows") >= MIN_DOCUMENTS)
+                          & (F.col("n_documents") >= MIN_DOCUMENTS))
+                   .select("language", "n_documents"))
+    stats = (counted.where(F.col("term") != "").drop("n_documents", "n_rows")
                     .join(gate, "language")  # at most three languages
                     .where((F.col("df") >= MIN_DF) & (F.col("df") <= F.col("n_documents") * F.lit(MAX_DF))))
     w = Window.partitionBy("language").orderBy(F.col("tf").desc(), F.col("term").asc())
