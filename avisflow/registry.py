@@ -45,6 +45,14 @@ QUERIES: dict[str, Query] = {
     "sentiment_trends": lambda s, d: _whm(s, d).sentiment_trends(),
     "topic_analysis": lambda s, d: _whm(s, d).topic_analysis(),
     "stg_reviews_row_id": lambda s, d: _row_ids(s, d),
+    # step-level views of the same models
+    "detected_language": lambda s, d: _wh(s, d).stg_reviews.select(
+        "review_id", "detected_language", "text_quality", "text_length"),
+    "surrogate_keys": lambda s, d: _surrogate_keys(s, d),
+    "iso_date_filter": lambda s, d: _iso_dates(s, d),
+    "date_buckets": lambda s, d: _date_buckets(s, d),
+    "case_classifiers": lambda s, d: _whm(s, d).enriched_core.select(
+        "review_id", "rating_sentiment", "sentiment_rating_consistency", "agency_type"),
     # data quality
     "dq_unique": lambda s, d: _dims(quality.dq_unique, s, d),
     "dq_not_null": lambda s, d: _dims(quality.dq_not_null, s, d),
@@ -92,6 +100,37 @@ QUERIES: dict[str, Query] = {
 }
 
 
+def _surrogate_keys(spark, sf_dir):
+    from avisflow.functions.keys import surrogate_key
+    return _wh(spark, sf_dir).stg_core.select(
+        "review_id", surrogate_key("bank").alias("bank_key"),
+        surrogate_key("agency", "bank", "location").alias("branch_key"),
+        surrogate_key("location").alias("location_key"))
+
+
+def _iso_dates(spark, sf_dir):
+    """FLT-3 + DAT-1 over every staged row (null, relative and impossible dates included)."""
+    from avisflow.functions.dates import is_iso_date, iso_date_or_null
+    st = _wh(spark, sf_dir).staging_reviews
+    return st.select("doc_id", "review_date", is_iso_date("review_date").alias("is_iso"),
+                     iso_date_or_null("review_date").alias("review_day"))
+
+
+def _date_buckets(spark, sf_dir):
+    """DAT-2/DAT-3/FLT-4: month and quarter buckets and the two rolling windows of the views."""
+    from pyspark.sql import functions as F
+
+    from avisflow.functions.dates import is_iso_date, iso_to_date, month_bucket, months_back, quarter_bucket
+    w = _wh(spark, sf_dir)
+    d = iso_to_date("review_date")
+    return (w.stg_core.where(is_iso_date("review_date"))
+            .select("review_id", d.alias("review_day"))
+            .select("review_id", "review_day", month_bucket(F.col("review_day")).alias("review_month"),
+                    quarter_bucket(F.col("review_day")).alias("review_quarter"),
+                    (F.col("review_day") >= months_back(w.as_of, 12)).alias("in_last_12_months"),
+                    (F.col("review_day") >= months_back(w.as_of, 24)).alias("in_last_24_months")))
+
+
 def _row_ids(spark, sf_dir):
     """WIN-1: the staging model's global ROW_NUMBER (bank, agency, author, review_date), made a
     total order by the content-hash id, as a dense id next to the hash id."""
