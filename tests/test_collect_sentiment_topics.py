@@ -56,3 +56,21 @@ def test_tfidf_vocabulary_counts(spark):
     # alpha is in all 3 documents (> 0.8 * 3): pruned; 'alpha beta' and 'beta' appear twice
     assert set(v) == {"beta", "alpha beta"}
     assert v["beta"].df == 2 and v["beta"].tf == 2
+
+
+def test_language_gate_needs_ten_documents(spark):
+    words = ["alpha", "beta", "gamma", "delta", "epsilon", "zeta"]
+    rows_ = []
+    for lang, n in (("en", 10), ("fr", 9)):
+        for i in range(n):
+            text = f"{words[i % 3]} {words[(i + 1) % 3]} {words[3 + i % 3]} common words here"
+            rows_.append((f"{lang}{i}", lang, text, len(text)))
+    rows_.append(("u0", "unknown", "alpha beta gamma delta epsilon", 30))
+    stg = spark.createDataFrame(rows_, "review_id string, detected_language string, clean_text string, text_length int")
+    gate = {r.language: r for r in topics.language_gate(stg).collect()}
+    assert set(gate) == {"en", "fr"}
+    assert gate["en"].eligible and not gate["fr"].eligible and gate["fr"].n_rows == 9
+    vocab = topics.tfidf_terms(stg).collect()
+    assert vocab and {r.language for r in vocab} == {"en"}
+    # 'common', 'words', 'here' are in every document (> 0.8 * 10): pruned by max_df
+    assert not {"common", "words", "here"} & {r.term for r in vocab}
