@@ -57,7 +57,3 @@ def text_quality(c="review_text") -> Column:
     return (F.when(n < SHORT_BELOW, "short")
              .when(n > LONG_ABOVE, "long")
              .otherwise("normal"))
-
-
-def is_blank(c) -> Column:
-    return F.trim(_as_col(c)) == ""

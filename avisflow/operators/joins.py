@@ -1,7 +1,7 @@
 """Broadcast only what has a size bound; everything else is left to AQE.
 
-* ``one_row``/``fixed``: sides whose size is bounded by construction (a global aggregate,
-  an in-repo lookup table) are broadcast explicitly.
+* ``one_row``: sides whose size is bounded by construction (a global aggregate) are
+  broadcast explicitly; in-repo lookup tables are literal expressions, not joins at all.
 * ``broadcast_if_small``: a side read from files is broadcast when the optimizer's size
   estimate is under a limit; above it the join stays a shuffle join, and AQE can still
   switch it to a broadcast after measuring the real size of the shuffled side
@@ -33,8 +33,3 @@ def broadcast_if_small(df: DataFrame, limit_bytes: int = DEFAULT_LIMIT_BYTES) ->
 def one_row(df: DataFrame) -> DataFrame:
     """Broadcast a global (no grouping key) aggregate: exactly one row."""
     return F.broadcast(df)
-
-
-def fixed(df: DataFrame) -> DataFrame:
-    """Broadcast an in-repo constant table (size fixed by the code)."""
-    return F.broadcast(df)

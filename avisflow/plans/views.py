@@ -35,7 +35,7 @@ def _dated(fact: DataFrame) -> DataFrame:
                 .withColumn("review_day", iso_to_date("review_date")))
 
 
-def _review_measures(prefix_counts: bool = True) -> dict:
+def _review_measures() -> dict:
     r = F.col("review_rating")
     return {
         "avg_rating": pg_round(F.avg(r), 2),
