@@ -35,6 +35,7 @@ QUERIES: dict[str, Query] = {
     "stg_reviews": lambda s, d: _wh(s, d).stg_reviews.select(*STG_COLUMNS),
     "reviews_enriched": lambda s, d: _wht(s, d).reviews_enriched,
     "fact_reviews": lambda s, d: _whm(s, d).fact_reviews,
+    "reviews_enriched_scored": lambda s, d: _enriched_scored(s, d),
     "dim_bank": lambda s, d: _whm(s, d).dim_bank,
     "dim_bank_window_form": lambda s, d: star.dim_bank_window_form(_whm(s, d).enriched_core),
     "dim_branch": lambda s, d: _wh(s, d).dim_branch,
@@ -100,6 +101,15 @@ QUERIES: dict[str, Query] = {
 }
 
 
+def _enriched_scored(spark, sf_dir):
+    """M-2 on the production path: the staged reviews joined with the lexicon sentiment job's
+    output (NLP-1..4) instead of the fixture sentiment table."""
+    from avisflow.plans import enrich
+    w = _wht(spark, sf_dir)
+    scored = sentiment.sentiment_analysis(w.stg_text).drop("lexicon_hits")
+    return enrich.reviews_enriched(w.stg_text, scored, w.topic_assignments, w.annotations)
+
+
 def _surrogate_keys(spark, sf_dir):
     from avisflow.functions.keys import surrogate_key
     return _wh(spark, sf_dir).stg_core.select(
