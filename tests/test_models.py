@@ -67,3 +67,17 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() == 19
     assert "rating_rank" in df.columns
+
+
+def test_inner_star_join_loses_only_rows_without_dimension(spark):
+    w = Warehouse(spark, SF_SMALL, materialize=True)
+    enr = w.enriched_core
+    fact = w.fact_reviews
+    joined = (fact.join(w.dim_bank.select("bank_key"), "bank_key")
+                  .join(w.dim_branch.select("branch_key"), "branch_key")
+                  .join(w.dim_location.select("location_key"), "location_key"))
+    keepable = enr.where(F.col("bank").isNotNull() & F.col("agency").isNotNull() & F.col("location").isNotNull())
+    assert joined.count() == keepable.count()
+    # and the sentiment dimension keeps exactly the scored reviews
+    with_sent = fact.join(w.dim_sentiment.select("sentiment_key"), "sentiment_key")
+    assert with_sent.count() == enr.where(F.col("sentiment").isNotNull() & F.col("bank").isNotNull()).count()
