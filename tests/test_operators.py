@@ -111,3 +111,14 @@ def test_dense_row_number_matches_global_window_with_a_hot_key(spark):
     got = dense_row_number(df, order, "rid", partitions=5)
     want = df.withColumn("rid", F.row_number().over(Window.orderBy(*order)))
     assert rows(got, "u", "rid") == rows(want, "u", "rid")
+
+
+def test_global_ranks_mixed_key_types_match_windows(spark):
+    from avisflow.operators.ranking import global_ranks
+    data = [(i, None if i % 7 == 0 else round(random.uniform(1, 5), 6), random.randint(1, 6)) for i in range(80)]
+    df = (spark.createDataFrame(data, "id int, avg double, n long")
+               .withColumn("avg", F.col("avg").cast("decimal(18,6)")))
+    got = global_ranks(df, {"r_avg": F.col("avg"), "r_n": F.col("n")}, buckets=7)
+    want = (df.withColumn("r_avg", F.rank().over(Window.orderBy(F.col("avg").desc_nulls_first())))
+              .withColumn("r_n", F.rank().over(Window.orderBy(F.col("n").desc_nulls_first()))))
+    assert rows(got, "id", "r_avg", "r_n") == rows(want, "id", "r_avg", "r_n")
