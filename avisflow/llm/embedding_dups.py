@@ -76,6 +76,7 @@ def _compare(threshold: float, tables: int):
     def cell(key, own, cid, copies, sig, x):
         t, n = (key // 65536) % tables, len(cid)
         links, u, v = np.zeros(n, np.int64), [], []
+        x = x / np.abs(x).max(1, keepdims=True)  # squares of very large or small components stay finite
         x = x / np.linalg.norm(x, axis=1, keepdims=True)
         for at in range(0, n, 512):
             s = x[at:at + 512] @ x[at:].T

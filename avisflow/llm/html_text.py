@@ -179,6 +179,14 @@ def main_text(page: str | None) -> str:
             if (total[a], chars[a], -a) > (total[b], chars[b], -b):
                 strongest[home[i]] = a
     best = strongest[0]
+    homes = [i for i in range(n) if tag[i] in ("article", "main") and chars[i] and not dom.cut[i]]
+    if homes:  # the page names its article: text beside the one that holds most of the best block is not of it
+        largest = max(homes, key=lambda i: chars[i])
+        up = largest
+        while up > best:
+            up = parent[up]
+        if up == best and 2 * chars[largest] >= chars[best]:
+            best = largest
     threshold, up, root = density[best], best, 0
     while up > 0:
         if tag[up] in ("article", "main"):
