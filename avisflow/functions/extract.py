@@ -17,6 +17,13 @@ DEFAULT_FIELD = "Non spécifié"
 DEFAULT_LOCATION = "Non disponible"
 ADDRESS_LABEL = r"Adresse : |Adresse:"
 RATING_NUMBER = r"(\d+[.,]?\d*)"
+TAG = r"<[^>]+>"
+SPACE_RUN = r"[ \t\n\x0B\f\r]+"
+EDGE_SPACE = r"^[ \t\n\x0B\f\r]+|[ \t\n\x0B\f\r]+$"
+FIRST_WORD = r"([^ \t\n\x0B\f\r]+)"
+# Named character references of HTML, the ampersand last.
+ENTITIES = [("&nbsp;", "\u00a0"), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&quot;", '"'), ("&#39;", "'"),
+            ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")]
 # ---------------------------------------------------------------------------
 
 
@@ -24,23 +31,42 @@ def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def trim_space(c) -> Column:
+    """Without any white space at both ends (``trim`` alone takes spaces only)."""
+    return F.regexp_replace(_as_col(c), EDGE_SPACE, "")
+
+
+def decode_entities(c) -> Column:
+    """Named character references as the characters a browser shows; ``&amp;`` last."""
+    x = _as_col(c)
+    for name, char in ENTITIES:
+        x = F.replace(x, F.lit(name), F.lit(char))
+    return x
+
+
+def shown(c) -> Column:
+    """What a browser shows of a captured attribute or element: no tags, decoded, white space folded."""
+    plain = decode_entities(F.regexp_replace(_as_col(c), TAG, " "))
+    return trim_space(F.regexp_replace(plain, SPACE_RUN, " "))
+
+
 def first_match(source, patterns: Sequence[str], default: str | None) -> Column:
-    """COL-3: first non-empty capture of group 1 over ``patterns``, else ``default``."""
+    """COL-3: first non-empty capture of group 1 over ``patterns``, as shown, else ``default``."""
     s = _as_col(source)
-    options = [F.nullif(F.trim(F.regexp_extract(s, p, 1)), F.lit("")) for p in patterns]
+    options = [F.nullif(shown(F.regexp_extract(s, p, 1)), F.lit("")) for p in patterns]
     if default is not None:
         options.append(F.lit(default))
     return F.coalesce(*options)
 
 
 def strip_tags(c) -> Column:
-    return F.regexp_replace(_as_col(c), r"<[^>]+>", "")
+    return F.regexp_replace(_as_col(c), TAG, "")
 
 
 def address_clean(c) -> Column:
-    """COL-4: drop the label, split lines, trim, drop empty lines, join with ', '."""
+    """COL-4: drop the label, split lines, strip white space, drop empty lines, join with ', '."""
     lines = F.split(F.regexp_replace(_as_col(c), ADDRESS_LABEL, ""), "\n")
-    return F.array_join(F.filter(F.transform(lines, lambda x: F.trim(x)), lambda y: y != ""), ", ")
+    return F.array_join(F.filter(F.transform(lines, lambda x: trim_space(x)), lambda y: y != ""), ", ")
 
 
 def looks_like_address(c) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, functions as F
 # so keys stay equal to those a SQL warehouse produces for the same rows.
 NULL_PLACEHOLDER = "_dbt_utils_surrogate_key_null_"
 SEPARATOR = "-"
+NULL_FIELD = "~"
 
 
 def _as_col(c) -> Column:
@@ -24,11 +25,21 @@ REVIEW_ID_COLUMNS = ("bank", "agency", "author", "review_date", "review_text")
 
 
 def review_id() -> Column:
-    """Stable content hash of a staging row (replaces the renumbering ROW_NUMBER id)."""
-    return surrogate_key(*REVIEW_ID_COLUMNS)
+    """Stable content hash of a staging row (replaces the renumbering ROW_NUMBER id).
+
+    Each field enters with its length in front and nulls as a marker that no length can be, so
+    different rows never spell the same input; SHA-256, since texts are user-supplied."""
+    fields = [F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), F.col(c)), F.lit(NULL_FIELD))
+              for c in REVIEW_ID_COLUMNS]
+    return F.sha2(F.concat(*fields), 256)
 
 
 def surrogate_key_sql(*cols: str) -> str:
     """The same key as SQL text (used by oracles and SQL-form queries)."""
     parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '{NULL_PLACEHOLDER}')" for c in cols)
     return f"md5(concat_ws('{SEPARATOR}', {parts}))"
+
+
+def review_id_sql() -> str:
+    fields = [f"coalesce(CAST(length({c}) AS VARCHAR) || ':' || {c}, '{NULL_FIELD}')" for c in REVIEW_ID_COLUMNS]
+    return f"sha256({' || '.join(fields)})"

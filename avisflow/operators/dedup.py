@@ -12,19 +12,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
-                   hash_prefix: bool = False) -> DataFrame:
+def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Rows with row_number() = 1 over ``partitionBy(keys).orderBy(order)``.
 
     ``order`` must state null order and end in a unique tie-breaker, otherwise the
-    surviving row is not reproducible. With ``hash_prefix`` a 64-bit hash of the keys leads
-    the partition spec: equal keys still group together (the full keys follow it), but the
-    sort compares a long before it touches long text keys.
+    surviving row is not reproducible.
     """
-    part: list[Column] = [F.col(k) for k in keys]
-    if hash_prefix:
-        part = [F.xxhash64(*[F.col(k) for k in keys])] + part
-    w = Window.partitionBy(*part).orderBy(*order)
+    w = Window.partitionBy(*keys).orderBy(*order)
     return (df.withColumn("__rn", F.row_number().over(w))
               .where(F.col("__rn") == 1)
               .drop("__rn"))

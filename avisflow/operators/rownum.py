@@ -2,11 +2,12 @@
 
 1. range-partition on the order (which must be total: end it with a unique column, so a hot
    leading key is still split across partitions) and sort inside partitions;
-2. checkpoint the rows with their partition id: range bounds come from sampling, so the
-   assignment is fixed once and reused by both branches below;
+2. checkpoint the rows with Spark's monotonic id, which holds the partition and the place inside
+   it: range bounds come from sampling, so the assignment is fixed once; the rows are not
+   shuffled again;
 3. rows before each partition = running sum over the per-partition counts (one row per
    partition: bounded by the partition count);
-4. row number = offset of the partition + row number inside it.
+4. row number = offset of the partition + place inside it + 1.
 """
 
 from __future__ import annotations
@@ -21,12 +22,13 @@ from avisflow.session import checkpointed
 def dense_row_number(df: DataFrame, order: Sequence[Column], name: str = "row_id",
                      partitions: int | None = None) -> DataFrame:
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = checkpointed(df.repartitionByRange(n, *order).withColumn("__pid", F.spark_partition_id()))
-    sizes = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    placed = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ranged = checkpointed(placed.withColumn("__mid", F.monotonically_increasing_id()))
+    part, local = F.shiftright("__mid", 33).alias("__pid"), F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = ranged.select(part).groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = sizes.select("__pid", F.coalesce(F.sum("__n").over(
         Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
-    local = F.row_number().over(Window.partitionBy("__pid").orderBy(*order))
-    return (ranged.withColumn("__local", local)
+    return (ranged.withColumn("__pid", part)
                   .join(F.broadcast(offsets), "__pid")  # one row per partition
-                  .withColumn(name, (F.col("__off") + F.col("__local")).cast("long"))
-                  .drop("__pid", "__local", "__off"))
+                  .withColumn(name, (F.col("__off") + local + 1).cast("long"))
+                  .drop("__pid", "__mid", "__off"))

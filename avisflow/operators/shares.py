@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from avisflow.functions.numeric import percent
-from avisflow.operators.joins import one_row
+from avisflow.operators.joins import broadcast_if_small, one_row
+from avisflow.session import materialized_table
 
 
 def share_of_total(df: DataFrame, value: str, name: str, digits: int = 1) -> DataFrame:
@@ -39,6 +40,8 @@ def partition_aggregate(df: DataFrame, partition: Sequence[str], aggs: dict) ->
     """Whole-partition window aggregates (``agg OVER (PARTITION BY ..)``) attached to every
     row, computed as a grouped aggregate joined back (null-safe) on the partition keys."""
     grouped = df.groupBy(*partition).agg(*[expr.alias(n) for n, expr in aggs.items()])
+    # written, so its size is known: broadcast while small, else a join whose hot keys AQE splits
+    grouped = broadcast_if_small(materialized_table(grouped, "partition_aggregate"))
     g = grouped.select(*[F.col(c).alias(f"__p_{c}") for c in partition], *aggs.keys())
     cond = None
     for c in partition:

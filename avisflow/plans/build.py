@@ -20,8 +20,7 @@ from avisflow.sources.sinks import append_staging, replace_table
 from avisflow.sources.tables import Catalog
 
 
-def _write(spark: SparkSession, df: DataFrame, root: str, name: str, audit: str | None = None) -> DataFrame:
-    path = os.path.join(root, name)
+def _replaced(spark: SparkSession, df: DataFrame, path: str, audit: str | None = None) -> DataFrame:
     if audit:
         df = df.withColumn(audit, F.current_timestamp())
     replace_table(df, path)
@@ -36,12 +35,18 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str | None = None, as_of: dt.
         fixtures.staging_reviews(src.documents, src.supplier, src.nation, src.customer)
     raw_path = os.path.join(out, "staging_reviews")
     append_staging(batch, raw_path, ingest_date or as_of)
+    written = {"staging_reviews": raw_path}
+
+    def _write(spark: SparkSession, df: DataFrame, root: str, name: str, audit: str | None = None) -> DataFrame:
+        written[name] = os.path.join(root, name)
+        return _replaced(spark, df, written[name], audit)
+
     raw = spark.read.parquet(raw_path).drop("ingest_date")
 
     stg = _write(spark, staging.stg_reviews(raw), out, "stg_reviews", audit="processed_at")
     sent = _write(spark, sentiment.sentiment_analysis(stg).drop("lexicon_hits"), out, "sentiment_analysis")
     docs = topics.topic_documents(stg)
-    topic_table, assigned = topics.lda_fit(docs, topics.tfidf_vocabulary(docs))
+    topic_table, assigned = topics.lda_fit(docs, topics.vocabulary_of(docs))
     _write(spark, topic_table, out, "topics")
     top = _write(spark, topics.topic_assignment(topic_table, assigned), out, "topic_analysis")
     ann = fixtures.annotations_fixture(stg, src.labels) if "doc_id" in stg.columns else None
@@ -62,4 +67,4 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str | None = None, as_of: dt.
               .unionByName(quality.dq_relationships(db, dbr, ds)))
     _write(spark, report, out, "dq_tests")
     _write(spark, quality.quality_alerts(enr), out, "quality_alerts")
-    return {name: os.path.join(out, name) for name in sorted(os.listdir(out))} if os.path.isdir(out) else {"root": out}
+    return dict(sorted(written.items()))

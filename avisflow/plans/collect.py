@@ -18,18 +18,46 @@ AUTHOR_PATTERNS = [r'<meta name="author" content="([^"]*)"', r'(?s)<span class="
                    r"<footer>&copy; ([^ <]+)"]
 RATING_PATTERNS = [r'aria-label="([^"]*étoile[^"]*)"', r'aria-label="([^"]*star[^"]*)"', r'data-rating="([^"]*)"']
 DATE_PATTERNS = [r'<time[^>]*>([^<]*)</time>', r'(?s)<span class="date">(.*?)</span>']
-TEXT_PATTERNS = [r'(?s)<div class="review-text">(.*?)</div>', r"(?s)<article>.*?<p>(.*?)</p>", r"(?s)<h1>(.*?)</h1>"]
+TEXT_PATTERNS = [r'(?s)<div class="review-text">(.*?)</div>', r"(?s)<article>(.*)</article>", r"(?s)<h1>(.*?)</h1>"]
 ADDRESS_PATTERNS = [r'aria-label="(Adresse[^"]*)"', r"(?s)<address>(.*?)</address>"]
 FOOTER_PATTERN = r"(?s)<footer>(.*?)</footer>"
 LINK_PATTERN = r'<li><a href="([^"]*)">([^<]*)</a></li>'
 HOST_PATTERN = r"^(https?://[^/?#]+)"
+REVIEW_PAGES = 1_000_000_000_000  # ids of the built review pages start here
 # ---------------------------------------------------------------------------
 
 
+def with_review_pages(pages: DataFrame) -> DataFrame:
+    """The pages, plus one review page per page built by rule (ids behind REVIEW_PAGES): the fetched
+    pages hold no rating, date or address markup, so each field's patterns and its default have
+    rows to decide on, and some reviews lack both author and text."""
+    i = F.col("page_id")
+
+    def part(condition, *pieces):
+        return F.when(condition, F.concat(*[F.lit(p) if isinstance(p, str) else p for p in pieces])).otherwise(F.lit(""))
+
+    n = i.cast("string")
+    page = F.concat(
+        F.lit("<html>"), part(i % 7 != 6, "<title>Agence ", n, " &amp; Cie</title>"),
+        part(i % 3 == 0, '<span class="author">\t Client&nbsp;', n, " \r\n</span>"),
+        part(i % 4 == 0, '<span aria-label="', ((i % 5) + 1).cast("string"), ',5 étoiles"></span>'),
+        part(i % 4 == 1, '<span aria-label="', ((i % 5) + 1).cast("string"), ' stars"></span>'),
+        part(i % 4 == 2, '<span data-rating="aucune"></span>'),
+        part(i % 2 == 0, "<time datetime=x>il y a ", n, " jours</time>"),
+        part(i % 10 == 1, '<span class="date">2024-05-01</span>'),
+        part(i % 5 == 1, '<i aria-label="Adresse : ', n, ' rue Neuve, Casablanca"></i>'),
+        part(i % 5 == 2, "<address>\t", n, " bd Hassan\r\n  20000 Rabat </address>"),
+        part(i % 5 == 3, "<footer>Contact\n", n, " avenue de la Paix</footer>"),
+        part(i % 6 != 5, '<div class="review-text">Service <b>rapide</b> &amp; très bon,<br>avis ', n, "</div>"),
+        F.lit("</html>"))
+    return pages.select("page_id", "url", "html").unionByName(
+        pages.select((i + REVIEW_PAGES).alias("page_id"), "url", page.alias("html")))
+
+
 def bank_from_query(pages: DataFrame) -> DataFrame:
     """COL-1: the page title is the search target; its first whitespace token is the bank."""
     q = X.first_match("html", TITLE_PATTERNS[:1], X.DEFAULT_FIELD)
-    return pages.select("page_id", q.alias("query")).withColumn("bank", F.split(F.col("query"), " ").getItem(0))
+    return pages.select("page_id", q.alias("query")).withColumn("bank", F.regexp_extract("query", X.FIRST_WORD, 1))
 
 
 def place_links(pages: DataFrame) -> DataFrame:
@@ -40,8 +68,8 @@ def place_links(pages: DataFrame) -> DataFrame:
                          F.regexp_extract_all("html", F.lit(LINK_PATTERN), 2).alias("name"))
     return (pages.select("page_id", host.alias("host"), q.alias("query"), F.posexplode(links).alias("pos", "l"))
                  .select("page_id", "pos", "query",
-                         F.split(F.col("query"), " ").getItem(0).alias("bank"),
-                         F.col("l.name").alias("agency"),
+                         F.regexp_extract("query", X.FIRST_WORD, 1).alias("bank"),
+                         X.shown("l.name").alias("agency"),
                          F.concat(F.col("host"), F.col("l.href")).alias("url")))
 
 
@@ -57,11 +85,11 @@ def agency_urls(pages: DataFrame) -> DataFrame:
 
 def page_field_extract(pages: DataFrame) -> DataFrame:
     """COL-3: ordered fallbacks per field with the collector's sentinels."""
-    review_text = F.coalesce(
-        *[F.nullif(F.trim(X.strip_tags(F.regexp_extract("html", p, 1))), F.lit("")) for p in TEXT_PATTERNS],
-        F.lit(X.DEFAULT_FIELD))
+    review_text = X.first_match("html", TEXT_PATTERNS, X.DEFAULT_FIELD)
     rating_label = X.first_match("html", RATING_PATTERNS, X.DEFAULT_FIELD)
-    location = F.coalesce(X.first_match("html", ADDRESS_PATTERNS, None),
+    raw_address = [F.nullif(X.trim_space(X.decode_entities(X.strip_tags(F.regexp_extract("html", p, 1)))), F.lit(""))
+                   for p in ADDRESS_PATTERNS]  # lines stay apart here
+    location = F.coalesce(*raw_address,
                           X.address_guess(X.strip_tags(F.regexp_extract("html", FOOTER_PATTERN, 1)), None),
                           F.lit(X.DEFAULT_LOCATION))
     return pages.select(

@@ -1,10 +1,10 @@
 """Step 0: test inputs derived from the driver tables.
 
 ``staging_reviews`` maps ``documents`` (joined to supplier, nation, customer) onto the raw
-review schema, plus a second, re-dated and re-spaced copy of every tenth document so that
-de-duplication, null dates and trim/lower have work to do. The three annotation tables the
-models join (sentiment, topics, business annotations) are derived by rule from the staged
-reviews so that an SQL oracle can compute exactly the same rows.
+review schema: every document once with its whole text, plus further rows of some documents
+(re-dated and re-spaced copies, blank and Arabic texts, missing and zero ratings) so that
+filters, de-duplication, null dates and trim/lower have work to do. Sentiment and topics come
+from the jobs themselves; the business annotations from ``labels``.
 """
 
 from __future__ import annotations
@@ -21,14 +21,6 @@ RELATIVE_DATE = "il y a 2 mois"
 FIRST_DAY = "2023-01-01"
 DAY_SPAN = 730
 ARABIC_REVIEW = "خدمة جيدة في الوكالة "
-TOPIC_CATEGORIES = ["service_client", "attente_rapidite", "frais_tarifs", "digital_technologie", "autre"]
-TOPIC_KEYWORDS = [
-    "accueil, conseiller, services, staff, équipe",
-    "attente, rapide, temps, queue, lent",
-    "frais, tarif, prix, cher, gratuit",
-    "application, internet, site, digital, app",
-    "compte, carte, retrait, guichet, horaires",
-]
 # ---------------------------------------------------------------------------
 
 
@@ -53,58 +45,28 @@ def staging_reviews(documents: DataFrame, supplier: DataFrame, nation: DataFrame
     sk = F.col("s_suppkey")
     agency = F.concat(F.col("s_name"),
                       F.when(sk % 4 == 0, AGENCY_SUFFIX[0]).when(sk % 4 == 1, AGENCY_SUFFIX[1]).otherwise(""))
-    rating = (F.when(d % 31 == 30, F.lit(None).cast("double"))
-               .when(d % 29 == 28, F.lit(0.0))
-               .when(d % 37 == 36, F.lit(3.5))
-               .otherwise((F.lit(1) + (d * 7 + sk) % 5).cast("double")))
+    rating = F.when(d % 37 == 36, F.lit(3.5)).otherwise((F.lit(1) + (d * 7 + sk) % 5).cast("double"))
     iso = F.date_format(F.date_add(F.lit(FIRST_DAY).cast("date"), (d * 13 % DAY_SPAN).cast("int")), "yyyy-MM-dd")
     review_date = F.when(d % 17 == 0, F.lit(RELATIVE_DATE)).otherwise(iso)
-    review_text = (F.when(d % 41 == 40, F.lit("   "))
-                    .when(d % 23 == 22, F.concat(F.lit(ARABIC_REVIEW), d.cast("string")))
-                    .otherwise(F.col("text")))
-    base = j.select(
-        d.alias("doc_id"),
-        F.col("source").alias("bank"),
-        agency.alias("agency"),
-        F.concat(F.lit(URL_PREFIX), sk.cast("string")).alias("url"),
-        F.col("n_name").alias("location"),
-        F.col("c_name").alias("author"),
-        rating.alias("rating"),
-        review_date.alias("review_date"),
-        review_text.alias("review_text"),
-    )
-    copies = (base.where(d % 10 == 0)
-              .withColumn("review_date", F.when(d % 20 == 0, F.lit(None).cast("string")).otherwise(F.lit(FIRST_DAY)))
-              .withColumn("review_text", F.concat(F.lit("  "), F.replace(F.col("review_text"), F.lit("e"), F.lit("E")), F.lit(" "))))
-    return base.unionByName(copies)
-
-
-def _centered(expr, modulus: int = 201):
-    return ((expr % modulus) - 100).cast("double") / F.lit(100.0)
-
-
-def sentiment_fixture(stg: DataFrame) -> DataFrame:
-    d = F.col("doc_id")
-    compound = _centered(d * 37)
-    polarity = _centered(d * 53)
-    label = (F.when(compound >= 0.05, "positive").when(compound <= -0.05, "negative").otherwise("neutral"))
-    return (stg.where(d % 11 != 0)
-               .select("review_id", label.alias("sentiment"), compound.alias("vader_compound"),
-                       polarity.alias("textblob_polarity"), F.abs(compound).alias("confidence")))
-
-
-def topic_fixture(stg: DataFrame) -> DataFrame:
-    d = F.col("doc_id")
-    topic = (d % 5).cast("int")
-    cats = F.array(*[F.lit(c) for c in TOPIC_CATEGORIES])
-    kws = F.array(*[F.lit(k) for k in TOPIC_KEYWORDS])
-    return (stg.where((F.col("text_length") > 20) & (F.col("detected_language") != "unknown") & (d % 7 != 0))
-               .select("review_id",
-                       topic.alias("dominant_topic"),
-                       F.element_at(cats, topic + 1).alias("topic_category"),
-                       F.element_at(kws, topic + 1).alias("topic_keywords"),
-                       ((d * 29) % 101).cast("double").__truediv__(F.lit(100.0)).alias("topic_confidence"),
-                       F.col("detected_language").alias("language")))
+    text = F.col("text")
+
+    def row(rating, day, words):
+        return F.struct(rating.cast("double").alias("rating"), day.cast("string").alias("review_date"),
+                        words.alias("review_text"))
+
+    # every document once, untouched; further rows of some documents give each rule something to do
+    copy_day = F.when(d % 20 != 0, F.lit(FIRST_DAY))
+    variants = F.array(
+        row(rating, review_date, text),
+        F.when(d % 10 == 0, row(rating, copy_day, F.concat(F.lit("  "), F.replace(text, F.lit("e"), F.lit("E")), F.lit(" ")))),
+        F.when(d % 41 == 40, row(rating, review_date, F.lit("   "))),
+        F.when(d % 23 == 22, row(rating, review_date, F.concat(F.lit(ARABIC_REVIEW), d.cast("string")))),
+        F.when(d % 31 == 30, row(F.lit(None), review_date, text)),
+        F.when(d % 29 == 28, row(F.lit(0.0), review_date, text)))
+    return (j.select(d.alias("doc_id"), F.col("source").alias("bank"), agency.alias("agency"),
+                     F.concat(F.lit(URL_PREFIX), sk.cast("string")).alias("url"), F.col("n_name").alias("location"),
+                     F.col("c_name").alias("author"), F.explode(F.filter(variants, lambda v: v.isNotNull())).alias("v"))
+             .select("doc_id", "bank", "agency", "url", "location", "author", "v.rating", "v.review_date", "v.review_text"))
 
 
 def annotations_fixture(stg: DataFrame, labels: DataFrame) -> DataFrame:

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from avisflow.functions.numeric import percent, pg_round
 from avisflow.operators import checks
-from avisflow.operators.joins import one_row
 from avisflow.operators.shares import share_of_total
+from avisflow.plans.staging import dedup_key, valid_review
 
 # ---------------------------------------------------------------------------
 # Alert thresholds and messages of the quality report.
@@ -52,13 +52,14 @@ def dq_relationships(dim_bank: DataFrame, dim_branch: DataFrame, dim_sentiment:
                    checks.dq_relationships(dim_sentiment, "dim_sentiment", "bank", dim_bank, "bank_name")])
 
 
-def dedup_rate(staging: DataFrame, stg: DataFrame) -> DataFrame:
-    """DQ-4: rows removed between raw and cleaned (filtered rows count as removed too)."""
-    raw = staging.agg(F.count(F.lit(1)).alias("original_count"))
-    clean = stg.agg(F.count(F.lit(1)).alias("cleaned_count"))
-    return (raw.crossJoin(one_row(clean))
-               .withColumn("removed_count", F.col("original_count") - F.col("cleaned_count"))
-               .withColumn("removed_percentage", percent(F.col("removed_count"), F.col("original_count"), 1)))
+def dedup_rate(staging: DataFrame) -> DataFrame:
+    """DQ-4: rows removed between raw and cleaned (filtered rows count as removed too). One pass over
+    the raw rows: the cleaned table holds one row per de-duplication key of the valid ones."""
+    keyed = staging.select(valid_review().alias("valid"), *dedup_key())
+    keys = keyed.groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias("n"))
+    return (keys.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("original_count"), F.count_if("valid").alias("cleaned_count"))
+                .withColumn("removed_count", F.col("original_count") - F.col("cleaned_count"))
+                .withColumn("removed_percentage", percent(F.col("removed_count"), F.col("original_count"), 1)))
 
 
 def text_quality_stats(stg: DataFrame) -> DataFrame:
@@ -138,7 +139,9 @@ def quality_alerts(enriched: DataFrame) -> DataFrame:
                               F.lit(threshold).alias("threshold"), F.lit(msg).alias("message"))
                      for name, threshold, msg in ALERTS])
     out = m.select(F.inline(rows))
-    triggered = F.coalesce(F.col("value") < F.col("threshold"), F.lit(False))
+    # an average confidence of exactly 0 counts as no average at all, as in the reference
+    absent = (F.col("check_name") == "avg_confidence") & (F.col("value") == 0)
+    triggered = F.coalesce((F.col("value") < F.col("threshold")) & ~absent, F.lit(False))
     return out.select("check_name", "value", "threshold", triggered.alias("triggered"),
                       F.when(triggered, F.col("message")).alias("message"))
 

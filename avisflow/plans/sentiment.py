@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from avisflow.functions import classify
 from avisflow.functions.lexicon import ALPHA, LEXICON, MAX_WEIGHT, NEGATORS, TOKEN_PATTERN
 from avisflow.functions.numeric import pg_round
-from avisflow.operators.joins import one_row
+from avisflow.operators.joins import broadcast_if_small, one_row
+from avisflow.session import materialized_table
 
 # ---------------------------------------------------------------------------
 # Keyword fallback lists of the language detector, checked in this order.
@@ -27,6 +28,7 @@ FALLBACK_KEYWORDS = [
     ("en", ["good", "bad", "service", "staff"]),
 ]
 TRIGRAM_PATTERN = r"(?=(.{3}))"
+SALTS = 16
 # ---------------------------------------------------------------------------
 
 
@@ -63,7 +65,10 @@ def with_scores(df: DataFrame, text_col: str) -> DataFrame:
 
 def sentiment_analysis(stg: DataFrame, text_col: str = "clean_text") -> DataFrame:
     """The sentiment table: review_id, sentiment, vader_compound, textblob_polarity, confidence."""
-    scored = with_scores(stg.select("review_id", text_col), text_col)
+    return sentiment_table(with_scores(stg.select("review_id", text_col), text_col))
+
+
+def sentiment_table(scored: DataFrame) -> DataFrame:
     return scored.select("review_id", classify.sentiment_label("vader_compound").alias("sentiment"),
                          "vader_compound", "textblob_polarity", F.abs("vader_compound").alias("confidence"),
                          "lexicon_hits")
@@ -99,32 +104,38 @@ def language_ngram(documents: DataFrame) -> DataFrame:
     a base term (all trigrams as unseen) plus a correction for trigrams the language has seen.
     """
     d = documents.select("doc_id", "lang", "text")
-    train = d.where(F.col("lang").isNotNull())  # profiles from every labelled text
-    test = d                                     # every text of the table is labelled
 
     # explode_outer + null filter: an inner explode makes Catalyst infer size(tris) > 0, which
     # would run the trigram regex over every text twice
-    profile = (with_trigrams(train, "text").select("lang", F.explode_outer("tris").alias("tri"))
-                    .where(F.col("tri").isNotNull())
-                    .groupBy("lang", "tri").agg(F.count(F.lit(1)).alias("c")))
-    vocab = profile.agg(F.countDistinct("tri").alias("v"))
-    # one row: every language with its cost of an unseen trigram (languages are labels: few)
-    languages = (profile.groupBy("lang").agg(F.sum("c").alias("n_lang"))
+    counted = (with_trigrams(d.where(F.col("lang").isNotNull()), "text").select("lang", F.explode_outer("tris").alias("tri"))
+               .where(F.col("tri").isNotNull()).groupBy("lang", "tri").agg(F.count(F.lit(1)).alias("c")))
+    # one row per trigram, written once: read for the vocabulary, the languages and the join
+    profile = materialized_table(counted.groupBy("tri").agg(F.map_from_entries(F.collect_list(F.struct("lang", "c"))).alias("by_lang")),
+                                 "trigram_profile")  # the languages are labels: few
+    vocab = profile.agg(F.count(F.lit(1)).alias("v"))
+    languages = (profile.select(F.explode("by_lang").alias("lang", "c")).groupBy("lang").agg(F.sum("c").alias("n_lang"))
                         .crossJoin(one_row(vocab))
-                        .agg(F.collect_list(F.struct(F.col("lang"),
-                                                     (-F.log(F.col("n_lang") + F.col("v"))).alias("unseen")))
+                        .agg(F.collect_list(F.struct(F.col("lang"), (-F.log(F.col("n_lang") + F.col("v"))).alias("unseen")))
                               .alias("langs")))
-    doc_tris = (with_trigrams(test, "text").select("doc_id", F.explode_outer("tris").alias("tri"))
+    doc_tris = (with_trigrams(d, "text").select("doc_id", F.explode_outer("tris").alias("tri"))
                     .where(F.col("tri").isNotNull())
                     .groupBy("doc_id", "tri").agg(F.count(F.lit(1)).alias("n")))
+    # the profile is broadcast while it is measured small; beyond, a trigram that nearly every text
+    # holds is spread over SALTS copies of its profile row
+    small = broadcast_if_small(profile)
+    if small is not profile:
+        met = doc_tris.join(small, "tri")
+    else:
+        salted = profile.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        met = doc_tris.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(salted, ["tri", "salt"])
+    seen = (met.select("doc_id", "n", F.explode("by_lang").alias("lang", "c"))
+               .groupBy("doc_id", "lang").agg(F.sum(F.col("n") * F.log(F.lit(1.0) + F.col("c"))).alias("seen")))
     totals = doc_tris.groupBy("doc_id").agg(F.sum("n").alias("n_total"))
-    seen = (doc_tris.join(profile, "tri")
-                    .groupBy("doc_id", "lang").agg(F.sum(F.col("n") * F.log(F.lit(1.0) + F.col("c"))).alias("seen"))
-                    .groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("lang", "seen"))).alias("seen")))
-    scored = totals.join(seen, "doc_id", "left").crossJoin(one_row(languages))
+    by_doc = seen.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("lang", "seen"))).alias("seen"))
+    scored = totals.join(by_doc, "doc_id", "left").crossJoin(one_row(languages))
     score = F.transform("langs", lambda l: F.struct(
         (F.col("n_total") * l["unseen"] + F.coalesce(F.try_element_at(F.col("seen"), l["lang"]), F.lit(0.0))).alias("score"),
         l["lang"].alias("lang")))
     best = scored.select("doc_id", F.array_max(score).alias("b"))
-    return (test.select("doc_id", "lang").join(best, "doc_id", "left")
-                .select("doc_id", "lang", F.col("b.lang").alias("predicted_lang")))
+    return (d.select("doc_id", "lang").join(best, "doc_id", "left")
+             .select("doc_id", "lang", F.col("b.lang").alias("predicted_lang")))

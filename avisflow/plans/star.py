@@ -92,15 +92,19 @@ def dim_branch(stg: DataFrame) -> DataFrame:
 
 
 def dim_location(stg: DataFrame) -> DataFrame:
-    """M-6; the correlated per-location COUNT(DISTINCT bank) folds into the same aggregate."""
-    agg = (stg.where(F.col("location").isNotNull())
-              .groupBy("location")
-              .agg(F.count(F.lit(1)).alias("total_reviews"),
-                   F.avg("rating").alias("avg_rating"),
-                   F.countDistinct("agency").alias("unique_agencies"),
-                   F.countDistinct("bank").alias("unique_banks"),
-                   F.min("review_date").alias("first_review_date"),
-                   F.max("review_date").alias("last_review_date")))
+    """M-6; the correlated per-location COUNT(DISTINCT bank) folds into the same aggregate. Reviews
+    are first rolled up to (location, agency, bank), so the distinct counts expand few rows."""
+    rolled = (stg.where(F.col("location").isNotNull())
+                 .groupBy("location", "agency", "bank")
+                 .agg(F.count(F.lit(1)).alias("n"), F.sum("rating").alias("rating_sum"), F.count("rating").alias("rating_n"),
+                      F.min("review_date").alias("first_date"), F.max("review_date").alias("last_date")))
+    agg = (rolled.groupBy("location")
+                 .agg(F.sum("n").alias("total_reviews"),
+                      (F.sum("rating_sum") / F.sum("rating_n")).alias("avg_rating"),
+                      F.countDistinct("agency").alias("unique_agencies"),
+                      F.countDistinct("bank").alias("unique_banks"),
+                      F.min("first_date").alias("first_review_date"),
+                      F.max("last_date").alias("last_review_date")))
     return agg.select(surrogate_key(*LOCATION_KEY).alias("location_key"), "location", "total_reviews",
                       pg_round("avg_rating", 2).alias("avg_rating"), "unique_agencies", "unique_banks",
                       "first_review_date", "last_review_date")

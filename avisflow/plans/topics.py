@@ -3,9 +3,10 @@
 * ``topic_documents``: the filtered, projected scan (text_length > 20), preprocessing to the
   LDA text (built-in regex + higher-order functions) and the language gate (>= 10 rows and
   >= 10 non-empty documents, 'unknown' skipped).
-* ``tfidf_vocabulary``: 1-2-gram document/term frequencies with min_df / max_df / top-100 by
+* ``tfidf_terms``: 1-2-gram document/term frequencies with min_df / max_df / top-100 by
   corpus frequency, idf = ln((1+n)/(1+df)) + 1; top-k per language uses row_number <= k,
   which Spark limits map-side before the shuffle.
+* ``keyword_topics``: the deterministic topic of every review, by the category words its text holds.
 * ``lda_topics`` / ``topic_assignment``: Spark ML per language (CountVectorizerModel on the
   vocabulary -> idf scaling -> L2 norm -> LDA k=5), then category matching and the per-review
   dominant topic.
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from avisflow.functions.numeric import pg_round
 from avisflow.functions.stopwords import all_stopwords
-from avisflow.session import checkpointed
+from avisflow.session import checkpointed, materialized_table
 
 # ---------------------------------------------------------------------------
 # Topic parameters and the reference's keyword categories, in listed order.
@@ -79,8 +80,9 @@ def _candidates(stg: DataFrame) -> DataFrame:
 
 def topic_documents(enriched: DataFrame) -> DataFrame:
     """SRC-3 + NLP-7 + FLT-7: (review_id, language, lda_text, n_documents) of eligible
-    languages, non-empty documents only."""
-    docs = with_lda_text(_candidates(enriched), "clean_text").drop("clean_text")
+    languages, non-empty documents only. The processed texts are written once and read by the gate
+    and by the documents."""
+    docs = materialized_table(with_lda_text(_candidates(enriched), "clean_text").drop("clean_text"), "topic_texts")
     gate = language_gate_from(docs).where("eligible").select("language", "n_documents")
     return docs.where(F.col("lda_text") != "").join(gate, "language")
 
@@ -106,20 +108,6 @@ def with_terms(docs: DataFrame) -> DataFrame:
     return docs.withColumn("terms", F.concat(F.split("lda_text", " "), bigrams))
 
 
-def tfidf_vocabulary(docs: DataFrame) -> DataFrame:
-    """NLP-8: (language, term, df, tf, idf, term_rank) for the kept vocabulary."""
-    per_doc = (with_terms(docs).select("language", "review_id", "n_documents", F.explode_outer("terms").alias("term"))
-                               .where(F.col("term").isNotNull())
-                               .groupBy("language", "n_documents", "review_id", "term").agg(F.count(F.lit(1)).alias("n")))
-    stats = (per_doc.groupBy("language", "n_documents", "term")
-                    .agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("tf"))
-                    .where((F.col("df") >= MIN_DF) & (F.col("df") <= F.col("n_documents") * F.lit(MAX_DF))))
-    w = Window.partitionBy("language").orderBy(F.col("tf").desc(), F.col("term").asc())
-    top = stats.withColumn("term_rank", F.row_number().over(w)).where(F.col("term_rank") <= MAX_FEATURES)
-    idf = F.log((F.lit(1.0) + F.col("n_documents")) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
-    return top.select("language", "term", "df", "tf", pg_round(idf, 6).alias("idf"), "term_rank")
-
-
 def tfidf_terms(stg: DataFrame) -> DataFrame:
     """NLP-8 from staged reviews in one pass over the texts.
 
@@ -129,7 +117,11 @@ def tfidf_terms(stg: DataFrame) -> DataFrame:
     token can be. One aggregation by (language, term) then yields tf, df and both counts of the
     language gate; it collapses map-side, so no (document, term) pairs are shuffled, and the
     staged reviews are read once."""
-    docs = with_lda_text(_candidates(stg), "clean_text")
+    return vocabulary_of(with_lda_text(_candidates(stg), "clean_text"))
+
+
+def vocabulary_of(docs: DataFrame) -> DataFrame:
+    """The vocabulary of processed texts (language, lda_text), gate included."""
     nonempty = F.col("lda_text") != ""
     terms = F.when(nonempty, F.col("terms")).otherwise(F.array().cast("array<string>"))
     rows = F.concat(F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(0).alias("kind"))),
@@ -176,9 +168,8 @@ def _matching_keywords(keywords: Column, words: list[str]) -> Column:
 
 
 def vocabulary_topics(vocab: DataFrame) -> DataFrame:
-    """Deterministic keyword table: the vocabulary in rank order, cut into groups of ten."""
-    top = vocab.where(F.col("term_rank") <= RANK_GROUP * N_TOPICS)
-    grouped = (top.groupBy("language", ((F.col("term_rank") - 1) / RANK_GROUP).cast("int").alias("topic_id"))
+    """Deterministic keyword table: the whole vocabulary in rank order, cut into groups of ten."""
+    grouped = (vocab.groupBy("language", ((F.col("term_rank") - 1) / RANK_GROUP).cast("int").alias("topic_id"))
                   .agg(F.sort_array(F.collect_list(F.struct("term_rank", "term"))).alias("__k")))
     return grouped.select("language", "topic_id", F.col("__k.term").alias("keywords"))
 
@@ -188,6 +179,51 @@ def topic_category_match(vocab: DataFrame) -> DataFrame:
         "language", "topic_id", "category", "category_score", "category_confidence")
 
 
+def top_keywords(vocab: DataFrame) -> DataFrame:
+    """TOP-2: the first five keywords of each keyword group, joined."""
+    return vocabulary_topics(vocab).select("language", "topic_id", joined_keywords("keywords").alias("topic_keywords"))
+
+
+def joined_keywords(keywords) -> Column:
+    return F.array_join(F.slice(keywords, 1, KEYWORDS_SHOWN), ", ")
+
+
+def argmax(weights: Column) -> Column:
+    """TOP-3: place of the largest weight, counted from 0, the first one on ties."""
+    return (F.array_position(weights, F.array_max(weights)) - 1).cast("int")
+
+
+def with_keyword_topic(df: DataFrame, text_col: str = "clean_text") -> DataFrame:
+    """Adds dominant_topic, topic_category, topic_keywords, topic_confidence: the category most of
+    whose words the text holds (the first listed on ties; 'autre' and confidence 0 if none), its
+    words found, and its share of all words found."""
+    text = F.col(text_col)
+    found = F.array(*[F.filter(F.array(*[F.when(F.contains(text, F.lit(w)), F.lit(w)) for w in words]),
+                               lambda w: w.isNotNull()) for _, words in CATEGORIES])
+    names = F.array(*[F.lit(c) for c, _ in CATEGORIES])
+    df = df.withColumn("__found", found).withColumn("__scores", F.transform("__found", lambda x: F.size(x)))
+    best, total = F.array_max("__scores"), F.aggregate("__scores", F.lit(0), lambda a, x: a + x)
+    at = argmax(F.col("__scores"))
+    any_found = best > 0
+    return df.withColumns({
+        "dominant_topic": F.when(any_found, at).otherwise(F.lit(len(CATEGORIES))),
+        "topic_category": F.when(any_found, F.element_at(names, at + 1)).otherwise(F.lit(DEFAULT_CATEGORY)),
+        "topic_keywords": F.when(any_found, joined_keywords(F.element_at("__found", at + 1))).otherwise(F.lit("")),
+        "topic_confidence": F.when(any_found, pg_round(best / total, 4)).otherwise(F.lit(0.0)),
+    }).drop("__found", "__scores")
+
+
+def keyword_topics(stg: DataFrame) -> DataFrame:
+    """The topic table by category words: every review that the topic job reads."""
+    docs = stg.where((F.col("text_length") > MIN_TEXT_LENGTH) & (F.col("detected_language") != "unknown"))
+    return topic_table(with_keyword_topic(docs))
+
+
+def topic_table(df: DataFrame) -> DataFrame:
+    return df.select("review_id", "dominant_topic", "topic_category", "topic_keywords", "topic_confidence",
+                     F.col("detected_language").alias("language"))
+
+
 # -- Spark ML ------------------------------------------------------------------
 
 def _fit_language(docs: DataFrame, vocab_terms: list[str], idf: list[float], language: str):
@@ -236,7 +272,7 @@ def lda_fit(docs: DataFrame, vocab: DataFrame):
         dist = vector_to_array(F.col("topic_distribution"))
         assigned = model.transform(feats).select(
             "review_id", F.lit(language).alias("language"),
-            (F.array_position(dist, F.array_max(dist)) - 1).cast("int").alias("dominant_topic"),
+            argmax(dist).alias("dominant_topic"),
             F.array_max(dist).alias("topic_confidence"))
         return described, assigned
 
@@ -266,7 +302,7 @@ def topic_assignment(topics: DataFrame, assigned: DataFrame) -> DataFrame:
     classifier yields at most three languages, so it is broadcast."""
     t = topics.select("language", F.col("topic_id").alias("dominant_topic"),
                       F.col("category").alias("topic_category"),
-                      F.array_join(F.slice("keywords", 1, KEYWORDS_SHOWN), ", ").alias("topic_keywords"))
+                      joined_keywords("keywords").alias("topic_keywords"))
     return (assigned.join(F.broadcast(t), ["language", "dominant_topic"], "left")
                     .select("review_id", "dominant_topic", "topic_category", "topic_keywords",
                             "topic_confidence", "language"))

@@ -1,7 +1,7 @@
 """M-8..M-11: reporting views over the star schema.
 
-Dimension lookups are plain equi-joins on hash keys; AQE turns them into broadcast joins once
-the dimension side is measured small and keeps a shuffle join otherwise. Ranks and shares use
+Dimension lookups are equi-joins on hash keys: broadcast where the dimension's table is measured
+small, plain joins (which AQE may still turn or split) otherwise. Ranks and shares use
 the skew-safe operators (no window without a partition at scale).
 """
 
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from avisflow.functions.dates import DEFAULT_AS_OF, is_iso_date, iso_to_date, month_bucket, months_back, quarter_bucket
 from avisflow.functions.numeric import percent, pg_round, rank_key
+from avisflow.operators.joins import broadcast_if_small
 from avisflow.operators.ranking import global_ranks
 from avisflow.operators.shares import share_within
 from avisflow.session import checkpointed
@@ -21,12 +22,18 @@ MIN_BRANCH_REVIEWS = 3
 TOPIC_MIN_CONFIDENCE = 0.6
 
 
+def _lookup(dim: DataFrame, *columns) -> DataFrame:
+    """The columns a view takes from a dimension; broadcast if the table is measured small, so the
+    fact is not shuffled onto the few keys of banks or locations."""
+    return broadcast_if_small(dim.select(*columns))
+
+
 def _star(fact: DataFrame, dim_bank: DataFrame, dim_branch: DataFrame, dim_location: DataFrame,
           how: str = "inner") -> DataFrame:
     return (fact
-            .join(dim_bank.select("bank_key", "bank_name"), "bank_key", how)
-            .join(dim_branch.select("branch_key", F.col("agency").alias("branch_name")), "branch_key", how)
-            .join(dim_location.select("location_key", F.col("location").alias("location_name")), "location_key", how))
+            .join(_lookup(dim_bank, "bank_key", "bank_name"), "bank_key", how)
+            .join(_lookup(dim_branch, "branch_key", F.col("agency").alias("branch_name")), "branch_key", how)
+            .join(_lookup(dim_location, "location_key", F.col("location").alias("location_name")), "location_key", how))
 
 
 def _dated(fact: DataFrame) -> DataFrame:
@@ -98,30 +105,30 @@ def branch_performance(fact: DataFrame, dim_bank: DataFrame, dim_branch: DataFra
 def customer_insights(fact: DataFrame, dim_bank: DataFrame, dim_branch: DataFrame, dim_location: DataFrame,
                       as_of: dt.date = DEFAULT_AS_OF) -> DataFrame:
     dated = _dated(fact).where(F.col("review_day") >= months_back(as_of, 24))
-    star = (dated.join(dim_bank.select("bank_key", "bank_name"), "bank_key")
-                 .join(dim_branch.select("branch_key"), "branch_key")
-                 .join(dim_location.select("location_key"), "location_key")
+    star = (dated.join(_lookup(dim_bank, "bank_key", "bank_name"), "bank_key")
+                 .join(_lookup(dim_branch, "branch_key"), "branch_key")
+                 .join(_lookup(dim_location, "location_key"), "location_key")
                  .withColumn("review_quarter", quarter_bucket(F.col("review_day"))))
     r = F.col("review_rating")
-    n = F.count("review_id")
-    m = _review_measures()
-    agg = (star.groupBy("review_quarter", "bank_name")
-               .agg(n.alias("total_reviews"),
-                    F.countDistinct("branch_key").alias("active_branches"),
-                    F.countDistinct("location_key").alias("locations_covered"),
-                    m["avg_rating"].alias("avg_rating"),
-                    m["avg_vader"].alias("avg_vader_sentiment"),
-                    m["avg_textblob"].alias("avg_textblob_sentiment"),
-                    m["avg_confidence"].alias("avg_confidence"),
-                    F.sum("is_positive").alias("positive_count"),
-                    F.sum("is_negative").alias("negative_count"),
-                    F.sum("is_neutral").alias("neutral_count"),
-                    *_rating_histogram(),
-                    (F.count_if(r >= 4) - F.count_if(r <= 2)).alias("__nps_diff"),
-                    pg_round(F.avg("data_quality_score"), 2).alias("avg_quality_score"),
-                    pg_round(F.avg("text_length"), 1).alias("avg_text_length"),
-                    F.sum("is_detailed_review").alias("detailed_reviews"),
-                    F.sum("needs_urgent_action").alias("urgent_reviews")))
+    averaged = {"avg_rating": ("review_rating", 2), "avg_vader_sentiment": ("vader_sentiment_score", 3),
+                "avg_textblob_sentiment": ("textblob_sentiment_score", 3), "avg_confidence": ("sentiment_confidence", 3),
+                "avg_quality_score": ("data_quality_score", 2), "avg_text_length": ("text_length", 1)}
+    summed = {"positive_count": F.sum("is_positive"), "negative_count": F.sum("is_negative"),
+              "neutral_count": F.sum("is_neutral"), "total_reviews": F.count("review_id"),
+              "detailed_reviews": F.sum("is_detailed_review"), "urgent_reviews": F.sum("needs_urgent_action"),
+              "__nps_diff": F.count_if(r >= 4) - F.count_if(r <= 2),
+              **{f"rating_{v}_count": F.count_if(r == v) for v in (5, 4, 3, 2, 1)}}
+    # rolled up to the places first: the distinct counts then expand place rows, not reviews
+    places = (star.groupBy("review_quarter", "bank_name", "branch_key", "location_key")
+                  .agg(*[e.alias(n) for n, e in summed.items()],
+                       *[F.sum(c).alias(f"__s_{n}") for n, (c, _) in averaged.items()],
+                       *[F.count(c).alias(f"__n_{n}") for n, (c, _) in averaged.items()]))
+    agg = (places.groupBy("review_quarter", "bank_name")
+                 .agg(F.countDistinct("branch_key").alias("active_branches"),
+                      F.countDistinct("location_key").alias("locations_covered"),
+                      *[F.sum(n).alias(n) for n in summed],
+                      *[pg_round(F.sum(f"__s_{n}") / F.nullif(F.sum(f"__n_{n}"), F.lit(0)), d).alias(n)
+                        for n, (_, d) in averaged.items()]))
     # one partition per bank holds at most one row per quarter of the 24-month window
     w = Window.partitionBy("bank_name").orderBy(F.col("review_quarter").asc_nulls_last())
     agg = agg.withColumns({
@@ -143,7 +150,7 @@ def sentiment_trends(fact: DataFrame, dim_bank: DataFrame, dim_branch: DataFrame
                      dim_sentiment: DataFrame, as_of: dt.date = DEFAULT_AS_OF) -> DataFrame:
     dated = _dated(fact).where(F.col("review_day") >= months_back(as_of, 12))
     star = (_star(dated, dim_bank, dim_branch, dim_location)
-            .join(dim_sentiment.select("sentiment_key", F.col("sentiment").alias("sentiment_label")), "sentiment_key")
+            .join(_lookup(dim_sentiment, "sentiment_key", F.col("sentiment").alias("sentiment_label")), "sentiment_key")
             .withColumn("review_month", month_bucket(F.col("review_day"))))
     m = _review_measures()
     agg = (star.groupBy("bank_name", "branch_name", "location_name", "sentiment_label", "review_month")

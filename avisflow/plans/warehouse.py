@@ -1,8 +1,8 @@
 """Build order (§3.4) as lazily-built DataFrames over one data directory.
 
-``Warehouse(spark, sf_dir)`` wires the models together; attributes are plans, not data —
-nothing runs until an action. The same object feeds the driver queries and the daily build
-(which materialises the table models as parquet, see ``plans/build.py``).
+``Warehouse(spark, sf_dir)`` wires the models together; attributes are plans, not data, and
+nothing runs until an action, unless ``materialize`` asks for tables. The same models feed the
+driver queries and the daily build (``plans/build.py``).
 """
 
 from __future__ import annotations
@@ -10,25 +10,30 @@ from __future__ import annotations
 import datetime as dt
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from avisflow.functions.dates import DEFAULT_AS_OF
-from avisflow.plans import enrich, fixtures, staging, star, views
-from avisflow.session import materialized_table
-from avisflow.sources.tables import Catalog
+from avisflow.plans import enrich, fixtures, sentiment, staging, star, topics, views
+from avisflow.session import built_once, input_state
+from avisflow.sources.tables import Catalog, table_path
 
 TEXT_COLUMNS = ("review_text", "clean_text")
+#: What the sentiment and topic jobs add to a staged review.
+JOB_COLUMNS = ("vader_compound", "textblob_polarity", "lexicon_hits", "dominant_topic", "topic_category",
+               "topic_keywords", "topic_confidence")
+SOURCES = ("documents", "supplier", "nation", "customer", "labels")
 
 
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: dt.date = DEFAULT_AS_OF,
                  tables: dict[str, DataFrame] | None = None, materialize: bool | str = False):
-        """``materialize``: for plans that read the staged reviews through several branches
-        (every view joins the fact with dimensions that all derive from them). Each branch
-        prunes different columns, so their shuffles are not identical and cannot be reused;
-        instead the text-free staged core is computed once and written as a parquet table in
-        the shared folder, and every model reads only the columns it needs from it. ``materialize="text"`` keeps the texts in that
-        checkpoint (for outputs that carry them, e.g. the enriched table)."""
+        """``materialize``: for plans that read the staged reviews through several branches (every
+        view joins the fact with dimensions that all derive from them). The text-free staged core,
+        with the columns of the sentiment and topic jobs computed in the same pass over the texts,
+        the enriched core, the fact and the dimensions are then written to the shared folder once
+        per application and input state, as the daily build would, and every later query reads the
+        columns it needs from them. ``materialize="text"`` does so for the staged table with texts
+        (outputs that carry them)."""
         self.spark = spark
         self.sf_dir = sf_dir
         self.as_of = as_of
@@ -37,7 +42,20 @@ class Warehouse:
         self._override = dict(tables or {})
 
     def _get(self, name: str, build):
-        return self._override[name] if name in self._override else build()
+        if name in self._override:
+            return self._override[name]
+        return build()
+
+    def _table(self, name: str, build):
+        """An override, a table built once per application, or just its plan."""
+        if name in self._override or not self.materialize:
+            return self._get(name, build)
+        state = None if self._override else self._state
+        return built_once(self.spark, name, state, build)
+
+    @cached_property
+    def _state(self):
+        return input_state(self.spark, [table_path(self.sf_dir, t) for t in SOURCES])
 
     # -- inputs -------------------------------------------------------------
     @cached_property
@@ -50,26 +68,34 @@ class Warehouse:
     def stg_reviews(self) -> DataFrame:
         return self._get("stg_reviews", lambda: staging.stg_reviews(self.staging_reviews))
 
+    @cached_property
+    def _jobs(self) -> DataFrame:
+        """Staged reviews with the sentiment and topic jobs' columns, in one pass over the texts."""
+        scored = topics.with_keyword_topic(sentiment.with_scores(self.stg_reviews, "clean_text"))
+        if self.materialize == "text":
+            return self._table("stg_scored_text", lambda: scored)
+        return self._table("stg_scored", lambda: scored.drop(*TEXT_COLUMNS))
+
     @cached_property
     def stg_text(self) -> DataFrame:
-        """Staged reviews with texts (written once when ``materialize == "text"``)."""
-        return materialized_table(self.stg_reviews, "stg_reviews") if self.materialize == "text" else self.stg_reviews
+        """Staged reviews with texts."""
+        return self._jobs.drop(*JOB_COLUMNS) if self.materialize == "text" else self.stg_reviews
 
     @cached_property
     def stg_core(self) -> DataFrame:
-        """Staged reviews without the text columns; written once when ``materialize``."""
-        if self.materialize == "text":
-            return self.stg_text.drop(*TEXT_COLUMNS)
-        core = self.stg_reviews.drop(*TEXT_COLUMNS)
-        return materialized_table(core, "stg_core") if self.materialize else core
+        """Staged reviews without the text columns."""
+        if not self.materialize:
+            return self.stg_reviews.drop(*TEXT_COLUMNS)
+        return self._jobs.drop(*JOB_COLUMNS, *TEXT_COLUMNS)
 
     @cached_property
     def sentiment_analysis(self) -> DataFrame:
-        return self._get("sentiment_analysis", lambda: fixtures.sentiment_fixture(self.stg_core))
+        return self._get("sentiment_analysis", lambda: sentiment.sentiment_table(self._jobs).drop("lexicon_hits"))
 
     @cached_property
     def topic_assignments(self) -> DataFrame:
-        return self._get("topic_analysis", lambda: fixtures.topic_fixture(self.stg_core))
+        return self._get("topic_analysis", lambda: topics.topic_table(self._jobs.where(
+            (F.col("text_length") > topics.MIN_TEXT_LENGTH) & (F.col("detected_language") != "unknown"))))
 
     @cached_property
     def annotations(self) -> DataFrame:
@@ -87,28 +113,28 @@ class Warehouse:
         """Enriched rows without texts: the input of the fact and the dimensions."""
         if "reviews_enriched" in self._override:
             return self._override["reviews_enriched"].drop(*TEXT_COLUMNS)
-        return enrich.reviews_enriched(self.stg_core, self.sentiment_analysis, self.topic_assignments,
-                                       self.annotations)
+        return self._table("enriched_core", lambda: enrich.reviews_enriched(
+            self.stg_core, self.sentiment_analysis, self.topic_assignments, self.annotations))
 
     @cached_property
     def fact_reviews(self) -> DataFrame:
-        return self._get("fact_reviews", lambda: star.fact_reviews(self.enriched_core))
+        return self._table("fact_reviews", lambda: star.fact_reviews(self.enriched_core))
 
     @cached_property
     def dim_bank(self) -> DataFrame:
-        return self._get("dim_bank", lambda: star.dim_bank(self.enriched_core))
+        return self._table("dim_bank", lambda: star.dim_bank(self.enriched_core))
 
     @cached_property
     def dim_branch(self) -> DataFrame:
-        return self._get("dim_branch", lambda: star.dim_branch(self.stg_core))
+        return self._table("dim_branch", lambda: star.dim_branch(self.stg_core))
 
     @cached_property
     def dim_location(self) -> DataFrame:
-        return self._get("dim_location", lambda: star.dim_location(self.stg_core))
+        return self._table("dim_location", lambda: star.dim_location(self.stg_core))
 
     @cached_property
     def dim_sentiment(self) -> DataFrame:
-        return self._get("dim_sentiment", lambda: star.dim_sentiment(self.enriched_core))
+        return self._table("dim_sentiment", lambda: star.dim_sentiment(self.enriched_core))
 
     # -- views --------------------------------------------------------------
     def branch_performance(self) -> DataFrame:

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from avisflow.functions.dates import is_iso_date
 from avisflow.plans import collect, quality, sentiment, star, topics
 from avisflow.plans.warehouse import Warehouse
+from avisflow.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 STG_COLUMNS = ["review_id", "doc_id", "bank", "agency", "url", "location", "author", "rating", "review_date",
@@ -21,25 +23,27 @@ def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
 
 def _whm(spark: SparkSession, sf_dir: str) -> Warehouse:
     """Plans that read the staged reviews through several branches (annotations, fact and
-    dimensions): the text-free staged core is computed once and checkpointed."""
+    dimensions): they read tables that are built once per application and input state."""
     return Warehouse(spark, sf_dir, materialize=True)
 
 
 def _wht(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """As ``_whm`` for outputs that carry the texts: the staged table is checkpointed with them."""
+    """As ``_whm`` for outputs that carry the texts: the staged table is written with them."""
     return Warehouse(spark, sf_dir, materialize="text")
 
 
 QUERIES: dict[str, Query] = {
     "fixture_staging_reviews": lambda s, d: _wh(s, d).staging_reviews,
     "stg_reviews": lambda s, d: _wh(s, d).stg_reviews.select(*STG_COLUMNS),
+    "dedup_latest": lambda s, d: _wh(s, d).stg_reviews.select(
+        "bank", "agency", "author", "clean_text", "review_date", "rating", "review_id"),
     "reviews_enriched": lambda s, d: _wht(s, d).reviews_enriched,
     "fact_reviews": lambda s, d: _whm(s, d).fact_reviews,
-    "reviews_enriched_scored": lambda s, d: _enriched_scored(s, d),
+    "reviews_enriched_scored": lambda s, d: _wht(s, d).reviews_enriched,
     "dim_bank": lambda s, d: _whm(s, d).dim_bank,
     "dim_bank_window_form": lambda s, d: star.dim_bank_window_form(_whm(s, d).enriched_core),
-    "dim_branch": lambda s, d: _wh(s, d).dim_branch,
-    "dim_location": lambda s, d: _wh(s, d).dim_location,
+    "dim_branch": lambda s, d: _whm(s, d).dim_branch,
+    "dim_location": lambda s, d: _whm(s, d).dim_location,
     "dim_sentiment": lambda s, d: _whm(s, d).dim_sentiment,
     "branch_performance": lambda s, d: _whm(s, d).branch_performance(),
     "customer_insights": lambda s, d: _whm(s, d).customer_insights(),
@@ -58,7 +62,7 @@ QUERIES: dict[str, Query] = {
     "dq_unique": lambda s, d: _dims(quality.dq_unique, s, d),
     "dq_not_null": lambda s, d: _dims(quality.dq_not_null, s, d),
     "dq_relationships": lambda s, d: _dims(quality.dq_relationships, s, d),
-    "dedup_rate": lambda s, d: quality.dedup_rate(_wh(s, d).staging_reviews, _wh(s, d).stg_reviews),
+    "dedup_rate": lambda s, d: quality.dedup_rate(_wh(s, d).staging_reviews),
     "text_quality_stats": lambda s, d: quality.text_quality_stats(_wh(s, d).stg_reviews),
     "sentiment_stats": lambda s, d: quality.sentiment_stats(_whm(s, d).enriched_core),
     "consistency_share": lambda s, d: quality.consistency_share(_whm(s, d).enriched_core),
@@ -71,13 +75,13 @@ QUERIES: dict[str, Query] = {
     # collection shaping over fetched pages / texts
     "bank_from_query": lambda s, d: collect.bank_from_query(_src(s, d).pages),
     "agency_urls": lambda s, d: collect.agency_urls(_src(s, d).pages),
-    "page_field_extract": lambda s, d: collect.page_field_extract(_src(s, d).pages),
-    "review_keep": lambda s, d: collect.review_keep(_src(s, d).pages),
+    "page_field_extract": lambda s, d: collect.page_field_extract(collect.with_review_pages(_src(s, d).pages)),
+    "review_keep": lambda s, d: collect.review_keep(collect.with_review_pages(_src(s, d).pages)),
     "address_guess": lambda s, d: collect.address_guess(_src(s, d).documents),
     "address_clean": lambda s, d: collect.address_clean(_src(s, d).documents),
     "rating_parse": lambda s, d: collect.rating_parse(_src(s, d).documents),
     "reviews_per_agency": lambda s, d: collect.reviews_per_agency(_wh(s, d).staging_reviews),
-    "agency_details": lambda s, d: collect.agency_details(_src(s, d).pages),
+    "agency_details": lambda s, d: collect.agency_details(collect.with_review_pages(_src(s, d).pages)),
     # sentiment and language
     "sentiment_lexicon_score": lambda s, d: sentiment.sentiment_analysis(_wh(s, d).stg_reviews),
     "polarity_score": lambda s, d: sentiment.sentiment_analysis(_wh(s, d).stg_reviews).select(
@@ -91,25 +95,20 @@ QUERIES: dict[str, Query] = {
         "review_id", "language", "lda_text"),
     "language_gate": lambda s, d: topics.language_gate(_wh(s, d).stg_reviews),
     "tfidf_terms": lambda s, d: topics.tfidf_terms(_wh(s, d).stg_reviews),
+    "topic_keyword_assignment": lambda s, d: topics.keyword_topics(_wh(s, d).stg_reviews),
+    "topic_top_keywords": lambda s, d: topics.top_keywords(topics.tfidf_terms(_wh(s, d).stg_reviews)),
     "topic_category_match": lambda s, d: topics.topic_category_match(topics.tfidf_terms(_wh(s, d).stg_reviews)),
     "lda_topics": lambda s, d: _lda(s, d)[0],
     "topic_assignment": lambda s, d: topics.topic_assignment(*_lda(s, d)),
     # sources and sinks
     "csv_roundtrip": lambda s, d: _csv_roundtrip(s, d),
     "stream_ingest": lambda s, d: _stream_ingest(s, d),
-    "topic_category_distribution": lambda s, d: quality.topic_category_distribution(_wh(s, d).topic_assignments),
+    "append_sink": lambda s, d: _append_sink(s, d),
+    "replace_sink": lambda s, d: _replace_sink(s, d),
+    "topic_category_distribution": lambda s, d: quality.topic_category_distribution(_whm(s, d).topic_assignments),
 }
 
 
-def _enriched_scored(spark, sf_dir):
-    """M-2 on the production path: the staged reviews joined with the lexicon sentiment job's
-    output (NLP-1..4) instead of the fixture sentiment table."""
-    from avisflow.plans import enrich
-    w = _wht(spark, sf_dir)
-    scored = sentiment.sentiment_analysis(w.stg_text).drop("lexicon_hits")
-    return enrich.reviews_enriched(w.stg_text, scored, w.topic_assignments, w.annotations)
-
-
 def _surrogate_keys(spark, sf_dir):
     from avisflow.functions.keys import surrogate_key
     return _wh(spark, sf_dir).stg_core.select(
@@ -120,7 +119,7 @@ def _surrogate_keys(spark, sf_dir):
 
 def _iso_dates(spark, sf_dir):
     """FLT-3 + DAT-1 over every staged row (null, relative and impossible dates included)."""
-    from avisflow.functions.dates import is_iso_date, iso_date_or_null
+    from avisflow.functions.dates import iso_date_or_null
     st = _wh(spark, sf_dir).staging_reviews
     return st.select("doc_id", "review_date", is_iso_date("review_date").alias("is_iso"),
                      iso_date_or_null("review_date").alias("review_day"))
@@ -128,9 +127,7 @@ def _iso_dates(spark, sf_dir):
 
 def _date_buckets(spark, sf_dir):
     """DAT-2/DAT-3/FLT-4: month and quarter buckets and the two rolling windows of the views."""
-    from pyspark.sql import functions as F
-
-    from avisflow.functions.dates import is_iso_date, iso_to_date, month_bucket, months_back, quarter_bucket
+    from avisflow.functions.dates import iso_to_date, month_bucket, months_back, quarter_bucket
     w = _wh(spark, sf_dir)
     d = iso_to_date("review_date")
     return (w.stg_core.where(is_iso_date("review_date"))
@@ -144,35 +141,49 @@ def _date_buckets(spark, sf_dir):
 def _row_ids(spark, sf_dir):
     """WIN-1: the staging model's global ROW_NUMBER (bank, agency, author, review_date), made a
     total order by the content-hash id, as a dense id next to the hash id."""
-    from pyspark.sql import functions as F
-
     from avisflow.operators.rownum import dense_row_number
     stg = _wh(spark, sf_dir).stg_core.select("review_id", "bank", "agency", "author", "review_date")
     order = [F.col(c).asc_nulls_last() for c in ("bank", "agency", "author", "review_date", "review_id")]
     return dense_row_number(stg, order, "row_id")
 
 
-def _scratch(spark, kind):
-    import uuid
-
-    from avisflow.session import shared_path
-    return shared_path(spark, "avisflow", kind, uuid.uuid4().hex)
-
-
 def _csv_roundtrip(spark, sf_dir):
     """SNK-3 then SRC-1: the staged fixture written as raw CSV and read back."""
     from avisflow.sources.reviews_csv import read_reviews_csv
     from avisflow.sources.sinks import write_reviews_csv
-    path = _scratch(spark, "csv")
+    path = scratch_path(spark, "sinks", "csv")
     write_reviews_csv(_wh(spark, sf_dir).staging_reviews, path)
     return read_reviews_csv(spark, path)
 
 
+def _append_sink(spark, sf_dir):
+    """SNK-1: two daily batches appended to the raw table and read back with their ingest dates."""
+    import datetime as dt
+
+    from avisflow.sources.sinks import append_staging
+    path = scratch_path(spark, "sinks", "append")
+    raw = _wh(spark, sf_dir).staging_reviews
+    dated = F.coalesce(is_iso_date("review_date"), F.lit(False))
+    append_staging(raw.where(dated), path, dt.date(2024, 1, 1))
+    append_staging(raw.where(~dated), path, dt.date(2024, 1, 2))
+    return spark.read.parquet(path)
+
+
+def _replace_sink(spark, sf_dir):
+    """SNK-2: the sentiment table replaces what an earlier run left under its name."""
+    from avisflow.sources.sinks import replace_table
+    path = scratch_path(spark, "sinks", "replace")
+    w = _whm(spark, sf_dir)
+    replace_table(w.sentiment_analysis.limit(0), path)
+    replace_table(w.sentiment_analysis, path)
+    return spark.read.parquet(path)
+
+
 def _stream_ingest(spark, sf_dir):
     """SNK-1 as a stream: CSV drops -> AvailableNow file-source stream -> partitioned raw table."""
     from avisflow.sources.sinks import write_reviews_csv
     from avisflow.streaming.ingest import ingest_available
-    root = _scratch(spark, "stream")
+    root = scratch_path(spark, "sinks", "stream")
     write_reviews_csv(_wh(spark, sf_dir).staging_reviews, f"{root}/incoming")
     ingest_available(spark, f"{root}/incoming", f"{root}/staging_reviews", f"{root}/_checkpoint")
     return spark.read.parquet(f"{root}/staging_reviews").drop("ingest_date")
@@ -180,7 +191,7 @@ def _stream_ingest(spark, sf_dir):
 
 def _lda(spark, sf_dir):
     docs = topics.topic_documents(_wh(spark, sf_dir).stg_reviews)
-    return topics.lda_fit(docs, topics.tfidf_vocabulary(docs))
+    return topics.lda_fit(docs, topics.vocabulary_of(docs))
 
 
 def _src(spark, sf_dir):
@@ -190,10 +201,3 @@ def _src(spark, sf_dir):
 def _dims(fn, spark, sf_dir):
     w = _whm(spark, sf_dir)
     return fn(w.dim_bank, w.dim_branch, w.dim_sentiment)
-
-
-def register(name: str):
-    def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
-        return fn
-    return deco

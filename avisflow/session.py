@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -52,23 +54,31 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def _is_local(master: str) -> bool:
+    """One JVM on one machine; a local cluster's executors are processes of their own."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for checkpoints and intermediate tables.
 
     Read from ``spark.checkpoint.dir``; only a local-mode session (tests) may fall back to
-    a fresh scratch folder. On a cluster a missing setting is an error: a machine-local
-    folder would not survive the loss of that machine.
+    a fresh scratch folder. Elsewhere a missing setting is an error: a machine-local
+    folder would not survive the loss of that machine, nor would executors see it.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect: the server's configuration decides
-        return (spark.conf.get("spark.checkpoint.dir", None) or "").rstrip("/")
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder") from None
+        return configured.rstrip("/")
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not _is_local(sc.master):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="avisflow-ckpt-")
     sc.setCheckpointDir(configured)
@@ -79,6 +89,29 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(shared_dir(spark), *parts)
 
 
+_CLEANED: set[str] = set()
+
+
+def scratch_path(spark: SparkSession, kind: str, name: str) -> str:
+    """A fresh path for an intermediate table, below a folder of this application that is removed
+    when the application ends."""
+    app = spark.conf.get("spark.app.id", "application")
+    root = shared_path(spark, "avisflow", app)
+    if root not in _CLEANED:
+        _CLEANED.add(root)
+        atexit.register(_remove, spark, root)
+    return os.path.join(root, kind, f"{name}-{uuid.uuid4().hex}")
+
+
+def _remove(spark: SparkSession, root: str) -> None:
+    try:
+        jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+        path = jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(conf).delete(path, True)
+    except Exception:  # noqa: BLE001 - the session is gone already; the folder is named after it
+        pass
+
+
 def checkpointed(df):
     """Materialise ``df`` in the shared checkpoint folder and cut its lineage (eager).
 
@@ -93,9 +126,37 @@ def materialized_table(df, name: str):
 
     Unlike a checkpoint (read back as an RDD scan), the re-read table is columnar: each later
     consumer reads only the columns it uses and gets scan-level filters."""
-    import uuid
-
-    spark = df.sparkSession
-    path = shared_path(spark, "avisflow", "tables", f"{name}-{uuid.uuid4().hex}")
+    path = scratch_path(df.sparkSession, "tables", name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_TABLES: dict[tuple, tuple] = {}
+
+
+def input_state(spark: SparkSession, paths) -> tuple | None:
+    """Name, length and modification time of every input file; None where they cannot be listed."""
+    try:
+        conf, out = spark._jsparkSession.sessionState().newHadoopConf(), []
+        for p in paths:
+            path = spark._jvm.org.apache.hadoop.fs.Path(p)
+            for f in path.getFileSystem(conf).listStatus(path):
+                out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+        return tuple(sorted(out))
+    except Exception:  # noqa: BLE001 - Spark Connect, or a store that does not list
+        return None
+
+
+def built_once(spark: SparkSession, name: str, state: tuple | None, build):
+    """The table ``name`` built from inputs in ``state``: written on first use, then read by every
+    later query of the application that asks for it with the same inputs."""
+    if state is None:
+        return materialized_table(build(), name)
+    key = (spark.conf.get("spark.app.id", ""), name, state)
+    if key not in _TABLES:
+        df = build()
+        path = scratch_path(spark, "warehouse", name)
+        df.write.parquet(path)
+        _TABLES[key] = (path, df.schema)
+    path, schema = _TABLES[key]
+    return spark.read.schema(schema).parquet(path)

@@ -14,8 +14,8 @@ def test_full_build_writes_every_table(spark, tmp_path):
                  "customer_insights", "sentiment_trends", "topic_analysis_view", "dq_tests", "quality_alerts"]:
         assert name in paths
     read = lambda n: spark.read.parquet(paths[n])
-    assert read("stg_reviews").count() == read("fact_reviews").count() == read("reviews_enriched").count() == 184
-    assert read("sentiment_analysis").count() == 184
+    assert read("stg_reviews").count() == read("fact_reviews").count() == read("reviews_enriched").count() == 208
+    assert read("sentiment_analysis").count() == 208
     assert read("dq_tests").where(F.col("failures") > 0).count() == 0
     assigned = read("topic_analysis")
     assert assigned.count() > 0

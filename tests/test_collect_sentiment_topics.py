@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from avisflow.functions import extract as X
-from avisflow.plans import sentiment, topics
+from avisflow.plans import collect, sentiment, topics
 from conftest import rows
 
 
@@ -50,14 +50,59 @@ def test_category_scores_ties_and_default(spark):
 
 
 def test_tfidf_vocabulary_counts(spark):
-    docs = spark.createDataFrame([("d1", "en", "alpha beta gamma", 3), ("d2", "en", "alpha beta", 3),
-                                  ("d3", "en", "delta alpha", 3)], "review_id string, language string, lda_text string, n_documents long")
-    v = {r.term: r for r in topics.tfidf_vocabulary(docs).collect()}
-    # alpha is in all 3 documents (> 0.8 * 3): pruned; 'alpha beta' and 'beta' appear twice
+    texts = ["alpha beta gamma", "alpha beta", "delta alpha"] + ["alpha"] * 7
+    docs = spark.createDataFrame([(f"d{i}", "en", t) for i, t in enumerate(texts)], "review_id string, language string, lda_text string")
+    v = {r.term: r for r in topics.vocabulary_of(docs).collect()}
+    # alpha is in all 10 documents (> 0.8 * 10): pruned; 'alpha beta' and 'beta' appear twice
     assert set(v) == {"beta", "alpha beta"}
     assert v["beta"].df == 2 and v["beta"].tf == 2
 
 
+def test_keyword_topic_rules(spark):
+    rows_ = [("a", "le personnel et l'accueil, un temps fou"), ("b", "attente et frais"), ("c", "rien de tel"),
+             ("d", "service personnel accueil staff équipe conseiller app")]
+    out = {r.review_id: r for r in topics.with_keyword_topic(spark.createDataFrame(rows_, "review_id string, clean_text string")).collect()}
+    assert (out["a"].dominant_topic, out["a"].topic_category, out["a"].topic_keywords, out["a"].topic_confidence) == \
+        (0, "service_client", "personnel, accueil", 0.6667)
+    assert (out["b"].dominant_topic, out["b"].topic_category, out["b"].topic_confidence) == (1, "attente_rapidite", 0.5)  # first on ties
+    assert (out["c"].dominant_topic, out["c"].topic_category, out["c"].topic_keywords, out["c"].topic_confidence) == (5, "autre", "", 0.0)
+    assert out["d"].topic_keywords == "service, personnel, accueil, staff, équipe"  # first five of six
+
+
+def test_argmax_takes_the_first_largest(spark):
+    df = spark.createDataFrame([([0.1, 0.5, 0.5],), ([1.0],), ([0.0, 0.0],)], "w array<double>")
+    assert [r[0] for r in df.select(topics.argmax(F.col("w"))).collect()] == [1, 0, 0]
+
+
+def test_page_fields_fire_and_default(spark):
+    page = ('<title> Agence &amp; Cie </title><span class="author">\tAli&nbsp;B. \r\n</span><i aria-label="4,5 étoiles"></i>'
+            '<time d=1>hier</time><address>\t1 rue A\r\n  Rabat </address><div class="review-text">Très <b>bon</b>,<br>merci &lt;3</div>')
+    pages = spark.createDataFrame([(1, "http://h", page), (2, "http://h", "<p>nothing</p>"),
+                                   (3, "http://h", "<article><h1>T</h1><p>one</p>\n<p>two &amp; three</p></article>")],
+                                  "page_id long, url string, html string")
+    got = {r.page_id: r for r in collect.page_field_extract(pages).collect()}
+    assert tuple(got[1])[1:] == ("Agence & Cie", "Ali\u00a0B.", "4.5", "hier", "Très bon , merci <3", "1 rue A, Rabat")
+    assert tuple(got[2])[1:] == ("Non spécifié", "Anonyme", "Non spécifié", "Non spécifié", "Non spécifié", "Non disponible")
+    assert got[3].text == "T one two & three"  # the whole article, not its first paragraph
+    assert {r.page_id for r in collect.review_keep(pages).collect()} == {1, 3}
+
+
+def test_built_review_pages_decide_every_field(spark):
+    pages = collect.with_review_pages(spark.read.parquet("/root/testdata/sf0.001/pages.parquet"))
+    f = collect.page_field_extract(pages)
+    n = f.count()
+    for column, default in (("agency", "Non spécifié"), ("author", "Anonyme"), ("rating", "Non spécifié"), ("date", "Non spécifié"),
+                            ("text", "Non spécifié"), ("location", "Non disponible")):
+        assert 0 < f.where(F.col(column) == default).count() < n, column
+    assert 0 < collect.review_keep(pages).count() < n
+
+
+def test_address_lines_lose_all_white_space(spark):
+    from avisflow.functions import extract
+    df = spark.createDataFrame([("Adresse : \t12 rue A\r\n\r\n  Rabat\x0b",)], "t string")
+    assert df.select(extract.address_clean("t")).first()[0] == "12 rue A, Rabat"
+
+
 def test_language_gate_needs_ten_documents(spark):
     words = ["alpha", "beta", "gamma", "delta", "epsilon", "zeta"]
     rows_ = []
