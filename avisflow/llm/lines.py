@@ -92,5 +92,6 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      pa.array(kept, pa.binary()).cast(pa.string())], names=["doc_id", "n_lines", "n_dropped", "kept_text"])
 
     kind = src.schema["doc_id"].dataType.simpleString()
-    return (src.join(drops, src.doc_id.eqNullSafe(drops.drop_id), "left").select("doc_id", "text", "d1", "d2")
+    # a hash join: the lists are the small side, and the texts need no sort
+    return (src.join(drops.hint("shuffle_hash"), src.doc_id.eqNullSafe(drops.drop_id), "left").select("doc_id", "text", "d1", "d2")
             .mapInArrow(rebuild, f"doc_id {kind}, n_lines long, n_dropped long, kept_text string"))
