@@ -68,11 +68,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def segments_for(distinct: int, bits: int) -> int:
-    """As many segments as leave about one entry per value, 2 at least: few probes for few rows."""
-    count = bits + 1
-    while count > 2 and (1 << (64 // count)) < 8 * distinct:
-        count -= 1
-    return min(count, 3)
+    """Three segments probe about a dozen values each and meet distinct / 2^21 unrelated rows per
+    probe; two probe some 270 each and meet distinct / 2^32. Two are less work from some 2^25 on."""
+    return 3 if distinct < 1 << 25 or bits < 2 else 2
 
 
 def _layout(segments: int) -> list[tuple[int, int]]:
