@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import sys
 import types
-import uuid
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -12,7 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from avisflow.session import shared_path
+from avisflow.session import scratch_path
 
 # Functions of this package travel to the executors by value, so a cluster needs no installed copy.
 cloudpickle.register_pickle_by_value(sys.modules[__package__])
@@ -25,7 +24,7 @@ def table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back: cuts lineage, survives
     lost executors, and later joins see a plain scan whose skewed partitions Spark can split."""
     spark = df.sparkSession
-    path = shared_path(spark, "avisflow", "llm", f"{name}-{uuid.uuid4().hex}")
+    path = scratch_path(spark, "llm", name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
