@@ -5,29 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # ---------------------------------------------------------------------------
-# The staging model's language rules, in their original order
-# (first match wins). French: accented vowels or four marker words; Arabic:
-# seven words; English: six stop words, matched as whole words.
-FRENCH_ACCENTS = "àáâäèéêëìíîïòóôöùúûü"
-FRENCH_MARKERS = ["ça", "très", "être", "avoir"]
-ARABIC_MARKERS = ["والله", "الله", "مع", "في", "على", "هذا", "هذه"]
-ENGLISH_MARKERS = ["the", "and", "or", "of", "in", "to"]
+# The staging model's language rules as patterns (first match wins). French:
+# accented vowels or four marker words; Arabic: seven words; English: six stop words, whole
+# words only, with the word edges spelled out, so the rule means the same in every regex engine
+# (Java's \\b and RE2's \\b disagree next to accented letters).
+FRENCH_PATTERN = "[àáâäèéêëìíîïòóôöùúûü]|ça|très|être|avoir"
+ARABIC_PATTERN = "والله|الله|مع|في|على|هذا|هذه"
+ENGLISH_PATTERN = "(^|[^a-z0-9_])(the|and|or|of|in|to)([^a-z0-9_]|$)"
 # Text-quality thresholds on the trimmed length.
 SHORT_BELOW = 10
 LONG_ABOVE = 500
 # ---------------------------------------------------------------------------
 
-# A word boundary spelled out with an explicit ASCII word class, so the rule means the same in
-# every regex engine (Java's \b and RE2's \b disagree next to accented letters).
-_WORD_EDGE_L = "(^|[^a-z0-9_])"
-_WORD_EDGE_R = "([^a-z0-9_]|$)"
-
-FRENCH_PATTERN = "[" + FRENCH_ACCENTS + "]|" + "|".join(FRENCH_MARKERS)
 # Every Arabic marker is written in the Arabic block: a one-class scan rules out most texts
 # before the seven-way alternation runs (same result, much less work on long texts).
 ARABIC_BLOCK = "[" + chr(0x0600) + "-" + chr(0x06FF) + "]"
-ARABIC_PATTERN = "|".join(ARABIC_MARKERS)
-ENGLISH_PATTERN = _WORD_EDGE_L + "(" + "|".join(ENGLISH_MARKERS) + ")" + _WORD_EDGE_R
 
 # Java needs (?iu) to fold accented capitals (TRÈS); (?i) alone is ASCII-only.
 SPARK_FLAGS = "(?iu)"

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from avisflow.functions.dates import is_iso_date
 from avisflow.plans import collect, quality, sentiment, star, topics
-from avisflow.plans.warehouse import Warehouse
-from avisflow.session import scratch_path
+from avisflow.plans.warehouse import SOURCES, Warehouse
+from avisflow.session import built_once, input_state, scratch_path
+from avisflow.sources.tables import table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 STG_COLUMNS = ["review_id", "doc_id", "bank", "agency", "url", "location", "author", "rating", "review_date",
@@ -190,8 +191,17 @@ def _stream_ingest(spark, sf_dir):
 
 
 def _lda(spark, sf_dir):
-    docs = topics.topic_documents(_wh(spark, sf_dir).stg_reviews)
-    return topics.lda_fit(docs, topics.vocabulary_of(docs))
+    """Topics and assignments of one fit per language, written once per application and input state."""
+    w, fitted = _wh(spark, sf_dir), []
+
+    def part(i):
+        if not fitted:
+            docs = topics.topic_documents(w.stg_reviews)
+            fitted.extend(topics.lda_fit(docs, topics.vocabulary_of(docs)))
+        return fitted[i]
+
+    state = input_state(spark, [table_path(sf_dir, t) for t in SOURCES])
+    return [built_once(spark, name, state, lambda i=i: part(i)) for i, name in enumerate(("lda_topics", "lda_assigned"))]
 
 
 def _src(spark, sf_dir):

@@ -23,7 +23,7 @@ HEADLINE = [
     "branch_performance", "customer_insights", "sentiment_trends", "topic_analysis",
     "quality_metrics", "dq_relationships",
     "sentiment_lexicon_score", "language_ngram", "tfidf_terms", "topic_category_match",
-    "agency_urls", "page_field_extract",
+    "agency_urls", "page_field_extract", "lda_topics", "topic_assignment",
 ]
 
 
