@@ -17,7 +17,7 @@ from avisflow.llm.common import read, table
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose doc_id is not in ``gone`` (one column, gone_id)."""
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    return docs.join(gone.hint("shuffle_hash"), docs["doc_id"] == gone["gone_id"], "left_anti")
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
