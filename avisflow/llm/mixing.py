@@ -16,21 +16,29 @@ texts move only when a caller writes the mix.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from avisflow.llm.common import table
+from avisflow.llm.common import slices, table, text_bytes
 
 WEIGHTS, SHARE, MOST_PASSES, SEED = (3.0, 1.0, 2.0), 1.5, 2, 7
 #: Blocks a shard gets on average, words of a block at least, blocks of the corpus at most.
 SHARD_BLOCKS, BLOCK_WORDS, MAX_BLOCKS = 32, 65536, 262144
-WORD = r"[^\x20\x09-\x0D]+"
 
 
-def word_count(text_col: str):
-    return F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
+def word_counts(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """doc_id, source, size: words are what stands between ASCII white space; a null text has none."""
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, 2):
+                sizes = pa.array([len(t.split()) for t in text_bytes(part.column(2))], pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), sizes], names=["doc_id", "source", "size"])
+
+    src = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text"))
+    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, source string, size long")
 
 
 def capped_targets(sizes: np.ndarray, weights: np.ndarray, total: float, most: float) -> np.ndarray:
@@ -164,8 +172,7 @@ def mix_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     target 0 and its documents are taken as its passes say, which counts nothing. Rows that repeat
     a doc_id in a source are taken alike. Reruns agree. An empty table gives no rows.
     """
-    sized = table(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                              word_count(text_col).alias("size")), "sizes")
+    sized = table(word_counts(docs, id_col, text_col, source_col), "sizes")
     chosen = plan(sized, "doc_id", "source", "size", **options)
     out = apply_plan(sized, chosen, "doc_id", "source", options.get("seed", SEED))
     return out.select("doc_id", "source", "size", F.col("p_source_size").alias("source_size"), F.col("p_target").alias("target"),
@@ -176,8 +183,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         seed: int = SEED, **options) -> DataFrame:
     """The mix itself: the rows of ``docs`` (all columns, a row once per copy), dealt to shards and
     shuffled within each. See ``mix_table`` for the rules."""
-    sized = table(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                              word_count(text_col).alias("size")), "sizes")
+    sized = table(word_counts(docs, id_col, text_col, source_col), "sizes")
     chosen = plan(sized, "doc_id", "source", "size", seed=seed, **options)
     renamed = docs.select(*[F.col(f"`{c}`").alias(f"d_{i}") for i, c in enumerate(docs.columns)])
     at = {c: f"d_{i}" for i, c in enumerate(docs.columns)}
