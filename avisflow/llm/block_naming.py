@@ -22,6 +22,7 @@ from pyspark.sql import Window as W
 from avisflow.llm.common import table
 
 BLOCK_CHARS = 8192
+HEAD_CHARS = 16
 #: Most frequent blocks that are named by broadcast (bound of that table), and the least count of one.
 HEAVY, HEAVY_LEAST = 1024, 64
 NO_PARTNER = -(1 << 62)
@@ -50,10 +51,13 @@ def _name_blocks(src: DataFrame, chars: int) -> DataFrame:
                  .select("block", (-F.row_number().over(W.orderBy(F.col("block").desc()))).cast("long").alias("name")))
         heavy = table(heavy, "heavy-blocks")
         cold = rows.join(F.broadcast(heavy.select("block")), "block", "left_anti")
-    # Range partitions hold all rows of a block; the sort inside them makes the row number an order.
-    named = (cold.repartitionByRange("block").sortWithinPartitions("block", "rid", "pos")
+    # Blocks are sorted by their first characters, a hash and the whole block; ranges are cut by the
+    # first two, so the sample that Spark takes for them stays small. A range holds all rows of a
+    # block; the sort inside it makes the row number an order.
+    named = (cold.withColumns({"head": F.left("block", F.lit(HEAD_CHARS)), "h": F.xxhash64("block")})
+             .repartitionByRange("head", "h").sortWithinPartitions("head", "h", "block", "rid", "pos")
              .withColumn("ord", F.monotonically_increasing_id())
-             .withColumn("name", F.min("ord").over(W.partitionBy("block"))))
+             .withColumn("name", F.min("ord").over(W.partitionBy("head", "h", "block"))))
     cols = ["rid", "doc_id", "sha", "n", "pos", "name"]
     named = named.select(*cols)
     if hashes:
