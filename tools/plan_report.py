@@ -37,8 +37,10 @@ COMMENTARY = """
 * **SortAggregate** in the dimensions comes from MIN/MAX over *text* dates (AGG-10 keeps the
   reference's lexicographic semantics; Spark's hash aggregate needs fixed-width buffers). It is
   still partial + final, so a hot location is pre-aggregated before the shuffle.
-* Views read the staged core from the parquet table written once per plan (see README), and
-  `branch_performance` reads its checkpointed branch aggregate, hence few scan filters there.
+* Star models, views and quality reports read the warehouse tables written once per application (see README), hence their
+  few joins and scan filters: their own plans hold no staging chain. `branch_performance` ends in lookups of the ranks table.
+* Text-side models (`stg_reviews`, sentiment, topics) show the staging chain: one scan of `documents`, the fixture joins and
+  the de-duplication window.
 """
 
 
