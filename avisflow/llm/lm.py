@@ -287,7 +287,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     cold = counts.where(F.col("c") * HOT_SHARE < n_train).select(F.col("word").alias("w"), "c")
     pairs = scored.select("rid", F.explode(F.arrays_zip("rare", "rare_n")).alias("r")).select(
         "rid", F.col("r.rare").alias("word"), F.col("r.rare_n").alias("k"))
-    met = (pairs.join(cold, pairs.word == cold.w).groupBy("rid")
+    # no word here is hot, so a hash join of counts is even; the pairs need no sort
+    met = (pairs.join(cold.hint("shuffle_hash"), pairs.word == cold.w).groupBy("rid")
            .agg(F.sum("k").alias("rare_known"), F.sum(F.col("k") * F.log10(F.col("c") + 1.0)).alias("rare_base"))
            .select(F.col("rid").alias("m_rid"), "rare_known", "rare_base"))
     met = table(met, "lm-rare")
