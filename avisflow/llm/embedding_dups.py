@@ -36,15 +36,20 @@ def layout(vectors: int, threshold: float = THRESHOLD, recall: float = RECALL, b
     return planes, math.ceil(math.log(1 - recall) / math.log(1 - agree ** planes))
 
 
+def _signature_type(planes: int) -> str:
+    return "u1" if planes <= 8 else "<u2" if planes <= 16 else "<u4"
+
+
 def signatures(x: np.ndarray, planes: int, tables: int, seed: int = SEED) -> np.ndarray:
-    """(rows, tables) bucket numbers."""
+    """(rows, tables) bucket numbers, in the smallest type that holds them."""
     normals = np.random.default_rng([seed, x.shape[1], planes, tables]).standard_normal((x.shape[1], tables * planes))
     bits = (x @ normals > 0).reshape(len(x), tables, planes)
-    return (bits * (1 << np.arange(planes))).sum(2).astype("<u4")
+    return (bits * (1 << np.arange(planes))).sum(2).astype(_signature_type(planes))
 
 
-def _entries(classes: DataFrame, planes: int, tables: int, keys_only: bool, seed: int) -> DataFrame:
-    """One row per vector and table: key; with its signatures and components unless ``keys_only``."""
+def _entries(classes: DataFrame, planes: int, tables: int, keys_only: bool, seed: int, kind: str) -> DataFrame:
+    """One row per vector and table: key; with its signatures and components (numbers of ``kind``,
+    which holds the input's exactly) unless ``keys_only``."""
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
@@ -56,9 +61,7 @@ def _entries(classes: DataFrame, planes: int, tables: int, keys_only: bool, seed
                     rows = np.nonzero(sizes == dim)[0]
                     x = np.stack([lists[i] for i in rows])
                     sig = signatures(x / np.abs(x).max(1, keepdims=True), planes, tables, seed)
-                    raw, packed = x.astype("<f8").tobytes(), sig.tobytes()
-                    raw = [raw[i * dim * 8:(i + 1) * dim * 8] for i in range(len(rows))]
-                    packed = [packed[i * tables * 4:(i + 1) * tables * 4] for i in range(len(rows))]
+                    raw, packed = ([r.tobytes() for r in a] for a in (x.astype(kind), sig))
                     take = pa.array(rows)
                     for t in range(tables):
                         # vectors of different length never meet; the table and the length are part of the key
@@ -71,7 +74,7 @@ def _entries(classes: DataFrame, planes: int, tables: int, keys_only: bool, seed
         run, "key long, cid long" + ("" if keys_only else ", copies long, sig binary, vec binary"))
 
 
-def _compare(threshold: float, tables: int):
+def _compare(threshold: float, planes: int, tables: int, kind: str):
     """Within each (key, cell) run: count each pair in the first table that holds it."""
     def cell(key, own, cid, copies, sig, x):
         t, n = (key // 65536) % tables, len(cid)
@@ -106,8 +109,8 @@ def _compare(threshold: float, tables: int):
         for a, b in zip(np.concatenate([[0], change]), np.append(change, len(key))):
             if b - a < 2:
                 continue
-            sigs = np.frombuffer(b"".join(sig[a:b]), "<u4").reshape(b - a, tables)
-            x = np.frombuffer(b"".join(vec[a:b]), "<f8").reshape(b - a, -1)
+            sigs = np.frombuffer(b"".join(sig[a:b]), _signature_type(planes)).reshape(b - a, tables)
+            x = np.frombuffer(b"".join(vec[a:b]), kind).reshape(b - a, -1).astype(np.float64)
             order = np.argsort(own[a:b], kind="stable")
             links, x_, y_ = cell(int(key[a]), own[a:b][order], cid[a:b][order], copies[a:b][order], sigs[order], x[order])
             some = links > 0
@@ -152,6 +155,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     the smallest). Rows that repeat a vec_id are separate vectors. Other columns are not read; an
     empty table gives no rows.
     """
+    src_kind = vectors.schema[vector_col].dataType.simpleString()
     wide = F.col("v").cast("array<double>")
     bad = F.exists("vec", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     src = (vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).alias("v")).select("vec_id", wide.alias("vec"))
@@ -159,17 +163,18 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     classes = table(src.where("ok").groupBy("vec").agg(F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("first_id"))
                     .select(F.monotonically_increasing_id().alias("cid"), "copies", "vec", "first_id"), "vector-classes")
     planes, tables = layout(classes.count(), threshold, recall, bucket)
-    keys = _entries(classes, planes, tables, True, seed)
+    kind = "<f4" if src_kind == "array<float>" else "<f8"  # components travel in the input's width
+    keys = _entries(classes, planes, tables, True, seed, kind)
     big = table(keys.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > cell)
                 .select(F.col("key").alias("big"), F.ceil(F.col("rows") / cell).cast("int").alias("g")), "big-buckets")
     g = F.coalesce("g", F.lit(1))
     block = F.pmod(F.xxhash64("cid"), g).cast("int")
-    cells = (_entries(classes, planes, tables, False, seed).join(big, F.col("key") == F.col("big"), "left")
+    cells = (_entries(classes, planes, tables, False, seed, kind).join(big, F.col("key") == F.col("big"), "left")
              .withColumn("other", F.explode(F.sequence(F.lit(0), g - 1)))
              .select("key", (F.least(block, "other") * g + F.greatest(block, "other")).alias("cell"), block.alias("own"),
                      "cid", "copies", "sig", "vec"))
     found = table(cells.repartition("key", "cell").sortWithinPartitions("key", "cell")
-                  .mapInArrow(_compare(threshold, tables), "cid long, links long, other long"), "vector-links")
+                  .mapInArrow(_compare(threshold, planes, tables, kind), "cid long, links long, other long"), "vector-links")
     links = found.groupBy("cid").agg(F.sum("links").alias("links")).select(F.col("cid").alias("l_cid"), "links")
     comps = table(connected_components(found.select(F.col("cid").alias("u"), F.col("other").alias("v"))), "vector-components")
     small = classes.select("cid", "copies", "first_id")
