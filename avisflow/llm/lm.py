@@ -1,17 +1,21 @@
 """Log-bilinear language model trained with noise-contrastive estimation.
 
 The vector of a context is the sum of its two words' vectors, each scaled per dimension by its
-position's weights; a word's logit is its product with the word's output vector plus a bias. The
-model speaks of the ``TOP`` most frequent training words, the text's end and one class for all other
-words; within that class a word has its add-one share of the class's training tokens. Training tells
-each token from ``NOISE`` draws of the unigram distribution. Scores are fully normalised: matrix
-products over the whole output table give the normaliser of each context, kept by the worker.
+position's weights; a word's logit is its product with the word's output vector plus a bias. Every
+broadcast training word (below) seen ``LEAST`` times has its own vectors, so has the text's end; one
+place stands for the words left, and there a word has its add-one share of their training tokens.
+Above ``SIZE`` places a word's probability is its frequency class's times its own in the class, both
+from the context's vector: the classes have output vectors too. Training tells each token, at
+both levels, from ``NOISE`` draws of the unigram distribution. Scores are fully normalised: by
+matrix products over all classes and over all words of the word's class, or, of at most ``SIZE``
+places, over the whole output table, whose normalisers the worker keeps.
 
 Scale: every training document is counted and trained on. Tasks train on their own documents from
-the same start and their parameters, of fixed size, are averaged by weight in a tree. Word counts
-are summed before the shuffle. Words of at least one in ``HOT_SHARE`` tokens, so at most
-``HOT_SHARE`` words, are broadcast with their counts; only rarer words of each document, counted
-first, meet the count table in a join, which therefore has no hot key.
+the same start; each hands on the rows of its tables that it trained, and blocks of rows are
+averaged, each row by how often tasks trained it. Word counts are summed before the shuffle. Words
+of at least one in ``HOT_SHARE`` tokens, so at most ``HOT_SHARE`` words, are broadcast with their
+counts; only rarer words of each document, counted first, meet the count table in a join, which
+therefore has no hot key.
 """
 
 from __future__ import annotations
@@ -28,11 +32,15 @@ from avisflow.llm.common import crc_mod, slices, table, text_bytes, worker_cache
 
 TOP, DIM, CONTEXT = 1022, 32, 2
 OTHER, END, SIZE = TOP, TOP + 1, TOP + 2
+#: Training tokens of a word with vectors at least; most frequent words that are classes of their own.
+LEAST, FRONT = 2, 128
 NOISE, BATCH, RATE = 48, 4096, 0.03
 #: Equal (word, context) cases of a slice are trained as one row of up to this weight.
 WEIGHT = 8.0
 HOT_SHARE = 1_000_000
 SEED = 5
+#: Rows of a parameter table that are averaged together.
+ROWS = 4096
 _FLUSH = 200_000
 
 
@@ -79,95 +87,226 @@ def _contexts(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return flat, before, two
 
 
-class Parameters:
-    """The model's arrays, kept as one flat vector for averaging."""
+def class_width(n: int) -> int:
+    return 1 << max(6, round(np.log2(n) / 2))
+
+
+def class_of(n: int) -> np.ndarray:
+    """Frequency class of each of ``n`` places: the ``FRONT`` first, the other words and the end are
+    classes of one; the rest are runs of about the square root of ``n`` places."""
+    out = FRONT + 2 + (np.arange(n) - FRONT) // class_width(n)
+    out[:FRONT] = np.arange(FRONT)
+    out[OTHER], out[END] = FRONT, FRONT + 1
+    return out
 
-    SHAPES = (("context", (SIZE, DIM)), ("weights", (CONTEXT, DIM)), ("output", (SIZE, DIM)), ("bias", (SIZE,)))
 
-    def __init__(self, flat: np.ndarray):
+class Parameters:
+    """The model's arrays, kept as one flat vector; ``n`` places."""
+
+    def __init__(self, flat: np.ndarray, n: int = SIZE):
+        self.tables = {}
         at = 0
-        for name, shape in self.SHAPES:
-            n = int(np.prod(shape))
-            setattr(self, name, flat[at:at + n].reshape(shape))
-            at += n
+        for name, shape in self.shapes(n):
+            size = int(np.prod(shape))
+            self.tables[name] = flat[at:at + size].reshape(shape)
+            setattr(self, name, self.tables[name])
+            at += size
+
+    @staticmethod
+    def shapes(n: int) -> list:
+        out = [("context", (n, DIM)), ("weights", (CONTEXT, DIM)), ("output", (n, DIM)), ("bias", (n,))]
+        if n > SIZE:
+            kinds = int(class_of(n)[-1]) + 1
+            out += [("class_output", (kinds, DIM)), ("class_bias", (kinds,))]
+        return out
 
     @classmethod
     def start(cls, unigram: np.ndarray, seed: int = SEED) -> np.ndarray:
         rng = np.random.default_rng(seed)
-        return np.concatenate([rng.normal(0, 0.1, SIZE * DIM), np.full(CONTEXT * DIM, 0.7), rng.normal(0, 0.1, SIZE * DIM),
-                               np.log(unigram)]).astype(np.float32)
+        n = len(unigram)
+        parts = [rng.normal(0, 0.1, n * DIM), np.full(CONTEXT * DIM, 0.7)]
+        if n > SIZE:  # within a class words start from their unigram shares
+            classes = np.bincount(class_of(n), unigram)
+            parts += [np.zeros(n * DIM), np.log(unigram), rng.normal(0, 0.1, len(classes) * DIM), np.log(classes)]
+        else:
+            parts += [rng.normal(0, 0.1, n * DIM), np.log(unigram)]
+        return np.concatenate(parts).astype(np.float32)
 
     def vectors(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         return self.context[one] * self.weights[0] + self.context[two] * self.weights[1]
 
 
-def _scatter(index: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    flat = index[:, None] * DIM + np.arange(DIM)
-    return np.bincount(flat.ravel(), weights=rows.ravel(), minlength=SIZE * DIM).reshape(SIZE, DIM)
+class _Groups:
+    """Distinct values ``at`` of an index; sums of the rows that share one."""
+
+    def __init__(self, index: np.ndarray):
+        self.order = np.argsort(index)
+        held = index[self.order]
+        self.starts = np.flatnonzero(np.concatenate([[True], held[1:] != held[:-1]]))
+        self.at = held[self.starts]
+
+    def sums(self, rows: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(rows[self.order], self.starts, axis=0)
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+class _Level:
+    """One choice of the model: output table, bias, noise distribution."""
+
+    def __init__(self, output: str, bias: str, share: np.ndarray):
+        self.output, self.bias = output, bias
+        share = share / share.sum()
+        self.noise_log = np.log(NOISE * np.maximum(share, 1e-30)).astype(np.float32)
+        self.cumulative = np.cumsum(share)
+        self.last = int(np.flatnonzero(share)[-1])
+
+    def draw(self, rng) -> np.ndarray:
+        return np.searchsorted(self.cumulative, rng.random(NOISE) * self.cumulative[-1], "right").clip(0, self.last)
 
 
 class Trainer:
     """Noise-contrastive estimation with AdaGrad steps; noise draws are shared by a batch."""
 
     def __init__(self, flat: np.ndarray, unigram: np.ndarray, seed: int = SEED):
+        self.n = n = len(unigram)
         self.flat = flat.astype(np.float32).copy()
-        self.p = Parameters(self.flat)
-        self.noise_log = np.log(NOISE * unigram)
-        self.cumulative = np.cumsum(unigram)
-        self.square = np.full(len(self.flat), 1e-8, np.float32)
+        self.p = Parameters(self.flat, n)
+        self.square = Parameters(np.full(len(self.flat), 1e-8, np.float32), n)
+        self.seen = {name: np.zeros(len(t), np.float32) for name, t in self.p.tables.items()}
         self.rng = np.random.default_rng(seed)
-        self.tokens = 0
+        if n > SIZE:
+            self.kind = class_of(n)
+            self.top = _Level("class_output", "class_bias", np.bincount(self.kind, unigram))
+            self.inner = _Level("output", "bias", np.where(self.kind >= FRONT + 2, unigram, 0.0))
+        else:
+            self.kind, self.top, self.inner = np.arange(n), _Level("output", "bias", unigram), None
 
     def fit(self, word: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
         """Every token of a slice, in random order; equal cases together, by weight."""
-        cases, counts = np.unique((word * SIZE + one) * SIZE + two, return_counts=True)
+        n = self.n
+        cases, counts = np.unique((word * n + one) * n + two, return_counts=True)
         rows = np.ceil(counts / WEIGHT).astype(np.int64)
         case = np.repeat(cases, rows)
         weight = np.repeat(counts / rows, rows).astype(np.float32)
         order = self.rng.permutation(len(case))
         for at in range(0, len(order), BATCH):
             k, w = case[order[at:at + BATCH]], weight[order[at:at + BATCH]]
-            self.step(k // (SIZE * SIZE), k // SIZE % SIZE, k % SIZE, w)
-        self.tokens += len(word)
+            self.step(k // (n * n), k // n % n, k % n, w)
 
     def step(self, word: np.ndarray, one: np.ndarray, two: np.ndarray, weight: np.ndarray) -> None:
         p = self.p
-        noise = np.searchsorted(self.cumulative, self.rng.random(NOISE) * self.cumulative[-1]).clip(0, SIZE - 1)
-        c1, c2, target = p.context[one], p.context[two], p.output[word]
+        c1, c2 = p.context[one], p.context[two]
         h = c1 * p.weights[0] + c2 * p.weights[1]
-        up = 1 / (1 + np.exp(np.einsum("ij,ij->i", h, target) + p.bias[word] - self.noise_log[word]))
-        down = -1 / (1 + np.exp(-(h @ p.output[noise].T + p.bias[noise] - self.noise_log[noise])))
-        up, down = (up * weight).astype(np.float32), (down * weight[:, None]).astype(np.float32)
-        back = up[:, None] * target + down @ p.output[noise]
-        g_out = _scatter(word, up[:, None] * h)
-        np.add.at(g_out, noise, down.T @ h)
-        g_bias = np.bincount(word, up, SIZE)
-        np.add.at(g_bias, noise, down.sum(0))
-        g_context = _scatter(np.concatenate([one, two]), np.concatenate([back * p.weights[0], back * p.weights[1]]))
+        total = weight.sum()
+        kind = self.kind[word]
+        back = self._contrast(self.top, h, kind, weight, total)
+        if self.inner is not None:
+            tail = np.flatnonzero(kind >= FRONT + 2)
+            if len(tail):
+                back[tail] += self._contrast(self.inner, h[tail], word[tail], weight[tail], total)
         g_weights = np.stack([(back * c1).sum(0), (back * c2).sum(0)])
-        grad = np.concatenate([g_context.ravel(), g_weights.ravel(), g_out.ravel(), g_bias]).astype(np.float32) / weight.sum()
-        self.square += grad * grad
-        self.flat += RATE * grad / np.sqrt(self.square)
+        groups = _Groups(np.concatenate([one, two]))
+        self._add("context", groups, np.concatenate([back * p.weights[0], back * p.weights[1]]), total)
+        self.seen["context"][groups.at] += groups.sums(np.concatenate([weight, weight]))
+        self._add("weights", _Groups(np.arange(CONTEXT)), g_weights, total)
+        self.seen["weights"] += total
+
+    def _contrast(self, level: _Level, h, target, weight, total) -> np.ndarray:
+        """One level's step: its output rows move, the gradient of the contexts' vectors is returned."""
+        output, bias = self.p.tables[level.output], self.p.tables[level.bias]
+        noise = level.draw(self.rng)
+        hit, miss = output[target], output[noise]
+        up = _sigmoid(level.noise_log[target] - bias[target] - np.einsum("ij,ij->i", h, hit)) * weight
+        down = h @ miss.T
+        down += bias[noise] - level.noise_log[noise]
+        down = _sigmoid(down)
+        down *= -weight[:, None]
+        back = down @ miss
+        hit *= up[:, None]
+        back += hit
+        groups = _Groups(np.concatenate([target, noise]))
+        self._add(level.output, groups, np.concatenate([up[:, None] * h, down.T @ h]), total)
+        self._add(level.bias, groups, np.concatenate([up, down.sum(0)]), total)
+        trained = groups.sums(np.concatenate([weight, np.ones(NOISE, np.float32)]))
+        self.seen[level.output][groups.at] += trained
+        self.seen[level.bias][groups.at] += trained
+        return back
+
+    def _add(self, name: str, groups: _Groups, rows, total) -> None:
+        grad = groups.sums(rows)
+        grad /= total
+        table, square, at = self.p.tables[name], self.square.tables[name], groups.at
+        held = square[at] + grad * grad
+        square[at] = held
+        table[at] += RATE * grad / np.sqrt(held)
 
 
 class Scorer:
-    """Normalised log probabilities; normalisers of contexts are computed in blocks and kept."""
+    """Normalised log probabilities; with one level, normalisers of contexts are kept."""
 
-    def __init__(self, flat: np.ndarray):
-        self.p = Parameters(flat)
-        self.norm = np.full(SIZE * SIZE, np.nan, np.float32)
+    def __init__(self, flat: np.ndarray, n: int = SIZE):
+        self.p, self.n = Parameters(flat, n), n
+        if n > SIZE:
+            self.kind = class_of(n)
+            self.bias = self.p.bias.copy()
+            self.bias[[OTHER, END]] = -np.inf  # they stand among a class's places but are not of it
+        else:
+            self.norm = np.full(SIZE * SIZE, np.nan, np.float32)
 
     def log_probs(self, word: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        return self._classed(word, one, two) if self.n > SIZE else self._flat(word, one, two)
+
+    def _flat(self, word, one, two):
         p, key = self.p, one * SIZE + two
         fresh = np.unique(key[np.isnan(self.norm[key])])
         for at in range(0, len(fresh), 2048):
             k = fresh[at:at + 2048]
-            z = p.vectors(k // SIZE, k % SIZE) @ p.output.T + p.bias
-            top = z.max(1)
-            self.norm[k] = top + np.log(np.exp(z - top[:, None]).sum(1))
+            self.norm[k] = _log_sum(p.vectors(k // SIZE, k % SIZE) @ p.output.T + p.bias)
         logit = np.einsum("ij,ij->i", p.vectors(one, two), p.output[word]) + p.bias[word]
         return (logit - self.norm[key]).astype(np.float64)
 
+    def _classed(self, word, one, two):
+        p = self.p
+        keys, place = np.unique(one * self.n + two, return_inverse=True)
+        h = p.vectors(keys // self.n, keys % self.n)
+        norm = np.empty(len(h), np.float32)
+        for at in range(0, len(h), 2048):
+            norm[at:at + 2048] = _log_sum(h[at:at + 2048] @ p.class_output.T + p.class_bias)
+        kind = self.kind[word]
+        out = np.empty(len(word))
+        order = np.argsort(kind, kind="stable")
+        bounds = np.searchsorted(kind[order], np.arange(len(p.class_bias) + 1))
+        for k in np.flatnonzero(np.diff(bounds)):
+            rows = order[bounds[k]:bounds[k + 1]]
+            places = self.members(k)
+            for at in range(0, len(rows), 4096):
+                r = rows[at:at + 4096]
+                x = h[place[r]]
+                out[r] = x @ p.class_output[k] + p.class_bias[k] - norm[place[r]]
+                if k >= FRONT + 2:
+                    z = x @ p.output[places].T + self.bias[places]
+                    logit = z[np.arange(len(r)), word[r] - places.start]
+                    out[r] += logit - _log_sum(z)
+        return out
+
+    def members(self, k: int) -> slice:
+        """The places of class ``k``, other words and the end among them or not."""
+        width = class_width(self.n)
+        at = FRONT + (k - FRONT - 2) * width
+        return slice(at, min(at + width, self.n))
+
+
+def _log_sum(z: np.ndarray) -> np.ndarray:
+    top = z.max(1)
+    z -= top[:, None]
+    return top + np.log(np.exp(z, out=z).sum(1))
+
 
 class Lexicon:
     """Hot words: their counts and their place in the model; rare words are -1."""
@@ -176,44 +315,65 @@ class Lexicon:
         self.index = {w: i for i, w in enumerate(words)}
         self.counts = np.array([*counts, 0], np.int64)
         self.model = np.full(len(words) + 1, OTHER, np.int64)
-        self.model[:min(TOP, len(words))] = np.arange(min(TOP, len(words)))
+        own = np.arange(np.count_nonzero(self.counts >= LEAST))
+        self.model[:len(own)] = np.where(own < TOP, own, own + SIZE - TOP)
+        self.n = max(SIZE, len(own) + SIZE - TOP)  # places
+        self.own = len(own)
 
     def look_up(self, words: list[bytes]) -> np.ndarray:
         get = self.index.get
         return np.fromiter((get(w, -1) for w in words), np.int64, len(words))
 
 
-def _train(texts: DataFrame, lexicon, start: np.ndarray, unigram: np.ndarray) -> np.ndarray:
+def _train(texts: DataFrame, lexicon, unigram: np.ndarray) -> np.ndarray:
+    n = len(unigram)
+    shared = texts.sparkSession.sparkContext.broadcast(unigram)
+    kinds = [(name, shape[0], int(np.prod(shape[1:]))) for name, shape in Parameters.shapes(n)]
+    columns = "name int, block int, at binary, weight binary, rows binary"
+
+    def packed(name, block, at, weight, rows):
+        cells = [pa.array([name], pa.int32()), pa.array([block], pa.int32()),
+                 *(pa.array([x.tobytes()], pa.binary()) for x in (at.astype(np.int32), weight.astype(np.float32), rows.astype(np.float32)))]
+        return pa.RecordBatch.from_arrays(cells, names=["name", "block", "at", "weight", "rows"])
+
     def run(batches):
-        trainer = Trainer(start, unigram)
+        trainer = None
         for batch in batches:
             for part in slices(batch, 0, 4 << 20):
+                if trainer is None:
+                    trainer = Trainer(Parameters.start(shared.value), shared.value)
                 lex = lexicon.value
                 word, one, two = _contexts([lex.model[lex.look_up(_words(t))] for t in text_bytes(part.column(0))])
                 trainer.fit(word, one, two)
-        yield pa.RecordBatch.from_arrays([pa.array([trainer.tokens], pa.int64()), pa.array([trainer.flat.tobytes()], pa.binary())],
-                                         names=["tokens", "flat"])
+        if trainer is not None:
+            for i, (name, size, width) in enumerate(kinds):
+                seen, rows = trainer.seen[name], trainer.p.tables[name].reshape(size, width)
+                for block in range(0, size, ROWS):
+                    at = np.flatnonzero(seen[block:block + ROWS])
+                    if len(at):
+                        yield packed(i, block, at, seen[block + at], rows[block + at])
 
     def average(batches):
-        total, weight = 0.0, 0
+        held: dict = {}
         for batch in batches:
-            for n, flat in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                total = total + n * np.frombuffer(flat, np.float32).astype(np.float64)
-                weight += n
-        if weight:
-            yield pa.RecordBatch.from_arrays([pa.array([weight], pa.int64()), pa.array([(total / weight).astype(np.float32).tobytes()], pa.binary())],
-                                             names=["tokens", "flat"])
-
-    level = table(texts.mapInArrow(run, "tokens long, flat binary"), "lm-parameters").where("tokens > 0")
-    parts = level.count()
-    while parts > 16:  # a tree of averages; each node takes about sixteen parameter sets
-        parts = -(-parts // 16)
-        level = table(level.repartition(parts).mapInArrow(average, "tokens long, flat binary"), "lm-averages")
-    rows = sorted(level.collect(), key=lambda r: bytes(r["flat"]))
-    if not rows:
-        return start
-    weight = sum(r["tokens"] for r in rows)
-    return sum(r["tokens"] / weight * np.frombuffer(r["flat"], np.float32).astype(np.float64) for r in rows).astype(np.float32)
+            for i, block, at, weight, rows in zip(*(c.to_pylist() for c in batch.columns)):
+                size, width = kinds[i][1:]
+                if (i, block) not in held:
+                    held[i, block] = np.zeros(min(ROWS, size - block)), np.zeros((min(ROWS, size - block), width))
+                at, weight = np.frombuffer(at, np.int32), np.frombuffer(weight, np.float32).astype(np.float64)
+                held[i, block][0][at] += weight
+                held[i, block][1][at] += weight[:, None] * np.frombuffer(rows, np.float32).reshape(-1, width)
+        for (i, block), (weight, rows) in held.items():
+            at = np.flatnonzero(weight)
+            yield packed(i, block, at, weight[at], rows[at] / weight[at, None])
+
+    flat = Parameters.start(unigram)
+    tables = Parameters(flat, n).tables
+    # blocks of the averaged tables: at most the broadcast words' rows
+    for r in texts.mapInArrow(run, columns).repartition("name", "block").mapInArrow(average, columns).collect():
+        name, size, width = kinds[r["name"]]
+        tables[name].reshape(size, width)[r["block"] + np.frombuffer(r["at"], np.int32)] = np.frombuffer(r["rows"], np.float32).reshape(-1, width)
+    return flat
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -234,15 +394,15 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     hot = counts.where(F.col("c") * HOT_SHARE >= n_train).collect()  # HOT_SHARE words at most
     hot.sort(key=lambda r: (-r["c"], bytes(r["word"])))
     lex = Lexicon([bytes(r["word"]) for r in hot], [r["c"] for r in hot])
-    top = lex.counts[:min(TOP, len(hot))]
+    top = lex.counts[:lex.own]
     others = n_train - ends - int(top.sum())
     other_kinds = n_kinds - (ends > 0) - len(top)
-    mass = np.full(SIZE, 1e-3)  # places without a word keep a trace of mass
-    mass[:len(top)] = top
+    mass = np.full(lex.n, 1e-3)  # places without a word keep a trace of mass
+    mass[lex.model[:len(top)]] = top
     mass[OTHER], mass[END] = others + 1, ends + 1
     unigram = mass / mass.sum()
     lexicon = spark.sparkContext.broadcast(lex)
-    flat = _train(training, lexicon, Parameters.start(unigram), unigram) if ends else Parameters.start(unigram)
+    flat = _train(training, lexicon, unigram) if ends else Parameters.start(unigram)
     model = spark.sparkContext.broadcast(flat)
     name = uuid.uuid4().hex  # of this model, in the workers' cache
     share = np.log10(others + other_kinds + 1.0)  # denominator inside the class of other words
@@ -250,7 +410,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     def run(batches):
         cache = worker_cache("lm-scorer")
         if cache.get("of") != name:
-            cache.update(of=name, scorer=Scorer(model.value))
+            cache.update(of=name, scorer=Scorer(model.value, lexicon.value.n))
         scorer, lex = cache["scorer"], lexicon.value
         logs = np.log10(lex.counts + 1.0)
         for batch in batches:

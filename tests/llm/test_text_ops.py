@@ -259,3 +259,35 @@ def test_lm_odd_cases(spark):
     assert lm.score_texts(odd_docs(spark).limit(0)).count() == 0
     untrained = odd_docs(spark, [(i, "only held out", "s") for i in range(200) if zlib.crc32(str(i).encode()) % 7 == 2])
     assert {(r["train_tokens"], r["base_score"]) for r in lm.score_texts(untrained).collect()} == {(0, 0.0)}
+
+
+def test_vocabulary_grows_with_the_training_words():
+    lex = lm.Lexicon([b"w%d" % i for i in range(5000)], list(range(9000, 4000, -1)))
+    places = lex.model[lex.look_up([b"w%d" % i for i in range(5000)])]
+    assert len(set(places.tolist())) == 5000 and not {lm.OTHER, lm.END} & set(places.tolist())
+    assert lex.model[lex.look_up([b"unseen"])].tolist() == [lm.OTHER]
+    # words far below the first thousand, each followed by the next one: context tells them apart
+    rng = np.random.default_rng(0)
+    texts = [2000 + (s + np.arange(100)) % 300 for s in rng.integers(0, 300, 300)]
+    word, one, two = lm._contexts(texts)
+    unigram = np.bincount(word, minlength=lex.n) + 1e-3
+    unigram /= unigram.sum()
+    trainer = lm.Trainer(lm.Parameters.start(unigram), unigram)
+    for _ in range(30):
+        trainer.fit(word, one, two)
+    learned = lm.Scorer(trainer.flat, lex.n).log_probs(word, one, two)
+    assert learned.mean() > np.log(unigram[word]).mean() + 1
+
+
+def test_scores_are_normalised_over_classes():
+    n = 5000
+    rng = np.random.default_rng(0)
+    size = sum(int(np.prod(shape)) for _, shape in lm.Parameters.shapes(n))
+    scorer = lm.Scorer((0.5 * rng.standard_normal(size)).astype(np.float32), n)
+    for one, two in ((3, 4999), (lm.END, lm.END), (lm.OTHER, 2000)):
+        p = scorer.log_probs(np.arange(n), np.full(n, one), np.full(n, two))
+        assert abs(np.exp(p).sum() - 1) < 1e-3
+    kind = lm.class_of(n)
+    for k in range(lm.FRONT + 2, kind[-1] + 1):
+        inside = np.flatnonzero(kind == k)
+        assert set(inside) == set(range(n)[scorer.members(k)]) - {lm.OTHER, lm.END}
