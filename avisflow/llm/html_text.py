@@ -9,7 +9,8 @@ path from the body; of every block that reaches it, the subtree with the largest
 (if the first lies in an article or main element, only blocks in there are asked).
 
 Nodes that are boilerplate by their element or by their class or id (menus, footers, sidebars,
-adverts, forms, comments, ...) are cut before densities are computed. Tolerates unclosed and
+adverts, forms, comments, ...) are cut before densities are computed, but an element that is so only
+by its names, or a form, stays if it holds the page's article or most of its text. Tolerates unclosed and
 misnested markup. One page at a time, flat arrays, no recursion; a map over the pages.
 """
 
@@ -30,7 +31,7 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
-_CUT = frozenset("head script style noscript template nav aside footer form button select option input textarea iframe object "
+_CUT = frozenset("head script style noscript template nav aside footer button select option input textarea iframe object "
                  "svg canvas dialog menu title".split())
 _BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer "
                    "form h1 h2 h3 h4 h5 h6 header hgroup hr html li main nav ol p pre section summary table tbody tfoot thead tr ul".split())
@@ -45,6 +46,12 @@ _HINT = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|bann
                    r"recommended|recommendations|sidebar|side-bar|widget|menu|nav|navbar|navigation|breadcrumbs?|pagination|pager|"
                    r"footer|masthead|topbar|comments?|commentlist|disqus|respond|replies|reader-comments|contentinfo|"
                    r"complementary|search|toolbar|skip-link)(?:$|[\s_-])", re.I)
+#: Names that say how a page is laid out, not what the element is.
+_LAYOUT = re.compile(r"(?<!\S)(?:(?:has|no|not|with|without|hide|show)[_-]\S*|content[_-]sidebar\S*|\S*[_-](?:open|opened|closed|enabled|"
+                     r"disabled|active|inactive|hidden|visible|collapsed|expanded|allowed))(?!\S)", re.I)
+#: Words of elements that may well be longer than the article.
+_LONG = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|respond|replies|cookies?|consent|gdpr|related|recommended|"
+                   r"recommendations)(?:$|[\s_-])", re.I)
 _HEADERS = frozenset(("header", "site-header", "page-header", "global-header"))
 _CONTENT = frozenset(("article", "main", "body", "html"))
 
@@ -54,6 +61,7 @@ class _Dom:
 
     def __init__(self, page: str):
         self.parent, self.tag, self.cut = [-1], ["html"], [False]
+        self.hint = [0]  # 1: boilerplate by its names, 2: of a kind that may be long, 3: a form
         self.runs: list[tuple[int, str]] = []
         stack = [0]
         at = 0
@@ -97,10 +105,13 @@ class _Dom:
             while up > 0 and self.tag[up] not in ("article", "main"):
                 up = self.parent[up]
             cut = up <= 0  # the page's header, not an article's
-        if not cut and attributes and tag not in _CONTENT:
-            names = [x[1] or x[2] or x[3] or "" for x in _NAMES.findall(attributes)]
-            cut = any(_HINT.search(x) or not _HEADERS.isdisjoint(x.lower().split()) for x in names)
+        hint = 3 if tag == "form" else 0
+        if not cut and attributes:
+            names = [_LAYOUT.sub(" ", x[1] or x[2] or x[3] or "") for x in _NAMES.findall(attributes)]
+            if any(_HINT.search(x) or not _HEADERS.isdisjoint(x.lower().split()) for x in names):
+                hint = 2 if any(map(_LONG.search, names)) else 1
         self.cut.append(cut)
+        self.hint.append(hint)
         if tag == "br":
             self._text(above, " ")
         if tag not in _VOID and not attributes.endswith("/"):
@@ -125,6 +136,46 @@ class _Dom:
                 return
 
 
+def _cut_hinted(dom: _Dom, own: list[int]) -> None:
+    """Cut hinted elements unless they hold the page's article (of the article and main elements without a
+    hint the one with most text outside hinted elements) or more than half of the page's text (if
+    names mark them, not beside an article; kinds that may be long: if no text stands outside hinted elements). ``own``: characters of each node
+    that are not in links."""
+    n = len(dom.tag)
+    if not any(dom.hint):
+        return
+    parent, tag, hint, cut = dom.parent, dom.tag, dom.hint, dom.cut
+    chars, article, home, bare = [0] * n, [0] * n, [0] * n, [True] * n
+    for i in range(n):
+        if i:
+            bare[i] = bare[parent[i]] and (not hint[i] or tag[i] in _CONTENT)
+            home[i] = home[parent[i]]
+        if tag[i] in ("article", "main") and not hint[i]:
+            home[i] = home[i] or i
+        elif hint[i] and tag[i] not in _CONTENT:
+            home[i] = 0
+        if not cut[i]:
+            chars[i] = own[i]
+            article[home[i]] += own[i]
+    outside = sum(c for c, b in zip(chars, bare) if b)
+    for i in range(n - 1, 0, -1):
+        if not cut[i]:
+            chars[parent[i]] += chars[i]
+    stays, inside = set(), [False] * n
+    up = max(range(1, n), key=lambda i: article[i])
+    named = article[up] > 0
+    if named:
+        inside[up] = True
+        while up > 0:
+            stays.add(up)
+            up = parent[up]
+    for i in range(1, n):
+        inside[i] = inside[i] or inside[parent[i]]
+        if hint[i] and tag[i] not in _CONTENT and not cut[i] and i not in stays:
+            cut[i] = 2 * chars[i] <= chars[0] or (hint[i] == 2 and outside > 0) or (hint[i] < 3 and named and not inside[i])
+        cut[i] = cut[i] or cut[parent[i]]
+
+
 def _densities(chars, tags, link_chars, link_tags):
     """Composite density of every node from the counts below it; the body's counts are node 0's."""
     body_share = link_chars[0] / max(chars[0], 1)
@@ -154,6 +205,8 @@ def main_text(page: str | None) -> str:
     in_link = [False] * n
     for i in range(1, n):
         in_link[i] = in_link[parent[i]] or tag[i] == "a"
+    _cut_hinted(dom, [0 if linked else c for c, linked in zip(chars, in_link)])
+    for i in range(1, n):
         if in_link[i]:
             link_chars[i] = chars[i]
             link_tags[i] = 1

@@ -48,6 +48,36 @@ def test_two_sections_of_an_article_both_stay():
     assert html_text.main_text(f"<body><article>{body}</article><footer>f</footer></body>").count("Paragraph") == 8
 
 
+BODY = "".join(f"<p>Paragraph {i} of the story, with a few more words in it.</p>" for i in range(6))
+SIDE = '<div class="left-sidebar"><p>Side words</p></div><section id="comments"><article class="comment"><p>Well said</p></article></section>'
+
+
+@pytest.mark.parametrize("start,end", [(f"<div class='{c}'>", "</div>") for c in (
+    "content has-sidebar", "page no-sidebar", "content-sidebar-wrap", "post nav-open", "entry comments-closed", "modal", "page widget")]
+    + [("<form action=x>", "</form>"), ("<div id=overlay><form>", "</form></div>")])
+def test_wrappers_do_not_lose_the_text(start, end):
+    want = [f"Paragraph {i} of the story, with a few more words in it." for i in range(6)]
+    for body in (f"<article>{BODY}</article>", BODY):
+        for side in ("", SIDE):
+            got = html_text.main_text(f"<body>{start}{body}{side}{end}<footer>f</footer></body>")
+            assert got.split("\n\n") == want
+
+
+def test_a_menu_is_not_most_of_the_text():
+    menu = "".join(f"<li><a href=/{i}>An entry of the menu number {i}</a></li>" for i in range(90))
+    assert "menu" not in html_text.main_text(f"<body><div class=menu><ul>{menu}</ul></div><div>{BODY}</div></body>")
+
+
+def test_a_small_article_does_not_cut_the_form_around_the_text():
+    assert html_text.main_text(f"<body><form>{BODY}</form><article></article></body>").count("Paragraph") == 6
+
+
+def test_long_comments_stay_cut():
+    page = f"<body><div><p>A short story of a few words.</p></div><section class=comments>{BODY}</section></body>"
+    assert html_text.main_text(page) == "A short story of a few words."
+    assert html_text.main_text(f"<body><section class=comments>{BODY}</section></body>").count("Paragraph") == 6
+
+
 @given(st.text(alphabet="<>/apdivbr \"'=&;!-", max_size=60))
 @settings(max_examples=150, deadline=None)
 def test_any_markup_is_read(page):
