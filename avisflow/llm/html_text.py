@@ -6,7 +6,7 @@ links. Its composite density is C/T scaled by a logarithm of how rare links are,
 body, so link-heavy nodes sink. A block's density sum is the sum over its child blocks (inline markup counts
 as tags only). The block with the largest density sum fixes a threshold, the least density on its
 path from the body; of every block that reaches it, the subtree with the largest sum is main text
-(if the first lies in an article or main element, only blocks in there are asked).
+(if the first lies in an article or main element, only blocks in such elements are asked).
 
 Nodes that are boilerplate by their element or by their class or id (menus, footers, sidebars,
 adverts, forms, comments, ...) are cut before densities are computed, but an element that is so only
@@ -240,15 +240,14 @@ def main_text(page: str | None) -> str:
             up = parent[up]
         if up == best and 2 * chars[largest] >= chars[best]:
             best = largest
-    threshold, up, root = density[best], best, 0
+    threshold, up, named = density[best], best, False
     while up > 0:
-        if tag[up] in ("article", "main"):
-            root = up
+        named = named or tag[up] in ("article", "main")
         up = parent[up]
         threshold = min(threshold, density[up])
     asked = [False] * n
     for i in range(n):
-        asked[i] = i == root or (i > 0 and asked[parent[i]])
+        asked[i] = not named or tag[i] in ("article", "main") or (i > 0 and asked[parent[i]])
     chosen = {best} | {strongest[i] for i in range(n) if asked[i] and is_block[i] and not dom.cut[i]
                        and chars[i] and density[i] >= threshold}
     inside = [False] * n

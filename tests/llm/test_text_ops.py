@@ -72,6 +72,11 @@ def test_a_small_article_does_not_cut_the_form_around_the_text():
     assert html_text.main_text(f"<body><form>{BODY}</form><article></article></body>").count("Paragraph") == 6
 
 
+def test_sibling_articles_all_stay():
+    page = f"<body><div><article>{BODY}</article><article>{BODY}</article><article>{BODY}</article></div><div><p>Text beside them.</p></div></body>"
+    assert html_text.main_text(page).count("Paragraph") == 18 and "beside" not in html_text.main_text(page)
+
+
 def test_long_comments_stay_cut():
     page = f"<body><div><p>A short story of a few words.</p></div><section class=comments>{BODY}</section></body>"
     assert html_text.main_text(page) == "A short story of a few words."
