@@ -56,15 +56,15 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 min_docs: int = MIN_DOCS) -> DataFrame:
     """doc_id, n_lines, n_dropped, kept_text: one row per input row.
 
-    A key of at least ``min_chars`` code points in at least ``min_docs`` rows loses its lines
-    everywhere but in the largest doc_id that holds it. Null or empty text: one empty line. A row
-    counts as a document, whether or not its doc_id repeats; rows that repeat the largest doc_id
-    all keep the line. Null ids are never the largest; a key found under null ids only stays there.
+    A key of at least ``min_chars`` code points under at least ``min_docs`` doc_ids loses its lines
+    everywhere but in the largest doc_id that holds it. Null or empty text: one empty line. Rows that
+    repeat a doc_id count as one document; those of the largest doc_id all keep the line. Null ids
+    count as no document and are never the largest, but lose the lines that others share.
     Other columns of ``docs`` are not read; an empty table gives no rows.
     """
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     held = table(line_hashes(src, min_chars), "line-hashes")
-    common = table(held.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper"))
+    common = table(held.groupBy("h1", "h2").agg(F.count_distinct("doc_id").alias("n"), F.max("doc_id").alias("keeper"))
                    .where(F.col("n") >= min_docs).select(F.col("h1").alias("c1"), F.col("h2").alias("c2"), "keeper"), "common-lines")
     drops = (held.join(common, (held.h1 == common.c1) & (held.h2 == common.c2))
              .where(~F.col("doc_id").eqNullSafe(F.col("keeper")))

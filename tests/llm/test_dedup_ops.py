@@ -158,6 +158,14 @@ def test_lines_odd_cases(spark):
     assert sorted(got, key=key) == sorted(brute_lines(rows), key=key)
 
 
+def test_lines_count_documents_not_rows(spark):
+    rows = [(i, LINES[0], "s") for i in (1, 1, 1, 2, 2, None, None)]
+    assert {r["n_dropped"] for r in lines.dedup_lines(odd_docs(spark, rows)).collect()} == {0}
+    rows += [(i, LINES[0], "s") for i in (3, 4, 5)]
+    got = [(r["doc_id"], r["n_dropped"]) for r in lines.dedup_lines(odd_docs(spark, rows)).collect()]
+    assert sorted(got, key=str) == sorted(((i, int(i != 5)) for i, *_ in rows), key=str)
+
+
 # -- embeddings ------------------------------------------------------------------
 def brute_vectors(rows, threshold=0.9):
     def good(v):
