@@ -102,12 +102,13 @@ def train_network(x: np.ndarray, y: np.ndarray, seed: int = SEED) -> dict:
     rng = np.random.default_rng(seed)
     prior = (y.sum() + 1.0) / (len(y) + 2.0)
     mean, scale = (x.mean(0), x.std(0) + 1e-3) if len(x) else (np.zeros(3 * DIM), np.ones(3 * DIM))
-    net = {"mean": mean.astype(np.float32), "scale": scale.astype(np.float32), "t": 1.0,
+    net = {"mean": mean.astype(np.float32), "scale": scale.astype(np.float32), "t": 1.0, "fitted": False,
            "w1": (rng.standard_normal((3 * DIM, HIDDEN)) / np.sqrt(3 * DIM)).astype(np.float32),
            "b1": np.zeros(HIDDEN, np.float32), "w2": np.zeros(HIDDEN, np.float32),
            "b2": np.float32(np.log(prior / (1 - prior)))}
     if len(y) < 20 or y.min() == y.max():
         return net  # too little to learn from: every text scores the prior
+    net["fitted"] = True
     z = ((x - net["mean"]) / net["scale"]).astype(np.float32)
     order = rng.permutation(len(y))
     held, fit = order[:len(y) // 5], order[len(y) // 5:]

@@ -1,7 +1,7 @@
 """The corpus pipeline: stages over ``documents``, each written as Parquet and read again.
 
 Each stage works on all that its predecessor kept and its decisions take effect: documents that the
-quality classifier rejects go; of equal texts the largest doc_id stays; of each group of SimHash
+quality classifier rejects go (none, where labels are too few or of one kind to fit it); of equal texts the largest doc_id stays; of each group of SimHash
 near-duplicates the smallest doc_id stays; the mix drops and repeats documents to meet the sources'
 targets; the last stage encodes what is left and decodes it again (one row per copy in the mix).
 """
@@ -22,6 +22,8 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.fit(docs, read(spark, sf_dir, "labels"))
+    if not model["net"]["fitted"]:
+        return docs  # nothing was learned: no reason to reject
     scored = quality.score(docs, model, score_name="quality_score", predicted_name="quality_predicted")
     return scored.where("quality_predicted = 1").select(*docs.columns)
 

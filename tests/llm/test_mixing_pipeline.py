@@ -122,6 +122,15 @@ def test_pipeline_of_odd_rows(spark, tmp_path):
     assert cp.run(spark, str(empty)).count() == 0
 
 
+def test_quality_stage_without_a_network_rejects_nothing(spark, tmp_path):
+    import corpus_pipeline as cp
+    docs = odd_docs(spark)
+    for name, rows in (("none", []), ("few", [(1, 0), (2, 1)]), ("one_kind", [(i, 0) for i in range(1, 18)])):
+        spark.createDataFrame(rows, "doc_id long, quality int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        kept = cp.quality_filter(spark, docs, f"{tmp_path}/{name}")
+        assert kept.columns == docs.columns and kept.count() == docs.count()
+
+
 # -- registration ----------------------------------------------------------------
 def test_eleven_queries_are_registered():
     assert len(queries.QUERIES) == 11 and sum(n.startswith("op") for n in queries.QUERIES) == 10
