@@ -79,6 +79,13 @@ def _block(place, n_blocks):
     return F.pmod(F.shiftrightunsigned(place, 11), n_blocks)
 
 
+def _cut_rows(keyed: DataFrame, cuts: DataFrame) -> DataFrame:
+    """Rows with words of the partly taken blocks: at most as many as a block has words; rows without
+    words do not change the running sum."""
+    at = (F.col("src") == F.col("c_src")) & (F.col("block") == F.col("c_block"))
+    return keyed.where(F.col("size") > 0).join(F.broadcast(cuts), at)
+
+
 def plan(sized: DataFrame, id_col: str, source_col: str, size_col: str, weights=WEIGHTS, share: float = SHARE,
          most: int = MOST_PASSES, shards: int | None = None, seed: int = SEED, block_words: int = BLOCK_WORDS,
          max_blocks: int = MAX_BLOCKS) -> DataFrame:
@@ -116,7 +123,7 @@ def plan(sized: DataFrame, id_col: str, source_col: str, size_col: str, weights=
     # Within the one partly taken block of a source, documents in order of their place up to the target.
     cuts = spark.createDataFrame([(s, p, float(m)) for s, (p, m) in enumerate(zip(part, missing)) if p >= 0],
                                  "c_src int, c_block long, need double")
-    inside = keyed.join(F.broadcast(cuts), (F.col("src") == F.col("c_src")) & (F.col("block") == F.col("c_block")))
+    inside = _cut_rows(keyed, cuts)
     run = W.partitionBy("src").orderBy("place").rangeBetween(W.unboundedPreceding, W.currentRow)
     upto = (inside.withColumn("run", F.sum("size").over(run))
             .where(F.abs(F.col("run") - F.col("need")) < F.col("need"))  # nearer to the target than taking none

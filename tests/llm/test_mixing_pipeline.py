@@ -82,6 +82,18 @@ def test_mix_odd_cases(spark):
     assert mixing.mix_table(docs.limit(0)).count() == 0 and mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_blank_rows_stay_out_of_the_running_sum(spark):
+    keyed = spark.createDataFrame([(0, 0, i % 3, i) for i in range(30)], "src int, block long, size long, place long")
+    cuts = spark.createDataFrame([(0, 0, 5.0)], "c_src int, c_block long, need double")
+    assert sorted(r["size"] for r in mixing._cut_rows(keyed, cuts).collect()) == [1] * 10 + [2] * 10
+    docs = spark.createDataFrame([(i, "a b c" if i % 50 == 0 else None, "s") for i in range(2000)] + [(9000, "a " * 120, "t")],
+                                 "doc_id long, text string, source string")
+    rows = mixing.mix_table(docs).collect()
+    taken = sum(r["taken"] for r in rows if r["source"] == "s")
+    target = next(r["target"] for r in rows if r["source"] == "s")
+    assert len(rows) == 2001 and abs(taken - target) <= 3
+
+
 # -- pipeline --------------------------------------------------------------------
 def test_pipeline_stages(spark):
     sys.path.insert(0, REPO)
