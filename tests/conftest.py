@@ -3,21 +3,14 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
 from avisflow.session import get_session, shared_dir  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
     s = get_session("local[4]", shuffle_partitions=4, app_name="avisflow-tests")
     shared_dir(s)  # tests may set their own checkpoint folder when the session names none
     yield s
-
-
-def rows(df, *cols):
-    """Collect as sorted tuples of the given columns (or all columns)."""
-    cols = cols or tuple(df.columns)
-    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=lambda t: tuple(str(x) for x in t))

@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from avisflow.plans import build
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 
 def test_full_build_writes_every_table(spark, tmp_path):

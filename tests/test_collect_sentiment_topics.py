@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from avisflow.functions import extract as X
 from avisflow.plans import collect, sentiment, topics
-from conftest import rows
+from support import rows
 
 
 def test_address_clean_and_guess(spark):

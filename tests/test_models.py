@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from avisflow.plans import enrich, quality, staging, star, views
 from avisflow.plans.warehouse import Warehouse
-from conftest import SF_SMALL, rows
+from support import SF_SMALL, rows
 
 STAGING = "doc_id long, bank string, agency string, url string, location string, author string, rating double, " \
           "review_date string, review_text string"

@@ -7,7 +7,7 @@ from avisflow.operators import checks
 from avisflow.operators.dedup import latest_per_key
 from avisflow.operators.ranking import global_rank
 from avisflow.operators.shares import partition_aggregate, share_of_total, share_within
-from conftest import rows
+from support import rows
 
 
 def test_latest_per_key_undated_copy_wins_and_ties_are_stable(spark):
