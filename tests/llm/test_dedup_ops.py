@@ -5,7 +5,7 @@ import hashlib
 import numpy as np
 import pytest
 import xxhash
-from helpers import components, lower, odd_docs, words
+from llm_helpers import components, lower, odd_docs, words
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -52,7 +52,7 @@ def key(row):
 
 @pytest.mark.parametrize("block", [3, 64, 8192])
 def test_exact_odd_cases(spark, block):
-    from helpers import ODD_TEXTS
+    from llm_helpers import ODD_TEXTS
     got = [tuple(r) for r in block_naming.exact_dedup(odd_docs(spark), block_chars=block).collect()]
     assert sorted(got, key=key) == sorted(brute_exact(ODD_TEXTS), key=key)
 
@@ -92,7 +92,7 @@ def brute_simhash(rows):
 
 
 def test_simhash_odd_cases(spark):
-    from helpers import ODD_TEXTS
+    from llm_helpers import ODD_TEXTS
     got = [tuple(r) for r in simhash.near_duplicates(odd_docs(spark)).collect()]
     assert sorted(got, key=key) == sorted(brute_simhash(ODD_TEXTS), key=key)
 

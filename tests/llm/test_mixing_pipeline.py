@@ -6,7 +6,7 @@ import sys
 
 import numpy as np
 import pytest
-from helpers import odd_docs, words
+from llm_helpers import odd_docs, words
 
 from avisflow.llm import mixing, queries
 

@@ -10,7 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
-from helpers import lower, odd_docs, words
+from llm_helpers import lower, odd_docs, words
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -289,7 +289,7 @@ def test_contexts_stop_at_text_ends():
 
 
 def test_lm_odd_cases(spark):
-    from helpers import ODD_TEXTS
+    from llm_helpers import ODD_TEXTS
     close([tuple(r) for r in lm.score_texts(odd_docs(spark)).collect()], brute_base(ODD_TEXTS))
     assert lm.score_texts(odd_docs(spark).limit(0)).count() == 0
     untrained = odd_docs(spark, [(i, "only held out", "s") for i in range(200) if zlib.crc32(str(i).encode()) % 7 == 2])
