@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from avisflow.llm import (block_naming, embedding_dups, html_text, lines, lm, mixing, phrases, piece_bpe, quality, secret_scan, simhash,
-                          vector_codes)
+                          toxicity, vector_codes)
 from avisflow.llm.common import read
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -81,6 +81,12 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_texts(read(spark, sf_dir, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    fitted = toxicity.fit(docs, read(spark, sf_dir, "labels"))
+    return toxicity.score(docs, fitted).select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.with_label_errors(*vector_codes.compress(read(spark, sf_dir, "embeddings")))
 
@@ -95,4 +101,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_html_text, op2_exact_dedup, op3_embedding_dups, op4_piece_bpe, op5_secret_scan, op6_quality,
-                                   op7_mixing, op8_simhash, op9_line_dedup, op10_lm, op12_vector_codes, op13_phrases, pipeline)}
+                                   op7_mixing, op8_simhash, op9_line_dedup, op10_lm, op11_toxicity,
+                                   op12_vector_codes, op13_phrases, pipeline)}
