@@ -34,6 +34,7 @@ UNKNOWN = "und"
 _MARK = b"\xff"  # stands for the end of a piece; no byte of UTF-8
 _PIECES = bytes(0xFF if chr(i) in ".,;:!?\n\x0b\x0c\r" else i for i in range(256))
 _CUT = 1 << 20
+_SIDE = 32  # counts in a row
 
 
 def words(text: bytes):
@@ -196,7 +197,8 @@ class Union:
         sizes = np.array([len(p) for p in split])
         flat = np.fromiter((index[w] for p in split for w in p), np.int64, int(sizes.sum()))
         starts = np.cumsum(sizes) - sizes
-        self.keys, self.pids = {}, {}
+        own = np.flatnonzero(sizes == 1)
+        self.keys, self.pids = {}, {1: pids[own[np.argsort(flat[starts[own]])]]}  # every word is a row of its own
         for k in range(2, int(sizes.max(initial=1)) + 1):
             own = np.flatnonzero(sizes == k)
             node = flat[starts[own][:, None] + np.arange(k)]
@@ -216,7 +218,7 @@ class Union:
 
 
 def _counted_held(texts: DataFrame, union: DataFrame, longest: int, shard_words: int) -> DataFrame:
-    """(lang, phrase, f) of the union's phrases and their words, the union broadcast."""
+    """(lang, phrase, f) of the union's phrases, the union broadcast."""
     held = union.toPandas()  # HELD_PHRASES at most
     unions = {lang: Union(own["phrase"].tolist(), own["pid"].to_numpy(np.int64)) for lang, own in held.groupby("lang")}
     shared, name = texts.sparkSession.sparkContext.broadcast(unions), uuid.uuid4().hex
@@ -227,28 +229,29 @@ def _counted_held(texts: DataFrame, union: DataFrame, longest: int, shard_words:
             cache.clear()
             cache.update(of=name, index={lang: {w: i for i, w in enumerate(u.words)} for lang, u in shared.value.items()})
         unions, index = shared.value, cache["index"]
-        sums = {lang: {1: np.zeros(len(u.words), np.int64)} | {k: np.zeros(len(p), np.int64) for k, p in u.pids.items()} for lang, u in unions.items()}
+        sums = {lang: {k: np.zeros(len(p), np.int64) for k, p in u.pids.items()} for lang, u in unions.items()}
         for lang, flat, names in _shards(batches, shard_words):
             if lang in unions:
                 place = np.array([index[lang].get(x, -1) for x in names] + [-1], np.int64)
                 for k, node in _levels(flat, place[flat], longest, unions[lang].find):
                     if k in sums[lang]:
                         sums[lang][k] += np.bincount(node[node >= 0], minlength=len(sums[lang][k]))
-        for lang, by_size in sums.items():
-            for k, c in by_size.items():
-                at = np.flatnonzero(c)
-                if k == 1:
-                    cells = [[lang] * len(at), [unions[lang].words[i].decode() for i in at], pa.nulls(len(at), pa.int64())]
-                else:
-                    cells = [pa.nulls(len(at), pa.string()), pa.nulls(len(at), pa.string()), unions[lang].pids[k][at]]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip([*cells, c[at]], (pa.string(), pa.string(), pa.int64(), pa.int64()))],
-                                                 names=["lang", "word", "pid", "c"])
-
-    counted = table(texts.mapInArrow(run, "lang string, word string, pid long, c long").groupBy("lang", "word", "pid")
-                    .agg(F.sum("c").alias("f")), "phrase-counts")
-    longer = counted.where("pid is not null").select(F.col("pid").alias("c_pid"), "f").join(union, F.col("c_pid") == F.col("pid"))
-    return longer.select("lang", "phrase", "f").unionByName(
-        counted.where("pid is null").select("lang", F.col("word").alias("phrase"), "f"))
+        found = [(unions[lang].pids[k], c) for lang, by_size in sums.items() for k, c in by_size.items()]
+        pid, c = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*found) if found else ((), ())))
+        pid, c = pid[c > 0], c[c > 0]
+        blocks, at = np.unique(pid // _SIDE, return_inverse=True)  # phrases that stand together share a row
+        counts = np.zeros((len(blocks), _SIDE), np.int64)
+        counts[at, pid % _SIDE] = c
+        for a in range(0, len(blocks), 1 << 14):
+            rows = counts[a:a + (1 << 14)]
+            yield pa.RecordBatch.from_arrays([pa.array(blocks[a:a + (1 << 14)]), pa.FixedSizeListArray.from_arrays(
+                pa.array(rows.ravel()), _SIDE).cast(pa.list_(pa.int64()))], names=["block", "counts"])
+
+    counted = table(texts.mapInArrow(run, "block long, counts array<long>").groupBy("block")
+                    .agg(F.array(*[F.sum(F.col("counts")[i]) for i in range(_SIDE)]).alias("counts")), "phrase-counts")
+    single = counted.select("block", F.posexplode("counts").alias("side", "f")).where("f > 0").select(
+        (F.col("block") * _SIDE + F.col("side")).alias("c_pid"), "f")
+    return single.join(union, F.col("c_pid") == F.col("pid")).select("lang", "phrase", "f")
 
 
 def _counted_joined(texts: DataFrame, union: DataFrame, longest: int, shard_words: int) -> DataFrame:
@@ -264,9 +267,7 @@ def _counted_joined(texts: DataFrame, union: DataFrame, longest: int, shard_word
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(p), pa.string()), pa.array(p, pa.string()), pa.array(c, pa.int64())],
                                                      names=["lang", "phrase", "c"])
 
-    single = union.select("lang", F.explode(F.split("phrase", " ")).alias("phrase")).distinct()
-    wanted = table(union.select("lang", "phrase").unionByName(single).select(F.col("lang").alias("w_lang"), F.col("phrase").alias("w_phrase")),
-                   "phrase-wanted")
+    wanted = union.select(F.col("lang").alias("w_lang"), F.col("phrase").alias("w_phrase"))
     counted = table(texts.mapInArrow(run, "lang string, phrase string, c long").groupBy("lang", "phrase").agg(F.sum("c").alias("f")), "phrase-all")
     return counted.join(wanted, (F.col("lang") == F.col("w_lang")) & (F.col("phrase") == F.col("w_phrase")), "left_semi")
 
@@ -281,7 +282,9 @@ def frequent_phrases(texts: DataFrame, support: int = SUPPORT, longest: int = LO
     shards = max(1, -(-sum(large.values()) // shard_words))
     grouped = texts.join(F.broadcast(totals.where(F.col("n") <= support).limit(HELD_LANGS).select(F.col("lang").alias("t_lang"))),
                          F.col("lang") == F.col("t_lang"), "left_anti").coalesce(shards)
-    union = table(candidates(grouped, large, support, longest, shard_words).withColumn("pid", F.monotonically_increasing_id()), "phrase-union")
+    longer = table(candidates(grouped, large, support, longest, shard_words), "phrase-longer")
+    single = longer.select("lang", F.explode(F.split("phrase", " ")).alias("phrase")).distinct()
+    union = table(longer.unionByName(single).withColumn("pid", F.monotonically_increasing_id()), "phrase-union")
     count = _counted_held if union.count() <= held_phrases else _counted_joined
     return table(count(grouped, union, longest, shard_words).where(F.col("f") >= support), "phrases"), totals
 
