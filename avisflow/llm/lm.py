@@ -140,13 +140,23 @@ class _Groups:
     """Distinct values ``at`` of an index; sums of the rows that share one."""
 
     def __init__(self, index: np.ndarray):
-        self.order = np.argsort(index)
-        held = index[self.order]
-        self.starts = np.flatnonzero(np.concatenate([[True], held[1:] != held[:-1]]))
-        self.at = held[self.starts]
+        order = np.argsort(index)
+        held = index[order]
+        first = np.concatenate([[True], held[1:] != held[:-1]])
+        self.at = held[first]
+        self.place = np.empty(len(index), np.int64)
+        self.place[order] = np.cumsum(first) - 1
+        self.cells: dict[int, np.ndarray] = {}
 
     def sums(self, rows: np.ndarray) -> np.ndarray:
-        return np.add.reduceat(rows[self.order], self.starts, axis=0)
+        if rows.ndim == 1:
+            return np.bincount(self.place, rows, len(self.at)).astype(np.float32)
+        width = rows.shape[1]
+        if width not in self.cells:
+            self.cells[width] = (self.place[:, None] * width + np.arange(width)).ravel()
+        out = np.zeros(len(self.at) * width, np.float32)
+        np.add.at(out, self.cells[width], rows.ravel())
+        return out.reshape(-1, width)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -242,9 +252,14 @@ class Trainer:
         grad = groups.sums(rows)
         grad /= total
         table, square, at = self.p.tables[name], self.square.tables[name], groups.at
-        held = square[at] + grad * grad
+        held = square[at]
+        held += grad * grad
         square[at] = held
-        table[at] += RATE * grad / np.sqrt(held)
+        np.sqrt(held, out=held)
+        np.divide(grad, held, out=held)
+        held *= RATE
+        held += table[at]
+        table[at] = held
 
 
 class Scorer:
