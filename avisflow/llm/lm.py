@@ -4,15 +4,14 @@ The vector of a context is the sum of its two words' vectors, each scaled per di
 position's weights; a word's logit is its product with the word's output vector plus a bias. Every
 broadcast training word (below) seen ``LEAST`` times has its own vectors, so has the text's end; one
 place stands for the words left, and there a word has its add-one share of their training tokens.
-Above ``SIZE`` places a word's probability is its frequency class's times its own in the class, both
-from the context's vector: the classes have output vectors too. Training tells each token, at
-both levels, from ``NOISE`` draws of the unigram distribution. Scores are fully normalised: by
-matrix products over all classes and over all words of the word's class, or, of at most ``SIZE``
-places, over the whole output table, whose normalisers the worker keeps.
+A word's probability is its frequency class's times its own in the class, both from the context's
+vector: the classes have output vectors too. Training tells each token, at both levels, from
+``NOISE`` draws of the unigram distribution. Scores are fully normalised, by matrix products over
+all classes and over all words of the word's class.
 
 Scale: every training document is counted and trained on. Tasks train on their own documents from
-the same start; each hands on the rows of its tables that it trained, and blocks of rows are
-averaged, each row by how often tasks trained it. Word counts are summed before the shuffle. Words
+the same start; each hands on the rows of its tables that it trained, and blocks of rows are averaged
+in a tree, each row by how often tasks trained it. Word counts are summed before the shuffle. Words
 of at least one in ``HOT_SHARE`` tokens, so at most ``HOT_SHARE`` words, are broadcast with their
 counts; only rarer words of each document, counted first, meet the count table in a join, which
 therefore has no hot key.
@@ -25,6 +24,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +41,8 @@ HOT_SHARE = 1_000_000
 SEED = 5
 #: Rows of a parameter table that are averaged together.
 ROWS = 4096
+#: Tasks whose rows of a block meet in one task.
+FAN = 16
 _FLUSH = 200_000
 
 
@@ -114,22 +116,18 @@ class Parameters:
 
     @staticmethod
     def shapes(n: int) -> list:
-        out = [("context", (n, DIM)), ("weights", (CONTEXT, DIM)), ("output", (n, DIM)), ("bias", (n,))]
-        if n > SIZE:
-            kinds = int(class_of(n)[-1]) + 1
-            out += [("class_output", (kinds, DIM)), ("class_bias", (kinds,))]
-        return out
+        kinds = int(class_of(n).max()) + 1
+        return [("context", (n, DIM)), ("weights", (CONTEXT, DIM)), ("output", (n, DIM)), ("bias", (n,)),
+                ("class_output", (kinds, DIM)), ("class_bias", (kinds,))]
 
     @classmethod
     def start(cls, unigram: np.ndarray, seed: int = SEED) -> np.ndarray:
         rng = np.random.default_rng(seed)
         n = len(unigram)
-        parts = [rng.normal(0, 0.1, n * DIM), np.full(CONTEXT * DIM, 0.7)]
-        if n > SIZE:  # within a class words start from their unigram shares
-            classes = np.bincount(class_of(n), unigram)
-            parts += [np.zeros(n * DIM), np.log(unigram), rng.normal(0, 0.1, len(classes) * DIM), np.log(classes)]
-        else:
-            parts += [rng.normal(0, 0.1, n * DIM), np.log(unigram)]
+        classes = np.bincount(class_of(n), unigram)
+        # within a class words start from their unigram shares
+        parts = [rng.normal(0, 0.1, n * DIM), np.full(CONTEXT * DIM, 0.7), np.zeros(n * DIM), np.log(unigram),
+                 rng.normal(0, 0.1, len(classes) * DIM), np.log(classes)]
         return np.concatenate(parts).astype(np.float32)
 
     def vectors(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
@@ -190,12 +188,9 @@ class Trainer:
         self.square = Parameters(np.full(len(self.flat), 1e-8, np.float32), n)
         self.seen = {name: np.zeros(len(t), np.float32) for name, t in self.p.tables.items()}
         self.rng = np.random.default_rng(seed)
-        if n > SIZE:
-            self.kind = class_of(n)
-            self.top = _Level("class_output", "class_bias", np.bincount(self.kind, unigram))
-            self.inner = _Level("output", "bias", np.where(self.kind >= FRONT + 2, unigram, 0.0))
-        else:
-            self.kind, self.top, self.inner = np.arange(n), _Level("output", "bias", unigram), None
+        self.kind = class_of(n)
+        self.top = _Level("class_output", "class_bias", np.bincount(self.kind, unigram))
+        self.inner = _Level("output", "bias", np.where(self.kind >= FRONT + 2, unigram, 0.0))
 
     def fit(self, word: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
         """Every token of a slice, in random order; equal cases together, by weight."""
@@ -216,10 +211,9 @@ class Trainer:
         total = weight.sum()
         kind = self.kind[word]
         back = self._contrast(self.top, h, kind, weight, total)
-        if self.inner is not None:
-            tail = np.flatnonzero(kind >= FRONT + 2)
-            if len(tail):
-                back[tail] += self._contrast(self.inner, h[tail], word[tail], weight[tail], total)
+        tail = np.flatnonzero(kind >= FRONT + 2)
+        if len(tail):
+            back[tail] += self._contrast(self.inner, h[tail], word[tail], weight[tail], total)
         g_weights = np.stack([(back * c1).sum(0), (back * c2).sum(0)])
         groups = _Groups(np.concatenate([one, two]))
         self._add("context", groups, np.concatenate([back * p.weights[0], back * p.weights[1]]), total)
@@ -263,51 +257,27 @@ class Trainer:
 
 
 class Scorer:
-    """Normalised log probabilities; with one level, normalisers of contexts are kept."""
+    """Normalised log probabilities; biases are a further dimension of the output tables."""
 
     def __init__(self, flat: np.ndarray, n: int = SIZE):
-        self.p, self.n = Parameters(flat, n), n
-        if n > SIZE:
-            self.kind = class_of(n)
-            self.bias = self.p.bias.copy()
-            self.bias[[OTHER, END]] = -np.inf  # they stand among a class's places but are not of it
-        else:
-            self.norm = np.full(SIZE * SIZE, np.nan, np.float32)
+        self.p, self.n, self.kind = Parameters(flat, n), n, class_of(n)
+        self.classes = np.hstack([self.p.class_output, self.p.class_bias[:, None]])
+        self.words = np.hstack([self.p.output, self.p.bias[:, None]])
+        self.words[[OTHER, END], -1] = -1e30  # they stand among a class's places but are not of it
 
     def log_probs(self, word: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        return self._classed(word, one, two) if self.n > SIZE else self._flat(word, one, two)
-
-    def _flat(self, word, one, two):
-        p, key = self.p, one * SIZE + two
-        fresh = np.unique(key[np.isnan(self.norm[key])])
-        for at in range(0, len(fresh), 2048):
-            k = fresh[at:at + 2048]
-            self.norm[k] = _log_sum(p.vectors(k // SIZE, k % SIZE) @ p.output.T + p.bias)
-        logit = np.einsum("ij,ij->i", p.vectors(one, two), p.output[word]) + p.bias[word]
-        return (logit - self.norm[key]).astype(np.float64)
-
-    def _classed(self, word, one, two):
-        p = self.p
         keys, place = np.unique(one * self.n + two, return_inverse=True)
-        h = p.vectors(keys // self.n, keys % self.n)
-        norm = np.empty(len(h), np.float32)
-        for at in range(0, len(h), 2048):
-            norm[at:at + 2048] = _log_sum(h[at:at + 2048] @ p.class_output.T + p.class_bias)
+        h = np.ones((len(keys), DIM + 1), np.float32)
+        h[:, :DIM] = self.p.vectors(keys // self.n, keys % self.n)
+        norm = _log_sums(h, self.classes)
         kind = self.kind[word]
-        out = np.empty(len(word))
-        order = np.argsort(kind, kind="stable")
-        bounds = np.searchsorted(kind[order], np.arange(len(p.class_bias) + 1))
-        for k in np.flatnonzero(np.diff(bounds)):
-            rows = order[bounds[k]:bounds[k + 1]]
-            places = self.members(k)
-            for at in range(0, len(rows), 4096):
-                r = rows[at:at + 4096]
-                x = h[place[r]]
-                out[r] = x @ p.class_output[k] + p.class_bias[k] - norm[place[r]]
-                if k >= FRONT + 2:
-                    z = x @ p.output[places].T + self.bias[places]
-                    logit = z[np.arange(len(r)), word[r] - places.start]
-                    out[r] += logit - _log_sum(z)
+        out = np.einsum("ij,ij->i", h[place], self.classes[kind]).astype(np.float64) - norm[place]
+        tail = np.flatnonzero(kind >= FRONT + 2)
+        order = tail[np.argsort(kind[tail], kind="stable")]
+        kinds, starts = np.unique(kind[order], return_index=True)
+        for k, rows in zip(kinds.tolist(), np.split(order, starts[1:])):
+            x = h[place[rows]]
+            out[rows] += np.einsum("ij,ij->i", x, self.words[word[rows]]) - _log_sums(x, self.words[self.members(k)])
         return out
 
     def members(self, k: int) -> slice:
@@ -317,10 +287,20 @@ class Scorer:
         return slice(at, min(at + width, self.n))
 
 
-def _log_sum(z: np.ndarray) -> np.ndarray:
-    top = z.max(1)
-    z -= top[:, None]
-    return top + np.log(np.exp(z, out=z).sum(1))
+def _log_sums(h: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """log of the sums over a table's rows of exp of the products; blocks that stay in the cache."""
+    out, table = np.empty(len(h), np.float32), np.ascontiguousarray(table.T)
+    for at in range(0, len(h), 512):
+        z = h[at:at + 512] @ table
+        with np.errstate(over="ignore"):
+            sums = np.exp(z, out=z).sum(1)
+        odd = ~((sums > 1e-30) & (sums < 1e30))  # beyond single precision: from the largest product on
+        if odd.any():
+            z = h[at:at + 512][odd].astype(np.float64) @ table
+            top = z.max(1)
+            out[at:at + 512][odd] = top + np.log(np.exp(z - top[:, None]).sum(1))
+        out[at:at + 512][~odd] = np.log(sums[~odd])
+    return out
 
 
 class Lexicon:
@@ -344,12 +324,12 @@ def _train(texts: DataFrame, lexicon, unigram: np.ndarray) -> np.ndarray:
     n = len(unigram)
     shared = texts.sparkSession.sparkContext.broadcast(unigram)
     kinds = [(name, shape[0], int(np.prod(shape[1:]))) for name, shape in Parameters.shapes(n)]
-    columns = "name int, block int, at binary, weight binary, rows binary"
+    columns = "part int, name int, block int, at binary, weight binary, rows binary"
 
-    def packed(name, block, at, weight, rows):
-        cells = [pa.array([name], pa.int32()), pa.array([block], pa.int32()),
+    def packed(part, name, block, at, weight, rows):
+        cells = [*(pa.array([x], pa.int32()) for x in (part, name, block)),
                  *(pa.array([x.tobytes()], pa.binary()) for x in (at.astype(np.int32), weight.astype(np.float32), rows.astype(np.float32)))]
-        return pa.RecordBatch.from_arrays(cells, names=["name", "block", "at", "weight", "rows"])
+        return pa.RecordBatch.from_arrays(cells, names=["part", "name", "block", "at", "weight", "rows"])
 
     def run(batches):
         trainer = None
@@ -361,31 +341,38 @@ def _train(texts: DataFrame, lexicon, unigram: np.ndarray) -> np.ndarray:
                 word, one, two = _contexts([lex.model[lex.look_up(_words(t))] for t in text_bytes(part.column(0))])
                 trainer.fit(word, one, two)
         if trainer is not None:
+            part = TaskContext.get().partitionId() // FAN
             for i, (name, size, width) in enumerate(kinds):
                 seen, rows = trainer.seen[name], trainer.p.tables[name].reshape(size, width)
                 for block in range(0, size, ROWS):
                     at = np.flatnonzero(seen[block:block + ROWS])
                     if len(at):
-                        yield packed(i, block, at, seen[block + at], rows[block + at])
+                        yield packed(part, i, block, at, seen[block + at], rows[block + at])
 
     def average(batches):
         held: dict = {}
         for batch in batches:
-            for i, block, at, weight, rows in zip(*(c.to_pylist() for c in batch.columns)):
+            for part, i, block, at, weight, rows in zip(*(c.to_pylist() for c in batch.columns)):
                 size, width = kinds[i][1:]
-                if (i, block) not in held:
-                    held[i, block] = np.zeros(min(ROWS, size - block)), np.zeros((min(ROWS, size - block), width))
+                key = part, i, block
+                if key not in held:
+                    held[key] = np.zeros(min(ROWS, size - block)), np.zeros((min(ROWS, size - block), width))
                 at, weight = np.frombuffer(at, np.int32), np.frombuffer(weight, np.float32).astype(np.float64)
-                held[i, block][0][at] += weight
-                held[i, block][1][at] += weight[:, None] * np.frombuffer(rows, np.float32).reshape(-1, width)
-        for (i, block), (weight, rows) in held.items():
+                held[key][0][at] += weight
+                held[key][1][at] += weight[:, None] * np.frombuffer(rows, np.float32).reshape(-1, width)
+        for key, (weight, rows) in held.items():
             at = np.flatnonzero(weight)
-            yield packed(i, block, at, weight[at], rows[at] / weight[at, None])
+            yield packed(*key, at, weight[at], rows[at] / weight[at, None])
 
     flat = Parameters.start(unigram)
     tables = Parameters(flat, n).tables
-    # blocks of the averaged tables: at most the broadcast words' rows
-    for r in texts.mapInArrow(run, columns).repartition("name", "block").mapInArrow(average, columns).collect():
+    trained = texts.mapInArrow(run, columns)
+    while True:  # a tree: FAN tasks' rows of a block are averaged together, then FAN of those averages
+        trained = table(trained.repartition("name", "block", "part").mapInArrow(average, columns), "lm-rows")
+        if not trained.agg(F.max("part")).first()[0]:
+            break
+        trained = trained.withColumn("part", F.floor(F.col("part") / FAN).cast("int"))
+    for r in trained.toLocalIterator():  # one row per block of the tables: at most the broadcast words' rows
         name, size, width = kinds[r["name"]]
         tables[name].reshape(size, width)[r["block"] + np.frombuffer(r["at"], np.int32)] = np.frombuffer(r["rows"], np.float32).reshape(-1, width)
     return flat
