@@ -5,6 +5,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -274,14 +275,57 @@ def test_base_scores(spark, share, monkeypatch):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)  # the model beats the base on unseen texts
 
 
-def test_scores_are_normalised():
-    rng = np.random.default_rng(0)
-    scorer = lm.Scorer(rng.standard_normal(2 * lm.SIZE * lm.DIM + lm.CONTEXT * lm.DIM + lm.SIZE).astype(np.float32))
+def test_products_beyond_single_precision_are_normalised():
+    n = lm.SIZE
+    size = sum(int(np.prod(shape)) for _, shape in lm.Parameters.shapes(n))
+    scorer = lm.Scorer((8 * np.random.default_rng(0).standard_normal(size)).astype(np.float32), n)
     for one, two in ((3, 5), (lm.END, lm.END), (lm.OTHER, 0)):
-        p = scorer.log_probs(np.arange(lm.SIZE), np.full(lm.SIZE, one), np.full(lm.SIZE, two))
+        p = scorer.log_probs(np.arange(n), np.full(n, one), np.full(n, two))
         assert abs(np.exp(p).sum() - 1) < 1e-3
 
 
+def slow_log10(texts, lex, flat, others, other_kinds, counts):
+    """Scores by their definition, a token at a time, in double precision."""
+    p, kind = lm.Parameters(flat.astype(np.float64), lex.n), lm.class_of(lex.n)
+    for text in texts:
+        total, one, two = 0.0, lm.END, lm.END
+        for w in [*words(lower(text)), None]:
+            at = lex.index.get((w or "").encode(), -1)
+            place = lm.END if w is None else int(lex.model[at])
+            h = p.context[one] * p.weights[0] + p.context[two] * p.weights[1]
+            z = np.exp(p.class_output @ h + p.class_bias)
+            chance = z[kind[place]] / z.sum()
+            if kind[place] >= lm.FRONT + 2:
+                inside = [i for i in np.flatnonzero(kind == kind[place])]
+                z = np.exp(p.output[inside] @ h + p.bias[inside])
+                chance *= z[inside.index(place)] / z.sum()
+            if place == lm.OTHER:
+                chance *= (counts.get(w, 0) + 1) / (others + other_kinds + 1)
+            total += np.log10(chance)
+            one, two = place, one
+        yield total
+
+
+def test_score_equals_the_slow_form(spark, monkeypatch):
+    kept, train = {}, lm._train
+
+    def caught(texts, lexicon, unigram):
+        kept.update(lex=lexicon.value, flat=train(texts, lexicon, unigram))
+        return kept["flat"]
+
+    monkeypatch.setattr(lm, "_train", caught)
+    monkeypatch.setattr(lm, "FAN", 2)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").repartition(6)
+    rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
+    got = {r["doc_id"]: r["score"] for r in lm.score_texts(docs).collect()}
+    counts = Counter(w for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2 for w in words(lower(t)))
+    own = {w for w in counts if kept["lex"].model[kept["lex"].index.get(w.encode(), -1)] != lm.OTHER}
+    others = sum(c for w, c in counts.items() if w not in own)
+    short = [(i, t) for i, t in rows if len(t or "") < 900][:25]
+    for (i, _), want in zip(short, slow_log10([t for _, t in short], kept["lex"], kept["flat"], others, len(counts) - len(own), counts)):
+        assert abs(got[i] - want) < 1e-3 * max(1, abs(want))
+
+
 def test_contexts_stop_at_text_ends():
     word, one, two = lm._contexts([np.array([1, 2, 3]), np.array([], int), np.array([4])])
     e = lm.END
@@ -323,6 +367,6 @@ def test_scores_are_normalised_over_classes():
         p = scorer.log_probs(np.arange(n), np.full(n, one), np.full(n, two))
         assert abs(np.exp(p).sum() - 1) < 1e-3
     kind = lm.class_of(n)
-    for k in range(lm.FRONT + 2, kind[-1] + 1):
+    for k in range(lm.FRONT + 2, kind.max() + 1):
         inside = np.flatnonzero(kind == k)
         assert set(inside) == set(range(n)[scorer.members(k)]) - {lm.OTHER, lm.END}
