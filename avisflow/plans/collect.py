@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from avisflow.functions import extract as X
+from avisflow.operators.elements import repeated_elements
 
 # ---------------------------------------------------------------------------
 # Selector fallbacks per field, tried in order (generic HTML forms of the
@@ -22,7 +23,17 @@ TEXT_PATTERNS = [r'(?s)<div class="review-text">(.*?)</div>', r"(?s)<article>(.*
 ADDRESS_PATTERNS = [r'aria-label="(Adresse[^"]*)"', r"(?s)<address>(.*?)</address>"]
 FOOTER_PATTERN = r"(?s)<footer>(.*?)</footer>"
 LINK_PATTERN = r'<li><a href="([^"]*)">([^<]*)</a></li>'
+PARAGRAPH_PATTERN = r"(?s)<p>(.*?)</p>"
 HOST_PATTERN = r"^(https?://[^/?#]+)"
+# Class and aria-label selectors of a review and of the fields inside it, tried in order.
+REVIEW_ELEMENTS = ["jftiEf", "gws-localreviews__google-review"]
+REVIEW_FIELDS = {
+    "author": [("class", "d4r55"), ("class", "review__author"), ("class", "section-review-title")],
+    "rating": [("class_label", "kvMYJc"), ("label", "étoile"), ("label", "star")],
+    "date": [("class", "rsqaWe"), ("class", "section-review-publish-date")],
+    "text": [("class", "wiI7pd"), ("class", "section-review-text"), ("class", "review-full-text")],
+}
+REVIEW_DEFAULTS = {"author": X.DEFAULT_AUTHOR, "rating": X.DEFAULT_FIELD, "date": X.DEFAULT_FIELD, "text": X.DEFAULT_FIELD}
 REVIEW_PAGES = 1_000_000_000_000  # ids of the built review pages start here
 # ---------------------------------------------------------------------------
 
@@ -54,6 +65,54 @@ def with_review_pages(pages: DataFrame) -> DataFrame:
         pages.select((i + REVIEW_PAGES).alias("page_id"), "url", page.alias("html")))
 
 
+def with_review_lists(pages: DataFrame) -> DataFrame:
+    """The pages with a list of reviews behind their own markup, one per paragraph: nested elements
+    of the same name, two class names, missing fields, and a reply that is a review inside a review."""
+    def review(p, i):
+        n, stars = i.cast("string"), (i % 5 + 1).cast("string")
+
+        def part(*pieces):
+            return F.concat(*[F.lit(x) if isinstance(x, str) else x for x in pieces])
+
+        none = F.lit("")
+        return F.concat(
+            F.lit('<div class="'), F.when(F.col("page_id") % 3 == 2, F.lit(REVIEW_ELEMENTS[1])).otherwise(F.lit(REVIEW_ELEMENTS[0] + " fontBodyMedium")),
+            part('" data-review-id=', n, ">"),
+            F.when(i % 4 != 3, part('<div class="d4r55 x">Client <b>', n, "</b>&nbsp;</div>")).otherwise(none),
+            F.when(i % 3 == 0, part('<span class="kvMYJc" aria-label="', stars, ',5 étoiles"></span>'))
+             .when(i % 3 == 1, part("<span aria-label='", stars, " stars'><i></i></span>")).otherwise(none),
+            F.when(i % 2 == 0, part("<span class=rsqaWe>il y a ", n, " jours</span>"))
+             .when(i % 5 == 1, part('<span class="section-review-publish-date">2024-05-01</span>')).otherwise(none),
+            F.when(i % 5 != 4, part('<div class="MyEned"><div class="wiI7pd"><div>', p, "</div> suite <img src=x></div><div></div></div>")).otherwise(none),
+            F.when(i % 7 == 6, part('<div class="reply jftiEf"><span class="d4r55"> </span><div class="review__author">Agence</div></div>')).otherwise(none),
+            F.lit("</div>"))
+
+    paragraphs = F.regexp_extract_all("html", F.lit(PARAGRAPH_PATTERN), 1)
+    reviews = F.array_join(F.transform(paragraphs, review), "")
+    return pages.select("page_id", "url", F.concat("html", F.lit('<div class="m6QErb">'), reviews, F.lit("</div>")).alias("html"))
+
+
+def page_reviews(pages: DataFrame) -> DataFrame:
+    """COL-3 + COL-7 over repeated elements: every review of a page with the fields inside its own
+    element; reviews without author and text go."""
+    found = repeated_elements(pages, "page_id", "html", REVIEW_ELEMENTS, REVIEW_FIELDS)
+
+    def field(name):
+        shown = F.filter(F.transform(F.col(name), lambda c: X.shown(c)), lambda c: c != "")
+        return F.coalesce(F.try_element_at(shown, F.lit(1)), F.lit(REVIEW_DEFAULTS[name]))
+
+    out = found.select("page_id", "position", field("author").alias("author"), X.rating_text(field("rating")).alias("rating"),
+                       field("date").alias("date"), field("text").alias("text"))
+    return out.where((F.col("author") != X.DEFAULT_AUTHOR) | (F.col("text") != X.DEFAULT_FIELD))
+
+
+def page_review_counts(pages: DataFrame) -> DataFrame:
+    """COL-8 over the reviews found in pages: kept reviews per host plus the grand total."""
+    host = pages.select("page_id", F.regexp_extract("url", HOST_PATTERN, 1).alias("host"))
+    return (page_reviews(pages).select("page_id").join(host, "page_id").rollup("host")
+            .agg(F.count(F.lit(1)).alias("review_count"), F.grouping("host").cast("int").alias("is_total")))
+
+
 def bank_from_query(pages: DataFrame) -> DataFrame:
     """COL-1: the page title is the search target; its first whitespace token is the bank."""
     q = X.first_match("html", TITLE_PATTERNS[:1], X.DEFAULT_FIELD)

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from avisflow.functions.dates import is_iso_date
-from avisflow.plans import collect, quality, sentiment, star, topics
+from avisflow.plans import collect, quality, sentiment, star, topic_model, topics
 from avisflow.plans.warehouse import SOURCES, Warehouse
-from avisflow.session import built_once, input_state, scratch_path
+from avisflow.session import built_once, input_state, materialized_table, scratch_path
 from avisflow.sources.tables import table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +78,8 @@ QUERIES: dict[str, Query] = {
     "agency_urls": lambda s, d: collect.agency_urls(_src(s, d).pages),
     "page_field_extract": lambda s, d: collect.page_field_extract(collect.with_review_pages(_src(s, d).pages)),
     "review_keep": lambda s, d: collect.review_keep(collect.with_review_pages(_src(s, d).pages)),
+    "page_reviews": lambda s, d: collect.page_reviews(collect.with_review_lists(_src(s, d).pages)),
+    "page_review_counts": lambda s, d: collect.page_review_counts(collect.with_review_lists(_src(s, d).pages)),
     "address_guess": lambda s, d: collect.address_guess(_src(s, d).documents),
     "address_clean": lambda s, d: collect.address_clean(_src(s, d).documents),
     "rating_parse": lambda s, d: collect.rating_parse(_src(s, d).documents),
@@ -101,6 +103,9 @@ QUERIES: dict[str, Query] = {
     "topic_category_match": lambda s, d: topics.topic_category_match(topics.tfidf_terms(_wh(s, d).stg_reviews)),
     "lda_topics": lambda s, d: _lda(s, d)[0],
     "topic_assignment": lambda s, d: topics.topic_assignment(*_lda(s, d)),
+    "tfidf_weights": lambda s, d: _weights(s, d),
+    "em_topics": lambda s, d: topic_model.topic_words(_em(s, d)[0]),
+    "em_topic_assignment": lambda s, d: topics.topic_assignment(topics.category_scores(_em(s, d)[0]), _em(s, d)[1]),
     # sources and sinks
     "csv_roundtrip": lambda s, d: _csv_roundtrip(s, d),
     "stream_ingest": lambda s, d: _stream_ingest(s, d),
@@ -204,6 +209,28 @@ def _lda(spark, sf_dir):
     return [built_once(spark, name, state, lambda i=i: part(i)) for i, name in enumerate(("lda_topics", "lda_assigned"))]
 
 
+def _topic_input(spark, sf_dir):
+    docs = topics.topic_documents(_wh(spark, sf_dir).stg_reviews)
+    return docs, materialized_table(topics.vocabulary_of(docs), "topic_vocabulary")
+
+
+def _weights(spark, sf_dir):
+    return topic_model.document_weights(*_topic_input(spark, sf_dir))
+
+
+def _em(spark, sf_dir):
+    """Topics and assignments of the checked model, written once per application and input state."""
+    fitted = []
+
+    def part(i):
+        if not fitted:
+            fitted.extend(topic_model.fit(*_topic_input(spark, sf_dir)))
+        return fitted[i]
+
+    state = input_state(spark, [table_path(sf_dir, t) for t in SOURCES])
+    return [built_once(spark, name, state, lambda i=i: part(i)) for i, name in enumerate(("em_topics", "em_assigned"))]
+
+
 def _src(spark, sf_dir):
     return _wh(spark, sf_dir).src
 
