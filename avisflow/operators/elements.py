@@ -74,7 +74,8 @@ def marked_elements(html: str) -> list[tuple[int, int, set, str | None]]:
                 if element:
                     element[1] = start
             continue
-        classes, label = _value(_CLASS, tag), _value(_LABEL, tag)
+        head = tag[:tag.index(">") + 1]  # of a raw block
+        classes, label = _value(_CLASS, head), _value(_LABEL, head)
         element = None
         leaf = name in VOID or name in RAW or tag.endswith("/>")
         if classes is not None or label is not None:

@@ -35,7 +35,7 @@ def test_the_first_class_that_occurs_decides_and_nested_reviews_count():
 
 
 @pytest.mark.parametrize("html,classes", [
-    ("<!-- <p class=a> --><p class=b>", [{"b"}]), ("<script>'<p class=a>'</script><p class=b>", [{"b"}]), ("<!-- <p class=b>", [{"b"}]),
+    ("<!-- <p class=a> --><p class=b>", [{"b"}]), ("<script>'<p class=a>'</script><p class=b>", [{"b"}]), ("<!-- <p class=a><p class=b>", [{"b"}]),
     ("<style><p class=b>", [{"b"}]), ("<p class=\"a b\" ><br class=c/>", [{"a", "b"}, {"c"}]), ("<p class=''>", [set()]), ("<p class=a", []), ("</p><p CLASS=b></q>", [{"b"}])])
 def test_tags_that_are_none_or_never_end(html, classes):
     assert [e[2] for e in marked_elements(html)] == classes
