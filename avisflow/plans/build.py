@@ -16,32 +16,43 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from avisflow.functions.dates import DEFAULT_AS_OF
 from avisflow.plans import enrich, fixtures, quality, sentiment, staging, star, topics, views
 from avisflow.session import shared_path
-from avisflow.sources.sinks import append_staging, replace_table
+from avisflow.operators.merge import merge_dimension
+from avisflow.sources.sinks import append_batch, replace_table
 from avisflow.sources.tables import Catalog
+from avisflow.sources.versions import current, read_current, versions
 
 
 def _replaced(spark: SparkSession, df: DataFrame, path: str, audit: str | None = None) -> DataFrame:
     if audit:
         df = df.withColumn(audit, F.current_timestamp())
-    replace_table(df, path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(replace_table(df, path))
 
 
 def run(spark: SparkSession, sf_dir: str, out_dir: str | None = None, as_of: dt.date = DEFAULT_AS_OF,
-        ingest_date: dt.date | None = None, staging_batch: DataFrame | None = None) -> dict[str, str]:
+        ingest_date: dt.date | None = None, staging_batch: DataFrame | None = None, batch_id: str = "daily",
+        now: dt.datetime | None = None) -> dict[str, str]:
+    """One build; ``written`` names the current version of each table. A build that is repeated with
+    the same ingest date and batch id replaces its raw rows, and dimensions keep their audit times."""
+    clock = now or dt.datetime.now()
     out = out_dir or shared_path(spark, "avisflow", "warehouse")
     src = Catalog(spark, sf_dir)
     batch = staging_batch if staging_batch is not None else \
         fixtures.staging_reviews(src.documents, src.supplier, src.nation, src.customer)
     raw_path = os.path.join(out, "staging_reviews")
-    append_staging(batch, raw_path, ingest_date or as_of)
+    append_batch(batch, raw_path, ingest_date or as_of, batch_id)
     written = {"staging_reviews": raw_path}
 
     def _write(spark: SparkSession, df: DataFrame, root: str, name: str, audit: str | None = None) -> DataFrame:
-        written[name] = os.path.join(root, name)
-        return _replaced(spark, df, written[name], audit)
+        df = _replaced(spark, df, os.path.join(root, name), audit)
+        written[name] = current(spark, os.path.join(root, name))
+        return df
 
-    raw = spark.read.parquet(raw_path).drop("ingest_date")
+    def _merged(df: DataFrame, name: str, key: str) -> DataFrame:
+        path = os.path.join(out, name)
+        old = read_current(spark, path) if versions(spark, path) else None
+        return _write(spark, merge_dimension(df, old, key, clock), out, name)
+
+    raw = spark.read.parquet(raw_path).drop("ingest_date", "batch_id")
 
     stg = _write(spark, staging.stg_reviews(raw), out, "stg_reviews", audit="processed_at")
     sent = _write(spark, sentiment.sentiment_analysis(stg).drop("lexicon_hits"), out, "sentiment_analysis")
@@ -53,11 +64,10 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str | None = None, as_of: dt.
 
     enr = _write(spark, enrich.reviews_enriched(stg, sent, top, ann), out, "reviews_enriched")
     fact = _write(spark, star.fact_reviews(enr), out, "fact_reviews", audit="fact_created_at")
-    db = _write(spark, star.dim_bank(enr).withColumns({"created_at": F.current_timestamp(),
-                                                       "updated_at": F.current_timestamp()}), out, "dim_bank")
-    dbr = _write(spark, star.dim_branch(stg), out, "dim_branch", audit="created_at")
-    dl = _write(spark, star.dim_location(stg), out, "dim_location", audit="created_at")
-    ds = _write(spark, star.dim_sentiment(enr), out, "dim_sentiment", audit="created_at")
+    db = _merged(star.dim_bank(enr), "dim_bank", "bank_key")
+    dbr = _merged(star.dim_branch(stg), "dim_branch", "branch_key")
+    dl = _merged(star.dim_location(stg), "dim_location", "location_key")
+    ds = _merged(star.dim_sentiment(enr), "dim_sentiment", "sentiment_key")
 
     _write(spark, views.branch_performance(fact, db, dbr, dl), out, "branch_performance")
     _write(spark, views.customer_insights(fact, db, dbr, dl, as_of), out, "customer_insights")

@@ -11,6 +11,7 @@ from avisflow.plans import collect, quality, sentiment, star, topic_model, topic
 from avisflow.plans.warehouse import SOURCES, Warehouse
 from avisflow.session import built_once, input_state, materialized_table, scratch_path
 from avisflow.sources.tables import table_path
+from avisflow.sources.versions import read_current, replace_version
 
 Query = Callable[[SparkSession, str], DataFrame]
 STG_COLUMNS = ["review_id", "doc_id", "bank", "agency", "url", "location", "author", "rating", "review_date",
@@ -111,6 +112,9 @@ QUERIES: dict[str, Query] = {
     "stream_ingest": lambda s, d: _stream_ingest(s, d),
     "append_sink": lambda s, d: _append_sink(s, d),
     "replace_sink": lambda s, d: _replace_sink(s, d),
+    "append_sink_retried": lambda s, d: _append_retried(s, d),
+    "stream_ingest_retried": lambda s, d: _stream_retried(s, d),
+    "dim_bank_merged": lambda s, d: _dim_bank_merged(s, d),
     "topic_category_distribution": lambda s, d: quality.topic_category_distribution(_whm(s, d).topic_assignments),
 }
 
@@ -182,7 +186,48 @@ def _replace_sink(spark, sf_dir):
     w = _whm(spark, sf_dir)
     replace_table(w.sentiment_analysis.limit(0), path)
     replace_table(w.sentiment_analysis, path)
-    return spark.read.parquet(path)
+    return read_current(spark, path)
+
+
+def _append_retried(spark, sf_dir):
+    """SNK-1 with retries: two daily batches, each sent twice, stored once."""
+    import datetime as dt
+
+    from avisflow.sources.sinks import append_batch
+    path = scratch_path(spark, "sinks", "retried")
+    raw = _wh(spark, sf_dir).staging_reviews
+    dated = F.coalesce(is_iso_date("review_date"), F.lit(False))
+    for _ in range(2):
+        append_batch(raw.where(dated), path, dt.date(2024, 1, 1), "daily")
+        append_batch(raw.where(~dated), path, dt.date(2024, 1, 2), "daily")
+    return spark.read.parquet(path).drop("batch_id")
+
+
+def _stream_retried(spark, sf_dir):
+    """SNK-1 as a stream that starts again without its checkpoint: the same rows, once."""
+    import datetime as dt
+
+    from avisflow.sources.sinks import write_reviews_csv
+    from avisflow.streaming.ingest import ingest_batches
+    root = scratch_path(spark, "sinks", "stream-retried")
+    write_reviews_csv(_wh(spark, sf_dir).staging_reviews, f"{root}/incoming")
+    for attempt in range(2):
+        ingest_batches(spark, f"{root}/incoming", f"{root}/staging_reviews", f"{root}/_checkpoint-{attempt}", dt.date(2024, 1, 1))
+    return spark.read.parquet(f"{root}/staging_reviews").drop("ingest_date", "batch_id")
+
+
+def _dim_bank_merged(spark, sf_dir):
+    """DAT-4: the bank dimension of the dated reviews, then of all reviews, merged under fixed clocks
+    through a versioned table."""
+    import datetime as dt
+
+    from avisflow.operators.merge import merge_dimension
+    path = scratch_path(spark, "sinks", "dim_bank")
+    enriched = _whm(spark, sf_dir).enriched_core
+    dated = F.coalesce(is_iso_date("review_date"), F.lit(False))
+    replace_version(merge_dimension(star.dim_bank(enriched.where(dated)), None, "bank_key", dt.datetime(2024, 1, 1)), path)
+    replace_version(merge_dimension(star.dim_bank(enriched), read_current(spark, path), "bank_key", dt.datetime(2024, 2, 1)), path)
+    return read_current(spark, path)
 
 
 def _stream_ingest(spark, sf_dir):

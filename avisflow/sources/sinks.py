@@ -6,6 +6,8 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
+from avisflow.sources.versions import remove_old, replace_version
+
 CSV_WRITE_OPTIONS = {"header": "true", "quoteAll": "true", "escape": '"', "encoding": "UTF-8",
                      "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
@@ -33,6 +35,17 @@ def append_staging(batch: DataFrame, path: str, ingest_date: dt.date | None = No
     batch.withColumn("ingest_date", F.lit(d)).write.mode("append").partitionBy("ingest_date").parquet(path)
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    """SNK-2: replace a table (annotation tables, marts)."""
-    df.write.mode("overwrite").parquet(path)
+def append_batch(batch: DataFrame, path: str, ingest_date: dt.date, batch_id: str) -> None:
+    """SNK-1 that may be retried: a batch owns the partition (ingest_date, batch_id) and a repeated
+    write replaces that partition alone, so the same batch sent twice is stored once."""
+    (batch.withColumns({"ingest_date": F.lit(ingest_date), "batch_id": F.lit(batch_id)})
+          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+          .partitionBy("ingest_date", "batch_id").parquet(path))
+
+
+def replace_table(df: DataFrame, path: str) -> str:
+    """SNK-2: replace a table (annotation tables, marts) by a new version; its folder. The earlier
+    version stays current until the new one is whole, and is removed by the next replace but one."""
+    folder = replace_version(df, path)
+    remove_old(df.sparkSession, path, keep=2)
+    return folder

@@ -7,9 +7,29 @@ seen (tracked in the checkpoint), appends them to the partitioned raw table, and
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession, functions as F
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from avisflow.sources.reviews_csv import CSV_OPTIONS, RAW_CSV_SCHEMA, to_staging
+from avisflow.sources.sinks import append_batch
+
+
+def ingest_batches(spark: SparkSession, source_dir: str, staging_path: str, checkpoint: str, ingest_date: dt.date,
+                   stream: str = "stream", max_files_per_trigger: int | None = None) -> None:
+    """The same stream into batches that may be replayed: a micro-batch owns the partition of its
+    stream and number, so one that ran before its commit was lost (or a stream that starts again
+    without its checkpoint) replaces its own rows instead of adding them again."""
+    reader = spark.readStream.schema(RAW_CSV_SCHEMA).options(**CSV_OPTIONS)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+
+    def store(batch: DataFrame, number: int) -> None:
+        append_batch(batch, staging_path, ingest_date, f"{stream}-{number:012d}")
+
+    q = (to_staging(reader.csv(source_dir)).writeStream.foreachBatch(store)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
 
 
 def ingest_available(spark: SparkSession, source_dir: str, staging_path: str, checkpoint: str,

