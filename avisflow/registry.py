@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from avisflow.functions.dates import is_iso_date
-from avisflow.plans import collect, quality, sentiment, star, topic_model, topics
+from avisflow.plans import collect, quality, sentiment, sentiment_rules, star, topic_model, topics
 from avisflow.plans.warehouse import SOURCES, Warehouse
 from avisflow.session import built_once, input_state, materialized_table, scratch_path
 from avisflow.sources.tables import table_path
@@ -92,6 +92,8 @@ QUERIES: dict[str, Query] = {
         "review_id", "textblob_polarity"),
     "sentiment_label": lambda s, d: sentiment.sentiment_analysis(_wh(s, d).stg_reviews).select(
         "review_id", "sentiment", "confidence"),
+    "rule_sentiment": lambda s, d: _rules(s, d, "rule_scores"),
+    "phrase_polarity": lambda s, d: _rules(s, d, "phrase_scores"),
     "language_keyword_fallback": lambda s, d: sentiment.language_keyword_fallback(_src(s, d).documents),
     "language_ngram": lambda s, d: sentiment.language_ngram(_src(s, d).documents),
     # topics
@@ -254,6 +256,14 @@ def _lda(spark, sf_dir):
     return [built_once(spark, name, state, lambda i=i: part(i)) for i, name in enumerate(("lda_topics", "lda_assigned"))]
 
 
+def _rules(spark, sf_dir, which):
+    weights, modifiers, phrases = sentiment_rules.default_tables(spark)
+    stg = _wh(spark, sf_dir).stg_reviews
+    if which == "rule_scores":
+        return sentiment_rules.rule_scores(stg, weights, modifiers)
+    return sentiment_rules.phrase_scores(stg, phrases, modifiers)
+
+
 def _topic_input(spark, sf_dir):
     docs = topics.topic_documents(_wh(spark, sf_dir).stg_reviews)
     return docs, materialized_table(topics.vocabulary_of(docs), "topic_vocabulary")
