@@ -15,7 +15,7 @@ ENTRIES = {p: (a, b, c) for p, a, b, c in R.PHRASES}
     ("", 0.0), ("nothing here", 0.0), ("good", 1.5), ("GOOD", 1.5), ("GOOD bank", 2.0), ("very good", 1.75), ("very a good", 1.5 + 0.1875),
     ("very a b good", 1.5 + 0.125), ("very a b c good", 1.5), ("barely good", 1.25), ("very bad", -2.25), ("not good", -1.125), ("not a b good", -1.125),
     ("not a b c good", 1.5), ("not very good", -0.75 * 1.75), ("good but slow", 0.75 - 2.25), ("but good", 2.25), ("good!", 1.75), ("bad!!", -2.5),
-    ("good!!!!!!", 2.5), ("good?", 1.5), ("good??", 1.75), ("good?????", 2.0), ("!!!", 0.0), ("très bon, mais lent", 0.5 * 1.75 - 1.5 * 1.5), ("good_bad", -0.5), ("ÉTÉ good 123", 1.5)])
+    ("good!!!!!!", 2.5), ("good?", 1.5), ("good??", 1.75), ("good?????", 2.0), ("!!!", 0.0), ("très bon, mais lent", 0.5 * 1.75 - 1.5 * 1.625), ("good_bad", -0.5), ("ÉTÉ good 123", 1.5)])
 def test_word_rules(text, total):
     assert S.word_scores(text, WEIGHTS, MODS)[0] == total
 
