@@ -63,6 +63,8 @@ class _Dom:
         self.parent, self.tag, self.cut = [-1], ["html"], [False]
         self.hint = [0]  # 1: boilerplate by its names, 2: of a kind that may be long, 3: a form
         self.runs: list[tuple[int, str]] = []
+        self.within = [False]  # in an article or main element, or one itself
+        self.open: dict[str, int] = {}  # elements on the stack by name: an end tag without one costs nothing
         stack = [0]
         at = 0
         find = _TOKEN.search
@@ -101,35 +103,43 @@ class _Dom:
         self.tag.append(tag)
         cut = self.cut[above] or tag in _CUT
         if not cut and tag == "header":
-            up = above
-            while up > 0 and self.tag[up] not in ("article", "main"):
-                up = self.parent[up]
-            cut = up <= 0  # the page's header, not an article's
+            cut = not self.within[above]  # the page's header, not an article's
         hint = 3 if tag == "form" else 0
         if not cut and attributes:
             names = [_LAYOUT.sub(" ", x[1] or x[2] or x[3] or "") for x in _NAMES.findall(attributes)]
             if any(_HINT.search(x) or not _HEADERS.isdisjoint(x.lower().split()) for x in names):
                 hint = 2 if any(map(_LONG.search, names)) else 1
         self.cut.append(cut)
+        self.within.append(self.within[above] or tag in ("article", "main"))
         self.hint.append(hint)
         if tag == "br":
             self._text(above, " ")
         if tag not in _VOID and not attributes.endswith("/"):
             stack.append(node)
+            self.open[tag] = self.open.get(tag, 0) + 1
         elif tag in _BLOCK and not cut:
             self.runs.append((node, ""))
 
+    def _cut_stack(self, stack, i):
+        for node in stack[i:]:
+            self.open[self.tag[node]] -= 1
+        del stack[i:]
+
     def _close(self, stack, tag):
+        if not self.open.get(tag):
+            return
         for i in range(len(stack) - 1, 0, -1):
             if self.tag[stack[i]] == tag:
-                del stack[i:]
+                self._cut_stack(stack, i)
                 return
 
     def _close_in_scope(self, stack, kinds, walls):
+        if not any(map(self.open.get, kinds)):
+            return
         for i in range(len(stack) - 1, 0, -1):
             t = self.tag[stack[i]]
             if t in kinds:
-                del stack[i:]
+                self._cut_stack(stack, i)
                 if "p" in kinds:
                     return
             elif t in walls:
