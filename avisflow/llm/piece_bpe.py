@@ -14,6 +14,7 @@ a bounded dictionary of encoded words. Encoding is a map over the texts, with no
 
 from __future__ import annotations
 
+import heapq
 import re
 
 import numpy as np
@@ -25,7 +26,9 @@ from avisflow.llm.common import slices, worker_cache
 
 MARK = "▁"
 NONE = np.int32(np.iinfo(np.int32).max)
-_CACHE_WORDS = 300_000
+_CACHE_WORDS, _CACHE_CHARS = 300_000, 16 << 20
+#: Merge rounds after which a word goes on with a queue.
+ROUNDS = 64
 _SEGMENT = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -86,6 +89,13 @@ class Vocabulary:
         for value, i in enumerate(self.bytes.tolist()):
             self.surface[i] = bytes([value])
         self.surface[self.unk] = " ⁇ ".encode()
+        self._lookup: dict[int, int] | None = None
+
+    def lookup(self) -> dict[int, int]:
+        """Entries by key, made when a word first needs them."""
+        if self._lookup is None:
+            self._lookup = {k: i for i, k in enumerate(self.keys.tolist())}
+        return self._lookup
 
     def pairs(self, left: np.ndarray, right: np.ndarray, joined: np.ndarray) -> np.ndarray:
         """Entry of each pair; the last one where there is none or the two are not joined."""
@@ -98,6 +108,34 @@ def _firsts(word: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.nonzero(word[1:] != word[:-1])[0] + 1])
 
 
+def _merge_queue(sym: np.ndarray, vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols of one long word merged by a queue of its pairs, best and leftmost first, in n log n
+    steps; with the places where they began."""
+    n, lookup, ranks, merged = len(sym), vocab.lookup(), vocab.ranks.tolist(), vocab.merged.tolist()
+    none, base = len(vocab.keys), vocab.other + 1
+    s, after, before = sym.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+    pair = vocab.pairs(sym[:-1], sym[1:], np.ones(n - 1, bool)).tolist() + [none]
+    queue = [(ranks[p], i, p) for i, p in enumerate(pair) if p != none]
+    heapq.heapify(queue)
+    while queue:
+        _, i, p = heapq.heappop(queue)
+        if pair[i] != p:
+            continue  # one of the two has been merged since
+        j = after[i]
+        s[i], s[j], pair[j] = merged[p], -1, none
+        after[i] = after[j]
+        if after[j] < n:
+            before[after[j]] = i
+        for a in (before[i], i):
+            if a >= 0:
+                pair[a] = lookup.get(s[a] * base + s[after[a]], none) if after[a] < n else none
+                if pair[a] != none:
+                    heapq.heappush(queue, (ranks[pair[a]], a, pair[a]))
+    out = np.array(s, sym.dtype)
+    left = np.flatnonzero(out >= 0)
+    return out[left], left
+
+
 def merge_words(words: list[str], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all words, one behind the other, and the number of ids of each. A word starts with its mark."""
     points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
@@ -109,8 +147,15 @@ def merge_words(words: list[str], vocab: Vocabulary) -> tuple[np.ndarray, np.nda
     pair = np.full(len(sym), len(vocab.keys), np.int32)  # entry of each symbol with its right neighbour
     if len(sym) > 1:
         pair[:-1] = vocab.pairs(sym[:-1], sym[1:], word[1:] == word[:-1])
+    rounds = 0
     while len(sym):
         first = _firsts(word)
+        rounds += 1
+        if rounds > ROUNDS:  # long runs of marks or letters: a round would merge little of them
+            for a, b in zip(first.tolist(), [*first[1:].tolist(), len(sym)]):
+                out, left = _merge_queue(sym[a:b], vocab) if b - a > 1 else (sym[a:b], np.zeros(1, np.int64))
+                done.append((np.full(len(out), word[a]), out, point[a:b][left]))
+            break
         rank = vocab.ranks[pair]
         best = np.minimum.reduceat(rank, first)
         counts = np.diff(np.append(first, len(sym)))
@@ -170,7 +215,7 @@ class Encoder:
         self._clear()
 
     def _clear(self):
-        self.known = {}
+        self.known, self.held = {}, 0
         self.flat = np.array([self.vocab.bos, self.vocab.eos], np.int32)  # words 0 and 1
         self.start, self.count = np.array([0, 1]), np.array([1, 1])
 
@@ -180,12 +225,13 @@ class Encoder:
         for t in texts:
             words += words_of(t)
             stops.append(len(words))
-        if len(self.known) > _CACHE_WORDS:
+        if len(self.known) > _CACHE_WORDS or self.held > _CACHE_CHARS:
             self._clear()
         fresh = [w for w in dict.fromkeys(words) if w not in self.known]
         if fresh:
             ids, counts = merge_words([MARK + w for w in fresh], self.vocab)
             base = len(self.start)
+            self.held += sum(map(len, fresh))
             self.known.update(zip(fresh, range(base, base + len(fresh))))
             self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(counts) - counts])
             self.count = np.concatenate([self.count, counts])
