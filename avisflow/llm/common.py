@@ -61,6 +61,19 @@ def slices(batch: pa.RecordBatch, column: int = -1, most: int = 8 << 20):
     yield batch.slice(start)
 
 
+def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, fit_rows: int, held_out, seed: int) -> DataFrame:
+    """(y, text): one row per id with one kind of label (0 or 1) and a document, at most about
+    ``fit_rows`` however often tables repeat an id; of its rows the largest text."""
+    known = (labels.select(F.col(id_col).alias("l_id"), F.col(label_col).alias("l_y"))
+             .where(F.col("l_id").isNotNull() & F.col("l_y").isin(0, 1) & ~held_out("l_id"))
+             .groupBy("l_id").agg(F.min("l_y").alias("y"), F.max("l_y").alias("y_most")).where("y = y_most").select("l_id", "y"))
+    rate = min(1.0, fit_rows / max(1, known.count()))
+    known = known.where(F.pmod(F.xxhash64(F.lit(seed), "l_id"), F.lit(1 << 30)) < int(rate * (1 << 30)))
+    return (docs.select(F.col(id_col).alias("d_id"), F.col(text_col).alias("text"))
+            .join(F.broadcast(known), F.col("d_id") == F.col("l_id"))  # about fit_rows ids
+            .groupBy("l_id").agg(F.first("y").alias("y"), F.max(F.coalesce("text", F.lit(""))).alias("text")).select("y", "text"))
+
+
 def crc_mod(id_column: str, modulus: int):
     """crc32 of the id written as text, modulo ``modulus``; null for a null id."""
     return F.crc32(F.col(id_column).cast("string")) % modulus

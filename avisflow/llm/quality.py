@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from avisflow.llm.common import crc_mod, slices, table, text_bytes, worker_cache
+from avisflow.llm.common import crc_mod, labelled_texts, slices, table, text_bytes, worker_cache
 
 DIM, ROWS, NONZERO, WINDOW = 48, 1 << 14, 4, 2
 HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 40, 256, 2e-3, 1e-4
@@ -153,15 +153,10 @@ def held_out(id_col: str):
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "quality", fit_rows: int = FIT_ROWS) -> dict:
-    """Learn word vectors, network and temperature from at most about ``fit_rows`` labelled rows."""
+    """Learn word vectors, network and temperature from at most about ``fit_rows`` labelled ids. An id
+    with labels of both kinds is not learned from; of rows that repeat an id the largest text is."""
     spark = docs.sparkSession
-    known = (labels.select(F.col(id_col).alias("l_id"), F.col(label_col).alias("l_y"))
-             .where(F.col("l_id").isNotNull() & F.col("l_y").isin(0, 1) & ~held_out("l_id")))
-    total = known.count()
-    rate = min(1.0, fit_rows / max(1, total))
-    known = known.where(F.pmod(F.xxhash64(F.lit(SEED), "l_id"), F.lit(1 << 30)) < int(rate * (1 << 30)))
-    texts = table(docs.select(F.col(id_col).alias("l_id"), F.col(text_col).alias("text"))
-                  .join(F.broadcast(known), "l_id").select("l_y", "text"), "labelled")  # about fit_rows rows at most
+    texts = table(labelled_texts(docs, labels, id_col, text_col, label_col, fit_rows, held_out, SEED), "labelled")
 
     def contexts(batches):
         sums, ids_of, (places, signs) = np.zeros(ROWS * DIM), {}, index_vectors()

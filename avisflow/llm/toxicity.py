@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from avisflow.llm.common import crc_mod, slices, table, text_bytes, worker_cache
+from avisflow.llm.common import crc_mod, labelled_texts, slices, table, text_bytes, worker_cache
 
 PLACES, PREFIXES, TERMS = 1 << 18, (3, 4, 5, 6, 7), 4096
 #: Documents with a place, and standard deviations between the classes, at least; count that saturates.
@@ -118,18 +118,6 @@ def held_out(id_col: str):
     return F.coalesce(crc_mod(id_col, 3) == 1, F.lit(False))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, fit_rows: int) -> DataFrame:
-    """(y, text): one row per id with one kind of label and a document, at most about ``fit_rows``."""
-    known = (labels.select(F.col(id_col).alias("l_id"), F.col(label_col).alias("l_y"))
-             .where(F.col("l_id").isNotNull() & F.col("l_y").isin(0, 1) & ~held_out("l_id"))
-             .groupBy("l_id").agg(F.min("l_y").alias("y"), F.max("l_y").alias("y_most")).where("y = y_most").select("l_id", "y"))
-    rate = min(1.0, fit_rows / max(1, known.count()))
-    known = known.where(F.pmod(F.xxhash64(F.lit(SEED), "l_id"), F.lit(1 << 30)) < int(rate * (1 << 30)))
-    return (docs.select(F.col(id_col).alias("d_id"), F.col(text_col).alias("text"))
-            .join(F.broadcast(known), F.col("d_id") == F.col("l_id"))  # about fit_rows ids
-            .groupBy("l_id").agg(F.first("y").alias("y"), F.max(F.coalesce("text", F.lit(""))).alias("text")).select("y", "text"))
-
-
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         fit_rows: int = FIT_ROWS) -> dict:
     """Kept places and the machine, learned from at most about ``fit_rows`` labelled ids. An id with
@@ -151,7 +139,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                         [pa.array([y], pa.int32()), pa.array([words.total()], pa.int64()), pa.array([at.tobytes()], pa.binary()),
                          pa.array([np.minimum(counts, MOST).astype(np.uint8).tobytes()], pa.binary())], names=["y", "n_words", "places", "counts"])
 
-    texts = table(labelled(docs, labels, id_col, text_col, label_col, fit_rows)
+    texts = table(labelled_texts(docs, labels, id_col, text_col, label_col, fit_rows, held_out, SEED)
                   .mapInArrow(counted, "y int, n_words long, places binary, counts binary"), "toxic-labelled")
 
     def frequencies(batches):
