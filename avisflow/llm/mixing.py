@@ -29,16 +29,17 @@ WEIGHTS, SHARE, MOST_PASSES, SEED = (3.0, 1.0, 2.0), 1.5, 2, 7
 SHARD_BLOCKS, BLOCK_WORDS, MAX_BLOCKS = 32, 65536, 262144
 
 
-def word_counts(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """doc_id, source, size: words are what stands between ASCII white space; a null text has none."""
+def word_counts(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
+    """doc_id, source, place, size: words are what stands between ASCII white space; a null text has none."""
     def run(batches):
         for batch in batches:
-            for part in slices(batch, 2):
-                sizes = pa.array([len(t.split()) for t in text_bytes(part.column(2))], pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), sizes], names=["doc_id", "source", "size"])
+            for part in slices(batch, 3):
+                sizes = pa.array([len(t.split()) for t in text_bytes(part.column(3))], pa.int64())
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], sizes], names=["doc_id", "source", "place", "size"])
 
-    src = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text"))
-    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, source string, size long")
+    src = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
+                      _place(id_col, text_col, seed).alias("place"), F.col(text_col).alias("text"))
+    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, source string, place long, size long")
 
 
 def capped_targets(sizes: np.ndarray, weights: np.ndarray, total: float, most: float) -> np.ndarray:
@@ -70,9 +71,10 @@ def split_quotas(quotas: np.ndarray, shards: int, rng: np.random.Generator) -> n
     return np.concatenate([split_quotas(drawn, left, rng), split_quotas(quotas - drawn, shards - left, rng)])
 
 
-def _place(id_col: str, seed: int):
-    """A document's seeded place in its source's permutation."""
-    return F.xxhash64(F.lit(seed), F.col(id_col))
+def _place(id_col: str, text_col: str, seed: int):
+    """A document's seeded place in its source's permutation, from its id and text: rows that share an
+    id, or have none, do not share a place."""
+    return F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
 
 
 def _block(place, n_blocks):
@@ -86,13 +88,13 @@ def _cut_rows(keyed: DataFrame, cuts: DataFrame) -> DataFrame:
     return keyed.where(F.col("size") > 0).join(F.broadcast(cuts), at)
 
 
-def plan(sized: DataFrame, id_col: str, source_col: str, size_col: str, weights=WEIGHTS, share: float = SHARE,
+def plan(sized: DataFrame, place_col: str, source_col: str, size_col: str, weights=WEIGHTS, share: float = SHARE,
          most: int = MOST_PASSES, shards: int | None = None, seed: int = SEED, block_words: int = BLOCK_WORDS,
          max_blocks: int = MAX_BLOCKS) -> DataFrame:
     """One row per source and block: source, block, n_blocks, source_size, target, the shards its
     passes go to, and, for a partly taken block, the place up to which documents take one more."""
     spark = sized.sparkSession
-    rows = sized.select(F.col(source_col).alias("source"), F.col(size_col).alias("size"), _place(id_col, seed).alias("place"))
+    rows = sized.select(F.col(source_col).alias("source"), F.col(size_col).alias("size"), F.col(place_col).alias("place"))
     totals = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("docs")).collect()
     totals = sorted(totals, key=lambda r: (r["source"] is None, r["source"] or ""))
     sizes = np.array([r["size"] for r in totals], np.int64)
@@ -156,12 +158,12 @@ def plan(sized: DataFrame, id_col: str, source_col: str, size_col: str, weights=
     return spark.createDataFrame(out, schema)
 
 
-def apply_plan(rows: DataFrame, chosen: DataFrame, id_col: str, source_col: str, seed: int = SEED) -> DataFrame:
+def apply_plan(rows: DataFrame, chosen: DataFrame, place, source_col: str) -> DataFrame:
     """``rows`` with p_source_size, p_target and p_copies, the shards a row's copies go to."""
     names = chosen.select("p_source", "p_blocks", F.col("p_size").alias("p_source_size"), "p_target").distinct()
     src = F.col(source_col).cast("string")
     keyed = (rows.join(F.broadcast(names), src.eqNullSafe(F.col("p_source")))
-             .withColumn("p_place", _place(id_col, seed))
+             .withColumn("p_place", place)
              .withColumn("p_own_block", _block(F.col("p_place"), F.col("p_blocks"))).drop("p_source", "p_blocks", "p_target"))
     plain = chosen.select("p_source", "p_block", "p_target", "p_shards", "p_extra", "p_upto")
     extra = F.when(F.col("p_extra").isNotNull() & (F.col("p_place") <= F.col("p_upto")), F.array("p_extra")).otherwise(
@@ -177,11 +179,11 @@ def mix_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     size counts the words of the text (null: 0); taken = size times the copies the mix takes, at
     most twice. Sources stand in code point order, a null source last; a source without words has
     target 0 and its documents are taken as its passes say, which counts nothing. Rows that repeat
-    a doc_id in a source are taken alike. Reruns agree. An empty table gives no rows.
+    both id and text in a source are taken alike. Reruns agree. An empty table gives no rows.
     """
-    sized = table(word_counts(docs, id_col, text_col, source_col), "sizes")
-    chosen = plan(sized, "doc_id", "source", "size", **options)
-    out = apply_plan(sized, chosen, "doc_id", "source", options.get("seed", SEED))
+    sized = table(word_counts(docs, id_col, text_col, source_col, options.get("seed", SEED)), "sizes")
+    chosen = plan(sized, "place", "source", "size", **options)
+    out = apply_plan(sized, chosen, F.col("place"), "source")
     return out.select("doc_id", "source", "size", F.col("p_source_size").alias("source_size"), F.col("p_target").alias("target"),
                       (F.col("size") * F.size("p_copies")).alias("taken"), F.col("p_copies").alias("shards"))
 
@@ -190,11 +192,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         seed: int = SEED, **options) -> DataFrame:
     """The mix itself: the rows of ``docs`` (all columns, a row once per copy), dealt to shards and
     shuffled within each. See ``mix_table`` for the rules."""
-    sized = table(word_counts(docs, id_col, text_col, source_col), "sizes")
-    chosen = plan(sized, "doc_id", "source", "size", seed=seed, **options)
+    sized = table(word_counts(docs, id_col, text_col, source_col, seed), "sizes")
+    chosen = plan(sized, "place", "source", "size", seed=seed, **options)
     renamed = docs.select(*[F.col(f"`{c}`").alias(f"d_{i}") for i, c in enumerate(docs.columns)])
     at = {c: f"d_{i}" for i, c in enumerate(docs.columns)}
-    dealt = (apply_plan(renamed, chosen, at[id_col], at[source_col], seed)
+    dealt = (apply_plan(renamed, chosen, _place(at[id_col], at[text_col], seed), at[source_col])
              .select("*", F.posexplode("p_copies").alias("p_copy", "p_shard")))
     shuffled = F.xxhash64(F.lit(seed + 3), "p_place", "p_copy")
     shards = chosen.agg(F.max(F.greatest(F.array_max("p_shards"), "p_extra"))).first()[0]
