@@ -33,12 +33,12 @@ def _long_key(line: bytes, least: int) -> bytes | None:
 
 
 def line_hashes(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(h1, h2, doc_id): each long line key of a row once. ``docs`` has doc_id and text."""
+    """(h1, h2, doc_id, t1, t2): each long line key of a row once. ``docs`` has doc_id, t1, t2 and text."""
     def run(batches):
         for batch in batches:
             for part in slices(batch):
                 raw, rows = [], []
-                for i, text in enumerate(text_bytes(part.column(1))):
+                for i, text in enumerate(text_bytes(part.column(3))):
                     keys = {k for k in (_long_key(x, min_chars) for x in text.split(b"\n")) if k is not None}
                     raw.extend(xxhash.xxh3_128_digest(k) for k in keys)
                     rows.extend([i] * len(keys))
@@ -46,10 +46,10 @@ def line_hashes(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
                     halves = np.frombuffer(b"".join(raw), "<i8").reshape(-1, 2)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()),
-                         part.column(0).take(pa.array(np.array(rows, np.int64)))], names=["h1", "h2", "doc_id"])
+                         *(part.column(c).take(pa.array(np.array(rows, np.int64))) for c in range(3))], names=["h1", "h2", "doc_id", "t1", "t2"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"h1 long, h2 long, doc_id {kind}")
+    return docs.select("doc_id", "t1", "t2", "text").mapInArrow(run, f"h1 long, h2 long, doc_id {kind}, t1 long, t2 long")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS,
@@ -62,14 +62,16 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     count as no document and are never the largest, but lose the lines that others share.
     Other columns of ``docs`` are not read; an empty table gives no rows.
     """
-    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    # a row is known by its id and two hashes of its text: rows that share an id, or have none, keep lists of their own
+    src = docs.select(F.col(id_col).alias("doc_id"), *(F.xxhash64(F.lit(seed), F.col(text_col)).alias(f"t{seed}") for seed in (1, 2)),
+                      F.col(text_col).alias("text"))
     held = table(line_hashes(src, min_chars), "line-hashes")
     common = table(held.groupBy("h1", "h2").agg(F.count_distinct("doc_id").alias("n"), F.max("doc_id").alias("keeper"))
                    .where(F.col("n") >= min_docs).select(F.col("h1").alias("c1"), F.col("h2").alias("c2"), "keeper"), "common-lines")
     drops = (held.join(common, (held.h1 == common.c1) & (held.h2 == common.c2))
              .where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
-             .groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("drops")))
-    drops = table(drops.select(F.col("doc_id").alias("drop_id"), F.col("drops.h1").alias("d1"), F.col("drops.h2").alias("d2")), "drops")
+             .groupBy("doc_id", "t1", "t2").agg(F.collect_set(F.struct("h1", "h2")).alias("drops")))
+    drops = table(drops.select(F.col("doc_id").alias("drop_id"), F.col("t1").alias("u1"), F.col("t2").alias("u2"), F.col("drops.h1").alias("d1"), F.col("drops.h2").alias("d2")), "drops")
 
     def rebuild(batches):
         for batch in batches:
@@ -93,5 +95,6 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     kind = src.schema["doc_id"].dataType.simpleString()
     # a hash join: the lists are the small side, and the texts need no sort
-    return (src.join(drops.hint("shuffle_hash"), src.doc_id.eqNullSafe(drops.drop_id), "left").select("doc_id", "text", "d1", "d2")
+    same = src.doc_id.eqNullSafe(drops.drop_id) & (src.t1 == drops.u1) & (src.t2 == drops.u2)
+    return (src.join(drops.hint("shuffle_hash"), same, "left").select("doc_id", "text", "d1", "d2")
             .mapInArrow(rebuild, f"doc_id {kind}, n_lines long, n_dropped long, kept_text string"))
