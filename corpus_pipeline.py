@@ -1,9 +1,10 @@
 """The corpus pipeline: stages over ``documents``, each written as Parquet and read again.
 
 Each stage works on all that its predecessor kept and its decisions take effect: documents that the
-quality classifier rejects go (none, where labels are too few or of one kind to fit it); of equal texts the largest doc_id stays; of each group of SimHash
-near-duplicates the smallest doc_id stays; the mix drops and repeats documents to meet the sources'
-targets; the last stage encodes what is left and decodes it again (one row per copy in the mix).
+quality classifier rejects go (none, where labels are too few or of one kind to fit it); of equal
+texts one row of the largest doc_id stays; of each group of SimHash near-duplicates one row of the
+smallest doc_id stays (null ids only where there is no other); the mix drops and repeats documents
+to meet the sources' targets; the last stage encodes what is left and decodes it again (one row per copy in the mix).
 """
 
 from __future__ import annotations
@@ -15,9 +16,18 @@ from avisflow.llm import block_naming, mixing, quality, queries, simhash
 from avisflow.llm.common import read, table
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is not in ``gone`` (one column, gone_id)."""
-    return docs.join(gone.hint("shuffle_hash"), docs["doc_id"] == gone["gone_id"], "left_anti")
+def _rows(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` written with a row number (and its name), so that decisions hold for rows: ids may be
+    null or repeat."""
+    name = "row"
+    while name in docs.columns:
+        name += "_"
+    return table(docs.withColumn(name, F.monotonically_increasing_id()), "stage-rows"), name
+
+
+def _without(docs: DataFrame, gone: DataFrame, row: str) -> DataFrame:
+    """Rows of ``docs`` whose number is not in ``gone`` (one column, gone_row)."""
+    return docs.join(gone.hint("shuffle_hash"), docs[row] == gone["gone_row"], "left_anti").drop(row)
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,13 +39,18 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = block_naming.exact_dedup(docs)
-    return _without(docs, table(found.where("not kept").select(F.col("doc_id").alias("gone_id")), "gone-exact"))
+    docs, row = _rows(docs)
+    key = F.struct(F.col("doc_id").isNotNull().alias("known"), F.col("doc_id"), F.col(row).alias("row"))  # null ids are never the largest
+    found = block_naming.exact_dedup(docs.select(key.alias("key"), "text"), id_col="key")
+    return _without(docs, table(found.where("not kept").select(F.col("doc_id.row").alias("gone_row")), "gone-exact"), row)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = simhash.near_duplicates(docs)
-    return _without(docs, table(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")), "gone-near"))
+    docs, row = _rows(docs)
+    key = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col(row).alias("row"))  # nor the smallest
+    found = simhash.near_duplicates(docs.select(key.alias("key"), "text"), id_col="key")
+    gone = found.where(F.col("doc_id.row") != F.col("component_id.row")).select(F.col("doc_id.row").alias("gone_row"))
+    return _without(docs, table(gone, "gone-near"), row)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
