@@ -144,8 +144,8 @@ def test_quality_stage_without_a_network_rejects_nothing(spark, tmp_path):
 
 
 # -- registration ----------------------------------------------------------------
-def test_eleven_queries_are_registered():
-    assert len(queries.QUERIES) == 11 and sum(n.startswith("op") for n in queries.QUERIES) == 10
+def test_fourteen_queries_are_registered():
+    assert len(queries.QUERIES) == 14 and sum(n.startswith("op") for n in queries.QUERIES) == 13
 
 
 def test_entry_without_the_subpackage(tmp_path):
