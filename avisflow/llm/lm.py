@@ -34,6 +34,8 @@ TOP, DIM, CONTEXT = 1022, 32, 2
 OTHER, END, SIZE = TOP, TOP + 1, TOP + 2
 #: Training tokens of a word with vectors at least; most frequent words that are classes of their own.
 LEAST, FRONT = 2, 128
+#: Distinct contexts of a token, about; places of a class, from and to.
+CONTEXT_SHARE, WIDTHS = 0.66, (16, 4096)
 NOISE, BATCH, RATE = 48, 4096, 0.03
 #: Equal (word, context) cases of a slice are trained as one row of up to this weight.
 WEIGHT = 8.0
@@ -89,34 +91,45 @@ def _contexts(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return flat, before, two
 
 
-def class_width(n: int) -> int:
-    return 1 << max(6, round(np.log2(n) / 2))
+class Classes:
+    """Frequency classes of the places: the ``FRONT`` first, the other words and the end are classes of
+    one; the rest are runs of places, wide where words are rare. A run of width w costs w for each
+    of its tokens and one more class for every context, so w grows with the root of one over the
+    share of its first word."""
 
+    def __init__(self, unigram: np.ndarray):
+        n = len(unigram)
+        share = unigram / unigram.sum()
+        starts = [FRONT]
+        while starts[-1] < n:
+            at = starts[-1] + (starts[-1] in (OTHER, END))  # they stand among the places but are of no run
+            width = np.sqrt(CONTEXT_SHARE / max(share[min(at, n - 1)], 1e-12))
+            starts.append(starts[-1] + int(np.clip(width, *WIDTHS)))
+        self.starts = np.array([*starts[:-1], n])
+        self.kind = FRONT + 1 + np.searchsorted(self.starts, np.arange(n), "right")
+        self.kind[:FRONT] = np.arange(FRONT)
+        self.kind[OTHER], self.kind[END] = FRONT, FRONT + 1
+        self.size = FRONT + 1 + len(self.starts)
 
-def class_of(n: int) -> np.ndarray:
-    """Frequency class of each of ``n`` places: the ``FRONT`` first, the other words and the end are
-    classes of one; the rest are runs of about the square root of ``n`` places."""
-    out = FRONT + 2 + (np.arange(n) - FRONT) // class_width(n)
-    out[:FRONT] = np.arange(FRONT)
-    out[OTHER], out[END] = FRONT, FRONT + 1
-    return out
+    def members(self, k: int) -> slice:
+        """The places of class ``k``, other words and the end among them or not."""
+        return slice(int(self.starts[k - FRONT - 2]), int(self.starts[k - FRONT - 1]))
 
 
 class Parameters:
     """The model's arrays, kept as one flat vector; ``n`` places."""
 
-    def __init__(self, flat: np.ndarray, n: int = SIZE):
+    def __init__(self, flat: np.ndarray, n: int, kinds: int):
         self.tables = {}
         at = 0
-        for name, shape in self.shapes(n):
+        for name, shape in self.shapes(n, kinds):
             size = int(np.prod(shape))
             self.tables[name] = flat[at:at + size].reshape(shape)
             setattr(self, name, self.tables[name])
             at += size
 
     @staticmethod
-    def shapes(n: int) -> list:
-        kinds = int(class_of(n).max()) + 1
+    def shapes(n: int, kinds: int) -> list:
         return [("context", (n, DIM)), ("weights", (CONTEXT, DIM)), ("output", (n, DIM)), ("bias", (n,)),
                 ("class_output", (kinds, DIM)), ("class_bias", (kinds,))]
 
@@ -124,7 +137,8 @@ class Parameters:
     def start(cls, unigram: np.ndarray, seed: int = SEED) -> np.ndarray:
         rng = np.random.default_rng(seed)
         n = len(unigram)
-        classes = np.bincount(class_of(n), unigram)
+        split = Classes(unigram)
+        classes = np.maximum(np.bincount(split.kind, unigram, split.size), 1e-12)
         # within a class words start from their unigram shares
         parts = [rng.normal(0, 0.1, n * DIM), np.full(CONTEXT * DIM, 0.7), np.zeros(n * DIM), np.log(unigram),
                  rng.normal(0, 0.1, len(classes) * DIM), np.log(classes)]
@@ -184,12 +198,13 @@ class Trainer:
     def __init__(self, flat: np.ndarray, unigram: np.ndarray, seed: int = SEED):
         self.n = n = len(unigram)
         self.flat = flat.astype(np.float32).copy()
-        self.p = Parameters(self.flat, n)
-        self.square = Parameters(np.full(len(self.flat), 1e-8, np.float32), n)
+        split = Classes(unigram)
+        self.p = Parameters(self.flat, n, split.size)
+        self.square = Parameters(np.full(len(self.flat), 1e-8, np.float32), n, split.size)
         self.seen = {name: np.zeros(len(t), np.float32) for name, t in self.p.tables.items()}
         self.rng = np.random.default_rng(seed)
-        self.kind = class_of(n)
-        self.top = _Level("class_output", "class_bias", np.bincount(self.kind, unigram))
+        self.kind = split.kind
+        self.top = _Level("class_output", "class_bias", np.bincount(self.kind, unigram, split.size))
         self.inner = _Level("output", "bias", np.where(self.kind >= FRONT + 2, unigram, 0.0))
 
     def fit(self, word: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
@@ -201,7 +216,8 @@ class Trainer:
         weight = np.repeat(counts / rows, rows).astype(np.float32)
         order = self.rng.permutation(len(case))
         for at in range(0, len(order), BATCH):
-            k, w = case[order[at:at + BATCH]], weight[order[at:at + BATCH]]
+            rows = np.sort(order[at:at + BATCH])  # cases of a word stand together
+            k, w = case[rows], weight[rows]
             self.step(k // (n * n), k // n % n, k % n, w)
 
     def step(self, word: np.ndarray, one: np.ndarray, two: np.ndarray, weight: np.ndarray) -> None:
@@ -259,8 +275,9 @@ class Trainer:
 class Scorer:
     """Normalised log probabilities; biases are a further dimension of the output tables."""
 
-    def __init__(self, flat: np.ndarray, n: int = SIZE):
-        self.p, self.n, self.kind = Parameters(flat, n), n, class_of(n)
+    def __init__(self, flat: np.ndarray, split: Classes):
+        self.split, self.kind, self.n = split, split.kind, len(split.kind)
+        self.p = Parameters(flat, self.n, split.size)
         self.classes = np.hstack([self.p.class_output, self.p.class_bias[:, None]])
         self.words = np.hstack([self.p.output, self.p.bias[:, None]])
         self.words[[OTHER, END], -1] = -1e30  # they stand among a class's places but are not of it
@@ -277,15 +294,9 @@ class Scorer:
         kinds, starts = np.unique(kind[order], return_index=True)
         for k, rows in zip(kinds.tolist(), np.split(order, starts[1:])):
             x = h[place[rows]]
-            out[rows] += np.einsum("ij,ij->i", x, self.words[word[rows]]) - _log_sums(x, self.words[self.members(k)])
+            out[rows] += np.einsum("ij,ij->i", x, self.words[word[rows]]) - _log_sums(x, self.words[self.split.members(k)])
         return out
 
-    def members(self, k: int) -> slice:
-        """The places of class ``k``, other words and the end among them or not."""
-        width = class_width(self.n)
-        at = FRONT + (k - FRONT - 2) * width
-        return slice(at, min(at + width, self.n))
-
 
 def _log_sums(h: np.ndarray, table: np.ndarray) -> np.ndarray:
     """log of the sums over a table's rows of exp of the products; blocks that stay in the cache."""
@@ -323,7 +334,8 @@ class Lexicon:
 def _train(texts: DataFrame, lexicon, unigram: np.ndarray) -> np.ndarray:
     n = len(unigram)
     shared = texts.sparkSession.sparkContext.broadcast(unigram)
-    kinds = [(name, shape[0], int(np.prod(shape[1:]))) for name, shape in Parameters.shapes(n)]
+    kinds_of = Classes(unigram).size
+    kinds = [(name, shape[0], int(np.prod(shape[1:]))) for name, shape in Parameters.shapes(n, kinds_of)]
     columns = "part int, name int, block int, at binary, weight binary, rows binary"
 
     def packed(part, name, block, at, weight, rows):
@@ -365,7 +377,7 @@ def _train(texts: DataFrame, lexicon, unigram: np.ndarray) -> np.ndarray:
             yield packed(*key, at, weight[at], rows[at] / weight[at, None])
 
     flat = Parameters.start(unigram)
-    tables = Parameters(flat, n).tables
+    tables = Parameters(flat, n, kinds_of).tables
     trained = texts.mapInArrow(run, columns)
     while True:  # a tree: FAN tasks' rows of a block are averaged together, then FAN of those averages
         trained = table(trained.repartition("name", "block", "part").mapInArrow(average, columns), "lm-rows")
@@ -405,14 +417,14 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     unigram = mass / mass.sum()
     lexicon = spark.sparkContext.broadcast(lex)
     flat = _train(training, lexicon, unigram) if ends else Parameters.start(unigram)
-    model = spark.sparkContext.broadcast(flat)
+    model = spark.sparkContext.broadcast((flat, Classes(unigram)))
     name = uuid.uuid4().hex  # of this model, in the workers' cache
     share = np.log10(others + other_kinds + 1.0)  # denominator inside the class of other words
 
     def run(batches):
         cache = worker_cache("lm-scorer")
         if cache.get("of") != name:
-            cache.update(of=name, scorer=Scorer(model.value, lexicon.value.n))
+            cache.update(of=name, scorer=Scorer(*model.value))
         scorer, lex = cache["scorer"], lexicon.value
         logs = np.log10(lex.counts + 1.0)
         for batch in batches:
