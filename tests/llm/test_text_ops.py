@@ -277,16 +277,18 @@ def test_base_scores(spark, share, monkeypatch):
 
 def test_products_beyond_single_precision_are_normalised():
     n = lm.SIZE
-    size = sum(int(np.prod(shape)) for _, shape in lm.Parameters.shapes(n))
-    scorer = lm.Scorer((8 * np.random.default_rng(0).standard_normal(size)).astype(np.float32), n)
+    split = lm.Classes(np.full(n, 1 / n))
+    size = sum(int(np.prod(shape)) for _, shape in lm.Parameters.shapes(n, split.size))
+    scorer = lm.Scorer((8 * np.random.default_rng(0).standard_normal(size)).astype(np.float32), split)
     for one, two in ((3, 5), (lm.END, lm.END), (lm.OTHER, 0)):
         p = scorer.log_probs(np.arange(n), np.full(n, one), np.full(n, two))
         assert abs(np.exp(p).sum() - 1) < 1e-3
 
 
-def slow_log10(texts, lex, flat, others, other_kinds, counts):
+def slow_log10(texts, lex, flat, unigram, others, other_kinds, counts):
     """Scores by their definition, a token at a time, in double precision."""
-    p, kind = lm.Parameters(flat.astype(np.float64), lex.n), lm.class_of(lex.n)
+    split = lm.Classes(unigram)
+    p, kind = lm.Parameters(flat.astype(np.float64), lex.n, split.size), split.kind
     for text in texts:
         total, one, two = 0.0, lm.END, lm.END
         for w in [*words(lower(text)), None]:
@@ -310,7 +312,7 @@ def test_score_equals_the_slow_form(spark, monkeypatch):
     kept, train = {}, lm._train
 
     def caught(texts, lexicon, unigram):
-        kept.update(lex=lexicon.value, flat=train(texts, lexicon, unigram))
+        kept.update(lex=lexicon.value, unigram=unigram, flat=train(texts, lexicon, unigram))
         return kept["flat"]
 
     monkeypatch.setattr(lm, "_train", caught)
@@ -322,7 +324,7 @@ def test_score_equals_the_slow_form(spark, monkeypatch):
     own = {w for w in counts if kept["lex"].model[kept["lex"].index.get(w.encode(), -1)] != lm.OTHER}
     others = sum(c for w, c in counts.items() if w not in own)
     short = [(i, t) for i, t in rows if len(t or "") < 900][:25]
-    for (i, _), want in zip(short, slow_log10([t for _, t in short], kept["lex"], kept["flat"], others, len(counts) - len(own), counts)):
+    for (i, _), want in zip(short, slow_log10([t for _, t in short], kept["lex"], kept["flat"], kept["unigram"], others, len(counts) - len(own), counts)):
         assert abs(got[i] - want) < 1e-3 * max(1, abs(want))
 
 
@@ -354,19 +356,20 @@ def test_vocabulary_grows_with_the_training_words():
     trainer = lm.Trainer(lm.Parameters.start(unigram), unigram)
     for _ in range(30):
         trainer.fit(word, one, two)
-    learned = lm.Scorer(trainer.flat, lex.n).log_probs(word, one, two)
+    learned = lm.Scorer(trainer.flat, lm.Classes(unigram)).log_probs(word, one, two)
     assert learned.mean() > np.log(unigram[word]).mean() + 1
 
 
 def test_scores_are_normalised_over_classes():
     n = 5000
     rng = np.random.default_rng(0)
-    size = sum(int(np.prod(shape)) for _, shape in lm.Parameters.shapes(n))
-    scorer = lm.Scorer((0.5 * rng.standard_normal(size)).astype(np.float32), n)
+    split = lm.Classes(1 / np.arange(1, n + 1))
+    size = sum(int(np.prod(shape)) for _, shape in lm.Parameters.shapes(n, split.size))
+    scorer = lm.Scorer((0.5 * rng.standard_normal(size)).astype(np.float32), split)
     for one, two in ((3, 4999), (lm.END, lm.END), (lm.OTHER, 2000)):
         p = scorer.log_probs(np.arange(n), np.full(n, one), np.full(n, two))
         assert abs(np.exp(p).sum() - 1) < 1e-3
-    kind = lm.class_of(n)
+    kind = split.kind
     for k in range(lm.FRONT + 2, kind.max() + 1):
         inside = np.flatnonzero(kind == k)
-        assert set(inside) == set(range(n)[scorer.members(k)]) - {lm.OTHER, lm.END}
+        assert set(inside) == set(range(n)[split.members(k)]) - {lm.OTHER, lm.END}
