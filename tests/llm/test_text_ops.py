@@ -279,7 +279,7 @@ def test_products_beyond_single_precision_are_normalised():
     n = lm.SIZE
     split = lm.Classes(np.full(n, 1 / n))
     size = sum(int(np.prod(shape)) for _, shape in lm.Parameters.shapes(n, split.size))
-    scorer = lm.Scorer((8 * np.random.default_rng(0).standard_normal(size)).astype(np.float32), split)
+    scorer = lm.Scorer((4 * np.random.default_rng(0).standard_normal(size)).astype(np.float32), split)
     for one, two in ((3, 5), (lm.END, lm.END), (lm.OTHER, 0)):
         p = scorer.log_probs(np.arange(n), np.full(n, one), np.full(n, two))
         assert abs(np.exp(p).sum() - 1) < 1e-3
