@@ -18,7 +18,7 @@ DEFAULT_LIMIT_BYTES = 8 * 1024 * 1024
 def estimated_size_bytes(df: DataFrame) -> int | None:
     try:
         stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        return int(str(stats.sizeInBytes()))
     except Exception:  # noqa: BLE001 - estimate unavailable (e.g. Spark Connect)
         return None
 

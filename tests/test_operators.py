@@ -122,3 +122,12 @@ def test_global_ranks_mixed_key_types_match_windows(spark):
     want = (df.withColumn("r_avg", F.rank().over(Window.orderBy(F.col("avg").desc_nulls_first())))
               .withColumn("r_n", F.rank().over(Window.orderBy(F.col("n").desc_nulls_first()))))
     assert rows(got, "id", "r_avg", "r_n") == rows(want, "id", "r_avg", "r_n")
+
+
+def test_the_size_of_a_written_table_decides_on_its_broadcast(spark):
+    from avisflow.operators.joins import broadcast_if_small, estimated_size_bytes
+    from avisflow.session import materialized_table
+    t = materialized_table(spark.range(1000), "sized")
+    size = estimated_size_bytes(t)
+    assert size is not None and 0 < size < 100_000
+    assert broadcast_if_small(t, size - 1) is t and broadcast_if_small(t, size) is not t
