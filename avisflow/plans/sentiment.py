@@ -4,8 +4,8 @@
   negation flip from the previous token -> sum. No explode, no shuffle, no Python.
 * Keyword language fallback: ordered substring lists.
 * Character-trigram language model (naive Bayes): trained on labelled texts, applied to every
-  text; explode + partial aggregation + join with the language profile (AQE broadcasts the
-  profile when measured small; hot trigrams are spread by AQE skew handling otherwise).
+  text: a profile measured small is broadcast and met where a text is read, a larger one is
+  joined with the trigrams counted per text, hot trigrams spread over salts.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from avisflow.functions import classify
 from avisflow.functions.lexicon import ALPHA, LEXICON, MAX_WEIGHT, NEGATORS, TOKEN_PATTERN
 from avisflow.functions.numeric import pg_round
-from avisflow.operators.joins import broadcast_if_small, one_row
+from avisflow.operators.joins import broadcast_if_small
 from avisflow.session import materialized_table
 
 # ---------------------------------------------------------------------------
@@ -109,33 +109,32 @@ def language_ngram(documents: DataFrame) -> DataFrame:
     # would run the trigram regex over every text twice
     counted = (with_trigrams(d.where(F.col("lang").isNotNull()), "text").select("lang", F.explode_outer("tris").alias("tri"))
                .where(F.col("tri").isNotNull()).groupBy("lang", "tri").agg(F.count(F.lit(1)).alias("c")))
-    # one row per trigram, written once: read for the vocabulary, the languages and the join
-    profile = materialized_table(counted.groupBy("tri").agg(F.map_from_entries(F.collect_list(F.struct("lang", "c"))).alias("by_lang")),
-                                 "trigram_profile")  # the languages are labels: few
-    vocab = profile.agg(F.count(F.lit(1)).alias("v"))
-    languages = (profile.select(F.explode("by_lang").alias("lang", "c")).groupBy("lang").agg(F.sum("c").alias("n_lang"))
-                        .crossJoin(one_row(vocab))
-                        .agg(F.collect_list(F.struct(F.col("lang"), (-F.log(F.col("n_lang") + F.col("v"))).alias("unseen")))
-                              .alias("langs")))
-    doc_tris = (with_trigrams(d, "text").select("doc_id", F.explode_outer("tris").alias("tri"))
-                    .where(F.col("tri").isNotNull())
-                    .groupBy("doc_id", "tri").agg(F.count(F.lit(1)).alias("n")))
-    # the profile is broadcast while it is measured small; beyond, a trigram that nearly every text
-    # holds is spread over SALTS copies of its profile row
+    counted = materialized_table(counted, "trigram_counts")
+    # the languages are labels: few; one row each reaches the driver
+    totals = counted.groupBy("lang").agg(F.sum("c").alias("n")).orderBy("lang").collect()
+    # one row per trigram with a column per language, null where the language never showed it
+    profile = materialized_table(counted.groupBy("tri").agg(
+        *[F.log(F.lit(1.0) + F.sum(F.when(F.col("lang") == t.lang, F.col("c")))).alias(f"w{i}") for i, t in enumerate(totals)]) if totals else counted.select("tri"), "trigram_profile")
+    vocabulary = profile.count()
+    tris = (with_trigrams(d, "text").select("doc_id", F.explode_outer("tris").alias("tri"))
+                .where(F.col("tri").isNotNull()))
+    # while the profile is measured small it is broadcast, and a text's trigrams meet it where the
+    # text is read: what moves is one row per text and task. Beyond, trigrams are counted per text
+    # and one that nearly every text holds is spread over SALTS copies of its profile row
     small = broadcast_if_small(profile)
     if small is not profile:
-        met = doc_tris.join(small, "tri")
+        met = tris.withColumn("n", F.lit(1)).join(small, "tri", "left")
     else:
         salted = profile.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        met = doc_tris.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(salted, ["tri", "salt"])
-    seen = (met.select("doc_id", "n", F.explode("by_lang").alias("lang", "c"))
-               .groupBy("doc_id", "lang").agg(F.sum(F.col("n") * F.log(F.lit(1.0) + F.col("c"))).alias("seen")))
-    totals = doc_tris.groupBy("doc_id").agg(F.sum("n").alias("n_total"))
-    by_doc = seen.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("lang", "seen"))).alias("seen"))
-    scored = totals.join(by_doc, "doc_id", "left").crossJoin(one_row(languages))
-    score = F.transform("langs", lambda l: F.struct(
-        (F.col("n_total") * l["unseen"] + F.coalesce(F.try_element_at(F.col("seen"), l["lang"]), F.lit(0.0))).alias("score"),
-        l["lang"].alias("lang")))
-    best = scored.select("doc_id", F.array_max(score).alias("b"))
+        met = (tris.groupBy("doc_id", "tri").agg(F.count(F.lit(1)).alias("n"))
+                   .withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+                   .join(salted, ["tri", "salt"], "left"))
+    by_doc = met.groupBy("doc_id").agg(F.sum("n").alias("n_total"),
+                                       *[F.sum(F.col("n") * F.col(f"w{i}")).alias(f"s{i}") for i in range(len(totals))])
+    scores = [F.struct((F.col("n_total") * -F.log(F.lit(t.n + vocabulary).cast("double"))
+                        + F.coalesce(F.col(f"s{i}"), F.lit(0.0))).alias("score"), F.lit(t.lang).alias("lang"))
+              for i, t in enumerate(totals)]
+    none = F.lit(None).cast("struct<score: double, lang: string>")  # no labelled text at all
+    best = by_doc.select("doc_id", (F.array_max(F.array(*scores)) if scores else none).alias("b"))
     return (d.select("doc_id", "lang").join(best, "doc_id", "left")
              .select("doc_id", "lang", F.col("b.lang").alias("predicted_lang")))

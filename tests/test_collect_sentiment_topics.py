@@ -119,3 +119,29 @@ def test_language_gate_needs_ten_documents(spark):
     assert vocab and {r.language for r in vocab} == {"en"}
     # 'common', 'words', 'here' are in every document (> 0.8 * 10): pruned by max_df
     assert not {"common", "words", "here"} & {r.term for r in vocab}
+
+
+LANG_DOCS = [(1, "en", "the cat and the dog"), (2, "fr", "le chat et le chien"), (3, None, "the dog and a cat"),
+             (4, None, "zzzqqq"), (5, "en", None), (6, "fr", ""), (7, None, "le chien"), (7, None, "et le chat")]
+
+
+def test_trigram_languages_do_not_depend_on_how_the_profile_is_joined(spark, monkeypatch):
+    docs = spark.createDataFrame(LANG_DOCS, "doc_id long, lang string, text string")
+    near = rows(sentiment.language_ngram(docs))
+    monkeypatch.setattr(sentiment, "broadcast_if_small", lambda df: df)
+    assert near == rows(sentiment.language_ngram(docs))
+    found = {(i, p) for i, _, p in near}
+    assert {(1, "en"), (2, "fr"), (3, "en"), (5, None), (6, None), (7, "fr")} <= found and len(near) == len(docs.collect())
+
+
+def test_trigrams_of_a_text_do_not_move_while_the_profile_is_small(spark):
+    docs = spark.createDataFrame(LANG_DOCS, "doc_id long, lang string, text string")
+    plan = sentiment.language_ngram(docs)._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert moved and not any("tri#" in line for line in moved)
+
+
+def test_trigram_languages_without_labels(spark):
+    docs = spark.createDataFrame([(1, None, "some text"), (2, None, None)], "doc_id long, lang string, text string")
+    assert rows(sentiment.language_ngram(docs)) == [(1, None, None), (2, None, None)]
+    assert sentiment.language_ngram(docs.limit(0)).count() == 0
