@@ -111,6 +111,8 @@ QUERIES: dict[str, Query] = {
     "em_topic_assignment": lambda s, d: topics.topic_assignment(topics.category_scores(_em(s, d)[0]), _em(s, d)[1]),
     # sources and sinks
     "csv_roundtrip": lambda s, d: _csv_roundtrip(s, d),
+    "csv_kept": lambda s, d: _csv_checked(s, d)[0],
+    "csv_quarantine": lambda s, d: _csv_checked(s, d)[1],
     "stream_ingest": lambda s, d: _stream_ingest(s, d),
     "append_sink": lambda s, d: _append_sink(s, d),
     "replace_sink": lambda s, d: _replace_sink(s, d),
@@ -168,6 +170,24 @@ def _csv_roundtrip(spark, sf_dir):
     return read_reviews_csv(spark, path)
 
 
+def _csv_checked(spark, sf_dir):
+    """SRC-1 over bad input: the staged fixture as raw CSV, with files of too few and too many
+    fields, repeated headers and ratings that are no numbers beside it."""
+    from avisflow.sources.reviews_csv import RAW_COLUMNS, read_checked
+    from avisflow.sources.sinks import CSV_WRITE_OPTIONS, to_raw, write_reviews_csv
+    path = scratch_path(spark, "sinks", "csv-bad")
+    staging = _wh(spark, sf_dir).staging_reviews
+    write_reviews_csv(staging, path)
+    d = F.col("doc_id")
+    some = [staging.where(d % 11 == 3).select("bank", "agency", "url"),
+            to_raw(staging.where(d % 13 == 4)).select(*RAW_COLUMNS, F.lit("x").alias("more")),
+            to_raw(staging.where(d % 17 == 5)).select(*[F.lit(c).alias(c) for c in RAW_COLUMNS]),
+            to_raw(staging.where(d % 19 == 6)).withColumns({"rating": F.lit("five"), "text": F.lit("text")})]
+    for part in some:
+        part.write.mode("append").options(**CSV_WRITE_OPTIONS).csv(path)
+    return read_checked(spark, path)
+
+
 def _append_sink(spark, sf_dir):
     """SNK-1: two daily batches appended to the raw table and read back with their ingest dates."""
     import datetime as dt
