@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from avisflow.functions.dates import is_iso_date
-from avisflow.plans import collect, quality, sentiment, sentiment_rules, star, topic_model, topics
+from avisflow.plans import collect, distinct, quality, sentiment, sentiment_rules, star, topic_model, topics
 from avisflow.plans.warehouse import SOURCES, Warehouse
 from avisflow.session import built_once, input_state, materialized_table, scratch_path
 from avisflow.sources.tables import table_path
@@ -51,6 +51,7 @@ QUERIES: dict[str, Query] = {
     "customer_insights": lambda s, d: _whm(s, d).customer_insights(),
     "sentiment_trends": lambda s, d: _whm(s, d).sentiment_trends(),
     "topic_analysis": lambda s, d: _whm(s, d).topic_analysis(),
+    "distinct_sketches": lambda s, d: _distinct_sketches(s, d),
     "stg_reviews_row_id": lambda s, d: _row_ids(s, d),
     # step-level views of the same models
     "detected_language": lambda s, d: _wh(s, d).stg_reviews.select(
@@ -152,6 +153,12 @@ def _date_buckets(spark, sf_dir):
                     (F.col("review_day") >= months_back(w.as_of, 24)).alias("in_last_24_months")))
 
 
+def _distinct_sketches(spark, sf_dir):
+    """AGG-2 by sketches: the monthly table is written, every coarser count comes from it."""
+    enriched = _whm(spark, sf_dir).enriched_core
+    return distinct.checked(materialized_table(distinct.monthly_sketches(enriched), "monthly_sketches"), enriched)
+
+
 def _row_ids(spark, sf_dir):
     """WIN-1: the staging model's global ROW_NUMBER (bank, agency, author, review_date), made a
     total order by the content-hash id, as a dense id next to the hash id."""
