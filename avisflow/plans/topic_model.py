@@ -1,8 +1,8 @@
 """NLP-8 document weights and NLP-9..13 as an exactly reproducible topic model.
 
 * ``document_weights``: the sparse document x term matrix of the vocabulary, tf * idf with L2 norm 1
-  per document. Occurrences outside the vocabulary (at most ``MAX_FEATURES`` terms per language) are
-  dropped by a broadcast join before counting, and counts are summed before the shuffle.
+  per document. The vocabulary (at most ``MAX_FEATURES`` terms per language) goes to every task, which
+  counts and weighs its own documents: nothing is shuffled.
 * ``fit``: batch expectation-maximisation of a topic mixture with Dirichlet smoothing. Every step
   starts each document from equal topic shares, updates them ``INNER`` times under the current
   topics and adds up the expected term weights; topics start from hashes of the terms, so reruns and
@@ -13,13 +13,16 @@
 from __future__ import annotations
 
 import hashlib
+import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from avisflow.functions.numeric import pg_round
-from avisflow.plans.topics import N_TOPICS, TOP_WORDS, argmax, category_scores, joined_keywords, with_terms
+from avisflow.operators.terms import known_terms
+from avisflow.plans.topics import N_TOPICS, TOP_WORDS, argmax, category_scores, joined_keywords
 from avisflow.session import materialized_table
 
 # ---------------------------------------------------------------------------
@@ -30,16 +33,48 @@ DIGITS = 9
 # ---------------------------------------------------------------------------
 
 
+def vocabulary_terms(vocab: DataFrame) -> dict[str, list[str]]:
+    """The terms per language (MAX_FEATURES at most each), in rank order."""
+    terms: dict[str, list[str]] = {}
+    for language, _, term in sorted((r["language"], r["term_rank"], r["term"]) for r in vocab.collect()):
+        terms.setdefault(language, []).append(term)
+    return terms
+
+
+def _weighed(docs: DataFrame, vocab: DataFrame) -> DataFrame:
+    """(review_id, language, ranks, terms, tfs, weights): one row per document, its vocabulary terms by rank
+    and tf * idf over their norm, not yet rounded; empty arrays where no term is known."""
+    listed = vocab.collect()  # MAX_FEATURES per language
+    terms: dict[str, list[str]] = {}
+    for r in listed:
+        terms.setdefault(r["language"], []).append(r["term"])
+    place = {(r["language"], r["term"]): (r["term_rank"], r["idf"]) for r in listed}
+    known = known_terms(docs, "review_id", "language", "lda_text", terms, "known")
+
+    def run(batches):
+        for batch in batches:
+            columns: list[list] = [[], [], [], []]
+            for language, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                rows = sorted((*place[language, t], t, n) for t, n in Counter(found).items())
+                raw = [n * idf for _, idf, _, n in rows]
+                norm = math.sqrt(math.fsum(x * x for x in raw))
+                for column, values in zip(columns, ([r for r, *_ in rows], [t for _, _, t, _ in rows], [n for *_, n in rows], [x / norm for x in raw])):
+                    column.append(values)
+            kinds = (pa.int32(), pa.string(), pa.int64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, pa.list_(k)) for c, k in zip(columns, kinds))],
+                                             names=["review_id", "language", "ranks", "terms", "tfs", "weights"])
+
+    kind = known.schema["review_id"].dataType.simpleString()
+    return known.mapInArrow(run, f"review_id {kind}, language string, ranks array<int>, terms array<string>, tfs array<bigint>, weights array<double>")
+
+
 def document_weights(docs: DataFrame, vocab: DataFrame) -> DataFrame:
     """(review_id, language, term, term_rank, tf, weight): one row per document and vocabulary term
     in it. Documents without a vocabulary term have no row."""
-    v = F.broadcast(vocab.select(F.col("language").alias("v_language"), F.col("term").alias("v_term"), "idf", "term_rank"))
-    seen = with_terms(docs).select("review_id", "language", F.explode("terms").alias("term"))
-    counted = (seen.join(v, (F.col("language") == F.col("v_language")) & (F.col("term") == F.col("v_term")))
-               .groupBy("review_id", "language", "term", "term_rank", "idf").agg(F.count(F.lit(1)).alias("tf")))
-    raw = F.col("tf") * F.col("idf")
-    norm = F.sqrt(F.sum(raw * raw).over(Window.partitionBy("review_id")))  # at most MAX_FEATURES rows
-    return counted.select("review_id", "language", "term", "term_rank", "tf", pg_round(raw / norm, 6).alias("weight"))
+    rows = _weighed(docs, vocab)
+    found = rows.select("review_id", "language", F.explode(F.arrays_zip("terms", "ranks", "tfs", "weights")).alias("w"))
+    return found.select("review_id", "language", F.col("w.terms").alias("term"), F.col("w.ranks").alias("term_rank"),
+                        F.col("w.tfs").alias("tf"), pg_round("w.weights", 6).alias("weight"))
 
 
 def start_weight(term: str, topic: int) -> float:
@@ -68,14 +103,10 @@ def _shares(batch, places: dict, topics: np.ndarray):
     return shares, at, expected()
 
 
-def matrix(docs: DataFrame, weights: DataFrame) -> DataFrame:
+def matrix(docs: DataFrame, vocab: DataFrame) -> DataFrame:
     """(review_id, language, ranks, weights): a row per document, empty arrays where no term is known."""
-    rows = weights.groupBy("review_id").agg(F.sort_array(F.collect_list(F.struct("term_rank", "weight"))).alias("w"))  # MAX_FEATURES at most
-    rows = rows.select(F.col("review_id").alias("w_id"), "w")
-    return materialized_table(
-        docs.select("review_id", "language").join(rows, F.col("review_id") == F.col("w_id"), "left").select(
-            "review_id", "language", F.coalesce(F.col("w.term_rank"), F.array().cast("array<int>")).alias("ranks"),
-            F.coalesce(F.col("w.weight"), F.array().cast("array<double>")).alias("weights")), "topic_matrix")
+    rounded = F.transform("weights", lambda x: pg_round(x, 6))
+    return materialized_table(_weighed(docs, vocab).select("review_id", "language", "ranks", rounded.alias("weights")), "topic_matrix")
 
 
 def fit(docs: DataFrame, vocab: DataFrame, steps: int = STEPS) -> tuple[DataFrame, DataFrame]:
@@ -88,7 +119,7 @@ def fit(docs: DataFrame, vocab: DataFrame, steps: int = STEPS) -> tuple[DataFram
         places.setdefault(language, i)
     group = np.array([places[x] for x, _, _ in words], np.int64)
     totals = np.array([[start_weight(term, z) for z in range(N_TOPICS)] for _, _, term in words]).reshape(-1, N_TOPICS)
-    held = matrix(docs, document_weights(docs, vocab))
+    held = matrix(docs, vocab)
 
     def normalised():
         sums = np.stack([np.bincount(group, totals[:, z], len(words)) for z in range(N_TOPICS)], axis=1) if len(words) else totals

@@ -4,8 +4,8 @@
   LDA text (built-in regex + higher-order functions) and the language gate (>= 10 rows and
   >= 10 non-empty documents, 'unknown' skipped).
 * ``tfidf_terms``: 1-2-gram document/term frequencies with min_df / max_df / top-100 by
-  corpus frequency, idf = ln((1+n)/(1+df)) + 1; top-k per language uses row_number <= k,
-  which Spark limits map-side before the shuffle.
+  corpus frequency, idf = ln((1+n)/(1+df)) + 1; words first, then the pairs that can still lead;
+  top-k per language uses row_number <= k, which Spark limits map-side before the shuffle.
 * ``keyword_topics``: the deterministic topic of every review, by the category words its text holds.
 * ``lda_topics`` / ``topic_assignment``: Spark ML per language (CountVectorizerModel on the
   vocabulary -> idf scaling -> L2 norm -> LDA k=5), then category matching and the per-review
@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from avisflow.functions.numeric import pg_round
 from avisflow.functions.stopwords import all_stopwords
+from avisflow.operators.terms import known_terms, pair_counts, word_counts
 from avisflow.session import checkpointed, materialized_table
 
 # ---------------------------------------------------------------------------
@@ -46,10 +47,11 @@ CATEGORIES = [
 DEFAULT_CATEGORY = "autre"
 # Deterministic keyword table for the checked category query: vocabulary ranks in groups of ten.
 RANK_GROUP = 10
+# Words whose pairs are counted alone; more are not brought to the driver.
+PAIR_WORDS = 100_000
 # ---------------------------------------------------------------------------
 
 NON_WORD = r"[^\p{L}\p{N}_]+"
-BIGRAM_PATTERN = r"(?<=^| )(?=([^ ]+ [^ ]+))"
 DIGITS = r"\p{Nd}+"
 
 
@@ -84,7 +86,7 @@ def topic_documents(enriched: DataFrame) -> DataFrame:
     and by the documents."""
     docs = materialized_table(with_lda_text(_candidates(enriched), "clean_text").drop("clean_text"), "topic_texts")
     gate = language_gate_from(docs).where("eligible").select("language", "n_documents")
-    return docs.where(F.col("lda_text") != "").join(gate, "language")
+    return docs.where(F.col("lda_text") != "").join(F.broadcast(gate), "language")  # at most three languages
 
 
 def language_gate_from(docs: DataFrame) -> DataFrame:
@@ -98,52 +100,38 @@ def language_gate(enriched: DataFrame) -> DataFrame:
     return language_gate_from(with_lda_text(_candidates(enriched), "clean_text"))
 
 
-def with_terms(docs: DataFrame) -> DataFrame:
-    """Unigrams followed by bigrams of the LDA tokens.
-
-    Bigrams come from one linear regex pass over the joined text: at every token start a
-    zero-width lookahead captures "token next". (Pairing the token array with a shifted copy in a
-    lambda is interpreted per element and far slower on 20,000-word texts.)"""
-    bigrams = F.regexp_extract_all("lda_text", F.lit(BIGRAM_PATTERN), 1)
-    return docs.withColumn("terms", F.concat(F.split("lda_text", " "), bigrams))
-
-
 def tfidf_terms(stg: DataFrame) -> DataFrame:
-    """NLP-8 from staged reviews in one pass over the texts.
-
-    Each candidate document emits flagged rows from a single explode: every term occurrence
-    (kind 0, tf), every distinct term once (kind 1, df), a marker for a non-empty document
-    (kind 2) and a marker for every candidate row (kind 3); markers use the empty term, which no
-    token can be. One aggregation by (language, term) then yields tf, df and both counts of the
-    language gate; it collapses map-side, so no (document, term) pairs are shuffled, and the
-    staged reviews are read once."""
-    return vocabulary_of(with_lda_text(_candidates(stg), "clean_text"))
+    """NLP-8 from staged reviews; the processed texts are written once and read per count."""
+    return vocabulary_of(materialized_table(with_lda_text(_candidates(stg), "clean_text").drop("clean_text"), "topic_texts"))
 
 
 def vocabulary_of(docs: DataFrame) -> DataFrame:
-    """The vocabulary of processed texts (language, lda_text), gate included."""
-    nonempty = F.col("lda_text") != ""
-    terms = F.when(nonempty, F.col("terms")).otherwise(F.array().cast("array<string>"))
-    rows = F.concat(F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(0).alias("kind"))),
-                    F.transform(F.array_distinct(terms), lambda t: F.struct(t.alias("term"), F.lit(1).alias("kind"))),
-                    F.when(nonempty, F.array(F.struct(F.lit("").alias("term"), F.lit(2).alias("kind"))))
-                     .otherwise(F.array().cast("array<struct<term:string,kind:int>>")),
-                    F.array(F.struct(F.lit("").alias("term"), F.lit(3).alias("kind"))))
-    counted = (with_terms(docs).select("language", F.inline(rows))
-                   .groupBy("language", "term")
-                   .agg(F.count_if(F.col("kind") == 0).alias("tf"), F.count_if(F.col("kind") == 1).alias("df"),
-                        F.count_if(F.col("kind") == 2).alias("n_documents"),
-                        F.count_if(F.col("kind") == 3).alias("n_rows")))
-    gate = (counted.where((F.col("term") == "") & (F.col("n_rows") >= MIN_DOCUMENTS)
-                          & (F.col("n_documents") >= MIN_DOCUMENTS))
-                   .select("language", "n_documents"))
-    stats = (counted.where(F.col("term") != "").drop("n_documents", "n_rows")
-                    .join(gate, "language")  # at most three languages
-                    .where((F.col("df") >= MIN_DF) & (F.col("df") <= F.col("n_documents") * F.lit(MAX_DF))))
+    """The vocabulary of processed texts (language, lda_text), gate included.
+
+    Words are counted first. A word pair occurs in no more places and texts than either of its words,
+    so pairs are then counted only among words that are in MIN_DF texts and occur as often as the last
+    of the MAX_FEATURES leading words: no other pair can lead. Should that be more than PAIR_WORDS
+    words (many tie), all pairs are counted instead; the result is the same."""
+    gate = language_gate_from(docs).where("eligible").select("language", "n_documents")
+    words = materialized_table(word_counts(docs, "language", "lda_text"), "topic_words")
     w = Window.partitionBy("language").orderBy(F.col("tf").desc(), F.col("term").asc())
-    top = stats.withColumn("term_rank", F.row_number().over(w)).where(F.col("term_rank") <= MAX_FEATURES)
+
+    def leading(counted):
+        able = (counted.join(F.broadcast(gate), "language")  # at most three languages
+                       .where((F.col("df") >= MIN_DF) & (F.col("df") <= F.col("n_documents") * F.lit(MAX_DF))))
+        return able.withColumn("term_rank", F.row_number().over(w)).where(F.col("term_rank") <= MAX_FEATURES)
+
+    last = leading(words).where(F.col("term_rank") == MAX_FEATURES).select("language", F.col("tf").alias("least"))
+    able = (words.join(F.broadcast(gate.select("language")), "language").join(F.broadcast(last), "language", "left")
+                 .where((F.col("df") >= MIN_DF) & (F.col("tf") >= F.coalesce("least", F.lit(0)))).select("language", "term"))
+    among: dict | None = {}
+    for language, term in able.limit(PAIR_WORDS + 1).collect():
+        among.setdefault(language, set()).add(term)
+    if sum(map(len, among.values())) > PAIR_WORDS:
+        among = None
+    both = words.unionByName(pair_counts(docs, "language", "lda_text", among))
     idf = F.log((F.lit(1.0) + F.col("n_documents")) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
-    return top.select("language", "term", "df", "tf", pg_round(idf, 6).alias("idf"), "term_rank")
+    return leading(both).select("language", "term", "df", "tf", pg_round(idf, 6).alias("idf"), "term_rank")
 
 
 def category_scores(topics: DataFrame, keywords_col: str = "keywords") -> DataFrame:
@@ -254,7 +242,9 @@ def lda_fit(docs: DataFrame, vocab: DataFrame):
     rows = (vocab.groupBy("language")
                  .agg(F.sort_array(F.collect_list(F.struct("term_rank", "term", "idf"))).alias("v"))
                  .collect())
-    corpus = with_terms(checkpointed(docs.select("review_id", "language", "lda_text")))
+    # only vocabulary terms reach the count vectors, so only they are kept of the texts
+    known = {r["language"]: [x["term"] for x in r["v"]] for r in rows}
+    corpus = checkpointed(known_terms(docs, "review_id", "language", "lda_text", known, "terms"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def fit_one(r):
