@@ -49,10 +49,15 @@ def dedup_order():
     return [F.col("review_date").desc_nulls_first(), F.col("text_length").asc(), F.col("review_id").asc(), *rest]
 
 
-def stg_reviews(staging: DataFrame) -> DataFrame:
+def stg_reviews(staging: DataFrame, add=None, drop: tuple = ()) -> DataFrame:
+    """``add``: columns computed from the cleaned rows before de-duplication, where the texts are read,
+    so that texts named in ``drop`` need not move to the window. Such columns must follow from the
+    cleaned text alone: rows of one key then share them."""
     if "doc_id" not in staging.columns:  # raw reviews that no document stands behind
         staging = staging.withColumn("doc_id", F.lit(None).cast("long"))
     cleaned = cleaned_reviews(staging).withColumn("__clean_hash", F.sha2("clean_text", 256))
-    df = latest_per_key(cleaned, DEDUP_KEYS, dedup_order()).drop("__clean_hash")
+    if add:
+        cleaned = add(cleaned)
+    df = latest_per_key(cleaned.drop(*drop), DEDUP_KEYS, dedup_order()).drop("__clean_hash")
     first = ["review_id"]
     return df.select(*first, *[c for c in df.columns if c not in first])

@@ -70,11 +70,17 @@ class Warehouse:
 
     @cached_property
     def _jobs(self) -> DataFrame:
-        """Staged reviews with the sentiment and topic jobs' columns, in one pass over the texts."""
-        scored = topics.with_keyword_topic(sentiment.with_scores(self.stg_reviews, "clean_text"))
-        if self.materialize == "text":
-            return self._table("stg_scored_text", lambda: scored)
-        return self._table("stg_scored", lambda: scored.drop(*TEXT_COLUMNS))
+        """Staged reviews with the sentiment and topic jobs' columns, computed where the texts are
+        read: without texts in the result, none is shuffled for the de-duplication."""
+        def scored(df):
+            return topics.with_keyword_topic(sentiment.with_scores(df, "clean_text"))
+
+        drop = () if self.materialize == "text" else TEXT_COLUMNS
+        if "stg_reviews" in self._override:
+            build = lambda: scored(self.stg_reviews).drop(*drop)
+        else:
+            build = lambda: staging.stg_reviews(self.staging_reviews, scored, drop)
+        return self._table("stg_scored_text" if self.materialize == "text" else "stg_scored", build)
 
     @cached_property
     def stg_text(self) -> DataFrame:
