@@ -61,3 +61,36 @@ def test_weights_move_no_row(spark):
     weights = topic_model.document_weights(docs.coalesce(1), vocab)
     assert rows(weights) == [("en0", "en", "cash", 1, 2, 0.707107), ("en0", "en", "cash card", 2, 1, 0.707107)]
     assert "hashpartitioning" not in weights._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scores_are_computed_where_texts_are_read(spark):
+    from support import SF_SMALL
+
+    from avisflow.plans import sentiment, staging
+    from avisflow.plans.warehouse import TEXT_COLUMNS, Warehouse
+
+    def scored(df):
+        return topics.with_keyword_topic(sentiment.with_scores(df, "clean_text"))
+
+    raw = Warehouse(spark, SF_SMALL).staging_reviews
+    early = staging.stg_reviews(raw, scored, TEXT_COLUMNS)
+    late = scored(staging.stg_reviews(raw)).drop(*TEXT_COLUMNS)
+    plan = Warehouse(spark, SF_SMALL, materialize=True)._jobs  # the written table has no text either
+    assert early.columns == late.columns == plan.columns and rows(early) == rows(late) == rows(plan)
+    shuffled = early._jdf.queryExecution().optimizedPlan().toString().split("+- Project")[0]
+    assert "Window" in shuffled and "clean_text" not in shuffled
+
+
+def test_lexicon_words_meet_the_word_before(spark):
+    from avisflow.plans import sentiment
+
+    docs = spark.createDataFrame([(1, "not good, good never bad"), (2, "never never"), (3, ""), (4, None), (5, "plain words")], "i long, t string")
+    got = {r["i"]: (r["lexicon_hits"], r["textblob_polarity"]) for r in sentiment.with_scores(docs, "t").collect()}
+    assert got[1] == (4, round((-1.5 + 1.5 - 0.5 + 2.0) / 4 / 3.5, 4)) and got[2] == (2, 0.0) and got[3] == got[5] == (0, 0.0)
+
+
+def test_trigrams_are_numbers_of_code_points():
+    from avisflow.plans.sentiment import _trigrams
+
+    assert len(_trigrams("ab")) == len(_trigrams(None)) == 0 and len(_trigrams("aé𝒜x")) == 2
+    assert len(set(_trigrams("abcabc").tolist())) == 3
