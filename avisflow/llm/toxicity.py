@@ -118,6 +118,11 @@ def held_out(id_col: str):
     return F.coalesce(crc_mod(id_col, 3) == 1, F.lit(False))
 
 
+def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, fit_rows: int) -> DataFrame:
+    """The rows to learn from: one per labelled id that is not held out."""
+    return labelled_texts(docs, labels, id_col, text_col, label_col, fit_rows, held_out, SEED)
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         fit_rows: int = FIT_ROWS) -> dict:
     """Kept places and the machine, learned from at most about ``fit_rows`` labelled ids. An id with
@@ -139,7 +144,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                         [pa.array([y], pa.int32()), pa.array([words.total()], pa.int64()), pa.array([at.tobytes()], pa.binary()),
                          pa.array([np.minimum(counts, MOST).astype(np.uint8).tobytes()], pa.binary())], names=["y", "n_words", "places", "counts"])
 
-    texts = table(labelled_texts(docs, labels, id_col, text_col, label_col, fit_rows, held_out, SEED)
+    texts = table(labelled(docs, labels, id_col, text_col, label_col, fit_rows)
                   .mapInArrow(counted, "y int, n_words long, places binary, counts binary"), "toxic-labelled")
 
     def frequencies(batches):
