@@ -20,15 +20,15 @@ therefore has no hot key.
 from __future__ import annotations
 
 import uuid
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from avisflow.llm.common import crc_mod, slices, table, text_bytes, worker_cache
+from avisflow.llm.common import crc_mod, slices, table, worker_cache
 
 TOP, DIM, CONTEXT = 1022, 32, 2
 OTHER, END, SIZE = TOP, TOP + 1, TOP + 2
@@ -45,11 +45,28 @@ SEED = 5
 ROWS = 4096
 #: Tasks whose rows of a block meet in one task.
 FAN = 16
-_FLUSH = 200_000
+#: Contexts whose products are held at once.
+BLOCK = 512
 
 
-def _words(text: bytes) -> list[bytes]:
-    return text.lower().split()
+def _words(column: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Words of a column of texts, in order, as places among their distinct ones; those, as bytes; how
+    many words each text has. Null counts as empty."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(column, "")))
+    found = parts.flatten().dictionary_encode()
+    at, sizes = found.indices.to_numpy().astype(np.int64), pc.list_value_length(parts).to_numpy().astype(np.int64)
+    kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
+    words = found.dictionary.cast(kind)
+    nothing = pc.index(words, pa.scalar(b"", kind)).as_py()
+    if nothing >= 0:  # white space at a text's end leaves an empty word
+        empty = at == nothing
+        sizes -= np.bincount(np.repeat(np.arange(len(sizes)), sizes)[empty], minlength=len(sizes))
+        at = at[~empty]
+    return at, words, sizes
+
+
+def _listed(words: pa.Array) -> list[bytes]:
+    return words.to_numpy(zero_copy_only=False).tolist()
 
 
 def held_out(id_col: str):
@@ -60,22 +77,12 @@ def held_out(id_col: str):
 def word_counts(texts: DataFrame) -> DataFrame:
     """(word binary, c): occurrences of each word in the column ``text``, ends of texts left out."""
     def run(batches):
-        held: Counter = Counter()
-
-        def out():
-            batch = pa.RecordBatch.from_arrays([pa.array(list(held.keys()), pa.binary()), pa.array(list(held.values()), pa.int64())],
-                                               names=["word", "c"])
-            held.clear()
-            return batch
-
         for batch in batches:
-            for part in slices(batch):
-                for t in text_bytes(part.column(0)):
-                    held.update(_words(t))
-                    if len(held) > _FLUSH:
-                        yield out()
-        if held:
-            yield out()
+            for part in slices(batch):  # a row for each distinct word of 8 MB
+                at, words, _ = _words(part.column(0))
+                c = np.bincount(at, minlength=len(words))
+                held = np.flatnonzero(c)
+                yield pa.RecordBatch.from_arrays([words.take(pa.array(held)).cast(pa.binary()), pa.array(c[held])], names=["word", "c"])
 
     return texts.mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -145,37 +152,48 @@ class Parameters:
         return np.concatenate(parts).astype(np.float32)
 
     def vectors(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        return self.context[one] * self.weights[0] + self.context[two] * self.weights[1]
+        out, last = self.context.take(one, 0), self.context.take(two, 0)
+        out *= self.weights[0]
+        last *= self.weights[1]
+        out += last
+        return out
 
 
 class _Groups:
-    """Distinct values ``at`` of an index; sums of the rows that share one."""
+    """Distinct values ``at`` of an index, the most frequent first; sums of the rows that share one."""
 
     def __init__(self, index: np.ndarray):
-        order = np.argsort(index)
-        held = index[order]
-        first = np.concatenate([[True], held[1:] != held[:-1]])
-        self.at = held[first]
-        self.place = np.empty(len(index), np.int64)
-        self.place[order] = np.cumsum(first) - 1
-        self.cells: dict[int, np.ndarray] = {}
+        m = len(index)
+        key = np.sort(index * m + np.arange(m))  # sorts faster than the index's order is found
+        held = key // m
+        self.order = key - held * m
+        first = np.flatnonzero(np.concatenate([[True], held[1:] != held[:-1]]))
+        count = np.diff(np.append(first, m))
+        self.lead = np.argsort(-count)
+        self.first, self.starts, self.count = first, first[self.lead], count[self.lead]
+        self.at = held[self.starts]
+        #: How many groups have more than one row, than two, ...
+        self.live = np.searchsorted(-self.count, -np.arange(1, self.count[0] + 1)).tolist()
 
     def sums(self, rows: np.ndarray) -> np.ndarray:
         if rows.ndim == 1:
-            return np.bincount(self.place, rows, len(self.at)).astype(np.float32)
-        width = rows.shape[1]
-        if width not in self.cells:
-            self.cells[width] = (self.place[:, None] * width + np.arange(width)).ravel()
-        out = np.zeros(len(self.at) * width, np.float32)
-        np.add.at(out, self.cells[width], rows.ravel())
-        return out.reshape(-1, width)
+            return np.add.reduceat(rows.take(self.order), self.first).take(self.lead)
+        out = rows.take(self.order.take(self.starts), 0)
+        for done, live in enumerate(self.live, 1):  # the next row of all groups that have one; they stand first
+            if live <= 16:
+                break
+            out[:live] += rows.take(self.order.take(self.starts[:live] + done), 0)
+        for i in range(self.live[done - 1]):
+            out[i] += rows.take(self.order[self.starts[i] + done:self.starts[i] + self.count[i]], 0).sum(0)
+        return out
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    np.negative(x, out=x)
-    np.exp(x, out=x)
-    x += 1
-    return np.reciprocal(x, out=x)
+def _put(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """Sets rows of a table; a row of many cells is moved as one."""
+    if table.ndim > 1:
+        cell = np.dtype((np.void, rows.shape[1] * rows.itemsize))
+        table, rows = table.view(cell)[:, 0], rows.view(cell)[:, 0]
+    table[at] = rows
 
 
 class _Level:
@@ -218,100 +236,133 @@ class Trainer:
         for at in range(0, len(order), BATCH):
             rows = np.sort(order[at:at + BATCH])  # cases of a word stand together
             k, w = case[rows], weight[rows]
-            self.step(k // (n * n), k // n % n, k % n, w)
+            word = k // (n * n)
+            before = k - word * (n * n)
+            one = before // n
+            self.step(word, one, before - one * n, w)
 
     def step(self, word: np.ndarray, one: np.ndarray, two: np.ndarray, weight: np.ndarray) -> None:
         p = self.p
-        c1, c2 = p.context[one], p.context[two]
-        h = c1 * p.weights[0] + c2 * p.weights[1]
-        total = weight.sum()
+        order = np.argsort(self.kind[word] < FRONT + 2, kind="stable")  # words inside classes stand first
+        word, one, two, weight = word[order], one[order], two[order], weight[order]
         kind = self.kind[word]
+        tail = np.count_nonzero(kind >= FRONT + 2)
+        m, total = len(word), weight.sum()
+        c1, c2 = p.context.take(one, 0), p.context.take(two, 0)
+        rows = np.empty((2 * m, DIM), np.float32)
+        np.multiply(c1, p.weights[0], out=rows[:m])
+        np.multiply(c2, p.weights[1], out=rows[m:])
+        h = rows[:m] + rows[m:]
         back = self._contrast(self.top, h, kind, weight, total)
-        tail = np.flatnonzero(kind >= FRONT + 2)
-        if len(tail):
-            back[tail] += self._contrast(self.inner, h[tail], word[tail], weight[tail], total)
-        g_weights = np.stack([(back * c1).sum(0), (back * c2).sum(0)])
+        if tail:
+            back[:tail] += self._contrast(self.inner, h[:tail], word[:tail], weight[:tail], total)
+        np.multiply(back, p.weights[0], out=rows[:m])
+        np.multiply(back, p.weights[1], out=rows[m:])
+        c1 *= back
+        c2 *= back
+        ones = np.ones(m, np.float32)
         groups = _Groups(np.concatenate([one, two]))
-        self._add("context", groups, np.concatenate([back * p.weights[0], back * p.weights[1]]), total)
+        self._add("context", groups.at, groups.sums(rows), total)
         self.seen["context"][groups.at] += groups.sums(np.concatenate([weight, weight]))
-        self._add("weights", _Groups(np.arange(CONTEXT)), g_weights, total)
+        self._add("weights", np.arange(CONTEXT), np.stack([ones @ c1, ones @ c2]), total)
         self.seen["weights"] += total
 
     def _contrast(self, level: _Level, h, target, weight, total) -> np.ndarray:
         """One level's step: its output rows move, the gradient of the contexts' vectors is returned."""
         output, bias = self.p.tables[level.output], self.p.tables[level.bias]
         noise = level.draw(self.rng)
-        hit, miss = output[target], output[noise]
-        up = _sigmoid(level.noise_log[target] - bias[target] - np.einsum("ij,ij->i", h, hit)) * weight
-        down = h @ miss.T
-        down += bias[noise] - level.noise_log[noise]
-        down = _sigmoid(down)
-        down *= -weight[:, None]
-        back = down @ miss
+        m = len(h)
+        hit, miss = output.take(target, 0), output.take(noise, 0)
+        up = np.einsum("ij,ij->i", h, hit)
+        up += bias[target] - level.noise_log[target]
+        np.exp(up, out=up)
+        up += 1
+        np.divide(weight, up, out=up)
+        down = -miss @ h.T  # a row for each draw
+        down += (level.noise_log[noise] - bias[noise])[:, None]
+        np.exp(down, out=down)
+        down += 1
+        np.divide(-weight, down, out=down)
+        back = down.T @ miss
         hit *= up[:, None]
         back += hit
         groups = _Groups(np.concatenate([target, noise]))
-        self._add(level.output, groups, np.concatenate([up[:, None] * h, down.T @ h]), total)
-        self._add(level.bias, groups, np.concatenate([up, down.sum(0)]), total)
+        rows = np.empty((m + NOISE, DIM), np.float32)
+        np.multiply(h, up[:, None], out=rows[:m])
+        np.matmul(down, h, out=rows[m:])
+        self._add(level.output, groups.at, groups.sums(rows), total)
+        self._add(level.bias, groups.at, groups.sums(np.concatenate([up, down @ np.ones(m, np.float32)])), total)
         trained = groups.sums(np.concatenate([weight, np.ones(NOISE, np.float32)]))
         self.seen[level.output][groups.at] += trained
         self.seen[level.bias][groups.at] += trained
         return back
 
-    def _add(self, name: str, groups: _Groups, rows, total) -> None:
-        grad = groups.sums(rows)
+    def _add(self, name: str, at: np.ndarray, grad: np.ndarray, total) -> None:
         grad /= total
-        table, square, at = self.p.tables[name], self.square.tables[name], groups.at
-        held = square[at]
+        table, square = self.p.tables[name], self.square.tables[name]
+        held = square.take(at, 0)
         held += grad * grad
-        square[at] = held
+        _put(square, at, held)
         np.sqrt(held, out=held)
         np.divide(grad, held, out=held)
         held *= RATE
-        held += table[at]
-        table[at] = held
+        held += table.take(at, 0)
+        _put(table, at, held)
 
 
 class Scorer:
-    """Normalised log probabilities; biases are a further dimension of the output tables."""
+    """Normalised log probabilities."""
 
     def __init__(self, flat: np.ndarray, split: Classes):
         self.split, self.kind, self.n = split, split.kind, len(split.kind)
         self.p = Parameters(flat, self.n, split.size)
-        self.classes = np.hstack([self.p.class_output, self.p.class_bias[:, None]])
-        self.words = np.hstack([self.p.output, self.p.bias[:, None]])
-        self.words[[OTHER, END], -1] = -1e30  # they stand among a class's places but are not of it
 
     def log_probs(self, word: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        keys, place = np.unique(one * self.n + two, return_inverse=True)
-        h = np.ones((len(keys), DIM + 1), np.float32)
-        h[:, :DIM] = self.p.vectors(keys // self.n, keys % self.n)
-        norm = _log_sums(h, self.classes)
+        key = one * self.n + two
+        order = np.argsort(key)  # equal contexts stand together
+        key, word = key[order], word[order]
         kind = self.kind[word]
-        out = np.einsum("ij,ij->i", h[place], self.classes[kind]).astype(np.float64) - norm[place]
+        p = self._choice(key, kind, self.p.class_output, self.p.class_bias)
         tail = np.flatnonzero(kind >= FRONT + 2)
-        order = tail[np.argsort(kind[tail], kind="stable")]
-        kinds, starts = np.unique(kind[order], return_index=True)
-        for k, rows in zip(kinds.tolist(), np.split(order, starts[1:])):
-            x = h[place[rows]]
-            out[rows] += np.einsum("ij,ij->i", x, self.words[word[rows]]) - _log_sums(x, self.words[self.split.members(k)])
+        tail = tail[np.argsort(kind[tail], kind="stable")]  # and inside a class still do
+        kinds, starts = np.unique(kind[tail], return_index=True)
+        for k, rows in zip(kinds.tolist(), np.split(tail, starts[1:])):
+            held = self.split.members(k)
+            bias = self.p.bias[held]
+            for place in (OTHER, END):  # they stand among a class's places but are not of it
+                if held.start <= place < held.stop:
+                    bias = np.where(np.arange(held.start, held.stop) == place, np.float32(-1e30), bias)
+            p[rows] += self._choice(key[rows], word[rows] - held.start, self.p.output[held], bias)
+        out = np.empty(len(p))
+        out[order] = p
         return out
 
-
-def _log_sums(h: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """log of the sums over a table's rows of exp of the products; blocks that stay in the cache."""
-    out, table = np.empty(len(h), np.float32), np.ascontiguousarray(table.T)
-    for at in range(0, len(h), 512):
-        z = h[at:at + 512] @ table
-        with np.errstate(over="ignore"):
-            sums = np.exp(z, out=z).sum(1)
-        odd = ~((sums > 1e-30) & (sums < 1e30))  # beyond single precision: from the largest product on
-        if odd.any():
-            z = h[at:at + 512][odd].astype(np.float64) @ table
-            top = z.max(1)
-            out[at:at + 512][odd] = top + np.log(np.exp(z - top[:, None]).sum(1))
-        out[at:at + 512][~odd] = np.log(sums[~odd])
-    return out
+    def _choice(self, key: np.ndarray, target: np.ndarray, output: np.ndarray, bias: np.ndarray) -> np.ndarray:
+        """Log probabilities of targets among the rows of an output table; a context's products are
+        computed once for its tokens, which stand together, in blocks that stay in the cache."""
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        ends = np.append(first, len(key))
+        table, out = np.ascontiguousarray(output.T), bias[target].astype(np.float64)
+        with np.errstate(over="ignore", invalid="ignore"):
+            odds = np.exp(bias)
+            for at in range(0, len(first), BLOCK):
+                held = ends[at:at + BLOCK + 1]
+                rows = slice(held[0], held[-1])
+                of = key[held[:-1]]
+                one = of // self.n
+                h = self.p.vectors(one, of - one * self.n)
+                z = h @ table
+                place = np.repeat(np.arange(len(of)), np.diff(held))
+                out[rows] += z.ravel().take(place * len(bias) + target[rows])
+                sums = np.exp(z, out=z) @ odds
+                odd = ~((sums > 1e-30) & (sums < 1e30))  # beyond single precision: from the largest product on
+                norm = np.log(np.where(odd, 1, sums))
+                if odd.any():
+                    z = h[odd].astype(np.float64) @ table + bias
+                    most = z.max(1)
+                    norm[odd] = most + np.log(np.exp(z - most[:, None]).sum(1))
+                out[rows] -= norm.take(place)
+        return out
 
 
 class Lexicon:
@@ -350,7 +401,9 @@ def _train(texts: DataFrame, lexicon, unigram: np.ndarray) -> np.ndarray:
                 if trainer is None:
                     trainer = Trainer(Parameters.start(shared.value), shared.value)
                 lex = lexicon.value
-                word, one, two = _contexts([lex.model[lex.look_up(_words(t))] for t in text_bytes(part.column(0))])
+                at, words, sizes = _words(part.column(0))
+                places = lex.model[lex.look_up(_listed(words))][at]
+                word, one, two = _contexts(np.split(places, np.cumsum(sizes)[:-1]))
                 trainer.fit(word, one, two)
         if trainer is not None:
             part = TaskContext.get().partitionId() // FAN
@@ -428,22 +481,23 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         scorer, lex = cache["scorer"], lexicon.value
         logs = np.log10(lex.counts + 1.0)
         for batch in batches:
-            for part in slices(batch, 2, 4 << 20):
-                found, rare, rare_n = [], [], []
-                for t in text_bytes(part.column(2)):
-                    words = _words(t)
-                    at = lex.look_up(words)
-                    found.append(at)
-                    left = Counter([words[i] for i in np.nonzero(at < 0)[0].tolist()])
-                    rare.append(list(left.keys()))
-                    rare_n.append(list(left.values()))
-                word, one, two = _contexts([lex.model[at] for at in found])
+            for part in slices(batch, 2):
+                code, words, sizes = _words(part.column(2))
+                found = lex.look_up(_listed(words))[code]
+                cuts = np.cumsum(sizes)[:-1]
+                word, one, two = _contexts(np.split(lex.model[found], cuts))
                 p = scorer.log_probs(word, one, two) / np.log(10)
-                sizes = np.array([len(at) for at in found])
+                # distinct rare words of each text, with their counts
+                cold = np.flatnonzero(found < 0)
+                text = np.repeat(np.arange(len(sizes)), sizes)[cold]
+                pairs, times = np.unique(text * len(words) + code[cold], return_counts=True)
+                lists = np.searchsorted(pairs, np.arange(len(sizes) + 1) * len(words)).astype(np.int32)
+                rare = words.take(pa.array(pairs % max(1, len(words)))).cast(pa.binary())
                 starts = np.cumsum(sizes + 1) - sizes - 1
-                flat_at = np.concatenate([x for at in found for x in (at, [-1])])
-                is_word = np.ones(len(flat_at), bool)
+                is_word = np.ones(len(word), bool)
                 is_word[starts + sizes] = False
+                flat_at = np.full(len(word), -1)
+                flat_at[is_word] = found
                 known = is_word & (flat_at >= 0)
                 # Hot words' shares: of all tokens, and of the class of other words.
                 base = np.where(known, logs[flat_at], 0.0)
@@ -451,7 +505,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 cols = [np.add.reduceat(x, starts) for x in (p + inner, base, known.astype(np.int64))]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(sizes + 1), *(pa.array(c) for c in cols),
-                     pa.array(rare, pa.list_(pa.binary())), pa.array(rare_n, pa.list_(pa.int64()))],
+                     pa.ListArray.from_arrays(lists, rare), pa.ListArray.from_arrays(lists, pa.array(times, pa.int64()))],
                     names=["doc_id", "held_out", "n_tokens", "model", "base", "hot_known", "rare", "rare_n"])
 
     kind = src.schema["doc_id"].dataType.simpleString()

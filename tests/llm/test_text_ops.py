@@ -3,12 +3,14 @@
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from llm_helpers import lower, odd_docs, words
@@ -373,3 +375,68 @@ def test_scores_are_normalised_over_classes():
     for k in range(lm.FRONT + 2, kind.max() + 1):
         inside = np.flatnonzero(kind == k)
         assert set(inside) == set(range(n)[split.members(k)]) - {lm.OTHER, lm.END}
+
+
+def test_words_are_split_as_bytes_are():
+    texts = [None, "", " ", "a", " B  a\tA\x0b\x0c\r\nb ", "\x1cx\x85y\xa0z \u2003 \u0130", "a\x00 \x00", "Stra\u00dfe \u00c9 I\n"]
+    for kind in (pa.string(), pa.large_string()):
+        at, held, sizes = lm._words(pa.array(["cut off", *texts], kind).slice(1))
+        got = [held[i].as_py() for i in at.tolist()]
+        want = [(t or "").encode().lower().split() for t in texts]
+        assert sizes.tolist() == [len(w) for w in want] and got == sum(want, [])
+
+
+@pytest.mark.parametrize("index", [[7], [3] * 50, [1, 5, 1, 1, 2, 5], np.random.default_rng(0).zipf(1.3, 5000) % 900])
+def test_sums_of_rows_that_share_an_index(index):
+    index = np.array(index)
+    rows = np.random.default_rng(1).standard_normal((len(index), 3)).astype(np.float32)
+    groups = lm._Groups(index)
+    assert sorted(groups.at.tolist()) == sorted(set(index.tolist()))
+    for i, total, one in zip(groups.at, groups.sums(rows), groups.sums(rows[:, 0].copy())):
+        assert np.allclose(total, rows[index == i].sum(0), atol=1e-3) and abs(one - rows[index == i, 0].sum()) < 1e-3
+
+
+def test_a_training_step_equals_the_plain_form():
+    rng = np.random.default_rng(3)
+    n, m = 3000, 500
+    unigram = 1 / np.arange(1, n + 1)
+    unigram /= unigram.sum()
+    word, one, two = (rng.choice(n, m, p=unigram) for _ in range(3))
+    word[:4], weight = [lm.OTHER, lm.END, 5, 2000], rng.integers(1, 9, m).astype(np.float32)
+    trainer = lm.Trainer(lm.Parameters.start(unigram), unigram)
+    trainer.flat += rng.normal(0, 0.1, len(trainer.flat)).astype(np.float32)
+    p = {k: v.astype(np.float64) for k, v in trainer.p.tables.items()}
+    draws = np.random.default_rng(lm.SEED)
+    grad = {k: np.zeros_like(v) for k, v in p.items()}
+    h = p["context"][one] * p["weights"][0] + p["context"][two] * p["weights"][1]
+    back, kind = np.zeros_like(h), trainer.kind[word]
+    for level, rows, target in ((trainer.top, np.arange(m), kind), (trainer.inner, np.flatnonzero(kind >= lm.FRONT + 2), word)):
+        noise = level.draw(draws)
+        for i in rows:
+            for j, hit in [(target[i], True), *((j, False) for j in noise)]:
+                z = h[i] @ p[level.output][j] + p[level.bias][j] - level.noise_log[j]
+                g = weight[i] * (hit - 1 / (1 + np.exp(-z)))
+                grad[level.output][j] += g * h[i]
+                grad[level.bias][j] += g
+                back[i] += g * p[level.output][j]
+    for k, ids in enumerate((one, two)):
+        np.add.at(grad["context"], ids, back * p["weights"][k])
+        grad["weights"][k] = (back * p["context"][ids]).sum(0)
+    trainer.step(word, one, two, weight)
+    for name, g in grad.items():
+        g = g / weight.sum()
+        assert np.allclose(trainer.p.tables[name], p[name] + lm.RATE * g / np.sqrt(1e-8 + g * g), atol=2e-4), name
+
+
+def test_scoring_holds_no_vector_for_each_token():
+    n, m = 5000, 200_000
+    split = lm.Classes(1 / np.arange(1, n + 1))
+    size = sum(int(np.prod(shape)) for _, shape in lm.Parameters.shapes(n, split.size))
+    scorer = lm.Scorer(np.random.default_rng(0).standard_normal(size).astype(np.float32), split)
+    word, one, two = (np.random.default_rng(k).integers(0, n, m) for k in range(3))
+    tracemalloc.start()
+    try:
+        scorer.log_probs(word, one, two)
+        assert tracemalloc.get_traced_memory()[1] < 200 * m
+    finally:
+        tracemalloc.stop()
