@@ -1,40 +1,47 @@
-"""Phrase collocations by SON partitioning.
-
-A shard (a run of whole pieces of one language, in one task) is mined completely, level by level:
-a phrase of k words is looked for only where both phrases of k - 1 words inside it are locally
-frequent. The local support is the global one times the shard's share of the language's words,
-rounded up; a phrase that is frequent in all texts reaches it in one shard at least, and so do all
-phrases inside it, so the union of locally frequent phrases misses none and is closed downwards.
-A second pass counts all phrases of the union exactly. Scores need nothing else: both parts of a
-cut of a frequent phrase are frequent themselves.
-
-Scale: words become integers where the text is read, phrases pairs of integers; per task and
-phrase one row is shuffled. Shards are as large as the memory of a task allows (``SHARD_WORDS``),
-because the local support shrinks with their number: the support is absolute, so beyond support
-times ``SHARD_WORDS`` words it is one, the union holds every phrase, and support should grow with
-the corpus. A union of at most ``HELD_PHRASES`` is broadcast; a larger one is met in a join.
+"""Phrase collocations level by level, counted exactly in sorted integers.
+
+A phrase of k words is looked for only where both phrases of k - 1 words inside it are frequent in
+all texts. Words become integers once (``coded``); from then on a level reads rows of integers: at
+each place the id of the frequent phrase of k - 1 words that starts there, or -1. Two neighbouring
+ids are the key of a phrase of k words, 64 bits that no other phrase has. A shard sorts its keys,
+counts equal ones and hands on one packed row per bucket of keys, some six bytes a key; a bucket's
+rows are added up in one place, and what reaches the support is a frequent phrase, its place in the
+order of keys its id. Counts are the texts' own, so no second pass checks them, and scores need
+nothing else: both parts of a cut of a frequent phrase are frequent themselves.
+
+Scale: what is written grows with the words and not with the number of shards: per level at most a
+packed key per word and a rewritten row of integers, fewer where phrases grow rare. Memory of a task
+follows ``SHARD_WORDS``. Broadcast are the frequent words (a hundredth of all words at most) and, in
+parts of ``HELD_PHRASES`` keys, a level's frequent phrases; each further part reads the places again.
+Spellings are put together in joins by id.
 """
 
 from __future__ import annotations
 
-import uuid
+import functools
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from avisflow.llm.common import slices, table, text_bytes, worker_cache
+from avisflow.llm.common import slices, table, text_bytes
+from avisflow.session import scratch_path
 
 SUPPORT, LONGEST, COVER, TOP = 100, 5, 100, 2000
-#: Words of a shard, phrases of a broadcast union, languages whose totals are broadcast, at most.
-SHARD_WORDS, HELD_PHRASES, HELD_LANGS = 8_000_000, 2_000_000, 10_000
+#: Words counted together, phrases broadcast at once, different words a task counts before it hands them on.
+SHARD_WORDS, HELD_PHRASES, COUNTED_WORDS = 8_000_000, 8_000_000, 500_000
+#: Words that become integers together, places of a row.
+CODED_WORDS, ROW_PLACES = 2_000_000, 1 << 16
 UNKNOWN = "und"
 _MARK = b"\xff"  # stands for the end of a piece; no byte of UTF-8
 _PIECES = bytes(0xFF if chr(i) in ".,;:!?\n\x0b\x0c\r" else i for i in range(256))
 _CUT = 1 << 20
-_SIDE = 32  # counts in a row
+_MIX = np.uint64(0x9E3779B97F4A7C15)  # odd, so keys can be had back
+_UNMIX = np.uint64(pow(int(_MIX), -1, 1 << 64))
 
 
 def words(text: bytes):
@@ -56,16 +63,31 @@ def _column_texts(batches):
             yield from zip(part.column(0).to_pylist(), text_bytes(part.column(1)))
 
 
-def word_totals(texts: DataFrame) -> DataFrame:
-    """(lang, n): word occurrences per language."""
+def word_counts(texts: DataFrame) -> DataFrame:
+    """(lang, word, f): occurrences of every word, and of all words of a language as the word ``''``."""
+    def out(held):
+        for lang, counts in held.items():
+            counts.pop(_MARK, None)
+            names = [w.decode() for w in counts] + [""]
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(names), pa.string()), pa.array(names, pa.string()),
+                                              pa.array([*counts.values(), sum(counts.values())], pa.int64())], names=["lang", "word", "f"])
+
     def run(batches):
-        held: dict = {}
+        held: dict[str, Counter] = {}
+        distinct = 0
         for lang, text in _column_texts(batches):
-            for w in words(text):
-                held[lang] = held.get(lang, 0) + len(w) - w.count(_MARK)
-        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["lang", "n"])
+            counts = held.setdefault(lang, Counter())
+            for found in words(text):
+                distinct -= len(counts)
+                counts.update(found)
+                distinct += len(counts)
+                if distinct > COUNTED_WORDS:
+                    yield from out(held)
+                    counts = Counter()
+                    held, distinct = {lang: counts}, 0
+        yield from out(held)
 
-    return texts.mapInArrow(run, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(run, "lang string, word string, f long").groupBy("lang", "word").agg(F.sum("f").alias("f"))
 
 
 class Shard:
@@ -98,44 +120,6 @@ class Shard:
         return list(self.index)[1:]
 
 
-def _levels(flat: np.ndarray, first: np.ndarray, longest: int, keep):
-    """For k = 1, 2, ...: ids of the phrases of k words that start at each place (-1: none that
-    matters). ``keep(k, keys)`` maps pairs of ids of the two phrases of k - 1 words inside to ids."""
-    node = first
-    yield 1, node
-    for k in range(2, longest + 1):
-        at = np.flatnonzero((node[:-1] >= 0) & (node[1:] >= 0))
-        keys = node[at] << 32 | node[at + 1]
-        node = np.full(len(flat), -1, np.int64)
-        node[at] = keep(k, keys)
-        yield k, node
-        if not len(at):
-            return
-
-
-def mine(flat: np.ndarray, n_words: int, support: int, longest: int):
-    """Places and counts of the phrases of 2 to ``longest`` words with at least ``support`` of
-    them: (k, start of one occurrence, count), level by level."""
-    counts = np.bincount(flat[flat >= 0], minlength=n_words)
-    first = np.where((flat >= 0) & (np.append(counts, 0)[flat] >= support), flat, -1).astype(np.int64)
-
-    def frequent(k, keys):
-        _, inverse, counts = np.unique(keys, return_inverse=True, return_counts=True)
-        new = np.where(counts >= support, np.cumsum(counts >= support) - 1, -1)
-        return new[inverse]
-
-    for k, node in _levels(flat, first, longest, frequent):
-        at = np.flatnonzero(node >= 0)
-        ids, where, found = np.unique(node[at], return_index=True, return_counts=True)
-        if k > 1 and len(ids):
-            yield k, at[where], found
-
-
-def _spelled(flat, names, k, at) -> list[str]:
-    columns = [[names[i] for i in flat[at + j].tolist()] for j in range(k)]
-    return [b" ".join(w).decode() for w in zip(*columns)]
-
-
 def _shards(batches, shard_words: int):
     """(lang, words as integers, their spelling) for every shard of a task. A shard ends with a
     piece; only a piece that is longer than a shard itself makes it larger."""
@@ -158,135 +142,233 @@ def _shards(batches, shard_words: int):
         yield name, s.take(), s.names()
 
 
-def candidates(texts: DataFrame, totals: dict[str, int], support: int = SUPPORT, longest: int = LONGEST,
-               shard_words: int = SHARD_WORDS) -> DataFrame:
-    """(lang, phrase): the union of the shards' locally frequent phrases, without those that cannot
-    reach the support: where a phrase is not locally frequent, it has one occurrence less than the
-    local support at most. A language without a total is mined at local support 1, right for any."""
-    shared = texts.sparkSession.sparkContext.broadcast(totals)
+def _rows_of(node: np.ndarray, at: np.ndarray, *also: np.ndarray):
+    """Runs of about ``ROW_PLACES`` places, each up to and with a place of -1; the last ends with one."""
+    cuts = np.unique(at[np.searchsorted(at, np.arange(ROW_PLACES, len(node), ROW_PLACES)).clip(0, len(at) - 1)] + 1) if len(at) else at
+    for a, b in zip([0, *cuts], [*cuts, len(node)]):
+        if a < b:
+            yield [x[a:b].tobytes() for x in (node, *also)]
+
+
+def _packed(node: np.ndarray):
+    """Rows of places of which some matter, without all but the first of neighbouring -1."""
+    node = np.append(node, -1).astype(np.int32)
+    known = node >= 0
+    node = node[known | np.append(False, known[:-1])]
+    yield from _rows_of(node, np.flatnonzero(node < 0))
+
 
-    def rows(lang, phrases, counts, missing):
-        return pa.RecordBatch.from_arrays([pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.string()),
-                                           pa.array(counts, pa.int64()), pa.array([missing] * len(phrases), pa.int64())],
-                                          names=["lang", "phrase", "c", "missing"])
+def _batch(rows, names) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(c), pa.binary()) for c in zip(*rows)], names=names)
+
+
+def coded(texts: DataFrame, words_of: dict[str, tuple[int, pa.Array]]) -> DataFrame:
+    """(node): the texts as ids of frequent words, -1 for others and where a piece ends. ``words_of``:
+    per language the first id and the words in the order of ids."""
+    shared = texts.sparkSession.sparkContext.broadcast(words_of)
 
     def run(batches):
-        for lang, flat, names in _shards(batches, shard_words):
-            total = shared.value.get(lang)
-            local = max(1, -(-support * int(np.count_nonzero(flat >= 0)) // total)) if total else 1
-            yield rows(lang, [""], [0], local - 1)  # the shard itself
-            for k, at, found in mine(flat, len(names), local, longest):
-                for a in range(0, len(at), 1 << 17):
-                    yield rows(lang, _spelled(flat, names, k, at[a:a + (1 << 17)]), found[a:a + (1 << 17)], local - 1)
-
-    found = table(texts.mapInArrow(run, "lang string, phrase string, c long, missing long").groupBy("lang", "phrase")
-                  .agg(F.sum("c").alias("c"), F.sum("missing").alias("missing")), "phrase-local")
-    shards = found.where("phrase = ''").select(F.col("lang").alias("s_lang"), F.col("missing").alias("most"))
-    return (found.where("phrase <> ''").join(shards, F.col("lang") == F.col("s_lang"))
-            .where(F.col("c") + F.col("most") - F.col("missing") >= support).select("lang", "phrase"))
-
-
-class Union:
-    """A language's candidates as integers: words by name, longer phrases by sorted pairs of ids of
-    the two phrases of one word less inside them."""
-
-    def __init__(self, phrases: list[str], pids: np.ndarray):
-        split = [p.encode().split(b" ") for p in phrases]
-        self.words = sorted({w for p in split for w in p})
-        index = {w: i for i, w in enumerate(self.words)}
-        sizes = np.array([len(p) for p in split])
-        flat = np.fromiter((index[w] for p in split for w in p), np.int64, int(sizes.sum()))
-        starts = np.cumsum(sizes) - sizes
-        own = np.flatnonzero(sizes == 1)
-        self.keys, self.pids = {}, {1: pids[own[np.argsort(flat[starts[own]])]]}  # every word is a row of its own
-        for k in range(2, int(sizes.max(initial=1)) + 1):
-            own = np.flatnonzero(sizes == k)
-            node = flat[starts[own][:, None] + np.arange(k)]
-            for j in range(2, k + 1):  # ids of the phrases of j words inside; the union is closed downwards
-                keys = node[:, :-1] << 32 | node[:, 1:]
-                if j < k:
-                    node = self.find(j, keys.ravel()).reshape(keys.shape)
-            order = np.argsort(keys[:, 0])
-            self.keys[k], self.pids[k] = keys[order, 0], pids[own[order]]
-
-    def find(self, k: int, keys: np.ndarray) -> np.ndarray:
-        own = self.keys.get(k)
-        if own is None or not len(own):
-            return np.full(len(keys), -1, np.int64)
-        at = np.searchsorted(own, keys).clip(0, len(own) - 1)
-        return np.where(own[at] == keys, at, -1)
-
-
-def _counted_held(texts: DataFrame, union: DataFrame, longest: int, shard_words: int) -> DataFrame:
-    """(lang, phrase, f) of the union's phrases, the union broadcast."""
-    held = union.toPandas()  # HELD_PHRASES at most
-    unions = {lang: Union(own["phrase"].tolist(), own["pid"].to_numpy(np.int64)) for lang, own in held.groupby("lang")}
-    shared, name = texts.sparkSession.sparkContext.broadcast(unions), uuid.uuid4().hex
+        for lang, flat, names in _shards(batches, CODED_WORDS):
+            if lang in shared.value and len(flat):
+                first, known = shared.value[lang]
+                place = pc.index_in(pa.array(names, pa.binary()), value_set=known).fill_null(-1 - first).to_numpy().astype(np.int64) + first
+                for row in _packed(np.append(place, -1)[flat]):
+                    yield _batch([row], ["node"])
+
+    return texts.mapInArrow(run, "node binary")
+
+
+def _joined(batches, most: int):
+    """Rows of integers put together to ``most`` places or so; as many arrays as columns."""
+    held, size = [], 0
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = [np.frombuffer(c[i].as_buffer(), np.int32) if c[i].is_valid else None for c in batch.columns]
+            held.append(row)
+            size += len(row[0])
+            if size >= most:
+                yield [None if c[0] is None else np.concatenate(c) for c in zip(*held)]
+                held, size = [], 0
+    if held:
+        yield [None if c[0] is None else np.concatenate(c) for c in zip(*held)]
+
+
+def _keys(node: np.ndarray):
+    """Places of two neighbouring ids, and their keys: a one-to-one mix that spreads them over 64 bits."""
+    at = np.flatnonzero((node[:-1] >= 0) & (node[1:] >= 0))
+    return at, (node[at].astype(np.uint64) << np.uint64(32) | node[at + 1].astype(np.uint64)) * _MIX
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Bytes of one rank side by side: where most are 0, they take next to no room compressed."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _unplaned(data: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def frequent_pairs(nodes: DataFrame, support: int, total: int, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """(bucket, n, keys, counts): sorted keys of the pairs of neighbouring ids with at least ``support``
+    occurrences, and their numbers; ``total``: words of all texts."""
+    shards = max(1, -(-total // shard_words))
+    bits = max(10, shards.bit_length() + 3)
+
+    def counted(batches):
+        for (node,) in _joined(batches, shard_words):
+            _, keys = _keys(node)
+            keys.sort()
+            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+            counts, keys = np.diff(np.append(first, len(keys))).astype(np.uint32), keys[first]
+            ends = np.append(np.searchsorted(keys, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)), len(keys))
+            rows, size, a = [], 0, 0
+            for bucket, b in enumerate(ends.tolist()):
+                if a < b:
+                    rows.append((bucket, _planes(np.diff(keys[a:b], prepend=np.uint64(0))), _planes(counts[a:b])))
+                    size, a = size + b - a, b
+                    if size > ROW_PLACES:
+                        yield _buckets(rows)
+                        rows, size = [], 0
+            if rows:
+                yield _buckets(rows)
+
+    def added(batches):
+        held: dict[int, list] = {}
+        for batch in batches:
+            for bucket, keys, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                held.setdefault(bucket, []).append((keys, counts))
+        for bucket in sorted(held):
+            rows = held.pop(bucket)
+            keys = np.concatenate([np.cumsum(_unplaned(k, np.uint64)) for k, _ in rows])
+            order = np.argsort(keys)
+            keys = keys[order]
+            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            f = np.add.reduceat(np.concatenate([_unplaned(c, np.uint32) for _, c in rows])[order].astype(np.int64), first)
+            kept = f >= support
+            if kept.any():
+                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([int(kept.sum())], pa.int64()), pa.array(
+                    [keys[first][kept].tobytes()], pa.binary()), pa.array([f[kept].tobytes()], pa.binary())], names=["bucket", "n", "keys", "counts"])
+
+    parts = max(8, -(-4 * total // SHARD_WORDS))
+    rows = nodes.coalesce(shards).mapInArrow(counted, "bucket int, keys binary, counts binary")
+    return rows.repartition(parts, "bucket").mapInArrow(added, "bucket int, n long, keys binary, counts binary")
+
+
+def _buckets(rows) -> pa.RecordBatch:
+    bucket, keys, counts = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array(keys, pa.binary()), pa.array(counts, pa.binary())],
+                                      names=["bucket", "keys", "counts"])
+
+
+def _first_ids(frequent: DataFrame) -> tuple[dict[int, int], int]:
+    """({bucket: id of its first phrase}, number of phrases); one row per bucket reaches the driver."""
+    first, at = {}, 0
+    for bucket, n in sorted(frequent.select("bucket", "n").collect()):
+        first[bucket], at = at, at + n
+    return first, at
+
+
+def next_nodes(nodes: DataFrame, frequent: DataFrame, first: dict[int, int], total: int, held_phrases: int = HELD_PHRASES) -> DataFrame:
+    """(node): at each place the id of the frequent phrase that starts there and is one word longer."""
+    parts, buckets = [], list(first)
+    for i, bucket in enumerate(buckets):
+        end = first[buckets[i + 1]] if i + 1 < len(buckets) else total
+        if not parts or end - parts[-1][2] > held_phrases:
+            parts.append([bucket, bucket, first[bucket]])
+        parts[-1][1] = bucket
+    rows = nodes.withColumn("found", F.lit(None).cast("binary"))
+    for low, high, at in parts:
+        last = high == buckets[-1]
+        got = sorted(frequent.where(F.col("bucket").between(low, high)).select("bucket", "keys").collect())
+        shared = nodes.sparkSession.sparkContext.broadcast(np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in got]))
+        del got
+
+        def run(batches, shared=shared, at=at, last=last):
+            known = shared.value
+            for node, found in _joined(batches, CODED_WORDS):
+                place, keys = _keys(node)
+                order = np.argsort(keys)  # neighbours in order are neighbours in memory
+                keys = keys[order]
+                where = np.searchsorted(known, keys).clip(0, len(known) - 1)
+                hit = known[where] == keys
+                found = np.full(len(node), -1, np.int32) if found is None else found.copy()
+                found[place[order[hit]]] = where[hit] + at
+                for row in _packed(found) if last else _rows_of(node, np.flatnonzero(node < 0), found):
+                    yield _batch([row], ["node", "found"][:len(row)])
+
+        rows = places(rows.mapInArrow(run, "node binary" if last else "node binary, found binary"))
+    return rows
+
+
+def places(nodes: DataFrame) -> DataFrame:
+    """``nodes`` written, in row groups that are small beside a task's memory, and read again."""
+    path = scratch_path(nodes.sparkSession, "llm", "phrase-places")
+    nodes.write.option("parquet.block.size", 16 << 20).parquet(path)
+    return nodes.sparkSession.read.schema(nodes.schema).parquet(path)
+
+
+def _numbered(frequent: DataFrame, first: dict[int, int]) -> DataFrame:
+    """(id, a, b, f): a row per phrase, with the ids of the two phrases of one word less inside it."""
+    shared = frequent.sparkSession.sparkContext.broadcast(first)
 
     def run(batches):
-        cache = worker_cache("phrases-union")
-        if cache.get("of") != name:
-            cache.clear()
-            cache.update(of=name, index={lang: {w: i for i, w in enumerate(u.words)} for lang, u in shared.value.items()})
-        unions, index = shared.value, cache["index"]
-        sums = {lang: {k: np.zeros(len(p), np.int64) for k, p in u.pids.items()} for lang, u in unions.items()}
-        for lang, flat, names in _shards(batches, shard_words):
-            if lang in unions:
-                place = np.array([index[lang].get(x, -1) for x in names] + [-1], np.int64)
-                for k, node in _levels(flat, place[flat], longest, unions[lang].find):
-                    if k in sums[lang]:
-                        sums[lang][k] += np.bincount(node[node >= 0], minlength=len(sums[lang][k]))
-        found = [(unions[lang].pids[k], c) for lang, by_size in sums.items() for k, c in by_size.items()]
-        pid, c = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*found) if found else ((), ())))
-        pid, c = pid[c > 0], c[c > 0]
-        blocks, at = np.unique(pid // _SIDE, return_inverse=True)  # phrases that stand together share a row
-        counts = np.zeros((len(blocks), _SIDE), np.int64)
-        counts[at, pid % _SIDE] = c
-        for a in range(0, len(blocks), 1 << 14):
-            rows = counts[a:a + (1 << 14)]
-            yield pa.RecordBatch.from_arrays([pa.array(blocks[a:a + (1 << 14)]), pa.FixedSizeListArray.from_arrays(
-                pa.array(rows.ravel()), _SIDE).cast(pa.list_(pa.int64()))], names=["block", "counts"])
-
-    counted = table(texts.mapInArrow(run, "block long, counts array<long>").groupBy("block")
-                    .agg(F.array(*[F.sum(F.col("counts")[i]) for i in range(_SIDE)]).alias("counts")), "phrase-counts")
-    single = counted.select("block", F.posexplode("counts").alias("side", "f")).where("f > 0").select(
-        (F.col("block") * _SIDE + F.col("side")).alias("c_pid"), "f")
-    return single.join(union, F.col("c_pid") == F.col("pid")).select("lang", "phrase", "f")
-
-
-def _counted_joined(texts: DataFrame, union: DataFrame, longest: int, shard_words: int) -> DataFrame:
-    """The same for a union of any size: shards count all their phrases, a join keeps the union's."""
+        for batch in batches:
+            for bucket, keys, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                keys, counts = np.frombuffer(keys, np.uint64) * _UNMIX, np.frombuffer(counts, np.int64)
+                ids = np.arange(len(keys)) + shared.value[bucket]
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array((keys >> np.uint64(32)).astype(np.int64)), pa.array(
+                    (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)), pa.array(counts)], names=["id", "a", "b", "f"])
+
+    return frequent.select("bucket", "keys", "counts").mapInArrow(run, "id long, a long, b long, f long")
+
+
+def _named(numbered: DataFrame, shorter: DataFrame) -> DataFrame:
+    """(id, lang, phrase, f): the first of the two phrases inside and the last word of the second."""
+    one = shorter.select(F.col("id").alias("a"), "lang", F.col("phrase").alias("head"))
+    other = shorter.select(F.col("id").alias("b"), F.substring_index("phrase", " ", -1).alias("tail"))
+    return numbered.join(one, "a").join(other, "b").select("id", "lang", F.concat_ws(" ", "head", "tail").alias("phrase"), "f")
+
+
+def _named_words(spark, words_of: dict[str, tuple[int, pa.Array]], f: np.ndarray) -> DataFrame:
+    """(id, lang, phrase, f) of the frequent words."""
+    shared = spark.sparkContext.broadcast((words_of, f))
+
     def run(batches):
-        for lang, flat, names in _shards(batches, shard_words):
-            counts = np.bincount(flat[flat >= 0], minlength=len(names))
-            levels = [([w.decode() for w in names], counts)]
-            levels += [(_spelled(flat, names, k, at), found) for k, at, found in mine(flat, len(names), 1, longest)]
-            for phrases, found in levels:
-                for a in range(0, len(phrases), 1 << 17):
-                    p, c = phrases[a:a + (1 << 17)], found[a:a + (1 << 17)]
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(p), pa.string()), pa.array(p, pa.string()), pa.array(c, pa.int64())],
-                                                     names=["lang", "phrase", "c"])
+        words_of, f = shared.value
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            for lang, (first, known) in words_of.items():
+                own = ids[(ids >= first) & (ids < first + len(known))]
+                if len(own):
+                    yield pa.RecordBatch.from_arrays([pa.array(own), pa.array([lang] * len(own), pa.string()),
+                                                      known.take(pa.array(own - first)).cast(pa.string()), pa.array(f[own])], names=["id", "lang", "phrase", "f"])
 
-    wanted = union.select(F.col("lang").alias("w_lang"), F.col("phrase").alias("w_phrase"))
-    counted = table(texts.mapInArrow(run, "lang string, phrase string, c long").groupBy("lang", "phrase").agg(F.sum("c").alias("f")), "phrase-all")
-    return counted.join(wanted, (F.col("lang") == F.col("w_lang")) & (F.col("phrase") == F.col("w_phrase")), "left_semi")
+    return spark.range(len(f)).mapInArrow(run, "id long, lang string, phrase string, f long")
 
 
 def frequent_phrases(texts: DataFrame, support: int = SUPPORT, longest: int = LONGEST, shard_words: int = SHARD_WORDS,
                      held_phrases: int = HELD_PHRASES) -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, f), (lang, n)) of ``texts`` (lang, text): exact counts of the phrases of one
-    to ``longest`` words with at least ``support`` occurrences (words: those of such phrases)."""
-    totals = table(word_totals(texts), "phrase-totals")
-    # no phrase of two words is frequent where words are fewer
-    large = {r["lang"]: r["n"] for r in totals.where(F.col("n") > support).orderBy(F.desc("n"), "lang").limit(HELD_LANGS).collect()}
-    shards = max(1, -(-sum(large.values()) // shard_words))
-    grouped = texts.join(F.broadcast(totals.where(F.col("n") <= support).limit(HELD_LANGS).select(F.col("lang").alias("t_lang"))),
-                         F.col("lang") == F.col("t_lang"), "left_anti").coalesce(shards)
-    longer = table(candidates(grouped, large, support, longest, shard_words), "phrase-longer")
-    single = longer.select("lang", F.explode(F.split("phrase", " ")).alias("phrase")).distinct()
-    union = table(longer.unionByName(single).withColumn("pid", F.monotonically_increasing_id()), "phrase-union")
-    count = _counted_held if union.count() <= held_phrases else _counted_joined
-    return table(count(grouped, union, longest, shard_words).where(F.col("f") >= support), "phrases"), totals
+    to ``longest`` words with at least ``support`` occurrences."""
+    spark = texts.sparkSession
+    counted = table(word_counts(texts).where((F.col("f") >= support) | (F.col("word") == "")), "phrase-words")
+    totals = counted.where("word = ''").select("lang", F.col("f").alias("n"))
+    total = totals.agg(F.sum("n")).first()[0] or 0
+    known = counted.where("word <> ''").toPandas().sort_values("lang", kind="stable", ignore_index=True)  # of each 100 words one at most
+    words_of = {lang: (int(own.index[0]), pa.array([w.encode() for w in own["word"]], pa.binary())) for lang, own in known.groupby("lang")}
+    named = [table(_named_words(spark, words_of, known["f"].to_numpy(np.int64)), "phrase-names")]
+    del known
+    nodes = places(coded(texts, words_of)) if words_of and longest > 1 else None
+    for k in range(2, longest + 1 if words_of else 2):
+        frequent = table(frequent_pairs(nodes, support, total, shard_words), "phrase-level")
+        first, found = _first_ids(frequent)
+        if not found:
+            break
+        named.append(table(_named(_numbered(frequent, first), named[-1]), "phrase-names"))
+        if k < longest:
+            nodes = next_nodes(nodes, frequent, first, found, held_phrases)
+    return table(functools.reduce(DataFrame.unionByName, named).drop("id"), "phrases"), totals
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", support: int = SUPPORT, longest: int = LONGEST,

@@ -85,3 +85,23 @@ def test_scores_beyond_64_bits(spark):
     finally:
         phrases.frequent_phrases = phrases_of
     assert row["score"] == 1000 * big * 10 ** 15 // (6 * big * big)
+
+
+def test_what_is_written_does_not_follow_the_number_of_shards(spark, monkeypatch):
+    rng, sizes, table = random.Random(4), {}, phrases.table
+    rows = [("en", " ".join(f"w{rng.randrange(40)}" for _ in range(100)) + " as well as") for _ in range(200)]
+
+    def counted(df, name):
+        sizes[name] = max(sizes.get(name, 0), (out := table(df, name)).count())
+        return out
+
+    monkeypatch.setattr(phrases, "table", counted)
+    assert run(spark, rows, 30, shard_words=200) == plain(rows, 30)
+    assert max(sizes.values()) < 3000, sizes  # nearly all runs of three or more words are rare, and there are far more of them
+
+
+def test_small_rows_and_parts(spark, monkeypatch):
+    rows = corpus(120)
+    for name, value in (("ROW_PLACES", 7), ("COUNTED_WORDS", 5), ("CODED_WORDS", 100)):
+        monkeypatch.setattr(phrases, name, value)
+    assert run(spark, rows, 6, held_phrases=40, shard_words=500) == plain(rows, 6)
