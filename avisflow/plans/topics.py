@@ -7,9 +7,9 @@
   corpus frequency, idf = ln((1+n)/(1+df)) + 1; words first, then the pairs that can still lead;
   top-k per language uses row_number <= k, which Spark limits map-side before the shuffle.
 * ``keyword_topics``: the deterministic topic of every review, by the category words its text holds.
-* ``lda_topics`` / ``topic_assignment``: Spark ML per language (CountVectorizerModel on the
-  vocabulary -> idf scaling -> L2 norm -> LDA k=5), then category matching and the per-review
-  dominant topic.
+* ``lda_topics`` / ``topic_assignment``: per language counts of the vocabulary -> idf scaling ->
+  L2 norm -> LDA k=5 (Spark ML's online optimizer, step for step, on batches of documents), then
+  category matching and the per-review dominant topic.
 * ``category_scores``: keyword -> category substring match, computed per topic row with
   higher-order functions (no join with the category table at all).
 """
@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from avisflow.functions.numeric import pg_round
 from avisflow.functions.stopwords import all_stopwords
+from avisflow.operators import online_lda
 from avisflow.operators.terms import known_terms, pair_counts, word_counts
 from avisflow.session import checkpointed, materialized_table
 
@@ -212,32 +213,13 @@ def topic_table(df: DataFrame) -> DataFrame:
                      F.col("detected_language").alias("language"))
 
 
-# -- Spark ML ------------------------------------------------------------------
-
-def _fit_language(docs: DataFrame, vocab_terms: list[str], idf: list[float], language: str):
-    from pyspark.ml.clustering import LDA
-    from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-    from pyspark.ml.linalg import Vectors
-
-    cv = CountVectorizerModel.from_vocabulary(vocab_terms, inputCol="terms", outputCol="tf")
-    scaled = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="tf", outputCol="tfidf_raw")
-    norm = Normalizer(p=2.0, inputCol="tfidf_raw", outputCol="features")
-    # iterative fit: read the (small) feature vectors from the shared folder on every pass
-    # instead of recomputing their lineage, and survive executor loss without refitting
-    feats = checkpointed(norm.transform(scaled.transform(cv.transform(docs))).select("review_id", "features"))
-    lda = LDA(k=N_TOPICS, maxIter=MAX_ITER, seed=SEED, optimizer="online", subsamplingRate=1.0,
-              featuresCol="features", topicDistributionCol="topic_distribution")
-    model = lda.fit(feats)
-    return model, feats
-
+# -- LDA -----------------------------------------------------------------------
 
 def lda_fit(docs: DataFrame, vocab: DataFrame):
     """Fit one LDA per eligible language. Returns (topics, assignments) DataFrames.
 
     The vocabulary per language is at most MAX_FEATURES terms (a model parameter), so it is
     brought to the driver as the model's dictionary; documents never are."""
-    from pyspark.ml.functions import vector_to_array
-
     spark = docs.sparkSession
     rows = (vocab.groupBy("language")
                  .agg(F.sort_array(F.collect_list(F.struct("term_rank", "term", "idf"))).alias("v"))
@@ -253,17 +235,15 @@ def lda_fit(docs: DataFrame, vocab: DataFrame):
         idf = [float(x["idf"]) for x in r["v"]]
         lang_docs = (corpus.where(F.col("language") == language)
                            .repartition(parts, "review_id").sortWithinPartitions("review_id"))
-        model, feats = _fit_language(lang_docs, terms, idf, language)
-        term_arr = F.array(*[F.lit(t) for t in terms])
-        described = model.describeTopics(TOP_WORDS).select(
-            F.lit(language).alias("language"), F.col("topic").alias("topic_id"),
-            F.transform("termIndices", lambda i: F.element_at(term_arr, i + 1)).alias("keywords"),
-            pg_round(F.aggregate("termWeights", F.lit(0.0), lambda a, x: a + x), 6).alias("weight_sum"))
-        dist = vector_to_array(F.col("topic_distribution"))
-        assigned = model.transform(feats).select(
-            "review_id", F.lit(language).alias("language"),
-            argmax(dist).alias("dominant_topic"),
-            F.array_max(dist).alias("topic_confidence"))
+        # iterative fit: read the (small) counts from the shared folder on every pass instead of
+        # recomputing their lineage, and survive executor loss without refitting
+        counts = checkpointed(online_lda.count_rows(lang_docs, "review_id", "terms", terms))
+        model = online_lda.fit(counts, idf, N_TOPICS, MAX_ITER, SEED)
+        leading = [(language, i, [terms[j] for j in words], sum(weights)) for i, (words, weights) in enumerate(model.described(TOP_WORDS))]
+        described = (spark.createDataFrame(leading, "language string, topic_id int, keywords array<string>, weight_sum double")
+                          .withColumn("weight_sum", pg_round(F.col("weight_sum"), 6)))
+        assigned = online_lda.assign(counts, "review_id", idf, model).select(
+            "review_id", F.lit(language).alias("language"), F.col("topic").alias("dominant_topic"), F.col("share").alias("topic_confidence"))
         return described, assigned
 
     # one fit per language (at most three); each fit is a distributed iterative job, and running
