@@ -8,7 +8,9 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 # ---------------------------------------------------------------------------
@@ -65,9 +67,47 @@ def _counted(docs: DataFrame, group: str, text: str, terms_of) -> DataFrame:
                  .agg(F.sum("tf").alias("tf"), F.sum("df").alias("df")))
 
 
+def _slice_counts(part: pa.RecordBatch, names: list[str]) -> pa.RecordBatch:
+    """(group, term, tf, df) of the words of a slice (group, text), added up as numbers."""
+    lists = pc.split_pattern(part.column(1), " ")
+    text_of, words = pc.list_parent_indices(lists).to_numpy(), pc.list_flatten(lists).dictionary_encode()
+    groups = part.column(0).dictionary_encode(null_encoding="encode")
+    n, group_of, codes = len(words.dictionary), groups.indices.to_numpy().astype(np.int64), words.indices.to_numpy()
+    most = len(groups.dictionary) * n
+    tf = np.bincount(group_of[text_of] * n + codes, minlength=most)
+    once = np.sort(text_of.astype(np.int64) * n + codes)
+    once = once[np.append(True, once[1:] != once[:-1])]
+    df = np.bincount(group_of[once // n] * n + once % n, minlength=most)
+    at = np.flatnonzero(tf)
+    return pa.RecordBatch.from_arrays([groups.dictionary.take(pa.array(at // n)), words.dictionary.take(pa.array(at % n)),
+                                       pa.array(tf[at]), pa.array(df[at])], names=names)
+
+
 def word_counts(docs: DataFrame, group: str, text: str) -> DataFrame:
     """(group, term, tf, df) of the single words: occurrences and texts with the word."""
-    return _counted(docs, group, text, lambda g, words: words)
+    names = [group, "term", "tf", "df"]
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+
+        def added():
+            sums = pa.Table.from_batches(held).group_by(names[:2], use_threads=False).aggregate([("tf", "sum"), ("df", "sum")])
+            return sums.select([*names[:2], "tf_sum", "df_sum"]).rename_columns(names).combine_chunks().to_batches()
+
+        for batch in batches:
+            for part in text_slices(batch):
+                held.append(_slice_counts(part, names))
+                if sum(x.num_rows for x in held) > 2 * HELD:
+                    held = added()
+                    if sum(x.num_rows for x in held) > HELD:
+                        yield from held
+                        held = []
+        if held:
+            yield from added()
+
+    shown = docs.where(F.col(text) != "").select(group, text)
+    return (shown.mapInArrow(run, COUNTS.format(group=group)).groupBy(group, "term")
+                 .agg(F.sum("tf").alias("tf"), F.sum("df").alias("df")))
 
 
 def pair_counts(docs: DataFrame, group: str, text: str, among: dict[str, frozenset] | None = None) -> DataFrame:
