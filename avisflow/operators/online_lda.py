@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 # ---------------------------------------------------------------------------
 # Fixed values of Spark ML: learning offset and decay, shape of the random starts, change that ends
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 TAU0, KAPPA, GAMMA_SHAPE, LEAST_CHANGE, MODEL_SEED = 1024.0, 0.51, 100.0, 1e-3, 1421925485
 # Documents inferred together (their matrix stays in a core's cache) and fewest that are moved together,
 # documents whose features are held, documents of a task of a pass.
-TOGETHER, MOVED, FEATURED, DOCS_A_TASK = 1024, 128, 8192, 20_000
+TOGETHER, MOVED, FEATURED, DOCS_A_TASK = 1024, 128, 16_384, 20_000
 # ---------------------------------------------------------------------------
 
 
@@ -175,29 +175,29 @@ def features(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return x / np.where(size > 0, size, 1.0)
 
 
-def count_rows(docs: DataFrame, key: str, terms_col: str, terms: list[str]) -> DataFrame:
-    """(key, part, at, filled, width, counts): per document its partition and place there, whether it has a known term, and
-    the numbers of its terms in one, two or four bytes each."""
-    names = {t: i for i, t in enumerate(terms)}
+def count_rows(docs: DataFrame, key: str, group: str, terms_col: str, terms: dict[str, list[str]]) -> DataFrame:
+    """(key, group, counts): per document the numbers of the terms of its group's list, in one, two or four bytes each."""
+    names = {g: {t: i for i, t in enumerate(ts)} for g, ts in terms.items()}
 
     def run(batches):
-        from pyspark import TaskContext
-        part, at, n = TaskContext.get().partitionId(), 0, len(names)
         for batch in batches:
-            lists = batch.column(1)
-            for a in range(0, batch.num_rows, 4096):
-                some = lists.slice(a, 4096).to_pylist()
-                flat = np.array([i * n + names[t] for i, d in enumerate(some) for t in d or () if t in names], np.int64)
-                counts = np.bincount(flat, minlength=len(some) * n).reshape(len(some), n)
-                most = counts.max(axis=1, initial=0)
-                packed = [row.astype(np.uint8 if m < 1 << 8 else np.uint16 if m < 1 << 16 else np.uint32).tobytes() for row, m in zip(counts, most.tolist())]
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(a, 4096), pa.array([part] * len(some), pa.int32()), pa.array(np.arange(at, at + len(some))),
-                    pa.array(most > 0), pa.array(packed, pa.binary())], names=[key, "part", "at", "filled", "counts"])
-                at += len(some)
+            for a in range(0, batch.num_rows, FEATURED):
+                some, packed = batch.slice(a, FEATURED), []
+                for g, d in zip(some.column(1).to_pylist(), some.column(2).to_pylist()):
+                    own = names.get(g, {})
+                    counts = np.bincount([own[t] for t in d or () if t in own] or np.zeros(0, np.int64), minlength=len(own))
+                    most = counts.max(initial=0)
+                    packed.append(counts.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32).tobytes())
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(packed, pa.binary())], names=[key, group, "counts"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, terms_col).mapInArrow(run, f"{key} {kind}, part int, at long, filled boolean, counts binary")
+    return docs.select(key, group, terms_col).mapInArrow(run, f"{key} {kind}, {group} string, counts binary")
+
+
+def placed(rows: DataFrame) -> DataFrame:
+    """``rows`` with their partition and their order in it (``at``: Spark's own number of both), which draws
+    and starts go by: to be written before use."""
+    return rows.withColumn("at", F.monotonically_increasing_id())
 
 
 def _matrix(column: pa.Array, words: int) -> np.ndarray:
@@ -208,9 +208,9 @@ def _matrix(column: pa.Array, words: int) -> np.ndarray:
 
 
 def fit(rows: DataFrame, idf: list[float], k: int, max_iter: int, seed: int) -> Model:
-    """The model of ``count_rows``; per pass each task sends the driver one row of topics times words."""
+    """The model of ``placed`` rows; per pass each task sends the driver one row of topics times words."""
     spark, words = rows.sparkSession, len(idf)
-    slim = rows.select("part", "at", "filled", "counts").persist(StorageLevel.MEMORY_AND_DISK)
+    slim = rows.select("at", "counts").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         corpus = slim.count()
         tasks = max(spark.sparkContext.defaultParallelism, -(-corpus // DOCS_A_TASK))
@@ -251,32 +251,44 @@ def _pass(drawn: DataFrame, idf: np.ndarray, beta: np.ndarray, alpha: np.ndarray
     """(stat, logs, drawn, filled) of a task: topics times words, expected logs, documents, those with words."""
     k, words = beta.shape
 
+    def some(batches):
+        """Places and counts of the documents with words, put together to ``FEATURED`` or so, and the number of all."""
+        held, size, n = [], 0, 0
+        for batch in batches:
+            if batch.num_rows:
+                counts = _matrix(batch.column(1), words)
+                filled = np.flatnonzero(counts.any(axis=1))
+                held.append((batch.column(0).to_numpy()[filled], counts[filled]))
+                size, n = size + len(filled), n + batch.num_rows
+            if size >= FEATURED:
+                yield [np.concatenate(c) for c in zip(*held)], n
+                held, size, n = [], 0, 0
+        yield [np.concatenate(c) for c in zip(*held)], n
+
     def run(batches):
         stat, logs, n_drawn, n_filled, starts = np.zeros((k, words)), np.zeros(k), 0, 0, {}
-        for batch in batches:
-            n_drawn += batch.num_rows
-            filled = np.flatnonzero(batch.column(2).to_numpy(zero_copy_only=False))
-            n_filled += len(filled)
-            if not len(filled):
+        for columns, n in some(batches):
+            n_drawn += n
+            if not columns or not len(columns[0]):
                 continue
-            part, at = batch.column(0).to_numpy()[filled], batch.column(1).to_numpy()[filled]
-            first = np.flatnonzero(np.append(True, (part[1:] != part[:-1]) | (at[1:] != at[:-1])))
+            at, counts = columns
+            n_filled += len(at)
+            first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
             times = np.diff(np.append(first, len(at))).astype(float)
-            counts, part = _matrix(batch.column(3), words)[filled[first]], part[first]
+            counts, part = counts[first], at[first] >> 33
             for p in np.unique(part).tolist():
                 if p not in starts:
                     starts[p] = gammas(start + p, k)
-            for a in range(0, len(first), FEATURED):
-                docs = features(counts[a:a + FEATURED], idf)
-                gamma = infer(docs, np.array([starts[p] for p in part[a:a + FEATURED].tolist()]).T.copy(), beta, alpha)
-                logs_of = expectation(gamma)
-                theta, weight = np.exp(logs_of), times[a:a + FEATURED]
-                stat += (theta * weight) @ (docs / (theta.T @ beta + 1e-100))
-                logs += logs_of @ weight
+            docs = features(counts, idf)
+            gamma = infer(docs, np.array([starts[p] for p in part.tolist()]).T.copy(), beta, alpha)
+            logs_of = expectation(gamma)
+            theta = np.exp(logs_of)
+            stat += (theta * times) @ (docs / (theta.T @ beta + 1e-100))
+            logs += logs_of @ times
         yield pa.RecordBatch.from_arrays([pa.array([stat.tobytes()], pa.binary()), pa.array([logs.tobytes()], pa.binary()),
                                           pa.array([n_drawn]), pa.array([n_filled])], names=["stat", "logs", "drawn", "filled"])
 
-    return drawn.select("part", "at", "filled", "counts").mapInArrow(run, "stat binary, logs binary, drawn long, filled long")
+    return drawn.mapInArrow(run, "stat binary, logs binary, drawn long, filled long")
 
 
 def assign(rows: DataFrame, key: str, idf: list[float], model: Model) -> DataFrame:

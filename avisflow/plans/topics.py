@@ -226,7 +226,8 @@ def lda_fit(docs: DataFrame, vocab: DataFrame):
                  .collect())
     # only vocabulary terms reach the count vectors, so only they are kept of the texts
     known = {r["language"]: [x["term"] for x in r["v"]] for r in rows}
-    corpus = checkpointed(known_terms(docs, "review_id", "language", "lda_text", known, "terms"))
+    found = known_terms(docs, "review_id", "language", "lda_text", known, "terms")
+    corpus = checkpointed(online_lda.count_rows(found, "review_id", "language", "terms", known))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def fit_one(r):
@@ -237,7 +238,7 @@ def lda_fit(docs: DataFrame, vocab: DataFrame):
                            .repartition(parts, "review_id").sortWithinPartitions("review_id"))
         # iterative fit: read the (small) counts from the shared folder on every pass instead of
         # recomputing their lineage, and survive executor loss without refitting
-        counts = checkpointed(online_lda.count_rows(lang_docs, "review_id", "terms", terms))
+        counts = checkpointed(online_lda.placed(lang_docs))
         model = online_lda.fit(counts, idf, N_TOPICS, MAX_ITER, SEED)
         leading = [(language, i, [terms[j] for j in words], sum(weights)) for i, (words, weights) in enumerate(model.described(TOP_WORDS))]
         described = (spark.createDataFrame(leading, "language string, topic_id int, keywords array<string>, weight_sum double")

@@ -23,6 +23,11 @@ def documents(spark, n=400, parts=5):
     return spark.createDataFrame(data, "review_id string, terms array<string>").repartition(parts, "review_id").sortWithinPartitions("review_id")
 
 
+def counted(docs):
+    rows = online_lda.count_rows(docs.selectExpr("review_id", "'en' AS language", "terms"), "review_id", "language", "terms", {"en": TERMS})
+    return checkpointed(online_lda.placed(rows))
+
+
 def by_id(df, *columns):
     rows = {r[0]: tuple(r)[1:] for r in df.select("review_id", *columns).collect()}
     return [rows[k] for k in sorted(rows)]
@@ -38,7 +43,7 @@ def test_equal_to_spark_ml(spark, monkeypatch, sizes):
     scaled = ElementwiseProduct(scalingVec=Vectors.dense(IDF), inputCol="tf", outputCol="scaled").transform(tf)
     feats = checkpointed(Normalizer(p=2.0, inputCol="scaled", outputCol="features").transform(scaled).select("review_id", "features"))
     theirs = LDA(k=3, maxIter=4, seed=42, optimizer="online", subsamplingRate=1.0, topicDistributionCol="d").fit(feats)
-    rows = checkpointed(online_lda.count_rows(docs, "review_id", "terms", TERMS))
+    rows = counted(docs)
     ours = online_lda.fit(rows, IDF, 3, 4, 42)
     assert np.allclose(ours.topics, theirs.topicsMatrix().toArray().T, rtol=1e-7, atol=0)
     assert np.allclose(ours.alpha, theirs.estimatedDocConcentration().toArray(), rtol=1e-7)
@@ -64,7 +69,7 @@ def test_documents_are_inferred_together(monkeypatch):
 
 def test_no_documents_with_words(spark):
     docs = spark.createDataFrame([(f"r{i}", ["x"]) for i in range(12)], "review_id string, terms array<string>")
-    rows = checkpointed(online_lda.count_rows(docs, "review_id", "terms", TERMS))
+    rows = counted(docs)
     model = online_lda.fit(rows, IDF, 3, 2, 42)
     assert np.allclose(model.alpha, 1 / 3)
     assert {tuple(r)[1:] for r in online_lda.assign(rows, "review_id", IDF, model).collect()} == {(0, 0.0)}
